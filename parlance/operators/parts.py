@@ -1,0 +1,75 @@
+"""Splitting users whose text is too long for one row.
+
+A report row holds all text of a user, so one very busy user would put a large
+share of the table into one task. Such a user's rows are numbered into parts of
+bounded size instead. Nothing is dropped: the parts in order are the whole text.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window, functions as F
+
+from parlance.session import shared_folder
+
+DEFAULT_PART_BYTES = 64 * 1024 * 1024
+
+
+def running_total(rows: DataFrame, key: str, order: list[str], size: str, name: str = "before") -> DataFrame:
+    """Add the sum of ``size`` over the earlier rows of the same key.
+
+    The rows of a key are spread over range partitions, summed inside each, and
+    shifted by the totals of the partitions before. No task holds more than a
+    range partition, however many rows a key has. ``key`` and ``order`` together
+    must be unique.
+    """
+    spark = rows.sparkSession
+    shared_folder(spark)
+    # The range bounds are sampled, so the block numbers must be fixed once,
+    # in files, before two branches of the plan read them.
+    blocks = (
+        rows.repartitionByRange(key, *order).withColumn("_block", F.spark_partition_id()).checkpoint()
+    )
+    totals = blocks.groupBy(key, "_block").agg(F.sum(size).alias("_sum"))
+    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(key, "_block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(key, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        blocks.withColumn("_inside", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+        .join(starts, [key, "_block"])
+        .withColumn(name, F.col("_start") + F.col("_inside"))
+        .drop("_block", "_start", "_inside")
+    )
+
+
+def long_users(sizes: DataFrame, part_bytes: int) -> DataFrame:
+    """Users whose report text may exceed one part, with the bytes copied onto each row.
+
+    Every report row holds its own bytes and at most the largest feedback of the
+    user. The sums combine on the map side.
+    """
+    own, rows, copied = F.sum("row_bytes"), F.count_if("is_row"), F.coalesce(F.max("copied_bytes"), F.lit(0))
+    return (
+        sizes.where(F.col("usuario_id").isNotNull())
+        .groupBy("usuario_id")
+        .agg(copied.alias("copied"), (own + rows * copied).alias("total"))
+        .where(F.col("total") > part_bytes)
+        .select("usuario_id", "copied")
+    )
+
+
+def number_parts(sizes: DataFrame, order: list[str], part_bytes: int) -> DataFrame | None:
+    """Part number of every row of the long users, or None when no user is long.
+
+    ``sizes`` has ``usuario_id``, the order columns, ``is_row``, ``row_bytes`` and
+    ``copied_bytes``; it is read once for the check, so it should be narrow.
+    """
+    users = long_users(sizes, part_bytes)
+    if users.isEmpty():
+        return None
+    rows = sizes.where("is_row").join(users, "usuario_id").select(
+        "usuario_id", *order, (F.col("row_bytes") + F.col("copied")).alias("bytes")
+    )
+    numbered = running_total(rows, "usuario_id", order, "bytes")
+    return numbered.select(
+        "usuario_id", *order, F.floor(F.col("before") / F.lit(part_bytes)).cast("int").alias("parte")
+    )
