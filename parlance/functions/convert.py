@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column, functions as F
 
 from parlance import fixed_values as V
-from parlance.functions.text import strip
+from parlance.functions.text import bind, strip
 
 # First and last millisecond of the years 1 to 9999, and the widest clock value.
 _FIRST_MS, _LAST_MS = -62135596800000, 253402300799999
@@ -74,36 +74,32 @@ def only_with(text: Column, guard: Column, domain=V.FEEDBACK_CLASSES) -> Column:
 
 
 def epoch_ms(raw: Column) -> Column:
-    """Epoch milliseconds -> decimal(38,0); null for missing, zero or non-numeric."""
-    text = strip(raw.cast("string"))
-    number = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("decimal(38,0)"))
-    return F.when(number != 0, number)
+    """Epoch milliseconds -> bigint; null unless it is a time in the years 1 to 9999."""
+    number = strip(raw.cast("string")).try_cast("bigint")
+    return bind(number, lambda n: F.when(n.between(_FIRST_MS, _LAST_MS) & (n != 0), n))
 
 
 def epoch_status(raw: Column) -> Column:
-    """``missing``, ``invalid``, ``error`` (beyond any clock) or ``ok``."""
+    """``missing`` (or zero), ``invalid``, ``error`` (beyond any clock) or ``ok``."""
     text = strip(raw.cast("string"))
-    number = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("decimal(38,0)"))
-    too_long = text.rlike(r"^[+-]?\d+$") & number.isNull()
+    # Only whole numbers too long for a bigint need the decimal.
+    long_number = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("decimal(38,0)"))
+    beyond = F.coalesce(F.abs(long_number) >= F.lit(Decimal(_CLOCK_SECONDS * 1000)), text.rlike(r"^[+-]?\d+$"))
     return (
-        F.when(text.isNull() | (text == "") | (F.coalesce(number, F.lit(1)) == 0), "missing")
-        .when(too_long | (F.abs(number) >= F.lit(Decimal(_CLOCK_SECONDS * 1000))), "error")
-        .when(number.between(_FIRST_MS, _LAST_MS), "ok")
+        F.when(text.isNull() | (text == "") | (text.try_cast("bigint") == 0), "missing")
+        .when(epoch_ms(raw).isNotNull(), "ok")
+        .when(text.try_cast("bigint").isNull() & beyond, "error")
         .otherwise("invalid")
     )
 
 
 def epoch_label(raw: Column) -> Column:
     """Epoch milliseconds -> ``yyyy-MM-dd HH:mm:ss`` text in UTC."""
+    moment = F.timestamp_add("MILLISECOND", epoch_ms(raw), F.lit("1970-01-01").cast("timestamp_ntz"))
+    label = F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
     status = epoch_status(raw)
-    ms = F.when(status == "ok", epoch_ms(raw)).cast("bigint")
-    moment = F.timestamp_add("MILLISECOND", ms, F.lit("1970-01-01").cast("timestamp_ntz"))
-    return (
-        F.when(status == "missing", F.lit(""))
-        .when(status == "error", F.lit(V.ERROR_DATE))
-        .when(status == "ok", F.date_format(moment, "yyyy-MM-dd HH:mm:ss"))
-        .otherwise(F.lit(V.INVALID_DATE))
-    )
+    return F.coalesce(label, F.when(status == "missing", F.lit("")).when(status == "error", F.lit(V.ERROR_DATE))
+                      .otherwise(F.lit(V.INVALID_DATE)))
 
 
 def token_price(tokens: Column, rate: str) -> Column:

@@ -55,6 +55,21 @@ def read_json(text: Column) -> Column:
     return _only_element(F.try_parse_json(_bracketed(text)))
 
 
+def read_json_object(text: Column) -> Column:
+    """JSON object text with repeated keys -> VARIANT; the last value of a key counts."""
+    listed = F.from_json(_bracketed(text), "array<map<string,variant>>")
+
+    def last_of_each(entries: Column) -> Column:
+        backwards = F.reverse(F.transform(entries, lambda e: e["key"]))
+        kept = F.filter(
+            entries, lambda e, i: F.array_position(backwards, e["key"]) == F.size(entries) - i
+        )
+        return F.to_variant_object(F.map_from_entries(kept))
+
+    only = F.when(F.size(listed) == 1, F.map_entries(F.get(listed, F.lit(0))))
+    return bind(only, lambda entries: F.when(entries.isNotNull(), last_of_each(entries)))
+
+
 def read_literal(text: Column) -> Column:
     """Python-literal text -> VARIANT."""
     return _only_element(F.from_json(_bracketed(literal_to_json(text)), "variant", _LITERAL_OPTIONS))

@@ -39,7 +39,8 @@ def implied_question(bot_text: Column, rules=V.IMPLIED_QUESTIONS, fill_topic: bo
     lowered = F.lower(bot_text)
     out = F.when(F.coalesce(F.length(strip(bot_text)) < _MIN_BOT_TEXT, F.lit(True)), F.lit(""))
     for pattern, question in rules:
-        found = f"(?U){pattern}"
+        # The Unicode classes are slow, so only rules with \w or \s ask for them.
+        found = f"(?U){pattern}" if "\\" in pattern else pattern
         before, slot, after = question.partition("{}")
         topic = strip(F.regexp_extract(lowered, found, 1)) if slot and fill_topic else F.lit("")
         out = out.when(lowered.rlike(found), F.concat(F.lit(before), topic, F.lit(after)))

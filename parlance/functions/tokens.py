@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from parlance import fixed_values as V
-from parlance.functions.literal import as_list, as_map, field, is_string, read_json
+from parlance.functions.literal import as_list, as_map, field, is_string, read_json, read_json_object
 from parlance.functions.text import bind, strip
 
 
@@ -21,7 +21,11 @@ def _class_body(characters: str) -> str:
 
 
 _NOT_PUNCTUATION = f"[^{_class_body(V.PUNCTUATION)}]++"
-_NOT_SPECIAL = rf"[^\p{{Nd}}{V.EXTRA_DIGITS_CLASS}{_class_body(V.SPECIAL)}]++"
+_NOT_ASCII_SPECIAL = f"[^0-9{_class_body(V.SPECIAL)}]++"
+# Below U+0660 only the digits of ASCII and three superscripts count as digits.
+# Dropping the rest first leaves little or nothing for the costly class.
+_PLAIN = r"[\x00-\xb1\xb4-\xb8\xba-\u065f]++"
+_NOT_OTHER_DIGIT = rf"[^\p{{Nd}}{V.EXTRA_DIGITS_CLASS}]++"
 
 
 def estimated_tokens(text: Column) -> Column:
@@ -29,7 +33,8 @@ def estimated_tokens(text: Column) -> Column:
     chars = F.length(text)
     spaces = chars - F.length(F.replace(text, F.lit(" "), F.lit("")))
     punctuation = F.length(F.regexp_replace(text, _NOT_PUNCTUATION, ""))
-    special = F.length(F.regexp_replace(text, _NOT_SPECIAL, ""))
+    other_digits = F.regexp_replace(F.regexp_replace(text, _PLAIN, ""), _NOT_OTHER_DIGIT, "")
+    special = F.length(F.regexp_replace(text, _NOT_ASCII_SPECIAL, "")) + F.length(other_digits)
     factor = (
         F.lit(1)
         + spaces / chars * F.lit(V.SPACE_WEIGHT)
@@ -87,8 +92,8 @@ def read_message_map(raw: Column) -> Column:
     present = F.coalesce(text != "", F.lit(False))
     body_closed = _replaced(text, ('"body": ",', '"body": "",'))
 
-    def tried(candidate: Column, status: str) -> Column:
-        return bind(read_json(candidate), lambda v: F.when(
+    def tried(candidate: Column, status: str, read=read_json) -> Column:
+        return bind(read(candidate), lambda v: F.when(
             v.isNotNull(), F.struct(v.alias("value"), F.lit(status).alias("parse_status"))
         ))
 
@@ -98,6 +103,7 @@ def read_message_map(raw: Column) -> Column:
         present,
         F.coalesce(
             tried(text, "valid"),
+            tried(text, "valid", read_json_object),
             tried(body_closed, "repaired"),
             tried(_repaired(text), "repaired"),
             tried(_braced(_repaired(text)), "cut"),

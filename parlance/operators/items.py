@@ -96,8 +96,7 @@ def in_day_range(day: Column, start: str, end: str | None) -> Column:
 
 def in_epoch_range(raw: Column, first_ms: int, last_ms: int) -> Column:
     """Inside the range, or without a usable time."""
-    usable = convert.epoch_status(raw) == "ok"
-    return ~usable | convert.epoch_ms(raw).between(first_ms, last_ms)
+    return F.coalesce(convert.epoch_ms(raw).between(first_ms, last_ms), F.lit(True))
 
 
 def with_any_tokens(tokens: DataFrame) -> DataFrame:

@@ -51,14 +51,25 @@ def value_distribution(df: DataFrame, column: str, blank_label: str | None = Non
     if blank_label is not None:
         value = F.when(F.coalesce(value, F.lit("")) == "", F.lit(blank_label)).otherwise(value)
     counts = df.groupBy(value.alias("valor")).agg(F.count(F.lit(1)).alias("n"))
-    # The total comes from the few grouped rows, as a scalar.
-    total = counts.agg(F.sum("n")).scalar()
+    # The total is a scalar of its own; a count reads no column of a table.
+    total = df.agg(F.count(F.lit(1))).scalar()
     return counts.withColumn("pct", _percent(F.col("n"), total, places))
 
 
-def feedback_distribution(report: DataFrame) -> DataFrame:
-    """Distribution of the feedback classes."""
-    return value_distribution(report, "feedback", V.NO_FEEDBACK)
+def feedback_distribution(report: DataFrame, column: str = "feedback", places: int = 1) -> DataFrame:
+    """``valor, n, pct`` of the feedback classes that occur, in one pass over the report."""
+    tests = {name: F.col(column) == name for name in V.FEEDBACK_CLASSES}
+    tests[V.NO_FEEDBACK] = ~F.coalesce(F.col(column).isin(*V.FEEDBACK_CLASSES), F.lit(False))
+    one = report.agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(test).alias(name) for name, test in tests.items()]
+    )
+    lines = [
+        F.struct(
+            F.lit(name).alias("valor"), F.col(name).alias("n"), _percent(F.col(name), F.col("_n"), places).alias("pct")
+        )
+        for name in tests
+    ]
+    return one.select(F.inline(F.array(*lines))).where(F.col("n") > 0)
 
 
 def histogram(df: DataFrame, column: str) -> DataFrame:
