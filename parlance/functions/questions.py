@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from parlance import fixed_values as V
-from parlance.functions.text import bind, is_blank_exact, split_on, strip
+from parlance.functions.text import bind, split_on, strip
 
 _MIN_BOT_TEXT = 10
 _S = f"[{V.WHITESPACE_CLASS}]"
@@ -17,11 +17,13 @@ def _after_prefix(text: Column, prefix: str) -> Column:
 
 
 def _starts_with(text: Column, prefix: str) -> Column:
-    return F.startswith(F.lower(text), F.lit(prefix))
+    return F.lower(F.left(text, F.lit(len(prefix)))) == prefix
 
 
 def _segment_questions(segments: Column) -> Column:
-    spoken = F.filter(F.transform(segments, strip), lambda s: _starts_with(s, "user:"))
+    # Only the user's segments are trimmed at both ends; the prefix needs the left end alone.
+    from_start = F.transform(segments, lambda s: F.ltrim(s, F.lit(V.WHITESPACE)))
+    spoken = F.filter(from_start, lambda s: _starts_with(s, "user:"))
     return F.filter(F.transform(spoken, lambda s: _after_prefix(s, "user:")), lambda q: q != "")
 
 
@@ -71,7 +73,7 @@ def _questions_of(text: Column, rules) -> Column:
         return F.array_join(F.array_distinct(questions), V.PART_SEPARATOR)
 
     return (
-        F.when(is_blank_exact(text), F.lit(""))
+        F.when(F.coalesce(text, F.lit("")).isin("", *V.BLANK_WORDS_EXACT), F.lit(""))
         .when(F.contains(text, F.lit(V.CONVERSATION_SEPARATOR)), joined(across))
         .when(F.contains(text, F.lit(V.PART_SEPARATOR)), joined(_segment_questions(split_on(text, V.PART_SEPARATOR))))
         .when(_starts_with(text, "user:"), alone)

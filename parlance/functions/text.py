@@ -31,8 +31,9 @@ def is_blank_exact(text: Column, words=V.BLANK_WORDS_EXACT) -> Column:
 
 def occurrences(text: Column, word: str) -> Column:
     """Number of times a fixed word occurs, without overlaps."""
-    left = F.length(text) - F.length(F.replace(text, F.lit(word), F.lit("")))
-    return F.floor(left / F.lit(len(word))).cast("int")
+    # Byte lengths are stored with the text, so no pass over it is needed to count.
+    removed = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(word), F.lit("")))
+    return (removed / F.lit(len(word.encode()))).cast("int")
 
 
 def normalize_text(text: Column) -> Column:

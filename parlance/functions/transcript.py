@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from parlance import fixed_values as V
 from parlance.functions.literal import as_list, as_map, field, field_text, is_string, read_json, read_literal
-from parlance.functions.text import bind, is_blank_exact, split_on, strip
+from parlance.functions.text import bind, split_on, strip
 
 
 def speaker_label(speaker: Column, user_speakers=V.USER_SPEAKERS, bot_speakers=V.BOT_SPEAKERS) -> Column:
@@ -17,7 +17,7 @@ def speaker_label(speaker: Column, user_speakers=V.USER_SPEAKERS, bot_speakers=V
 
 def message_text(text: Column) -> Column:
     """Message text on one line."""
-    one_line = F.replace(F.replace(strip(text), F.lit("\n\n"), F.lit(" ")), F.lit("\n"), F.lit(" "))
+    one_line = F.replace(F.replace(text, F.lit("\n\n"), F.lit(" ")), F.lit("\n"), F.lit(" "))
     return strip(one_line)
 
 
@@ -31,36 +31,44 @@ def parse_messages(conversation: Column) -> Column:
     Reads JSON and Python-literal text; enveloped or plain messages; a list, a
     tagged list or a single message. Elements that are no message are skipped.
     """
-    text = strip(conversation)
+    return _messages_of(strip(conversation))
+
+
+def _messages_of(text: Column) -> Column:
     structured = _wrapped_in(text, "[", "]") | _wrapped_in(text, "{", "}")
     value = F.when(structured, F.coalesce(read_json(text), read_literal(text)))
     elements = bind(value, lambda v: F.coalesce(
         as_list(v), as_list(field(v, "L")), F.when(as_map(v).isNotNull(), F.array(v))
     ))
-    messages = F.transform(elements, lambda e: F.coalesce(field(e, "M"), e))
-    messages = F.filter(messages, lambda m: field(m, "from").isNotNull() | field(m, "text").isNotNull())
 
-    def member(message: Column, name: str) -> Column:
-        return F.coalesce(field_text(message, name, "S"), field_text(message, name), F.lit(""))
+    def member(element: Column, name: str) -> Column:
+        return F.coalesce(
+            field_text(element, name, "S"), field_text(element, name),
+            field_text(element, "M", name, "S"), field_text(element, "M", name),
+        )
 
-    return F.transform(
-        messages, lambda m: F.struct(member(m, "from").alias("speaker"), member(m, "text").alias("text"))
+    messages = F.transform(
+        elements, lambda e: F.struct(member(e, "from").alias("speaker"), member(e, "text").alias("text"))
     )
+    return F.filter(messages, lambda m: m["speaker"].isNotNull() | m["text"].isNotNull())
 
 
 def join_messages(messages: Column) -> Column:
     """``array<struct<speaker, text>>`` -> transcript."""
     lines = F.transform(
-        messages, lambda m: F.concat(speaker_label(m["speaker"]), F.lit(": "), message_text(m["text"]))
+        messages,
+        lambda m: F.concat(
+            F.coalesce(speaker_label(m["speaker"]), F.lit("")), F.lit(": "), F.coalesce(message_text(m["text"]), F.lit(""))
+        ),
     )
     return F.array_join(lines, V.PART_SEPARATOR)
 
 
 def transcript(conversation: Column) -> Column:
     """Conversation text -> transcript. Unstructured text passes through; blank gives ``''``."""
-    return F.when(is_blank_exact(conversation), F.lit("")).otherwise(
-        F.coalesce(join_messages(parse_messages(conversation)), strip(conversation))
-    )
+    return bind(strip(conversation), lambda text: F.when(
+        F.coalesce(text, F.lit("")).isin("", *V.BLANK_WORDS_EXACT), F.lit("")
+    ).otherwise(F.coalesce(join_messages(_messages_of(text)), text)))
 
 
 def _speaker_texts(value: Column, speaker: str) -> Column:

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from parlance.session import shared_folder
 
-DEFAULT_PART_BYTES = 64 * 1024 * 1024
+# Grouping a part takes several times its size in memory, per running task.
+DEFAULT_PART_BYTES = 16 * 1024 * 1024
 
 
 def running_total(rows: DataFrame, key: str, order: list[str], size: str, name: str = "before") -> DataFrame:
@@ -41,6 +42,37 @@ def running_total(rows: DataFrame, key: str, order: list[str], size: str, name:
     )
 
 
+def attach_parts(rows: DataFrame, parts: DataFrame | None, key: str, order: list[str]) -> DataFrame:
+    """Add ``parte`` to the rows: their number from ``parts``, else 0.
+
+    Only the rows of long groups take the extra join.
+    """
+    if parts is None:
+        return rows.withColumn("parte", F.lit(0))
+    columns = [key, *order]
+    numbered = parts.withColumnsRenamed({c: f"_{c}" for c in columns})
+    same_row = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns]
+    short = rows.join(parts.select(key).distinct(), key, "left_anti").withColumn("parte", F.lit(0))
+    long = rows.join(numbered, same_row).drop(*[f"_{c}" for c in columns])
+    return short.unionByName(long)
+
+
+def number_groups(sizes: DataFrame, key: str, order: list[str], part_bytes: int) -> DataFrame | None:
+    """Part number of every row of the groups with more than ``part_bytes``, or None without any.
+
+    ``sizes`` has the key, the order columns and ``bytes``.
+    """
+    long = sizes.groupBy(key).agg(F.sum("bytes").alias("total")).where(F.col("total") > part_bytes).select(key)
+    if long.isEmpty():
+        return None
+    return _numbered(sizes.join(long, key, "left_semi"), key, order, part_bytes)
+
+
+def _numbered(rows: DataFrame, key: str, order: list[str], part_bytes: int) -> DataFrame:
+    part = F.floor(F.col("before") / F.lit(part_bytes)).cast("int")
+    return running_total(rows, key, order, "bytes").select(key, *order, part.alias("parte"))
+
+
 def long_users(sizes: DataFrame, part_bytes: int) -> DataFrame:
     """Users whose report text may exceed one part, with the bytes copied onto each row.
 
@@ -69,7 +101,4 @@ def number_parts(sizes: DataFrame, order: list[str], part_bytes: int) -> DataFra
     rows = sizes.where("is_row").join(users, "usuario_id").select(
         "usuario_id", *order, (F.col("row_bytes") + F.col("copied")).alias("bytes")
     )
-    numbered = running_total(rows, "usuario_id", order, "bytes")
-    return numbered.select(
-        "usuario_id", *order, F.floor(F.col("before") / F.lit(part_bytes)).cast("int").alias("parte")
-    )
+    return _numbered(rows, "usuario_id", order, part_bytes)

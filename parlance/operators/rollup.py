@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parlance import fixed_values as V
+from parlance.operators.parts import DEFAULT_PART_BYTES, attach_parts, number_groups
 
 TEXT_COLUMNS = (
     "conversacion_completa", "feedback_total", "pregunta_conversacion", "feedback", "respuesta_feedback",
@@ -47,10 +48,21 @@ def column_of(rows: str, name: str) -> Column:
     return F.transform(rows, lambda row: row[name])
 
 
-def ordered_concat(rows: DataFrame, keys: list[str], column: str, order, separator: str) -> DataFrame:
-    """Written values of a column joined in order, per key."""
-    return rows.groupBy(*keys).agg(ordered_rows(column, order=order).alias("_rows")).select(
-        *keys, join_written(column_of("_rows", column), separator).alias(column)
+def ordered_concat(
+    rows: DataFrame, key: str, column: str, order: list[str], separator: str,
+    size: Column | None = None, part_bytes: int = DEFAULT_PART_BYTES,
+) -> DataFrame:
+    """``key, parte, column``: written values joined in order, per key.
+
+    A key with more than ``part_bytes`` of text gets several parts in order.
+    ``size`` bounds the bytes of a value; give it when the value is costly to
+    compute. Key and order together must be unique.
+    """
+    size = F.octet_length(column) if size is None else size
+    sizes = rows.select(key, *order, F.coalesce(size, F.lit(0)).cast("bigint").alias("bytes"))
+    rows = attach_parts(rows, number_groups(sizes, key, order, part_bytes), key, order)
+    return rows.groupBy(key, "parte").agg(ordered_rows(column, order=order).alias("_rows")).select(
+        key, "parte", join_written(column_of("_rows", column), separator).alias(column)
     )
 
 

@@ -111,8 +111,13 @@ def token_view(tokens: DataFrame, name: str = V.TOKEN_VIEW_NAME) -> DataFrame:
 
 
 def by_total_tokens(view: DataFrame) -> DataFrame:
-    """The view from the largest total down."""
-    return view.orderBy(F.desc("total tokens"))
+    """The view from the largest total down.
+
+    Equal totals are ordered by the other columns, which also spreads a frequent
+    total over the sort's partitions; the last key does so for equal rows.
+    """
+    rest = [c for c in view.columns if c != "total tokens"]
+    return view.orderBy(F.desc("total tokens"), *[F.asc(c) for c in rest], F.monotonically_increasing_id())
 
 
 def _exact_mean(total: Column, count: Column, places: int) -> Column:

@@ -15,7 +15,7 @@ from parlance.operators.items import (
     drop_register, exclude_places, in_day_range, is_conversation, is_feedback, unwrap_items, user_id,
 )
 from parlance.operators.parsing import with_fields
-from parlance.operators.parts import DEFAULT_PART_BYTES, number_parts
+from parlance.operators.parts import DEFAULT_PART_BYTES, attach_parts, number_parts
 from parlance.operators.rollup import ORDER, column_of, first_real, join_written, ordered_rows, user_rollup
 
 
@@ -52,13 +52,23 @@ def conversation_texts(rows: DataFrame) -> DataFrame:
     })
 
 
-def conversation_report(items: DataFrame, list_mode: str = "all", **limits) -> DataFrame:
-    """One row per conversation with the 12 report columns and the order columns."""
-    items = unwrap_items(drop_register(items), ("Feedback", "CreatedAt"), list_mode)
+def conversation_report(
+    items: DataFrame, list_mode: str = "all", part_bytes: int | None = None, **limits
+) -> DataFrame:
+    """One row per conversation with the 12 report columns and the order columns.
+
+    With ``part_bytes`` the rows carry ``parte``, numbered within the users who
+    are too long for one report row, so a rollup can follow.
+    """
+    items = drop_register(items)
+    parts = number_parts(row_sizes(items), list(ORDER), part_bytes) if part_bytes else None
+    items = unwrap_items(items, ("Feedback", "CreatedAt"), list_mode)
     rows = conversation_texts(keep_report_rows(join_last_feedback(items), **limits))
     rows = rows.withColumn("_flat", fb.flatten_feedback(F.col("Feedback")))
+    if part_bytes:
+        rows = attach_parts(rows, parts, "usuario_id", list(ORDER))
     return rows.select(
-        *ORDER,
+        *ORDER, *(["parte"] if part_bytes else []),
         "usuario_id", "nombre", "gerencia", F.col("gerencia").alias("ciudad"),
         "fecha_primera_conversacion", "dia",
         F.col("numero_conversaciones").cast("bigint").alias("numero_conversaciones"),
@@ -81,7 +91,10 @@ def classify_report(report: DataFrame) -> DataFrame:
 
 
 def rollup_conversations(rows: DataFrame, **options) -> DataFrame:
-    """Per-conversation report rows -> classified user report."""
+    """Per-conversation report rows -> classified user report.
+
+    The rows should carry ``parte`` unless every user is known to be short.
+    """
     return enforce_columns(classify_report(user_rollup(rows, **options)))
 
 
@@ -132,17 +145,17 @@ def user_report(
 
     rows = items.where(is_conversation() | ~is_feedback()).withColumns(
         {"usuario_id": user_id(F.col("PK")), "is_other": ~is_conversation()}
-    )
-    rows = conversation_texts(keep_report_rows(rows.where(F.col("usuario_id").isNotNull()), **limits))
-    rows = rows.withColumn("own", F.when(F.col("Feedback").isNotNull(), _feedback_cells(F.col("Feedback"))))
-
+    ).where(F.col("usuario_id").isNotNull())
     feedback = last_feedback(
         items.withColumn("cells", _feedback_cells(F.col("Feedback"))), "cells"
     )
     keys = ["usuario_id"]
     if parts is not None:
         keys.append("parte")
-        rows, feedback = _with_parts(rows, feedback, parts)
+        rows = attach_parts(rows, parts, "usuario_id", list(ORDER))
+        feedback = _feedback_parts(feedback, parts)
+    rows = conversation_texts(keep_report_rows(rows, **limits))
+    rows = rows.withColumn("own", F.when(F.col("Feedback").isNotNull(), _feedback_cells(F.col("Feedback"))))
 
     order = F.struct(*ORDER)
     grouped = rows.groupBy(*keys).agg(
@@ -175,17 +188,8 @@ def user_report(
     return enforce_columns(report)
 
 
-def _with_parts(rows: DataFrame, feedback: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Attach the part number to rows and feedback, so both group and join on it.
-
-    Only the rows of long users take the extra join.
-    """
-    long_ids = parts.select("usuario_id").distinct()
-    short = rows.join(long_ids, "usuario_id", "left_anti").withColumn("parte", F.lit(0))
-    part_rows = parts.withColumnsRenamed({c: f"_{c}" for c in ("usuario_id", *ORDER)})
-    same_row = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("usuario_id", *ORDER)]
-    long = rows.join(part_rows, same_row).drop(*[f"_{c}" for c in ("usuario_id", *ORDER)])
+def _feedback_parts(feedback: DataFrame, parts: DataFrame) -> DataFrame:
+    """One copy of a long user's feedback per part, so rows and feedback share both keys."""
     numbers = parts.select("usuario_id", "parte").distinct()
-    short_feedback = feedback.join(long_ids, "usuario_id", "left_anti").withColumn("parte", F.lit(0))
-    long_feedback = feedback.join(numbers, "usuario_id")
-    return short.unionByName(long), short_feedback.unionByName(long_feedback)
+    short = feedback.join(numbers, "usuario_id", "left_anti").withColumn("parte", F.lit(0))
+    return short.unionByName(feedback.join(numbers, "usuario_id"))

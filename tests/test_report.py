@@ -107,6 +107,33 @@ def test_long_users_come_in_parts(spark, part_bytes):
         assert first.fecha_primera_conversacion == one.fecha_primera_conversacion
 
 
+@pytest.mark.parametrize("part_bytes", [100, 700])
+def test_rollup_in_parts_equals_report_in_parts(spark, part_bytes):
+    items = _random_items(spark, 7).cache()
+    direct = ur.user_report(items, as_of="2025-08-31", part_bytes=part_bytes)
+    rows = ur.conversation_report(items, as_of="2025-08-31", part_bytes=part_bytes)
+    rolled = ur.rollup_conversations(rows)
+    assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, rolled.collect()))
+    assert rolled.count() > rolled.select("usuario_id").distinct().count()
+
+
+def test_ordered_concat_in_parts(spark):
+    rng = random.Random(2)
+    data = [("hot" if rng.random() < 0.4 else f"k{i % 5}", i, rng.choice(["", "nan", None, f"t{i}"])) for i in range(400)]
+    df = spark.createDataFrame(data, "k string, i int, t string").repartition(5)
+    expected = {}
+    for k, _, t in sorted(data, key=lambda r: r[1]):
+        expected.setdefault(k, []).extend([t] if t not in ("", "nan", None) else [])
+    whole = {r.k: r.t for r in ro.ordered_concat(df, "k", "t", ["i"], "|").collect()}
+    assert whole == {k: "|".join(v) for k, v in expected.items()}
+    parts = ro.ordered_concat(df, "k", "t", ["i"], "|", part_bytes=50).orderBy("k", "parte").collect()
+    joined = {}
+    for r in parts:
+        joined.setdefault(r.k, []).append(r.t)
+    assert {k: "|".join(t for t in v if t) for k, v in joined.items()} == whole
+    assert len(joined["hot"]) > 3
+
+
 def test_parts_are_bounded(spark):
     items = _random_items(spark, 5, rows=300)
     order = list(ro.ORDER)

@@ -335,7 +335,7 @@ ORACLES: dict[str, str] = {
         SELECT u::VARCHAR AS usuario_id, coalesce(nullif(nombre, ''), '{V.ANONYMOUS_NAME}') AS nombre,
                coalesce(nullif(ciudad, ''), '{V.UNSPECIFIED_AREA}') AS gerencia FROM profile""",
     "ordered_concatenation": _TALKS + """
-        SELECT u::VARCHAR AS usuario_id, string_agg(t, ' || ' ORDER BY SK) AS texto FROM talked GROUP BY u""",
+        SELECT u::VARCHAR AS usuario_id, 0 AS parte, string_agg(t, ' || ' ORDER BY SK) AS texto FROM talked GROUP BY u""",
     "report_contract": "SELECT " + ", ".join(
         {"usuario_id": "c_custkey::VARCHAR AS usuario_id", "nombre": "c_name AS nombre"}.get(c, f"'' AS {c}")
         for c in V.REPORT_COLUMNS

@@ -15,6 +15,7 @@ from parlance.functions.questions import implied_question, user_questions
 from parlance.operators import items as it, reports as rp
 from parlance.operators.contract import enforce_columns
 from parlance.operators.feedback_join import join_last_feedback
+from parlance.operators.parts import DEFAULT_PART_BYTES
 from parlance.operators.rollup import ORDER, first_real, ordered_concat
 from parlance.plans import token_costs as tc, typed_report as ty, user_report as ur
 from parlance.session import new_folder
@@ -261,7 +262,8 @@ def user_report(spark, sf):
 
 @query
 def user_report_by_rollup(spark, sf):
-    return ur.rollup_conversations(ur.conversation_report(ad.items(spark, sf), as_of=AS_OF))
+    rows = ur.conversation_report(ad.items(spark, sf), as_of=AS_OF, part_bytes=DEFAULT_PART_BYTES)
+    return ur.rollup_conversations(rows)
 
 
 @query
@@ -277,9 +279,10 @@ def first_real_value(spark, sf):
 @query
 def ordered_concatenation(spark, sf):
     rows = _talks(spark, sf).select(
-        it.user_id(F.col("PK")).alias("usuario_id"), "SK", tr.transcript(F.col("Conversation")).alias("texto")
+        it.user_id(F.col("PK")).alias("usuario_id"), "SK", tr.transcript(F.col("Conversation")).alias("texto"),
+        F.octet_length("Conversation").alias("tamano"),
     )
-    return ordered_concat(rows, ["usuario_id"], "texto", ["SK"], V.CONVERSATION_SEPARATOR)
+    return ordered_concat(rows, "usuario_id", "texto", ["SK"], V.CONVERSATION_SEPARATOR, size=F.col("tamano"))
 
 
 @query
