@@ -20,29 +20,39 @@ def _class_body(characters: str) -> str:
     return "".join("\\" + c for c in characters)
 
 
+# Everything below U+0660 that is neither punctuation, nor a digit, nor a symbol.
+_PLAIN = "".join(
+    chr(i) for i in range(256) if not chr(i).isdigit() and chr(i) not in V.PUNCTUATION + V.SPECIAL
+)
+_PLAIN_RUN = "[" + "".join(f"\\x{ord(c):02x}" for c in _PLAIN) + "\\u0100-\\u065f]++"
 _NOT_PUNCTUATION = f"[^{_class_body(V.PUNCTUATION)}]++"
-_NOT_ASCII_SPECIAL = f"[^0-9{_class_body(V.SPECIAL)}]++"
-# Below U+0660 only the digits of ASCII and three superscripts count as digits.
-# Dropping the rest first leaves little or nothing for the costly class.
-_PLAIN = r"[\x00-\xb1\xb4-\xb8\xba-\u065f]++"
-_NOT_OTHER_DIGIT = rf"[^\p{{Nd}}{V.EXTRA_DIGITS_CLASS}]++"
+_NOT_SPECIAL = rf"[^\p{{Nd}}{V.EXTRA_DIGITS_CLASS}{_class_body(V.SPECIAL)}]++"
 
 
 def estimated_tokens(text: Column) -> Column:
     """Token estimate from length, spaces, punctuation, digits and symbols."""
+    return bind(text, _estimate)
+
+
+def _estimate(text: Column) -> Column:
     chars = F.length(text)
-    spaces = chars - F.length(F.replace(text, F.lit(" "), F.lit("")))
-    punctuation = F.length(F.regexp_replace(text, _NOT_PUNCTUATION, ""))
-    other_digits = F.regexp_replace(F.regexp_replace(text, _PLAIN, ""), _NOT_OTHER_DIGIT, "")
-    special = F.length(F.regexp_replace(text, _NOT_ASCII_SPECIAL, "")) + F.length(other_digits)
-    factor = (
-        F.lit(1)
-        + spaces / chars * F.lit(V.SPACE_WEIGHT)
-        + punctuation / chars * F.lit(V.PUNCTUATION_WEIGHT)
-        + special / chars * F.lit(V.SPECIAL_WEIGHT)
+    spaces = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "), F.lit("")))
+
+    def counts(marks: Column) -> Column:
+        # One pass over the text leaves the few characters that the classes look at.
+        punctuation = F.length(F.regexp_replace(marks, _NOT_PUNCTUATION, ""))
+        special = F.length(F.regexp_replace(marks, _NOT_SPECIAL, ""))
+        factor = (
+            F.lit(1)
+            + spaces / chars * F.lit(V.SPACE_WEIGHT)
+            + punctuation / chars * F.lit(V.PUNCTUATION_WEIGHT)
+            + special / chars * F.lit(V.SPECIAL_WEIGHT)
+        )
+        return F.greatest(F.lit(1), F.floor(chars / F.lit(V.CHARS_PER_TOKEN) * factor).cast("int"))
+
+    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(0)).otherwise(
+        bind(F.regexp_replace(text, _PLAIN_RUN, ""), counts)
     )
-    estimate = F.floor(chars / F.lit(V.CHARS_PER_TOKEN) * factor).cast("int")
-    return F.when(F.coalesce(chars, F.lit(0)) == 0, F.lit(0)).otherwise(F.greatest(F.lit(1), estimate))
 
 
 def estimated_tokens_of_all(texts: Column) -> Column:
@@ -88,7 +98,10 @@ def read_message_map(raw: Column) -> Column:
     only when that fails is it cut to its braces. ``parse_status`` says which
     step succeeded: ``valid``, ``repaired``, ``cut``, ``unreadable`` or ``missing``.
     """
-    text = strip(raw)
+    return bind(strip(raw), _read_map)
+
+
+def _read_map(text: Column) -> Column:
     present = F.coalesce(text != "", F.lit(False))
     body_closed = _replaced(text, ('"body": ",', '"body": "",'))
 
@@ -123,16 +136,12 @@ def message_entries(value: Column, enveloped: bool = False) -> Column:
     ``listed`` marks items from entries that are themselves lists of messages.
     ``enveloped`` opens attribute-value envelopes at every level of the map.
     """
-    return bind(F.map_entries(as_map(value)), lambda entries: _entry_items(entries, enveloped))
-
+    return bind(as_map(value), lambda entries: _map_items(entries, enveloped))
 
-def has_usual_key(value: Column) -> Column:
-    """Does the message map have one of the usual keys?"""
-    return F.exists(F.map_keys(as_map(value)), lambda k: k.isin(*V.MAP_KEYS))
 
-
-def _entry_items(entries: Column, enveloped: bool) -> Column:
+def _map_items(members: Column, enveloped: bool) -> Column:
     opened = _open if enveloped else lambda v: v
+    entries = F.map_entries(members)
     if enveloped:
         entries = F.transform(entries, lambda e: F.struct(e["key"].alias("key"), _open(e["value"]).alias("value")))
 
@@ -151,39 +160,51 @@ def _entry_items(entries: Column, enveloped: bool) -> Column:
         )
 
     def contents(entry: Column) -> Column:
-        content = member(entry["value"], "content")
-        bodies = F.coalesce(
-            F.transform(as_list(content), lambda c: member(opened(c), "body")), F.array(content)
-        )
-        return F.transform(bodies, lambda b: item(entry["key"], role(entry), b, False))
+        def items(content: Column) -> Column:
+            bodies = F.coalesce(
+                F.transform(as_list(content), lambda c: member(opened(c), "body")),
+                F.filter(F.array(content), lambda c: c.isNotNull()),
+            )
+            return F.transform(bodies, lambda body: item(entry["key"], role(entry), body, False))
+
+        return bind(member(entry["value"], "content"), items)
 
     def listed(entry: Column) -> Column:
-        return F.transform(
-            F.transform(as_list(entry["value"]), opened),
-            lambda m: item(
-                entry["key"], F.coalesce(F.try_variant_get(member(m, "role"), "$", "string"), F.lit("")),
-                F.coalesce(member(m, "content"), member(m, "body")), True,
-            ),
-        )
+        messages = F.transform(F.coalesce(as_list(entry["value"]), _no_variants()), opened)
+        return F.transform(messages, lambda m: item(
+            entry["key"], F.coalesce(F.try_variant_get(member(m, "role"), "$", "string"), F.lit("")),
+            F.coalesce(member(m, "content"), member(m, "body")), True,
+        ))
+
+    return bind(entries, lambda e: F.concat(F.flatten(F.transform(e, contents)), F.flatten(F.transform(e, listed))))
+
 
-    objects = F.filter(entries, lambda e: as_map(e["value"]).isNotNull())
-    lists = F.filter(entries, lambda e: as_list(e["value"]).isNotNull())
-    return F.concat(F.flatten(F.transform(objects, contents)), F.flatten(F.transform(lists, listed)))
+def _no_variants() -> Column:
+    return F.array().cast("array<variant>")
 
 
-def map_tokens(value: Column) -> Column:
+def map_tokens(value: Column, enveloped: bool = False) -> Column:
     """Message map -> ``struct<input_token, output_token>``.
 
     List entries count only when the map has none of the usual keys, or when
-    its other entries gave no token. Nothing found counts as one and one.
+    its other entries gave no token. Nothing found counts as one and one, and an
+    empty value as none at all. A bare text is input.
     """
+
+    def of_map(members: Column) -> Column:
+        usual_key = F.exists(F.map_keys(members), lambda k: k.isin(*V.MAP_KEYS))
+        found = bind(_map_items(members, enveloped), lambda items: _item_tokens(items, usual_key))
+        empty = F.size(members) == 0
+        return F.when(empty, _pair(F.lit(0), F.lit(0))).when(members.isNotNull(), found)
+
     text = F.when(is_string(value), F.try_variant_get(value, "$", "string"))
-    return (
-        F.when(_is_empty(value), _pair(F.lit(0), F.lit(0)))
+    other = (
+        F.when(value.isNull() | F.is_variant_null(value), _pair(F.lit(0), F.lit(0)))
+        .when(F.to_json(value).isin("[]", '""', "0", "false"), _pair(F.lit(0), F.lit(0)))
         .when(text.isNotNull(), _pair(chars4_tokens(text), F.lit(0)))
-        .when(as_map(value).isNull(), _pair(F.lit(1), F.lit(1)))
-        .otherwise(entry_tokens(message_entries(value), has_usual_key(value)))
+        .otherwise(_pair(F.lit(1), F.lit(1)))
     )
+    return F.coalesce(bind(as_map(value), of_map), other)
 
 
 def _pair(input_token: Column, output_token: Column) -> Column:
@@ -192,8 +213,7 @@ def _pair(input_token: Column, output_token: Column) -> Column:
     )
 
 
-def entry_tokens(entries: Column, usual_key: Column) -> Column:
-    """Entries of one message map -> ``struct<input_token, output_token>``."""
+def _item_tokens(entries: Column, usual_key: Column) -> Column:
     counted = F.transform(entries, lambda e: F.struct(
         e["listed"].alias("listed"),
         F.when(e["role"].isin(*V.INPUT_ROLES), "in").when(e["role"].isin(*V.OUTPUT_ROLES), "out").alias("side"),
@@ -223,9 +243,3 @@ def entry_tokens(entries: Column, usual_key: Column) -> Column:
         return F.when(nothing, _pair(F.lit(1), F.lit(1))).otherwise(found)
 
     return bind(bind(bind(counted, totals), choose), at_least_one)
-
-
-def _is_empty(value: Column) -> Column:
-    """No value, or an empty one: no map, no list, no text, zero or false."""
-    plain = F.to_json(value)
-    return value.isNull() | F.is_variant_null(value) | plain.isin("{}", "[]", '""', "0", "false")

@@ -95,33 +95,43 @@ def role_text(conversation: Column, speaker: str) -> Column:
 
 
 def pieces(transcript_text: Column) -> Column:
-    """Transcript -> its non-empty pieces, whatever separator form was used."""
+    """Transcript -> its pieces, whatever separator form was used."""
     text = F.replace(transcript_text, F.lit(" || "), F.lit("|"))
     text = F.replace(text, F.lit(" | "), F.lit("|"))
     text = F.replace(text, F.lit("||"), F.lit("|"))
-    text = F.translate(text, "\n\t", "  ")
-    return F.filter(F.transform(split_on(text, "|"), strip), lambda p: p != "")
+    text = F.replace(F.replace(text, F.lit("\n"), F.lit(" ")), F.lit("\t"), F.lit(" "))
+    return split_on(text, "|")
 
 
-def _texts_after(transcript_text: Column, pattern: str) -> Column:
-    mine = F.filter(pieces(transcript_text), lambda p: p.rlike(pattern))
+def texts_after(transcript_pieces: Column, prefixes, lead: str = "") -> Column:
+    """Texts behind one of the prefixes, in any case; white space may come first.
+
+    ``lead`` names further characters that may come before the prefix.
+    """
+    pattern = rf"(?iu)^[{V.WHITESPACE_CLASS}{lead}]*+(?:{'|'.join(prefixes)})"
+    mine = F.filter(transcript_pieces, lambda p: p.rlike(pattern))
     texts = F.transform(mine, lambda p: strip(F.regexp_replace(p, pattern, "")))
     return F.coalesce(F.filter(texts, lambda t: t != ""), F.array().cast("array<string>"))
 
 
-def _prefix_pattern(prefixes, lead: str = "") -> str:
-    return rf"(?iu)^{lead}(?:{'|'.join(prefixes)})"
+def user_texts_of(transcript_pieces: Column, prefixes=V.USER_PREFIXES) -> Column:
+    """Texts of the user among the pieces. Zero-width marks may precede the prefix."""
+    return texts_after(transcript_pieces, prefixes, V.ZERO_WIDTH_CLASS)
+
+
+def bot_texts_of(transcript_pieces: Column, prefixes=V.BOT_PREFIXES) -> Column:
+    """Texts of the bot among the pieces."""
+    return texts_after(transcript_pieces, prefixes)
 
 
-def user_texts(transcript_text: Column, prefixes=V.USER_PREFIXES) -> Column:
-    """Texts of the user. White space and zero-width marks may precede the prefix."""
-    lead = f"[{V.WHITESPACE_CLASS}{V.ZERO_WIDTH_CLASS}]*+"
-    return _texts_after(transcript_text, _prefix_pattern(prefixes, lead))
+def user_texts(transcript_text: Column) -> Column:
+    """Texts of the user in a transcript."""
+    return user_texts_of(pieces(transcript_text))
 
 
-def bot_texts(transcript_text: Column, prefixes=V.BOT_PREFIXES) -> Column:
-    """Texts of the bot."""
-    return _texts_after(transcript_text, _prefix_pattern(prefixes))
+def bot_texts(transcript_text: Column) -> Column:
+    """Texts of the bot in a transcript."""
+    return bot_texts_of(pieces(transcript_text))
 
 
 def _one_line(texts: Column) -> Column:
@@ -130,9 +140,9 @@ def _one_line(texts: Column) -> Column:
 
 def user_text(transcript_text: Column, prefixes=V.USER_PREFIXES) -> Column:
     """All user texts of a transcript as one line."""
-    return _one_line(_texts_after(transcript_text, _prefix_pattern(prefixes)))
+    return _one_line(texts_after(pieces(transcript_text), prefixes))
 
 
 def bot_text(transcript_text: Column, prefixes=V.BOT_PREFIXES) -> Column:
     """All bot texts of a transcript as one line."""
-    return _one_line(_texts_after(transcript_text, _prefix_pattern(prefixes)))
+    return _one_line(texts_after(pieces(transcript_text), prefixes))

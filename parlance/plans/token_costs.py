@@ -32,8 +32,7 @@ def read_maps(items: DataFrame) -> DataFrame:
 def count_tokens(value: Column) -> Column:
     """Tokens of a message map, plain or enveloped."""
     opened = field(value, "M")
-    enveloped = tk.entry_tokens(tk.message_entries(opened, enveloped=True), tk.has_usual_key(opened))
-    return F.when(as_map(opened).isNotNull(), enveloped).otherwise(tk.map_tokens(value))
+    return F.when(as_map(opened).isNotNull(), tk.map_tokens(opened, enveloped=True)).otherwise(tk.map_tokens(value))
 
 
 def priced_items(

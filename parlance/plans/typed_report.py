@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parlance import fixed_values as V
 from parlance.functions import convert, tokens as tk
-from parlance.functions.transcript import bot_texts, user_texts
+from parlance.functions.transcript import bot_texts_of, pieces, user_texts_of
 
 _CONVERSIONS = {
     "date": convert.parse_date,
@@ -40,10 +40,11 @@ def token_columns(df: DataFrame, source: str = "conversacion_completa") -> DataF
     if source not in df.columns:
         none = F.lit(None).cast("int")
         return df.withColumns({"token_pregunta": none, "token_respuesta": none})
-    return df.withColumns({
-        "token_pregunta": tk.estimated_tokens_of_all(user_texts(F.col(source))),
-        "token_respuesta": tk.estimated_tokens_of_all(bot_texts(F.col(source))),
-    })
+    # Both counts read the same pieces, which are cut once.
+    return df.withColumn("_pieces", pieces(F.col(source))).withColumns({
+        "token_pregunta": tk.estimated_tokens_of_all(user_texts_of(F.col("_pieces"))),
+        "token_respuesta": tk.estimated_tokens_of_all(bot_texts_of(F.col("_pieces"))),
+    }).drop("_pieces")
 
 
 def as_text(report: DataFrame) -> DataFrame:
