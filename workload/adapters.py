@@ -77,7 +77,12 @@ def literal_conversation(conversation_id: Column, turns: Column, exact: bool = F
     return F.concat(F.lit("["), F.array_join(messages, ", "), F.lit("]"))
 
 
-def _conversation_cell(conversation_id: Column, turns: Column) -> Column:
+ENVELOPE, PLAIN, LITERAL, WRAPPED = range(4)
+
+
+def conversation_cell(conversation_id: Column, turns: Column, form: Column) -> Column:
+    """Turns as a conversation cell: tagged list, plain JSON, Python literal, or wrapped messages."""
+
     def text_struct(t: Column) -> Column:
         return F.struct(
             F.struct(_speaker(t, conversation_id).alias("S")).alias("from"),
@@ -88,11 +93,10 @@ def _conversation_cell(conversation_id: Column, turns: Column) -> Column:
     plain = F.transform(turns, lambda t: F.struct(
         _speaker(t, conversation_id).alias("from"), t["text"].alias("text")
     ))
-    form = conversation_id % 4
     return (
-        F.when(form == 0, F.to_json(F.struct(wrapped.alias("L"))))
-        .when(form == 1, F.to_json(plain))
-        .when(form == 2, literal_conversation(conversation_id, turns))
+        F.when(form == ENVELOPE, F.to_json(F.struct(wrapped.alias("L"))))
+        .when(form == PLAIN, F.to_json(plain))
+        .when(form == LITERAL, literal_conversation(conversation_id, turns))
         .otherwise(F.to_json(wrapped))
     )
 
@@ -154,8 +158,12 @@ def feedback_cell(doc: Column, quality: Column, toxic: Column) -> Column:
     return F.when(doc % 5 == 0, enveloped()).when(doc % 2 == 0, rendered("'")).otherwise(rendered('"'))
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item table: conversations, labels as feedback, and profile and registration rows."""
+def items(spark: SparkSession, sf_dir: str, form: int | None = None) -> DataFrame:
+    """Item table: conversations, labels as feedback, and profile and registration rows.
+
+    ``form`` gives every conversation cell the same form; otherwise they alternate.
+    """
+    cell_form = F.col("conv_id") % 4 if form is None else F.lit(form)
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user"), "c_name")
     conversations = table(spark, sf_dir, "conversations")
     labels = table(spark, sf_dir, "labels")
@@ -173,7 +181,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("SK"),
             _profile_cell(F.col("user"), F.col("c_name")).alias("UserData"),
             _created_at(F.col("conv_id")).alias("CreatedAt"),
-            _conversation_cell(F.col("conv_id"), F.col("turns")).alias("Conversation"),
+            conversation_cell(F.col("conv_id"), F.col("turns"), cell_form).alias("Conversation"),
             none.alias("Feedback"),
         )
     )

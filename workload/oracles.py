@@ -220,7 +220,7 @@ tokens AS (
 
 _EVENTS = """
 event_time AS (
-  SELECT event_id, CASE WHEN event_type = 'error' THEN 'bad' WHEN value < 1 THEN 'none' ELSE 'ok' END AS clock, epoch_us(ts) // 1000 AS ms
+  SELECT event_id, CASE WHEN event_type = 'error' THEN 'bad' WHEN value < 1 THEN 'none' WHEN value > 100 THEN 'error' ELSE 'ok' END AS clock, epoch_us(ts) // 1000 AS ms
   FROM events
 )"""
 
@@ -232,6 +232,18 @@ def _with(*parts: str) -> str:
 _REPORT = _with(_LINES, _PROFILES, _FEEDBACK, _ROWS, _USER_REPORT)
 _TYPED_REPORT = _with(_LINES, _PROFILES, _FEEDBACK, _ROWS, _USER_REPORT, _TYPED)
 _TALKS = _with(_LINES)
+# The rows with the stored conversation text, and without an end of the dates.
+_RAW_ROWS = _with(_LINES, _PROFILES, _FEEDBACK, _ROWS, _ROWS.replace("kept AS", "kept_open AS").replace(
+    f"BETWEEN DATE '{V.REPORT_START}' AND DATE '{AS_OF}'", f">= DATE '{V.REPORT_START}'"
+).split("),\n", 1)[1], f"""
+raw_talk AS (
+  SELECT SK, to_json(list(struct_pack("from" := speaker, "text" := text) ORDER BY turn))::VARCHAR AS raw,
+         coalesce(string_agg(trim(text, {_WS}), ' | ' ORDER BY turn) FILTER (WHERE speaker = 'user' AND trim(text, {_WS}) <> ''), '') AS raw_q
+  FROM (SELECT *, 'CONVERSATION#' || lpad(conv_id::VARCHAR, 10, '0') || '#' || lpad(part::VARCHAR, 6, '0') AS SK,
+               CASE WHEN role = 'user' AND conv_id % 2 = 1 THEN 'USUARIO'
+                    WHEN role = 'assistant' AND conv_id % 2 = 1 THEN 'Bot' ELSE role END AS speaker FROM line)
+  GROUP BY SK
+)""")
 _ALL_ROWS = _with(_LINES, _PROFILES, _FEEDBACK, _ROWS)
 _TOKENS = _with(_MESSAGES)
 _SPLIT_ANSWERS = "SELECT unnest(string_split(respuesta_feedback, ' | ')) AS respuesta FROM report WHERE respuesta_feedback <> ''"
@@ -331,6 +343,18 @@ ORACLES: dict[str, str] = {
         FROM kept""",
     "user_report": _REPORT + f"SELECT {_REPORT_COLUMNS} FROM report",
     "user_report_by_rollup": _REPORT + f"SELECT {_REPORT_COLUMNS} FROM report",
+    "raw_user_report": _RAW_ROWS + f"""
+        SELECT u::VARCHAR AS usuario_id, any_value(coalesce(nullif(raw_name, ''), '{V.ANONYMOUS_NAME}')) AS nombre,
+               any_value(area) AS gerencia, any_value(area) AS ciudad, first(fecha ORDER BY o, SK) AS fecha_primera_conversacion,
+               sum(CASE WHEN raw IS NULL THEN 1 ELSE greatest({_count('raw', 'bot')}, {_count('raw', 'user')}) END)::BIGINT AS numero_conversaciones,
+               coalesce(string_agg(raw, ' | ' ORDER BY o, SK), '') AS conversacion_completa,
+               coalesce(string_agg(f, ' | ' ORDER BY o, SK) FILTER (WHERE f <> ''), '') AS feedback_total,
+               sum(fn)::BIGINT AS numero_feedback,
+               coalesce(string_agg(raw_q, ' | ' ORDER BY o, SK) FILTER (WHERE raw_q <> ''), '') AS pregunta_conversacion,
+               CASE WHEN count(DISTINCT nullif(class, '')) > 1 THEN 'mixed' ELSE coalesce(max(nullif(class, '')), '') END AS feedback,
+               concat_ws(' | ', max(comment), CASE WHEN bool_or(has_own) THEN 'd''accord' END, max(option)) AS respuesta_feedback
+        FROM (SELECT k.*, raw, raw_q, raw_name, coalesce(nullif(raw_area, ''), '{V.UNSPECIFIED_AREA}') AS area
+              FROM kept_open AS k JOIN (SELECT u, raw_name, raw_area FROM profile) USING (u) LEFT JOIN raw_talk USING (SK)) GROUP BY u""",
     "first_real_value": _with(_PROFILES) + f"""
         SELECT u::VARCHAR AS usuario_id, coalesce(nullif(nombre, ''), '{V.ANONYMOUS_NAME}') AS nombre,
                coalesce(nullif(ciudad, ''), '{V.UNSPECIFIED_AREA}') AS gerencia FROM profile""",
@@ -350,12 +374,24 @@ ORACLES: dict[str, str] = {
         SELECT PK, SK, created AS CreatedAt, own AS Feedback FROM rws
         UNION ALL SELECT PK, SK, NULL, raw_f FROM fb
         UNION ALL SELECT PK, 'Register#1', NULL, NULL FROM profile""",
+    "message_export_round_trip": _TOKENS + """
+        SELECT pk AS PK, sk AS SK, CASE clock WHEN 'bad' THEN 'sin fecha' WHEN 'ok' THEN ms::VARCHAR END AS CreateTime,
+               stored AS TotalPrice FROM item""",
+    "items_csv_round_trip": _RAW_ROWS + """
+        SELECT rws.PK, rws.SK, created AS CreatedAt, raw AS Conversation, own AS Feedback FROM rws LEFT JOIN raw_talk USING (SK)
+        UNION ALL SELECT PK, SK, NULL, NULL, raw_f FROM fb
+        UNION ALL SELECT PK, 'Register#1', NULL, NULL, NULL FROM profile""",
     "csv_round_trip": _REPORT + "SELECT " + ", ".join(
         f"nullif({c}::VARCHAR, '') AS {c}" for c in V.REPORT_COLUMNS
     ) + " FROM report",
     "token_csv_round_trip": _TOKENS + "SELECT * REPLACE (nullif(create_date, '') AS create_date) FROM tokens",
     "typed_report": _TYPED_REPORT + _TYPED_SELECT,
     "catalog_table": _TYPED_REPORT + _TYPED_SELECT,
+    "catalog_columns": _columns_as_rows(
+        _TYPED_COLUMNS,
+        "SELECT 'parlance_typed_report' AS table_name, '{name}' AS column_name, '{kind}' AS data_type, "
+        "true AS is_nullable, {i} AS ordinal_position",
+    ),
     "arrival_refresh": _TYPED_REPORT + _TYPED_SELECT,
     "parquet_check": _REPORT + _columns_as_rows(
         _TYPED_COLUMNS,
@@ -398,6 +434,9 @@ ORACLES: dict[str, str] = {
     "message_map_tokens": _TOKENS + "SELECT sk AS SK, i AS input_token, o AS output_token FROM item WHERE conv_id IS NOT NULL",
     "enveloped_map_tokens": _TOKENS + """
         SELECT conv_id, part, i AS input_token, o AS output_token FROM item WHERE conv_id IS NOT NULL""",
+    "typed_envelope": """
+        SELECT conv_id, turn // 64 AS part, CASE WHEN role = 'user' AND conv_id % 2 = 1 THEN 'USUARIO'
+               WHEN role = 'assistant' AND conv_id % 2 = 1 THEN 'Bot' ELSE role END AS de, text AS texto FROM conversations""",
     "token_repair": _TOKENS + """
         SELECT CASE WHEN conv_id IS NULL THEN 'missing' WHEN conv_id % 17 IN (0, 2) THEN 'repaired'
                     WHEN conv_id % 17 = 1 THEN 'cut' ELSE 'valid' END AS parse_status, count(*) AS n FROM item GROUP BY 1""",
@@ -408,16 +447,16 @@ ORACLES: dict[str, str] = {
     "epoch_filter": _with(_EVENTS) + f"""
         SELECT event_id FROM event_time WHERE clock <> 'ok' OR ms BETWEEN {EVENT_FIRST_MS} AND {EVENT_LAST_MS}""",
     "epoch_label": _with(_EVENTS) + f"""
-        SELECT event_id, CASE clock WHEN 'bad' THEN '{V.INVALID_DATE}' WHEN 'none' THEN ''
+        SELECT event_id, CASE clock WHEN 'bad' THEN '{V.INVALID_DATE}' WHEN 'none' THEN '' WHEN 'error' THEN '{V.ERROR_DATE}'
                ELSE strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') END AS create_date FROM event_time""",
     "run_counters": _TOKENS + f"""
         SELECT count(*) FILTER (WHERE clock <> 'ok' OR ms BETWEEN {FIRST_MS} AND {LAST_MS}) AS processed_count,
                count(*) FILTER (WHERE clock = 'ok' AND ms NOT BETWEEN {FIRST_MS} AND {LAST_MS}) AS filtered_count,
                0::BIGINT AS error_count FROM item""",
     "event_counters": _with(_EVENTS) + f"""
-        SELECT count(*) FILTER (WHERE clock <> 'ok' OR ms BETWEEN {EVENT_FIRST_MS} AND {EVENT_LAST_MS}) AS processed_count,
+        SELECT count(*) FILTER (WHERE clock IN ('bad', 'none') OR clock = 'ok' AND ms BETWEEN {EVENT_FIRST_MS} AND {EVENT_LAST_MS}) AS processed_count,
                count(*) FILTER (WHERE clock = 'ok' AND ms NOT BETWEEN {EVENT_FIRST_MS} AND {EVENT_LAST_MS}) AS filtered_count,
-               0::BIGINT AS error_count FROM event_time""",
+               count(*) FILTER (WHERE clock = 'error') AS error_count FROM event_time""",
     "token_view": _TOKENS + """
         SELECT create_date, input_token AS "token pregunta", output_token AS "token respuesta",
                input_token + output_token AS "total tokens", precio_token_input AS "precio total pregunta",
@@ -486,6 +525,11 @@ ORACLES: dict[str, str] = {
         SELECT usuario_id, CASE WHEN length(pregunta_conversacion) > 100 THEN left(pregunta_conversacion, 100) || '...'
                                 ELSE pregunta_conversacion END AS vista
         FROM report WHERE pregunta_conversacion <> '' ORDER BY usuario_id LIMIT 5""",
+    "answer_examples": _REPORT + """
+        SELECT clase, usuario_id, respuesta_feedback
+        FROM (SELECT *, CASE WHEN contains(respuesta_feedback, '|') THEN 'multiple' ELSE 'simple' END AS clase
+              FROM report WHERE respuesta_feedback <> '')
+        QUALIFY row_number() OVER (PARTITION BY clase ORDER BY usuario_id) <= 3""",
     "examples_per_class": _REPORT + """
         SELECT feedback, usuario_id FROM report WHERE feedback <> ''
         QUALIFY row_number() OVER (PARTITION BY feedback ORDER BY usuario_id) <= 2""",

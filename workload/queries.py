@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from parlance import fixed_values as V, schemas
 from parlance.functions import convert, feedback as fb, text as tx, tokens as tk, transcript as tr
+from parlance.functions.envelope import unwrap
 from parlance.functions.literal import read_json
 from parlance.functions.profile import parse_profile
 from parlance.functions.questions import implied_question, user_questions
@@ -17,7 +18,7 @@ from parlance.operators.contract import enforce_columns
 from parlance.operators.feedback_join import join_last_feedback
 from parlance.operators.parts import DEFAULT_PART_BYTES
 from parlance.operators.rollup import ORDER, first_real, ordered_concat
-from parlance.plans import token_costs as tc, typed_report as ty, user_report as ur
+from parlance.plans import raw_report as raw, token_costs as tc, typed_report as ty, user_report as ur
 from parlance.session import new_folder
 from parlance.sources import catalog, readers, writers
 from parlance.streaming import refresh
@@ -266,6 +267,12 @@ def user_report_by_rollup(spark, sf):
     return ur.rollup_conversations(rows)
 
 
+@query
+def raw_user_report(spark, sf):
+    items = it.unwrap_items(ad.items(spark, sf, form=ad.PLAIN), ("Feedback",))
+    return raw.raw_user_report(items)
+
+
 @query
 def first_real_value(spark, sf):
     rows = ur.profile_and_dates(_report_rows(spark, sf)).withColumn("is_other", ~it.is_conversation())
@@ -305,6 +312,19 @@ def export_round_trip(spark, sf):
     return readers.read_items(spark, path).select("PK", "SK", "CreatedAt", "Feedback")
 
 
+@query
+def message_export_round_trip(spark, sf):
+    path = writers.write_json(ad.message_items(spark, sf), new_folder(spark, "messages"))
+    return readers.read_message_items(spark, path).select("PK", "SK", "CreateTime", "TotalPrice")
+
+
+@query
+def items_csv_round_trip(spark, sf):
+    items = ad.items(spark, sf, form=ad.PLAIN)
+    path = writers.write_csv(items, new_folder(spark, "dump"))
+    return readers.read_items_csv(spark, path).select("PK", "SK", "CreatedAt", "Conversation", "Feedback")
+
+
 @query
 def csv_round_trip(spark, sf):
     path = writers.write_csv(_report(spark, sf), new_folder(spark, "report"))
@@ -335,6 +355,13 @@ def catalog_table(spark, sf):
     return catalog.register_table(spark, "parlance_user_report", path)
 
 
+@query
+def catalog_columns(spark, sf):
+    path = writers.write_parquet(ty.typed_report(ty.as_text(_report(spark, sf))), new_folder(spark, "typed"))
+    catalog.register_table(spark, "parlance_typed_report", path)
+    return catalog.column_listing(spark).where(F.col("table_name") == "parlance_typed_report")
+
+
 @query
 def arrival_refresh(spark, sf):
     landing = writers.write_csv(_report(spark, sf), new_folder(spark, "landing"))
@@ -459,6 +486,17 @@ def enveloped_map_tokens(spark, sf):
     return maps.select("conv_id", "part", tc.count_tokens(F.col("m")).alias("t")).select("conv_id", "part", "t.*")
 
 
+@query
+def typed_envelope(spark, sf):
+    turns = ad.grouped_turns(ad.table(spark, sf, "conversations"))
+    cell = ad.conversation_cell(F.col("conv_id"), F.col("turns"), F.lit(ad.ENVELOPE))
+    message = T.StructType([T.StructField("from", T.StringType()), T.StructField("text", T.StringType())])
+    opened = turns.select("conv_id", "part", unwrap(read_json(cell), T.ArrayType(message)).alias("mensajes"))
+    return opened.select("conv_id", "part", F.inline("mensajes")).select(
+        "conv_id", "part", F.col("from").alias("de"), F.col("text").alias("texto")
+    )
+
+
 @query
 def token_repair(spark, sf):
     return tc.read_maps(ad.message_items(spark, sf)).groupBy("parse_status").agg(F.count(F.lit(1)).alias("n"))
@@ -480,7 +518,13 @@ def token_prices(spark, sf):
 
 def _event_times(spark, sf):
     ms = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")).cast("string")
-    time = F.when(F.col("event_type") == "error", F.lit("sin hora")).when(F.col("value") < 1, F.lit(None)).otherwise(ms)
+    # Among the times: unreadable ones, missing ones, and some beyond any clock.
+    time = (
+        F.when(F.col("event_type") == "error", F.lit("sin hora"))
+        .when(F.col("value") < 1, F.lit(None))
+        .when(F.col("value") > 100, F.concat(ms, ms))
+        .otherwise(ms)
+    )
     return ad.table(spark, sf, "events").select("event_id", time.alias("CreateTime"))
 
 
@@ -636,6 +680,13 @@ def first_examples(spark, sf):
     )
 
 
+@query
+def answer_examples(spark, sf):
+    report = _report(spark, sf).where(F.col("respuesta_feedback") != "")
+    kind = F.when(tx.has_many(F.col("respuesta_feedback")), "multiple").otherwise("simple")
+    return rp.rows_per_class(report.withColumn("clase", kind), "clase", 3).select("clase", "usuario_id", "respuesta_feedback")
+
+
 @query
 def examples_per_class(spark, sf):
     report = _report(spark, sf).where(F.col("feedback") != "")
