@@ -73,22 +73,34 @@ def only_with(text: Column, guard: Column, domain=V.FEEDBACK_CLASSES) -> Column:
     return F.when(in_domain(guard, domain).isNotNull(), text.cast("string"))
 
 
+def _whole_number(text: Column) -> Column:
+    # The pattern comes first: a failing cast costs far more than a match.
+    return F.when(text.rlike(r"^[+-]?\d{1,18}$"), text.cast("bigint"))
+
+
 def epoch_ms(raw: Column) -> Column:
     """Epoch milliseconds -> bigint; null unless it is a time in the years 1 to 9999."""
-    number = strip(raw.cast("string")).try_cast("bigint")
-    return bind(number, lambda n: F.when(n.between(_FIRST_MS, _LAST_MS) & (n != 0), n))
+    return bind(
+        _whole_number(strip(raw.cast("string"))),
+        lambda n: F.when(n.between(_FIRST_MS, _LAST_MS) & (n != 0), n),
+    )
 
 
 def epoch_status(raw: Column) -> Column:
     """``missing`` (or zero), ``invalid``, ``error`` (beyond any clock) or ``ok``."""
-    text = strip(raw.cast("string"))
+    return bind(strip(raw.cast("string")), lambda text: bind(_whole_number(text), lambda n: _status(text, n)))
+
+
+def _status(text: Column, number: Column) -> Column:
     # Only whole numbers too long for a bigint need the decimal.
-    long_number = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("decimal(38,0)"))
-    beyond = F.coalesce(F.abs(long_number) >= F.lit(Decimal(_CLOCK_SECONDS * 1000)), text.rlike(r"^[+-]?\d+$"))
+    beyond = F.coalesce(
+        F.abs(text.try_cast("decimal(38,0)")) >= F.lit(Decimal(_CLOCK_SECONDS * 1000)), F.lit(True)
+    )
     return (
-        F.when(text.isNull() | (text == "") | (text.try_cast("bigint") == 0), "missing")
-        .when(epoch_ms(raw).isNotNull(), "ok")
-        .when(text.try_cast("bigint").isNull() & beyond, "error")
+        F.when(F.coalesce(text, F.lit("")) == "", "missing")
+        .when(number == 0, "missing")
+        .when(number.between(_FIRST_MS, _LAST_MS), "ok")
+        .when(number.isNull() & text.rlike(r"^[+-]?\d+$") & beyond, "error")
         .otherwise("invalid")
     )
 
@@ -96,10 +108,10 @@ def epoch_status(raw: Column) -> Column:
 def epoch_label(raw: Column) -> Column:
     """Epoch milliseconds -> ``yyyy-MM-dd HH:mm:ss`` text in UTC."""
     moment = F.timestamp_add("MILLISECOND", epoch_ms(raw), F.lit("1970-01-01").cast("timestamp_ntz"))
-    label = F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
-    status = epoch_status(raw)
-    return F.coalesce(label, F.when(status == "missing", F.lit("")).when(status == "error", F.lit(V.ERROR_DATE))
-                      .otherwise(F.lit(V.INVALID_DATE)))
+    without_time = bind(epoch_status(raw), lambda status: F.when(status == "missing", "").when(
+        status == "error", V.ERROR_DATE
+    ).otherwise(V.INVALID_DATE))
+    return F.coalesce(F.date_format(moment, "yyyy-MM-dd HH:mm:ss"), without_time)
 
 
 def token_price(tokens: Column, rate: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from parlance import fixed_values as V
 from parlance.functions.envelope import unwrap_text
-from parlance.functions.literal import as_list, as_map, field, field_text, read_json, read_literal
+from parlance.functions.literal import as_list, as_map, field, field_text, read_json, read_value
 from parlance.functions.text import bind, is_blank, occurrences, split_on, strip
 
 _S = f"[{V.WHITESPACE_CLASS}]"
@@ -53,7 +53,7 @@ def feedback_class(feedback: Column) -> Column:
     """``like``, ``dislike``, ``mixed`` or ``''``."""
     text = strip(feedback)
     types = F.concat(_values_of(text, "type", "'"), _values_of(text, "type", '"'))
-    value = F.when(_is_list(text) | _is_object(text), F.coalesce(read_json(text), read_literal(text)))
+    value = F.when(_is_list(text) | _is_object(text), read_value(text))
     objects = bind(value, lambda v: F.coalesce(as_list(v), F.when(as_map(v).isNotNull(), F.array(v))))
     read_types = F.transform(objects, lambda o: field_text(o, "type"))
     return F.when(is_blank(feedback), F.lit("")).otherwise(
@@ -80,7 +80,7 @@ def feedback_answers(feedback: Column, mixed_quotes: bool = True) -> Column:
 
     quoted = useful(F.concat(*found("comment"), *found("option")))
     parts = F.filter(F.transform(split_on(text, "|"), strip), _is_object)
-    objects = F.transform(parts, lambda p: F.coalesce(read_json(p), read_literal(p)))
+    objects = F.transform(parts, lambda p: read_value(p))
     members = F.flatten(
         F.transform(objects, lambda o: F.filter(
             F.array(field_text(o, "comment"), field_text(o, "option")), lambda v: v.isNotNull()

@@ -77,7 +77,10 @@ def read_literal(text: Column) -> Column:
 
 def read_value(text: Column) -> Column:
     """JSON text, or else Python-literal text -> VARIANT."""
-    return F.coalesce(read_json(text), read_literal(text))
+    # A single quote right after the brackets cannot be JSON. Not trying it
+    # saves the failed parse on data written as literals.
+    quoted = F.left(text, F.lit(8)).rlike(r"^[\[{\s]*+'")
+    return F.coalesce(F.when(~quoted, read_json(text)), read_literal(text))
 
 
 def as_list(value: Column) -> Column:

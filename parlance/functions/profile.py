@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from parlance.functions.literal import as_map, field, is_string, read_json, read_literal
+from parlance.functions.literal import as_map, field, is_string, read_value
 from parlance.functions.text import bind, is_blank, strip
 
 
@@ -15,7 +15,7 @@ def parse_profile(user_data: Column, clean: bool = True) -> Column:
     strips both and cuts the area at an opening parenthesis.
     """
     text = F.when(~is_blank(user_data), strip(user_data))
-    value = F.coalesce(read_json(text), read_literal(text))
+    value = read_value(text)
     members = bind(value, lambda v: F.when(as_map(v).isNotNull(), F.coalesce(field(v, "M"), v)))
 
     def member(profile: Column, name: str) -> Column:

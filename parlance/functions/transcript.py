@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from parlance import fixed_values as V
-from parlance.functions.literal import as_list, as_map, field, field_text, is_string, read_json, read_literal
+from parlance.functions.literal import as_list, as_map, field, field_text, is_string, read_literal, read_value
 from parlance.functions.text import bind, split_on, strip
 
 
@@ -36,7 +36,7 @@ def parse_messages(conversation: Column) -> Column:
 
 def _messages_of(text: Column) -> Column:
     structured = _wrapped_in(text, "[", "]") | _wrapped_in(text, "{", "}")
-    value = F.when(structured, F.coalesce(read_json(text), read_literal(text)))
+    value = F.when(structured, read_value(text))
     elements = bind(value, lambda v: F.coalesce(
         as_list(v), as_list(field(v, "L")), F.when(as_map(v).isNotNull(), F.array(v))
     ))
@@ -85,7 +85,7 @@ def _speaker_texts(value: Column, speaker: str) -> Column:
 def json_questions(conversation: Column) -> Column:
     """Texts of the messages whose speaker is exactly ``user``, in order, repeats kept."""
     text = strip(conversation)
-    value = F.when(_wrapped_in(text, "[", "]"), F.coalesce(read_json(text), read_literal(text)))
+    value = F.when(_wrapped_in(text, "[", "]"), read_value(text))
     return F.coalesce(F.array_join(_speaker_texts(value, "user"), V.PART_SEPARATOR), F.lit(""))
 
 

@@ -15,10 +15,10 @@ MONEY = "decimal(24,6)"
 
 def item_status(first_ms: int, last_ms: int) -> Column:
     """``processed``, ``filtered`` (outside the dates) or ``error`` (unusable time)."""
-    status = convert.epoch_status(F.col("CreateTime"))
+    time = F.col("CreateTime")
     return (
-        F.when(status == "error", "error")
-        .when(~in_epoch_range(F.col("CreateTime"), first_ms, last_ms), "filtered")
+        F.when(~in_epoch_range(time, first_ms, last_ms), "filtered")
+        .when(convert.epoch_ms(time).isNull() & (convert.epoch_status(time) == "error"), "error")
         .otherwise("processed")
     )
 
@@ -152,9 +152,9 @@ def token_totals(tokens: DataFrame, input_rate=V.INPUT_RATE, output_rate=V.OUTPU
 
 def run_counters(items: DataFrame, first_ms: int, last_ms: int) -> DataFrame:
     """``processed_count, filtered_count, error_count`` of a run, from the time column alone."""
-    status = item_status(first_ms, last_ms)
-    return items.agg(*[
-        F.count_if(status == word).alias(f"{word}_count") for word in ("processed", "filtered", "error")
+    statuses = items.select(item_status(first_ms, last_ms).alias("status"))
+    return statuses.agg(*[
+        F.count_if(F.col("status") == word).alias(f"{word}_count") for word in ("processed", "filtered", "error")
     ])
 
 
