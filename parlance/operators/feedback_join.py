@@ -23,18 +23,36 @@ def last_feedback(items: DataFrame, *carried: str) -> DataFrame:
     )
 
 
-def join_last_feedback(items: DataFrame) -> DataFrame:
-    """Conversation and other rows; conversations carry the last feedback of their key.
+def report_rows(items: DataFrame) -> DataFrame:
+    """Conversation and other rows with ``usuario_id`` and ``is_other``; feedback rows are left out.
 
-    Users with nothing but feedback disappear. ``is_other`` marks rows that are
-    no conversation; they keep their own feedback and come last in order.
+    A row marked both as conversation and as feedback is a conversation here,
+    and a feedback for :func:`last_feedback`.
     """
-    rows = items.where(is_conversation() | ~is_feedback()).withColumns(
+    return items.where(is_conversation() | ~is_feedback()).withColumns(
         {"usuario_id": user_id(F.col("PK")), "is_other": ~is_conversation()}
     )
-    joined = rows.join(last_feedback(items), "usuario_id", "left")
+
+
+def apply_last_feedback(rows: DataFrame, feedback: DataFrame) -> DataFrame:
+    """Put the last feedback of the key on the conversations; other rows keep their own.
+
+    The join key is the user id, the key a rollup groups by as well. A busy
+    user's rows may be split by the engine's skew handling, since the feedback
+    side holds one row per user.
+    """
+    joined = rows.join(feedback, "usuario_id", "left")
     winner = F.try_element_at("last_feedback", F.col("PK"))
     return joined.withColumn(
         "Feedback",
         F.when(winner.isNotNull() & ~F.col("is_other"), winner["Feedback"]).otherwise(F.col("Feedback")),
     ).drop("last_feedback")
+
+
+def join_last_feedback(items: DataFrame) -> DataFrame:
+    """Conversation and other rows; conversations carry the last feedback of their key.
+
+    Users with nothing but feedback disappear. ``is_other`` marks rows that are
+    no conversation; they keep their own feedback and come last in order.
+    """
+    return apply_last_feedback(report_rows(items), last_feedback(items))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from parlance import fixed_values as V
 from parlance.functions import convert, feedback as fb, text as tx
 from parlance.functions.transcript import json_questions
-from parlance.operators.feedback_join import join_last_feedback
+from parlance.operators.feedback_join import apply_last_feedback, last_feedback, report_rows
 from parlance.operators.items import drop_register
 from parlance.operators.parts import DEFAULT_PART_BYTES, attach_parts, number_parts
 from parlance.operators.rollup import ORDER
@@ -21,9 +21,8 @@ from parlance.plans.user_report import keep_report_rows, rollup_conversations, r
 
 def raw_conversation_rows(items: DataFrame, start: str = V.REPORT_START) -> DataFrame:
     """One row per conversation with the stored text."""
-    rows = keep_report_rows(
-        join_last_feedback(items), start, None, area_default=V.UNSPECIFIED_AREA, clean=False
-    )
+    rows = keep_report_rows(report_rows(items), start, None, area_default=V.UNSPECIFIED_AREA, clean=False)
+    rows = apply_last_feedback(rows.drop("UserData", "CreatedAt"), last_feedback(items))
     rows = rows.withColumn("_flat", fb.flatten_feedback(F.col("Feedback")))
     return rows.select(
         *ORDER, "usuario_id", "nombre", "gerencia", F.col("gerencia").alias("ciudad"),

@@ -10,7 +10,7 @@ from parlance.functions.profile import parse_profile
 from parlance.functions.questions import user_questions
 from parlance.functions.transcript import transcript
 from parlance.operators.contract import enforce_columns
-from parlance.operators.feedback_join import join_last_feedback, last_feedback
+from parlance.operators.feedback_join import apply_last_feedback, last_feedback, report_rows
 from parlance.operators.items import (
     drop_register, exclude_places, in_day_range, is_conversation, is_feedback, unwrap_items, user_id,
 )
@@ -18,6 +18,8 @@ from parlance.operators.parsing import with_fields
 from parlance.operators.parts import DEFAULT_PART_BYTES, attach_parts, number_parts
 from parlance.operators.rollup import ORDER, column_of, first_real, join_written, ordered_rows, user_rollup
 
+RAW_CELLS = ("UserData", "CreatedAt", "Conversation")
+
 
 def profile_and_dates(rows: DataFrame, clean: bool = True) -> DataFrame:
     """Add ``nombre``, ``gerencia`` and ``dia`` from the raw cells."""
@@ -63,10 +65,12 @@ def conversation_report(
     items = drop_register(items)
     parts = number_parts(row_sizes(items), list(ORDER), part_bytes) if part_bytes else None
     items = unwrap_items(items, ("Feedback", "CreatedAt"), list_mode)
-    rows = conversation_texts(keep_report_rows(join_last_feedback(items), **limits))
-    rows = rows.withColumn("_flat", fb.flatten_feedback(F.col("Feedback")))
+    # Filtered and turned into texts first, so the join moves no raw cells.
+    rows = conversation_texts(keep_report_rows(report_rows(items), **limits)).drop(*RAW_CELLS)
     if part_bytes:
         rows = attach_parts(rows, parts, "usuario_id", list(ORDER))
+    rows = apply_last_feedback(rows, last_feedback(items))
+    rows = rows.withColumn("_flat", fb.flatten_feedback(F.col("Feedback")))
     return rows.select(
         *ORDER, *(["parte"] if part_bytes else []),
         "usuario_id", "nombre", "gerencia", F.col("gerencia").alias("ciudad"),
@@ -143,9 +147,7 @@ def user_report(
     parts = number_parts(row_sizes(items), list(ORDER), part_bytes) if part_bytes else None
     items = unwrap_items(items, ("Feedback", "CreatedAt"), list_mode)
 
-    rows = items.where(is_conversation() | ~is_feedback()).withColumns(
-        {"usuario_id": user_id(F.col("PK")), "is_other": ~is_conversation()}
-    ).where(F.col("usuario_id").isNotNull())
+    rows = report_rows(items).where(F.col("usuario_id").isNotNull())
     feedback = last_feedback(
         items.withColumn("cells", _feedback_cells(F.col("Feedback"))), "cells"
     )

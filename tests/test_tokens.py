@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 from parlance import fixed_values as V, schemas
 from parlance.functions import convert as cv, tokens as tk
 from parlance.plans import token_costs as tc
+from parlance.session import new_folder
+from parlance.sources import catalog, writers
 
 FIRST, LAST = 1754265600000, 1757548799999  # 2025-08-04 to 2025-09-10
 
@@ -120,6 +122,15 @@ def test_view(spark):
     assert [r["total tokens"] for r in view.collect()] == [3, 2]
 
 
+def test_stored_view(spark):
+    path = writers.write_parquet(tc.token_table(_items(spark), FIRST, LAST), new_folder(spark, "tokens"))
+    catalog.register_table(spark, V.TOKEN_TABLE_NAME, path)
+    spark.sql(tc.token_view_sql())
+    spark.sql(tc.token_view_sql())  # again: it is replaced
+    assert spark.table(V.TOKEN_VIEW_NAME).count() == 2
+    spark.sql(f"DROP VIEW {V.TOKEN_VIEW_NAME}")
+
+
 def test_maps_are_parsed_once(spark):
     # A filter on the counts must not pull the parsing below itself.
     tokens = tc.token_table(_items(spark), FIRST, LAST).where("input_token > 0")

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from parlance import fixed_values as V
 
 TURNS_PER_ITEM = 64
 USERS_PER = 3  # conversations per user
