@@ -7,7 +7,7 @@ bounded size instead. Nothing is dropped: the parts in order are the whole text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parlance.session import shared_folder
 
@@ -57,6 +57,21 @@ def attach_parts(rows: DataFrame, parts: DataFrame | None, key: str, order: list
     return short.unionByName(long)
 
 
+def with_user_facts(grouped: DataFrame, rows: DataFrame, numbers: DataFrame, facts: list[Column]) -> DataFrame:
+    """Give every part of a long user the facts of the whole user.
+
+    ``grouped`` has one row per ``usuario_id, parte`` with the facts of the part;
+    ``numbers`` lists the ``usuario_id, parte`` of the long users.
+    The facts of the long users are aggregated from the narrow columns of their
+    rows and joined on both keys, which moves none of the grouped text.
+    """
+    whole = rows.join(numbers, "usuario_id", "left_semi").groupBy("usuario_id").agg(*facts)
+    names = [c for c in whole.columns if c != "usuario_id"]
+    per_part = whole.join(numbers, "usuario_id").withColumnsRenamed({c: f"_{c}" for c in names})
+    joined = grouped.join(per_part, ["usuario_id", "parte"], "left")
+    return joined.withColumns({c: F.coalesce(f"_{c}", c) for c in names}).drop(*[f"_{c}" for c in names])
+
+
 def number_groups(sizes: DataFrame, key: str, order: list[str], part_bytes: int) -> DataFrame | None:
     """Part number of every row of the groups with more than ``part_bytes``, or None without any.
 

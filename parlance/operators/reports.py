@@ -1,4 +1,9 @@
-"""Profiles, distributions, KPIs and samples of the user report."""
+"""Profiles, distributions, KPIs and samples of the user report.
+
+The reports count users. A user whose report comes in parts is put together
+from the parts first, on narrow columns; for a report without parts the rows
+are already grouped by user and nothing moves.
+"""
 
 from __future__ import annotations
 
@@ -20,14 +25,33 @@ def _percent(part: Column, whole: Column, places: int) -> Column:
     return F.round(share, places).cast("double")
 
 
+def _per_user(report: DataFrame, key: str = "usuario_id", **columns: Column) -> DataFrame:
+    return report.groupBy(key).agg(*[c.alias(name) for name, c in columns.items()])
+
+
+def _any_filled(name: str) -> Column:
+    return F.max(_filled(name))
+
+
+def _user_class(column: str) -> Column:
+    """Feedback class of a user from the classes of the parts."""
+    value = F.coalesce(F.col(column), F.lit(""))
+    likes, dislikes = F.max(value.isin("like", "mixed")), F.max(value.isin("dislike", "mixed"))
+    return F.when(likes & dislikes, "mixed").when(likes, "like").when(dislikes, "dislike").otherwise("")
+
+
 def run_stats(report: DataFrame) -> DataFrame:
     """Users, conversations, and users with feedback, questions and answers."""
-    return report.agg(
+    users = _per_user(
+        report, n=F.sum("numero_conversaciones"), feedback=_any_filled("feedback"),
+        questions=_any_filled("pregunta_conversacion"), answers=_any_filled("respuesta_feedback"),
+    )
+    return users.agg(
         F.count(F.lit(1)).alias("usuarios_procesados"),
-        F.coalesce(F.sum("numero_conversaciones"), F.lit(0)).cast("bigint").alias("total_conversaciones"),
-        F.count_if(_filled("feedback")).alias("usuarios_con_feedback"),
-        F.count_if(_filled("pregunta_conversacion")).alias("usuarios_con_preguntas"),
-        F.count_if(_filled("respuesta_feedback")).alias("usuarios_con_respuestas"),
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_conversaciones"),
+        F.count_if("feedback").alias("usuarios_con_feedback"),
+        F.count_if("questions").alias("usuarios_con_preguntas"),
+        F.count_if("answers").alias("usuarios_con_respuestas"),
     )
 
 
@@ -57,17 +81,18 @@ def value_distribution(df: DataFrame, column: str, blank_label: str | None = Non
 
 
 def feedback_distribution(report: DataFrame, column: str = "feedback", places: int = 1) -> DataFrame:
-    """``valor, n, pct`` of the feedback classes that occur, in one pass over the report."""
-    tests = {name: F.col(column) == name for name in V.FEEDBACK_CLASSES}
-    tests[V.NO_FEEDBACK] = ~F.coalesce(F.col(column).isin(*V.FEEDBACK_CLASSES), F.lit(False))
-    one = report.agg(
-        F.count(F.lit(1)).alias("_n"), *[F.count_if(test).alias(name) for name, test in tests.items()]
+    """``valor, n, pct``: users per feedback class that occurs, in one pass over the report."""
+    users = _per_user(report, feedback_class=_user_class(column))
+    names = {"": V.NO_FEEDBACK, **{name: name for name in V.FEEDBACK_CLASSES}}
+    one = users.agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col("feedback_class") == name).alias(label) for name, label in names.items()],
     )
     lines = [
         F.struct(
-            F.lit(name).alias("valor"), F.col(name).alias("n"), _percent(F.col(name), F.col("_n"), places).alias("pct")
+            F.lit(label).alias("valor"), F.col(label).alias("n"), _percent(F.col(label), F.col("_n"), places).alias("pct")
         )
-        for name in tests
+        for label in names.values()
     ]
     return one.select(F.inline(F.array(*lines))).where(F.col("n") > 0)
 
@@ -77,12 +102,19 @@ def histogram(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).alias("valor")).agg(F.count(F.lit(1)).alias("n")).orderBy("valor")
 
 
-def conversation_buckets(report: DataFrame, column: str = "numero_conversaciones", edges=(1, 5)) -> DataFrame:
+def feedback_histogram(report: DataFrame) -> DataFrame:
+    """``valor, n``: users per number of feedbacks, in order."""
+    return histogram(_per_user(report, numero_feedback=F.sum("numero_feedback")), "numero_feedback")
+
+
+def conversation_buckets(
+    report: DataFrame, column: str = "numero_conversaciones", edges=(1, 5), key: str = "usuario_id"
+) -> DataFrame:
     """``grupo, n, promedio``: users with 1, 2 to 5, and more conversations, and the mean of all."""
     low, high = edges
-    n = F.col(column)
+    n = F.col("n")
     groups = {f"{low}": n == low, f"{low + 1}-{high}": (n > low) & (n <= high), f"{high + 1}+": n > high}
-    one = report.agg(
+    one = _per_user(report, key, n=F.sum(column)).agg(
         *[F.count_if(test).alias(name) for name, test in groups.items()],
         F.round(F.sum(n).cast(_WHOLE) / F.count(n).cast(_WHOLE), 2).cast("double").alias("promedio"),
     )
@@ -103,8 +135,9 @@ def duplicate_check(df: DataFrame, key: str = "usuario_id") -> DataFrame:
 
 
 def completeness(report: DataFrame, columns=("pregunta_conversacion", "feedback", "respuesta_feedback")) -> DataFrame:
-    """``columna, llenos, pct`` per column."""
-    counts = report.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(_filled(c)).alias(c) for c in columns])
+    """``columna, llenos, pct``: users with a value, per column."""
+    users = _per_user(report, **{c: _any_filled(c) for c in columns})
+    counts = users.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c)).alias(c) for c in columns])
     lines = [
         F.struct(F.lit(c).alias("columna"), F.col(c).alias("llenos"), _percent(F.col(c), F.col("_n"), 1).alias("pct"))
         for c in columns
@@ -113,10 +146,10 @@ def completeness(report: DataFrame, columns=("pregunta_conversacion", "feedback"
 
 
 def answer_pieces(report: DataFrame, column: str = "respuesta_feedback") -> DataFrame:
-    """One row ``respuesta`` per piece of the answer lists."""
+    """``usuario_id, respuesta``: each answer of a user once."""
     return report.where(_filled(column)).select(
-        F.explode(split_on(F.col(column), V.PART_SEPARATOR)).alias("respuesta")
-    )
+        "usuario_id", F.explode(split_on(F.col(column), V.PART_SEPARATOR)).alias("respuesta")
+    ).distinct()
 
 
 def answer_vocabulary(report: DataFrame) -> DataFrame:
@@ -134,38 +167,43 @@ def top_answers(report: DataFrame, k: int = 10) -> DataFrame:
 
 
 def answer_shape(report: DataFrame) -> DataFrame:
-    """Rows with an answer, without one, and with several."""
-    return report.agg(
-        F.count_if(_filled("respuesta_feedback")).alias("con_respuesta"),
-        F.count_if(~_filled("respuesta_feedback")).alias("sin_respuesta"),
-        F.count_if(has_many(F.col("respuesta_feedback"))).alias("con_multiples"),
+    """Users with an answer, without one, and with several."""
+    column = "respuesta_feedback"
+    answer = F.when(_filled(column), F.col(column))
+    # Single answers of different parts make several when they differ.
+    users = _per_user(
+        report, one=_any_filled(column), many=F.max(has_many(F.col(column))) | (F.min(answer) != F.max(answer))
+    )
+    return users.agg(
+        F.count_if("one").alias("con_respuesta"),
+        F.count_if(~F.col("one")).alias("sin_respuesta"),
+        F.count_if("many").alias("con_multiples"),
     )
 
 
 def coherence(report: DataFrame) -> DataFrame:
-    """Rows with an extracted answer against rows with any feedback text."""
-    return report.agg(
-        F.count_if(_filled("respuesta_feedback")).alias("con_respuesta"),
-        F.count_if(_filled("feedback_total")).alias("con_feedback"),
+    """Users with an extracted answer against users with any feedback text."""
+    users = _per_user(report, answer=_any_filled("respuesta_feedback"), feedback=_any_filled("feedback_total"))
+    return users.agg(
+        F.count_if("answer").alias("con_respuesta"), F.count_if("feedback").alias("con_feedback")
     )
 
 
 def validation_report(typed: DataFrame) -> DataFrame:
     """Users, first and last date, mean conversations of the typed report."""
-    return typed.agg(
+    users = _per_user(typed, day=F.max("fecha_primera_conversacion"), n=F.sum("numero_conversaciones"))
+    return users.agg(
         F.count(F.lit(1)).alias("total_usuarios"),
-        F.min("fecha_primera_conversacion").alias("fecha_min"),
-        F.max("fecha_primera_conversacion").alias("fecha_max"),
-        F.avg("numero_conversaciones").alias("promedio_conversaciones"),
+        F.min("day").alias("fecha_min"),
+        F.max("day").alias("fecha_max"),
+        F.avg("n").alias("promedio_conversaciones"),
     )
 
 
 def kpis(report: DataFrame) -> DataFrame:
     """``metrica, valor``: users and conversations, in one scan."""
-    per_user = report.groupBy("usuario_id").agg(F.sum("numero_conversaciones").alias("_conversations"))
-    one = per_user.agg(
-        F.count("usuario_id").alias("users"),
-        F.sum("_conversations").cast("bigint").alias("conversations"),
+    one = _per_user(report, n=F.sum("numero_conversaciones")).agg(
+        F.count("usuario_id").alias("users"), F.sum("n").cast("bigint").alias("conversations")
     )
     return one.select(F.inline(F.array(
         F.struct(F.lit("Total Usuarios").alias("metrica"), F.col("users").alias("valor")),

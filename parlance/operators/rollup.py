@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parlance import fixed_values as V
-from parlance.operators.parts import DEFAULT_PART_BYTES, attach_parts, number_groups
+from parlance.operators.parts import DEFAULT_PART_BYTES, attach_parts, number_groups, with_user_facts
 
 TEXT_COLUMNS = (
     "conversacion_completa", "feedback_total", "pregunta_conversacion", "feedback", "respuesta_feedback",
@@ -78,6 +78,7 @@ def user_rollup(
     ``earliest`` takes the smallest date instead of the first row's date; it
     needs a ``dia`` date column. Rows without a user id are dropped.
     """
+    rows = rows.where(F.col("usuario_id").isNotNull())
     keys = ["usuario_id"] + (["parte"] if "parte" in rows.columns else [])
     order = F.struct(*ORDER)
     area = first_other_than if notebook_areas else (
@@ -87,14 +88,22 @@ def user_rollup(
         day = F.coalesce(F.date_format(F.min("dia"), V.REPORT_DATE_FORMAT), F.lit(V.NO_DATE))
     else:
         day = F.min_by("fecha_primera_conversacion", order)
-    grouped = rows.where(F.col("usuario_id").isNotNull()).groupBy(*keys).agg(
+    facts = [
         first_real(F.col("nombre"), order, V.ANONYMOUS_NAME).alias("nombre"),
         area(F.col("gerencia"), order, area_default).alias("gerencia"),
         area(F.col("ciudad"), order, area_default).alias("ciudad"),
         day.alias("fecha_primera_conversacion"),
+    ]
+    grouped = rows.groupBy(*keys).agg(
+        *facts,
         F.sum("numero_conversaciones").alias("numero_conversaciones"),
         F.sum("numero_feedback").alias("numero_feedback"),
         ordered_rows(*TEXT_COLUMNS).alias("_rows"),
     )
+    if "parte" in keys:
+        # Empty at once when every part number is zero.
+        long = rows.where("parte > 0").select("usuario_id").distinct()
+        numbers = rows.join(long, "usuario_id", "left_semi").select("usuario_id", "parte").distinct()
+        grouped = with_user_facts(grouped, rows, numbers, facts)
     texts = {c: join_written(column_of("_rows", c), separator) for c in TEXT_COLUMNS}
     return grouped.withColumns(texts).select(*[c for c in keys if c == "parte"], *V.REPORT_COLUMNS)

@@ -15,7 +15,7 @@ from parlance.operators.items import (
     drop_register, exclude_places, in_day_range, is_conversation, is_feedback, unwrap_items, user_id,
 )
 from parlance.operators.parsing import with_fields
-from parlance.operators.parts import DEFAULT_PART_BYTES, attach_parts, number_parts
+from parlance.operators.parts import DEFAULT_PART_BYTES, attach_parts, number_parts, with_user_facts
 from parlance.operators.rollup import ORDER, column_of, first_real, join_written, ordered_rows, user_rollup
 
 RAW_CELLS = ("UserData", "CreatedAt", "Conversation")
@@ -109,6 +109,15 @@ def _feedback_cells(cell: Column) -> Column:
     ))
 
 
+def _user_facts() -> list[Column]:
+    order = F.struct(*ORDER)
+    return [
+        first_real(F.col("nombre"), order, V.ANONYMOUS_NAME).alias("nombre"),
+        first_real(F.col("gerencia"), order, V.UNSPECIFIED_AREA, also_default=True).alias("gerencia"),
+        F.min_by("fecha_primera_conversacion", order).alias("fecha_primera_conversacion"),
+    ]
+
+
 def row_sizes(items: DataFrame) -> DataFrame:
     """Keys and byte counts of the items, from lengths alone."""
     is_row = is_conversation() | ~is_feedback()
@@ -159,14 +168,14 @@ def user_report(
     rows = conversation_texts(keep_report_rows(rows, **limits))
     rows = rows.withColumn("own", F.when(F.col("Feedback").isNotNull(), _feedback_cells(F.col("Feedback"))))
 
-    order = F.struct(*ORDER)
     grouped = rows.groupBy(*keys).agg(
-        first_real(F.col("nombre"), order, V.ANONYMOUS_NAME).alias("nombre"),
-        first_real(F.col("gerencia"), order, V.UNSPECIFIED_AREA, also_default=True).alias("gerencia"),
-        F.min_by("fecha_primera_conversacion", order).alias("fecha_primera_conversacion"),
+        *_user_facts(),
         F.sum("numero_conversaciones").cast("bigint").alias("numero_conversaciones"),
         ordered_rows("conversacion_completa", "pregunta_conversacion", "own").alias("_rows"),
     )
+    if parts is not None:
+        numbers = parts.select("usuario_id", "parte").distinct()
+        grouped = with_user_facts(grouped, rows, numbers, _user_facts())
     joined = grouped.join(feedback, keys, "left")
 
     def cells_of(row: Column) -> Column:

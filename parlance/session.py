@@ -34,18 +34,29 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        context = spark.sparkContext
-        folder = context.getCheckpointDir()
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="parlance-")
-            context.setCheckpointDir(folder)
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="parlance-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 512 * 1024 * 1024) -> int:
+    """Set the number of shuffle partitions for an input of a known size.
+
+    Adaptive execution merges partitions that turn out small but does not split
+    large ones, so the number has to follow the data: 100 TB in partitions of
+    512 MB make about 190,000. Never fewer than the cluster has cores.
+    """
+    wanted = max(spark.sparkContext.defaultParallelism, -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

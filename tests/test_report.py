@@ -8,7 +8,7 @@ from parlance.operators import items as it, reports as rp, rollup as ro
 from parlance.operators.contract import column_differences, enforce_columns
 from parlance.operators.feedback_join import join_last_feedback
 from parlance.operators.parts import number_parts, running_total
-from parlance.plans import user_report as ur
+from parlance.plans import typed_report as ty, user_report as ur
 
 
 def _items(spark, rows):
@@ -103,8 +103,22 @@ def test_long_users_come_in_parts(spark, part_bytes):
             assert " || ".join(r[column] for r in rows if r[column]) == one[column]
         for column in ("numero_conversaciones", "numero_feedback"):
             assert sum(r[column] for r in rows) == one[column]
-        first = rows[0]
-        assert first.fecha_primera_conversacion == one.fecha_primera_conversacion
+        for column in ("nombre", "gerencia", "ciudad", "fecha_primera_conversacion"):
+            assert {r[column] for r in rows} == {one[column]}
+
+
+def test_reports_count_users_not_parts(spark):
+    items = _random_items(spark, 8).cache()
+    whole = ur.user_report(items, as_of="2025-08-31", part_bytes=None).cache()
+    parts = ur.user_report(items, as_of="2025-08-31", part_bytes=150).cache()
+    assert parts.count() > whole.count()
+    for report in (
+        rp.run_stats, rp.feedback_distribution, rp.feedback_histogram, rp.conversation_buckets, rp.completeness,
+        rp.answer_vocabulary, rp.top_answers, rp.answer_shape, rp.coherence, rp.kpis,
+    ):
+        assert _rows(report(parts)) == _rows(report(whole)), report.__name__
+    typed = [rp.validation_report(ty.convert_columns(ty.as_text(r))).first() for r in (parts, whole)]
+    assert typed[0] == typed[1]
 
 
 @pytest.mark.parametrize("part_bytes", [100, 700])

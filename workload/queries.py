@@ -617,13 +617,13 @@ def event_distribution(spark, sf):
 
 @query
 def feedback_histogram(spark, sf):
-    return rp.histogram(_report(spark, sf), "numero_feedback")
+    return rp.feedback_histogram(_report(spark, sf))
 
 
 @query
 def conversation_buckets(spark, sf):
     users = ad.table(spark, sf, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("numero_conversaciones"))
-    return rp.conversation_buckets(users)
+    return rp.conversation_buckets(users, key="conv_id")
 
 
 @query
