@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from parlance.functions.literal import as_list, as_map, field, field_text
+from parlance.functions.literal import as_list, as_map, field, field_text, read_json
+from parlance.functions.text import bind, strip
 
 _SETS = ("SS", "BS", "NS")
 
@@ -56,6 +57,18 @@ def unwrap_scalar(value: Column) -> Column:
     )
 
 
+def open_scalar(cell: Column) -> Column:
+    """Cell text -> the text inside a scalar envelope; any other cell stays as it is."""
+    text = strip(cell)
+    value = F.when(F.startswith(text, F.lit("{")), read_json(text))
+
+    def opened(v: Column) -> Column:
+        tagged = field(v, "S").isNotNull() | field(v, "N").isNotNull() | field(v, "NULL").isNotNull()
+        return F.when(tagged, unwrap_text(v)).otherwise(cell)
+
+    return bind(value, opened)
+
+
 def number_kind(text: Column) -> Column:
     """How a number tag is read: ``real`` with a dot, ``integer`` without, else ``text``."""
     return (

@@ -6,10 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parlance import fixed_values as V
 from parlance.functions import convert
-from parlance.functions.envelope import unwrap_text
+from parlance.functions.envelope import open_scalar
 from parlance.functions.feedback import unwrap_feedback
-from parlance.functions.literal import field, read_json
-from parlance.functions.text import strip
 
 
 def _marked(key: Column, mark: str) -> Column:
@@ -59,16 +57,9 @@ def rename_report_columns(df: DataFrame) -> DataFrame:
 
 def unwrap_items(items: DataFrame, columns=("UserData", "Feedback", "CreatedAt"), list_mode: str = "all") -> DataFrame:
     """Unwrap the enveloped cells of the named columns; the conversation keeps its form."""
-
-    def text_of(cell: Column) -> Column:
-        # A scalar envelope becomes its text, any other cell stays.
-        value = F.when(F.startswith(strip(cell), F.lit("{")), read_json(cell))
-        tagged = field(value, "S").isNotNull() | field(value, "N").isNotNull() | field(value, "NULL").isNotNull()
-        return F.when(tagged, unwrap_text(value)).otherwise(cell)
-
     readers = {"Feedback": lambda c: unwrap_feedback(c, list_mode)}
     present = [c for c in columns if c in items.columns]
-    return items.withColumns({c: readers.get(c, text_of)(F.col(c)) for c in present})
+    return items.withColumns({c: readers.get(c, open_scalar)(F.col(c)) for c in present})
 
 
 def is_excluded_place(place: Column, words=V.EXCLUDED_PLACES, whole_words: bool = False) -> Column:

@@ -1,7 +1,9 @@
 from pyspark.sql import functions as F
 
 from parlance import schemas
+from parlance.plans.token_costs import token_table
 from parlance.plans.typed_report import typed_report
+from parlance.plans.user_report import user_report
 from parlance.session import new_folder
 from parlance.sources import catalog, readers, writers
 from parlance.streaming import refresh as rf
@@ -36,6 +38,35 @@ def test_export_formats(spark):
     assert _sorted(as_json) == _sorted(as_parquet) == _sorted(as_csv) == _sorted(items)
 
 
+def test_enveloped_exports(spark, tmp_path):
+    items = tmp_path / "items.json"
+    items.write_text(
+        '{"Item": {"PK": {"S": "USER#1"}, "SK": {"S": "CONVERSATION#1"}, "CreatedAt": {"S": "2025-08-10"}, '
+        '"UserData": {"M": {"nombre": {"S": "Ana"}}}, '
+        '"Conversation": {"L": [{"M": {"from": {"S": "user"}, "text": {"S": "hola"}}}]}}}\n'
+        '{"Item": {"PK": {"S": "USER#1"}, "SK": {"S": "FEEDBACK#1"}, '
+        '"Feedback": {"L": [{"M": {"type": {"S": "like"}}}]}}}\n'
+        '{"Item": {"PK": {"S": "USER#2"}, "SK": {"S": "CONVERSATION#1"}, "CreatedAt": {"NULL": true}, '
+        '"UserData": {"S": "{\\"nombre\\": \\"Eva\\"}"}, "Conversation": {"S": "bot: hola"}}}\n'
+    )
+    report = user_report(readers.read_enveloped_items(spark, str(items)), as_of="2025-08-31")
+    rows = {r.usuario_id: r for r in report.collect()}
+    assert (rows["1"].nombre, rows["1"].conversacion_completa, rows["1"].feedback) == ("Ana", "user: hola", "like")
+    assert (rows["2"].nombre, rows["2"].conversacion_completa) == ("Eva", "bot: hola")
+    assert rows["2"].fecha_primera_conversacion == "Sin fecha"
+    messages = tmp_path / "messages.json"
+    messages.write_text(
+        '{"Item": {"PK": {"S": "a"}, "SK": {"S": "1"}, "CreateTime": {"N": "1754265600000"}, "MessageMap": '
+        '{"M": {"x": {"M": {"role": {"S": "user"}, "content": {"S": "abcdefgh"}}}}}}}\n'
+        '{"Item": {"PK": {"S": "a"}, "SK": {"S": "2"}, "TotalPrice": {"N": "1.5"}}}\n'
+        '{"Item": {"PK": {"S": "a"}, "SK": {"S": "3"}, "MessageMap": {"S": "{\\"x\\": {\\"role\\": \\"bot\\", \\"content\\": \\"abcd\\"}}"}}}\n'
+    )
+    tokens = token_table(readers.read_enveloped_message_items(spark, str(messages)), 0, 2 * 10**12)
+    assert [(r.sk, r.input_token, r.output_token, r.total_price) for r in tokens.orderBy("sk").collect()] == [
+        ("1", 2, 0, 0.000006), ("2", 0, 0, 1.5), ("3", 0, 1, 0.000015),
+    ]
+
+
 def test_overwrite_and_single_file(spark):
     path = new_folder(spark, "out")
     writers.write_parquet(spark.range(100).repartition(5), path)

@@ -374,6 +374,9 @@ ORACLES: dict[str, str] = {
         SELECT PK, SK, created AS CreatedAt, own AS Feedback FROM rws
         UNION ALL SELECT PK, SK, NULL, raw_f FROM fb
         UNION ALL SELECT PK, 'Register#1', NULL, NULL FROM profile""",
+    "enveloped_export": _TALKS + """
+        SELECT PK, SK, CASE WHEN dia IS NOT NULL THEN strftime(dia, '%Y-%m-%d') || 'T10:00:00.000Z' END AS CreatedAt,
+               t AS conversacion_completa FROM talked""",
     "message_export_round_trip": _TOKENS + """
         SELECT pk AS PK, sk AS SK, CASE clock WHEN 'bad' THEN 'sin fecha' WHEN 'ok' THEN ms::VARCHAR END AS CreateTime,
                stored AS TotalPrice FROM item""",

@@ -312,6 +312,19 @@ def export_round_trip(spark, sf):
     return readers.read_items(spark, path).select("PK", "SK", "CreatedAt", "Feedback")
 
 
+@query
+def enveloped_export(spark, sf):
+    items = ad.items(spark, sf, form=ad.ENVELOPE).where(it.is_conversation())
+
+    def tagged(name):
+        return F.when(F.col(name).isNotNull(), F.struct(F.col(name).alias("S"))).alias(name)
+
+    cells = [tagged("PK"), tagged("SK"), tagged("CreatedAt"), F.parse_json("Conversation").alias("Conversation")]
+    path = writers.write_json(items.select(F.struct(*cells).alias("Item")), new_folder(spark, "enveloped"))
+    back = readers.read_enveloped_items(spark, path)
+    return back.select("PK", "SK", "CreatedAt", tr.transcript(F.col("Conversation")).alias("conversacion_completa"))
+
+
 @query
 def message_export_round_trip(spark, sf):
     path = writers.write_json(ad.message_items(spark, sf), new_folder(spark, "messages"))
