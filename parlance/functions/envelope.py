@@ -47,16 +47,22 @@ def unwrap_text(value: Column) -> Column:
 
 def unwrap_scalar(value: Column) -> Column:
     """Scalar envelope -> VARIANT of the natural type (text, integer, real, boolean)."""
-    number = field_text(value, "N")
     return (
         F.when(field(value, "S").isNotNull(), field(value, "S"))
-        .when(number.isNotNull(), F.coalesce(F.try_parse_json(number), number.cast("variant")))
+        .when(field(value, "N").isNotNull(), tagged_number(field_text(value, "N")))
         .when(field(value, "BOOL").isNotNull(), field(value, "BOOL"))
         .when(field(value, "NULL").isNotNull(), F.lit(None).cast("variant"))
         .otherwise(value)
     )
 
 
+def tagged_number(text: Column) -> Column:
+    """Text of a number tag -> VARIANT: real with a dot, else integer, else the text."""
+    real = F.when(F.contains(text, F.lit(".")), text.try_cast("double"))
+    whole = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("decimal(38,0)"))
+    return F.coalesce(real.cast("variant"), whole.cast("variant"), text.cast("variant"))
+
+
 def open_scalar(cell: Column) -> Column:
     """Cell text -> the text inside a scalar envelope; any other cell stays as it is."""
     text = strip(cell)
@@ -69,15 +75,6 @@ def open_scalar(cell: Column) -> Column:
     return bind(value, opened)
 
 
-def number_kind(text: Column) -> Column:
-    """How a number tag is read: ``real`` with a dot, ``integer`` without, else ``text``."""
-    return (
-        F.when(F.contains(text, F.lit(".")) & text.try_cast("double").isNotNull(), F.lit("real"))
-        .when(text.try_cast("bigint").isNotNull(), F.lit("integer"))
-        .when(text.isNotNull(), F.lit("text"))
-    )
-
-
 def collapse_list(items: Column, list_mode: str = "all") -> Column:
     """``first`` keeps the first element of a list (null when empty); ``all`` keeps it whole."""
     if list_mode not in ("first", "all"):

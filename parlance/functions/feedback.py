@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from parlance import fixed_values as V
-from parlance.functions.envelope import unwrap_text
+from parlance.functions.envelope import collapse_list, unwrap_scalar, unwrap_text
 from parlance.functions.literal import as_list, as_map, field, field_text, read_json, read_value
 from parlance.functions.text import bind, is_blank, occurrences, split_on, strip
 
@@ -127,39 +127,26 @@ def _object_text(value: Column) -> Column:
         entries,
         lambda e: F.concat(
             F.lit('"'), e["key"], F.lit('": '),
-            F.coalesce(F.to_json(_scalar_variant(e["value"])), F.lit("null")),
+            F.coalesce(F.to_json(unwrap_scalar(e["value"])), F.lit("null")),
         ),
     )
     return F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}"))
 
 
-def _scalar_variant(value: Column) -> Column:
-    number = field_text(value, "N")
-    return F.coalesce(
-        field(value, "S"),
-        F.try_parse_json(number),
-        field(value, "BOOL"),
-        F.when(field(value, "NULL").isNull(), value),
-    )
-
-
 def unwrap_feedback(feedback: Column, list_mode: str = "all") -> Column:
     """Feedback cell -> feedback text.
 
     An envelope becomes the text of its content; text that is no envelope stays
     as it is. ``list_mode='first'`` keeps only the first entry of a list.
     """
-    if list_mode not in ("first", "all"):
-        raise ValueError(f"list_mode must be 'first' or 'all', not {list_mode!r}")
     text = strip(feedback)
     value = F.when(_is_object(text) | _is_list(text), read_json(text))
 
     def rendered(v: Column) -> Column:
         items = F.coalesce(as_list(field(v, "L")), as_list(v))
         texts = F.transform(items, _object_text)
-        if list_mode == "first":
-            listed, is_listed = F.get(texts, F.lit(0)), items.isNotNull()
-        else:
+        listed, is_listed = collapse_list(texts, list_mode), items.isNotNull()
+        if list_mode == "all":
             listed = F.concat(F.lit("["), F.array_join(texts, ", "), F.lit("]"))
             is_listed = field(v, "L").isNotNull()
         return (

@@ -1,6 +1,8 @@
 from pyspark.sql import functions as F
 
 from parlance import schemas
+from parlance.operators.reports import run_stats
+from parlance.plans import jobs
 from parlance.plans.token_costs import token_table
 from parlance.plans.typed_report import typed_report
 from parlance.plans.user_report import user_report
@@ -94,6 +96,30 @@ def test_verified_write(spark):
     assert [r.coincide for r in wrong.collect()] == [False]
 
 
+def test_jobs(spark, small):
+    from workload import adapters as ad
+
+    csv, typed, tokens = (new_folder(spark, n) for n in ("job-report", "job-typed", "job-tokens"))
+    items = ad.items(spark, small)
+    stats = jobs.report_job(items, csv, "2025-09-10").first()
+    report = user_report(items, as_of="2025-09-10")
+    assert stats.usuarios_procesados == report.count() > 0
+    assert stats == run_stats(report).first()
+    check = jobs.typed_job(spark, csv, typed, "job_report").collect()
+    assert all(r.coincide for r in check) and len(check) == 14
+    assert spark.table("job_report").count() == stats.usuarios_procesados
+    messages = ad.message_items(spark, small)
+    totals = jobs.token_job(messages, tokens, "2025-09-10", table="job_tokens", view="job_view").first()
+    expected = token_table(messages, *jobs.day_range_ms("2025-08-04", "2025-09-10"))
+    assert totals.total_records == totals.processed_count == expected.count() and totals.error_count == 0
+    assert _sorted(spark.table("job_tokens")) == _sorted(expected)
+    assert spark.table("job_view").count() == expected.where("input_token + output_token > 0").count()
+    empty = jobs.token_job(messages.where("false"), tokens, "2025-09-10", table="job_tokens", view="job_view").first()
+    assert empty.total_records == 0
+    assert [r.pk for r in readers.read_csv(spark, f"{tokens}/csv", schemas.TOKEN_TABLE).collect()] == ["sin_datos"]
+    spark.sql("DROP VIEW job_view")
+
+
 def test_catalog(spark):
     path = new_folder(spark, "table")
     writers.write_parquet(spark.range(3), path)

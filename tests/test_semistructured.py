@@ -2,6 +2,8 @@ import ast
 import json
 import random
 
+import pytest
+
 from pyspark.sql import functions as F, types as T
 
 from parlance.functions import envelope as ev, feedback as fb, literal as lt, questions as qs, transcript as tr
@@ -180,7 +182,16 @@ def test_envelopes(evaluate):
 
 def test_scalar_envelopes(evaluate):
     scalar = lambda c: F.to_json(ev.unwrap_scalar(lt.read_json(c)))
-    assert evaluate(scalar, '{"S":"x"}', '{"N":"3"}', '{"N":"2.5"}', '{"N":"abc"}', '{"BOOL":false}', '{"NULL":true}') == [
-        '"x"', "3", "2.5", '"abc"', "false", None,
-    ]
-    assert evaluate(ev.number_kind, "3", "2.5", "abc", None) == ["integer", "real", "text", None]
+    assert evaluate(
+        scalar, '{"S":"x"}', '{"N":"3"}', '{"N":"2.5"}', '{"N":"abc"}', '{"N":"1e5"}', '{"N":"007"}',
+        '{"N":"123456789012345678901234567890"}', '{"BOOL":false}', '{"NULL":true}', '{"other":1}',
+    ) == ['"x"', "3", "2.5", '"abc"', '"1e5"', "7", "123456789012345678901234567890", "false", None, '{"other":1}']
+
+
+def test_collapse_list(evaluate):
+    split = lambda mode: lambda c: F.to_json(F.struct(ev.collapse_list(F.split(c, ","), mode).alias("v")))
+    assert evaluate(split("all"), "a,b") == ['{"v":["a","b"]}']
+    assert evaluate(split("first"), "a,b") == ['{"v":"a"}']
+    assert evaluate(lambda c: ev.collapse_list(F.filter(F.split(c, ","), lambda v: v == "z"), "first"), "a") == [None]
+    with pytest.raises(ValueError):
+        ev.collapse_list(F.col("c"), "last")

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from parlance import fixed_values as V, schemas
 from parlance.functions import convert as cv, tokens as tk
+from parlance.operators.items import with_any_tokens
 from parlance.plans import token_costs as tc
 from parlance.session import new_folder
 from parlance.sources import catalog, writers
@@ -122,6 +123,11 @@ def test_view(spark):
     assert [r["total tokens"] for r in view.collect()] == [3, 2]
 
 
+def test_rows_with_tokens(spark):
+    tokens = tc.token_table(_items(spark), FIRST, LAST)
+    assert sorted(r.pk for r in with_any_tokens(tokens).collect()) == ["", "a"]
+
+
 def test_stored_view(spark):
     path = writers.write_parquet(tc.token_table(_items(spark), FIRST, LAST), new_folder(spark, "tokens"))
     catalog.register_table(spark, V.TOKEN_TABLE_NAME, path)
