@@ -38,12 +38,19 @@ def occurrences(text: Column, word: str) -> Column:
 
 def normalize_text(text: Column) -> Column:
     """One line, single spaces, one space on each side of every pipe."""
-    flat = F.translate(strip(text), "\n\r\t", "   ")
+    flat = text
+    for mark in ("\n", "\r", "\t"):
+        flat = F.replace(flat, F.lit(mark), F.lit(" "))
     flat = F.regexp_replace(flat, " {2,}", " ")
-    flat = F.replace(flat, F.lit("|"), F.lit(" | "))
-    # " |  | " collapses left to right; a run of pipes ends as one separator.
-    flat = F.regexp_replace(flat, r" \|(?:  \|)+ ", " | ")
-    return F.coalesce(strip(flat), F.lit(""))
+
+    def with_pipes(line: Column) -> Column:
+        # Neighbouring separators end as one.
+        spaced = F.replace(line, F.lit("|"), F.lit(" | "))
+        return F.when(
+            F.contains(line, F.lit("||")), F.regexp_replace(spaced, r" \|(?:  \|)+ ", " | ")
+        ).otherwise(spaced)
+
+    return F.coalesce(strip(bind(flat, with_pipes)), F.lit(""))
 
 
 def turn_count(transcript: Column, floor: int | None = 1) -> Column:

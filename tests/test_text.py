@@ -34,7 +34,8 @@ def _normalized(text):
 
 def test_normalize_text(evaluate):
     rng = random.Random(5)
-    texts = ["".join(rng.choice("ab |\n\t\r") for _ in range(rng.randrange(0, 14))) for _ in range(400)]
+    alphabet = "ab ||\n\t\r\xa0"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 14))) for _ in range(1000)]
     assert evaluate(tx.normalize_text, *texts) == [_normalized(t) for t in texts]
     assert evaluate(tx.normalize_text, None) == [""]
 
