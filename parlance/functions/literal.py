@@ -52,7 +52,14 @@ def _bracketed(text: Column) -> Column:
 
 def read_json(text: Column) -> Column:
     """JSON text -> VARIANT."""
-    return _only_element(F.try_parse_json(_bracketed(text)))
+
+    def read(t: Column) -> Column:
+        # A single quote right after the brackets cannot be JSON. Not trying it
+        # saves the costly failure on data written as literals.
+        quoted = F.left(t, F.lit(8)).rlike(r"^[\[{\s]*+'")
+        return F.when(~quoted, _only_element(F.try_parse_json(_bracketed(t))))
+
+    return bind(text, read)
 
 
 def read_json_object(text: Column) -> Column:
@@ -77,10 +84,7 @@ def read_literal(text: Column) -> Column:
 
 def read_value(text: Column) -> Column:
     """JSON text, or else Python-literal text -> VARIANT."""
-    # A single quote right after the brackets cannot be JSON. Not trying it
-    # saves the failed parse on data written as literals.
-    quoted = F.left(text, F.lit(8)).rlike(r"^[\[{\s]*+'")
-    return F.coalesce(F.when(~quoted, read_json(text)), read_literal(text))
+    return F.coalesce(read_json(text), read_literal(text))
 
 
 def as_list(value: Column) -> Column:

@@ -6,6 +6,7 @@ import pytest
 
 from pyspark.sql import functions as F, types as T
 
+from parlance import fixed_values as V
 from parlance.functions import envelope as ev, feedback as fb, literal as lt, questions as qs, transcript as tr
 from parlance.functions.profile import parse_profile
 
@@ -59,7 +60,7 @@ def test_profile(evaluate):
 
 def test_transcript(evaluate):
     cases = {
-        '[{"from":"USUARIO","text":"a\\n\\nb"},{"from":"catia","text":" c "},{"from":"Sys","text":"d"}]': "user: a b | bot: c | sys: d",
+        '[{"from":"USUARIO","text":"a\\n\\nb"},{"from":"Assistant ","text":" c "},{"from":"Sys","text":"d"}]': "user: a b | bot: c | sys: d",
         "hola": "hola", " hola ": "hola", "[]": "", "None": "", "[broken": "[broken", "[1] [2]": "[1] [2]",
         '{"L":[{"M":{"from":{"S":"user"},"text":{"S":"hey"}}}]}': "user: hey",
         '[{"M":{"from":{"S":"bot"},"text":{"S":"x"}}}, 3]': "bot: x",
@@ -70,6 +71,11 @@ def test_transcript(evaluate):
     assert evaluate(tr.transcript, None) == [""]
 
 
+def test_speaker_labels(evaluate):
+    speakers = [*V.USER_SPEAKERS, *V.BOT_SPEAKERS, "Sys "]
+    assert evaluate(tr.speaker_label, *speakers) == ["user"] * 2 + ["bot"] * 3 + ["sys"]
+
+
 def test_long_literal_conversation(evaluate):
     messages = [{"from": "user", "text": f"message {i} it's\n" + "x" * 40, "at": None} for i in range(20000)]
     expected = " | ".join("user: " + m["text"].replace("\n", " ") for m in messages)
