@@ -120,7 +120,7 @@ def runs_hash(values: np.ndarray, length: int) -> np.ndarray:
     out = values[:n].copy()
     for k in range(1, length):
         out = out * BASE + values[k:k + n]
-    return mix(out + np.uint64(length) * ODD)
+    return mix(out + np.uint64(length * int(ODD) % (1 << 64)))
 
 
 def as_long(values: np.ndarray) -> pa.Array:
