@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parlance.llm import decontaminate, mixing, quality, rules, secrets
+from parlance.llm import decontaminate, jaccard, language, mixing, quality, rules, secrets, toxicity
 
 QUALITY_THRESHOLD = 0.3
+LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 5, 0
+TOXICITY_FOLDS, TOXICITY_HELD_OUT = 3, 1
+TOXICITY_THRESHOLD = 0.7
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -27,12 +30,36 @@ def op1_quality_rules(spark, sf_dir):
     return rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_language(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    held_out = quality.id_fold(F.col("doc_id"), LANGUAGE_FOLDS) == LANGUAGE_HELD_OUT
+    model = language.train(spark, documents, ~held_out)
+    return language.languages(spark, documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_groups(spark, table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_mix_sources(spark, sf_dir):
     return mixing.mixed(spark, table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op5_toxicity(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    held_out = quality.id_fold(F.col("doc_id"), TOXICITY_FOLDS) == TOXICITY_HELD_OUT
+    model = toxicity.train(spark, documents, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.toxicity_scores(spark, documents, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= TOXICITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op7_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(
