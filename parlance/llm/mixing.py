@@ -102,8 +102,8 @@ def source_plan(spark: SparkSession, sizes: DataFrame, **options) -> DataFrame:
 
 def _of_source(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Rows with the columns of their source's plan."""
-    plan = plan.withColumnRenamed("source", "plan_source")
-    return rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
+    plan = plan.withColumnRenamed("source", "__source")
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
 
 
 def _sizes(spark: SparkSession, documents: DataFrame) -> DataFrame:
