@@ -107,7 +107,8 @@ def train(
     kept: list = []
     for n in range(LONGEST + 1):
         most = max_words if n == 0 else max_grams
-        kept += grams.where(F.col("n") == n).orderBy(F.desc("total"), "gram").limit(most).collect()
+        # What was seen once tells nothing, and leaving it out first keeps the sort small.
+        kept += grams.where((F.col("n") == n) & (F.col("total") > 1)).orderBy(F.desc("total"), "gram").limit(most).collect()
     place = {lang: i for i, lang in enumerate(languages)}
     table = np.zeros((len(kept), len(languages)), np.float32)
     words: dict[str, int] = {}
