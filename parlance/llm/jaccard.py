@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from parlance.llm import words as W
 from parlance.llm.components import components
-from parlance.llm.storage import one_row, stored
+from parlance.llm.storage import one_row, release, stored
 
 SHINGLE = 5
 LEAF = 16
@@ -263,12 +263,16 @@ def _set_rows(seed: int):
 
 
 def _sets(spark: SparkSession, documents: DataFrame, nodes: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
-    """Shingle sets of the wanted nodes, from the texts of their first documents."""
-    needed = wanted.distinct().join(nodes.select("node", "doc_id"), "node")
-    ids = needed.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id")).distinct()
-    texts = _texts(documents).withColumn("id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    found = texts.join(ids, "id", "left_semi").select("text").mapInArrow(_set_rows(seed), "node bigint, shingles binary")
-    return stored(spark, found.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
+    """Shingle sets of the wanted nodes, from the texts of their first documents.
+
+    The ids are written first, so that Spark knows their size when it plans the
+    joins, and moves the texts only if the ids are too many to send.
+    """
+    needed = stored(spark, wanted.distinct().join(nodes.select("node", "doc_id"), "node"), "jaccard-needed")
+    ids = needed.select(F.col("doc_id").alias("id"))
+    texts = _texts(documents).join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
+    found = texts.mapInArrow(_set_rows(seed), "node bigint, shingles binary")
+    return stored(spark, found.join(needed.select("node"), "node", "left_semi"), "jaccard-sets")
 
 
 def _link_test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +316,8 @@ def _split_regions(spark: SparkSession, regions: DataFrame, nodes: DataFrame, se
             "region", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("label").alias("plabel"))
         pairs = open_regions.join(chosen, "region").where((F.col("label") != F.col("plabel")) & _near_sizes("n", "pn"))
         pairs = pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        found = stored(spark, _linked(_possible(pairs, nodes), sets), "jaccard-links")
+        found = stored(spark, _linked(_possible(pairs, nodes), sets).distinct(), "jaccard-links")
+        release(spark)
         # The components so far are stars; with the new links they are the whole graph again.
         edges = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found)
         open_regions = open_regions.where("not pivot").select("region", "node", "n")
@@ -323,11 +328,14 @@ def _grouped(spark: SparkSession, documents: DataFrame) -> tuple[DataFrame, Data
     """Profile rows, nodes with their component, and the seed of the names."""
     rows, nodes, seed = _profiles(spark, documents)
     regions = _regions(spark, documents, _common_shingles(rows), seed)
+    release(spark)
     candidates = stored(spark, _possible(_leaf_pairs(regions), nodes), "jaccard-pairs")
     wanted = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
     wanted = wanted.unionByName(regions.where(F.col("members") > LEAF).select("node"))
     sets = _sets(spark, documents, nodes, wanted, seed)
+    release(spark)
     edges = stored(spark, _linked(candidates, sets), "jaccard-links")
+    release(spark)
     labels = components(spark, _split_regions(spark, regions, nodes, sets, edges))
     joined = nodes.select("node", "doc_id").join(labels, "node", "left").select(
         "node", "doc_id", F.coalesce("label", "node").alias("label"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from parlance.session import new_folder
@@ -17,6 +19,16 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Ask the driver to collect garbage, so that Spark removes the shuffle files of finished steps.
+
+    Spark removes the files of a shuffle when the driver has collected the last
+    reference to it, which a job of many steps would otherwise wait for.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def one_row(df: DataFrame) -> tuple:
     """The single row of an aggregate without keys."""
     return tuple(df.collect()[0])
