@@ -126,3 +126,26 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
+
+ORACLES["op6_repeated_passages"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, min(r0) OVER (PARTITION BY doc_id, t) AS doc, {_words('t')} AS ws
+  FROM (
+    SELECT row_number() OVER () AS r0, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)),
+w AS (
+  SELECT r, doc, i, md5(array_to_string(list_slice(ws, i, i + 49), ' ')) AS win
+  FROM (SELECT r, doc, ws, unnest(range(1, len(ws) - 48)) AS i FROM d)),
+twice AS (SELECT win FROM w GROUP BY win HAVING min(doc) <> max(doc)),
+found AS (SELECT r, i FROM w JOIN twice USING (win)),
+islands AS (
+  SELECT r, i, sum(CASE WHEN i > before + 50 OR before IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS g
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM found)),
+spans AS (SELECT r, min(i) - 1 AS a, max(i) + 49 AS b FROM islands GROUP BY r, g),
+per AS (
+  SELECT r, sum(b - a) AS n_repeated, count(*) AS n_passages, string_agg(a || ':' || b, ',' ORDER BY a) AS passages
+  FROM spans GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_repeated, 0) AS BIGINT) AS n_repeated,
+       CAST(coalesce(n_passages, 0) AS BIGINT) AS n_passages, coalesce(passages, '') AS passages
+FROM d LEFT JOIN per USING (r)
+"""

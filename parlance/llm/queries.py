@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parlance.llm import decontaminate, jaccard, language, mixing, quality, rules, secrets, toxicity
+from parlance.llm import decontaminate, jaccard, language, mixing, quality, rules, secrets, suffixes, templates, toxicity
 
 QUALITY_THRESHOLD = 0.3
 LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 5, 0
@@ -60,6 +60,16 @@ def op5_toxicity(spark, sf_dir):
     )
 
 
+@query
+def op6_repeated_passages(spark, sf_dir):
+    found = suffixes.repeated_passages(spark, table(spark, sf_dir, "documents"))
+    places = F.transform("passages", lambda p: F.concat_ws(":", p["start"].cast("string"), p["end"].cast("string")))
+    return found.select(
+        "doc_id", "n_words", "n_repeated", F.size("passages").cast("bigint").alias("n_passages"),
+        F.array_join(places, ",").alias("passages"),
+    )
+
+
 @query
 def op7_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(
@@ -67,6 +77,11 @@ def op7_decontaminate(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query
+def op8_html_text(spark, sf_dir):
+    return templates.main_texts(spark, table(spark, sf_dir, "pages"))
+
+
 @query
 def op9_secrets(spark, sf_dir):
     return secrets.secrets(table(spark, sf_dir, "documents"))
