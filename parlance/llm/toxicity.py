@@ -52,6 +52,8 @@ CALIBRATION_SLICE = 8  # one of so many training rows
 # Up to so many labelled ids are sent to the documents; more are joined with a shuffle.
 SENT_IDS = 2_000_000
 TEXT_START = np.uint64(0)
+# Words whose counts a task sums up before it hands them on.
+BLOCK_WORDS = 3_000_000
 
 
 class Model(NamedTuple):
@@ -82,27 +84,40 @@ def named(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return before, word, W.mix(stem + W.ODD) & low, found.first
 
 
+def _summed(kind: int, keys: np.ndarray, toxic: np.ndarray) -> pa.RecordBatch:
+    """Keys of one kind with their counts in toxic and in ordinary texts."""
+    keys, inverse, total = np.unique(keys, return_inverse=True, return_counts=True)
+    bad = np.bincount(inverse, weights=toxic, minlength=len(keys)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.full(len(keys), kind, np.int8)), W.as_long(keys), pa.array(bad, pa.int64()),
+        pa.array(total - bad, pa.int64()),
+    ], ["kind", "pair", "t", "o"])
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (word before, word) and (beginning, word) with counts in toxic and ordinary texts."""
+    pairs, stems, toxic = [], [], []
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if toxic:
+            label = np.concatenate(toxic)
+            for kind, parts in enumerate((pairs, stems)):
+                yield _summed(kind, np.concatenate(parts), label)
+                parts.clear()
+            toxic.clear()
+
+    held = 0
     for batch in batches:
-        labels = batch.column("label").to_numpy(zero_copy_only=False).astype(float)
-        pairs, stems, toxic = [], [], []
-        done = 0
         for piece in W.pieces(batch, "text"):
             before, word, stem, first = named(*W.texts_of(piece.column("text")))
             pairs.append(before << np.uint64(32) | word)
             stems.append(stem << np.uint64(32) | word)
-            toxic.append(np.repeat(labels[done:done + len(piece)], np.diff(first)))
-            done += len(piece)
-        label = np.concatenate(toxic) if toxic else np.zeros(0)
-        for kind, parts in enumerate((pairs, stems)):
-            keys, inverse, total = np.unique(
-                np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_inverse=True, return_counts=True)
-            bad = np.bincount(inverse, weights=label, minlength=len(keys)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(keys), kind, np.int8)), W.as_long(keys), pa.array(bad, pa.int64()),
-                pa.array(total - bad, pa.int64()),
-            ], ["kind", "pair", "t", "o"])
+            toxic.append(np.repeat(piece.column("label").to_numpy(zero_copy_only=False).astype(float), np.diff(first)))
+            held += len(word)
+            if held > BLOCK_WORDS:
+                yield from flush()
+                held = 0
+    yield from flush()
 
 
 def _positive(count: str) -> Column:
