@@ -34,6 +34,7 @@ not matter.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ from parlance.llm.storage import one_row, release, stored
 
 SHINGLE = 5
 LEAF = 16
+# Pivots of a region in the first round of the recursion, and the factor by which they grow.
+FIRST_PIVOTS, MORE_PIVOTS = 4, 8
 SKETCH_BITS = 1024
 # Shingles are counted in blocks of this many; those found three times in a block are common.
 BLOCK = 4_000_000
@@ -52,9 +55,10 @@ COMMON_IN_BLOCK = 3
 # Common shingles that are ranked last by number of documents; 8 bytes each go to every executor.
 MAX_COMMON = 1 << 19
 
-PROFILE = "doc_id bigint, n int, node bigint, mark bigint, sketch binary, shingle bigint, found bigint"
+PROFILE = "doc_id bigint, n int, node bigint, mark bigint, sketch array<bigint>, shingle bigint, found bigint"
+SKETCH = pa.list_(pa.int64())
 PROFILE_ARROW = pa.schema([
-    ("doc_id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("mark", pa.int64()), ("sketch", pa.binary()),
+    ("doc_id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("mark", pa.int64()), ("sketch", SKETCH),
     ("shingle", pa.int64()), ("found", pa.int64()),
 ])
 
@@ -81,10 +85,10 @@ def _name(shingles: np.ndarray, seed: int) -> tuple[int, int]:
     return int(salted.sum(dtype=np.uint64).view(np.int64)), int(W.mix(salted).sum(dtype=np.uint64).view(np.int64))
 
 
-def _sketch(shingles: np.ndarray) -> bytes:
-    """One bit per class of shingles: whether the set holds an odd number of them."""
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """One bit per class of shingles, in 64-bit words: whether the set holds an odd number of them."""
     odd = np.bincount((shingles % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _common(block: list[np.ndarray]) -> pa.RecordBatch:
@@ -93,7 +97,7 @@ def _common(block: list[np.ndarray]) -> pa.RecordBatch:
     n = int(often.sum())
     return pa.RecordBatch.from_arrays([
         pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-        pa.nulls(n, pa.binary()), W.as_long(values[often]), pa.array(counts[often], pa.int64()),
+        pa.nulls(n, SKETCH), W.as_long(values[often]), pa.array(counts[often], pa.int64()),
     ], schema=PROFILE_ARROW)
 
 
@@ -120,7 +124,7 @@ def _profiler(seed: int):
                         seen.clear()
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(nodes, pa.int64()),
-                pa.array(marks, pa.int64()), pa.array(sketches, pa.binary()),
+                pa.array(marks, pa.int64()), pa.array(sketches, SKETCH),
                 pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.int64()),
             ], schema=PROFILE_ARROW)
         if block:
@@ -146,9 +150,12 @@ def _profiles(spark: SparkSession, documents: DataFrame) -> tuple[DataFrame, Dat
         seed += 1
 
 
-def _common_shingles(rows: DataFrame) -> np.ndarray:
-    """Common shingles, rarest first. At most ``MAX_COMMON``, the most frequent ones by powers of two."""
-    counts = rows.where("shingle is not null").groupBy("shingle").agg(F.sum("found").alias("found"))
+def _common_shingles(counts: DataFrame) -> np.ndarray:
+    """Common shingles, rarest first, from ``shingle`` and the documents it was ``found`` in.
+
+    At most ``MAX_COMMON``: the most frequent ones by powers of two.
+    """
+    counts = counts.groupBy("shingle").agg(F.max("found").alias("found"))
     level = F.floor(F.log2("found"))
     levels = counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
     total, least = 0, None
@@ -235,7 +242,8 @@ def _window_test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(batch):
             continue
         one, two = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), -1) for c in ("sa", "sb"))
+            batch.column(c).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(batch), -1)
+            for c in ("sa", "sb"))
         differ = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
         # J >= 0.8 means that at most a ninth of |a| + |b| differs.
         sizes = batch.column("na").to_numpy().astype(np.int64) + batch.column("nb").to_numpy()
@@ -293,41 +301,83 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "xa", "xb").mapInArrow(_link_test, "a bigint, b bigint")
 
 
-def _split_regions(spark: SparkSession, regions: DataFrame, nodes: DataFrame, sets: DataFrame, edges: DataFrame):
-    """Links of the regions above ``LEAF`` documents, by recursion around pivots."""
-    open_regions = regions.where(F.col("members") > LEAF).select("region", "node", "n")
-    pivots = 2
+def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Labels after a look at the edges: nodes take the smallest label within two links.
+
+    Equal labels always mean the same component. The labels only spare
+    comparisons, so they need not be complete.
+    """
+    one = labels.select(F.col("node").alias("a"), F.col("label").alias("u"))
+    two = labels.select(F.col("node").alias("b"), F.col("label").alias("v"))
+    ends = edges.join(one, "a").join(two, "b").where("u <> v").select(
+        F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")
+    ).select("e.u", "e.v")
+    least = ends.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    moves = ends.join(least, "u").groupBy(F.col("v").alias("label")).agg(F.min("m").alias("to"))
+    return labels.join(moves, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+
+
+def _in_window(one: str, two: str, n: str, m: str):
+    """The window test of :func:`_window_test` as a join condition."""
+    differ = F.aggregate(
+        F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits)
+    return (9 * differ) <= (F.col(n) + F.col(m))
+
+
+def _split_regions(
+    spark: SparkSession, regions: DataFrame, nodes: DataFrame, sets: DataFrame, edges: DataFrame,
+) -> list[DataFrame]:
+    """Links of the regions above ``LEAF`` documents, by recursion around pivots.
+
+    The first pivots are central ones, the documents in most regions, whose balls
+    join most of a crowd of near copies. The next ones are those that are left
+    over. A pivot is compared with all members of its regions in other
+    components and is done then.
+    """
+    members = regions.where(F.col("members") > LEAF).select("region", "node")
+    central = members.groupBy("node").agg(F.count("*").alias("central"))
+    open_regions = members.join(central, "node").join(nodes.select("node", "n", "sketch"), "node")
+    labels = central.select("node", F.col("node").alias("label"))
+    found, pivots = [edges], FIRST_PIVOTS
+    in_region, same = Window.partitionBy("region"), Window.partitionBy("region", "label")
+    order = (F.desc("central"), F.xxhash64("node"), "node")
+    kept = ("region", "node", "n", "sketch", "central")
     while True:
-        labels = components(spark, edges)
-        in_region = Window.partitionBy("region")
-        same = Window.partitionBy("region", "label")
-        ranked = Window.partitionBy("region").orderBy("crowd", F.xxhash64("node"), "node")
+        labels = stored(spark, _merged(labels, found[-1]), "jaccard-labels")
+        ranked = Window.partitionBy("region").orderBy(*order)
         open_regions = stored(spark, (
-            open_regions.join(labels, "node", "left")
-            .select("region", "node", "n", F.coalesce("label", "node").alias("label"))
+            open_regions.join(labels, "node").repartition("region")
             .select("*", F.min("label").over(in_region).alias("low"), F.max("label").over(in_region).alias("high"))
             .where("low <> high").drop("low", "high")
             .withColumn("crowd", F.count("*").over(same))
             .withColumn("pivot", F.row_number().over(ranked) <= pivots)
         ), "jaccard-open")
         if open_regions.isEmpty():
-            return edges
+            return found
         chosen = open_regions.where("pivot").select(
-            "region", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("label").alias("plabel"))
-        pairs = open_regions.join(chosen, "region").where((F.col("label") != F.col("plabel")) & _near_sizes("n", "pn"))
+            "region", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("sketch").alias("ps"),
+            F.col("label").alias("plabel"))
+        pairs = open_regions.join(chosen, "region").where(
+            (F.col("label") != F.col("plabel")) & _near_sizes("n", "pn") & _in_window("sketch", "ps", "n", "pn"))
         pairs = pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        found = stored(spark, _linked(_possible(pairs, nodes), sets).distinct(), "jaccard-links")
+        pairs = stored(spark, pairs, "jaccard-pairs")
+        found.append(stored(spark, _linked(pairs, sets).distinct(), "jaccard-links"))
         release(spark)
-        # The components so far are stars; with the new links they are the whole graph again.
-        edges = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found)
-        open_regions = open_regions.where("not pivot").select("region", "node", "n")
-        pivots *= 4
+        open_regions = open_regions.where("not pivot").select(*kept)
+        order = (F.asc("crowd"), F.xxhash64("node"), "node")
+        pivots *= MORE_PIVOTS
 
 
 def _grouped(spark: SparkSession, documents: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """Profile rows, nodes with their component, and the seed of the names."""
     rows, nodes, seed = _profiles(spark, documents)
-    regions = _regions(spark, documents, _common_shingles(rows), seed)
+    # The blocks know the most common shingles; the regions that come of that order know the others.
+    counts = rows.where("shingle is not null").groupBy("shingle").agg(F.sum("found").alias("found"))
+    first = _regions(spark, documents, _common_shingles(counts), seed)
+    crowded = first.where(F.col("members") > LEAF // 2).groupBy(F.col("region").alias("shingle")).agg(
+        F.max("members").alias("found"))
+    release(spark)
+    regions = _regions(spark, documents, _common_shingles(counts.unionByName(crowded)), seed)
     release(spark)
     candidates = stored(spark, _possible(_leaf_pairs(regions), nodes), "jaccard-pairs")
     wanted = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node")))
@@ -336,7 +386,8 @@ def _grouped(spark: SparkSession, documents: DataFrame) -> tuple[DataFrame, Data
     release(spark)
     edges = stored(spark, _linked(candidates, sets), "jaccard-links")
     release(spark)
-    labels = components(spark, _split_regions(spark, regions, nodes, sets, edges))
+    links = reduce(DataFrame.unionByName, _split_regions(spark, regions, nodes, sets, edges))
+    labels = components(spark, links)
     joined = nodes.select("node", "doc_id").join(labels, "node", "left").select(
         "node", "doc_id", F.coalesce("label", "node").alias("label"))
     smallest = joined.groupBy("label").agg(F.min("doc_id").alias("component_id"))
