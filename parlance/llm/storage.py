@@ -9,13 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from parlance.session import new_folder
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS = "2000"
+
+
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new folder that all executors share and read it back.
 
     Unlike a cached table it survives lost executors, and it cuts the lineage.
+    Rows with texts are long, so they go to Python in smaller batches than usual.
     """
     folder = new_folder(spark, label)
-    df.write.parquet(folder)
+    before = spark.conf.get(BATCH_ROWS, None)
+    spark.conf.set(BATCH_ROWS, TEXT_ROWS)
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.unset(BATCH_ROWS) if before is None else spark.conf.set(BATCH_ROWS, before)
     return spark.read.schema(df.schema).parquet(folder)
 
 
