@@ -49,6 +49,30 @@ b AS (
 SELECT *, NOT base_failed AND {rules_sql()} AS kept FROM b
 """
 
+# All pairs of different sets with a common shingle, then everything reachable by links.
+ORACLES["op3_jaccard_join"] = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_words("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(list_slice(ws, i, i + 4), ' ') AS s
+  FROM (SELECT r, ws, unnest(CASE WHEN len(ws) >= 5 THEN range(1, len(ws) - 3) WHEN len(ws) > 0 THEN [1] ELSE [] END) AS i FROM d)),
+sets AS (SELECT r, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS name FROM shingles GROUP BY r),
+nodes AS (SELECT name, min(r) AS r, any_value(n) AS n FROM sets GROUP BY name),
+parts AS (SELECT nodes.r, n, s FROM nodes JOIN shingles USING (r)),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM parts a JOIN parts b ON a.s = b.s AND a.r < b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(r, m) AS (SELECT r, r FROM nodes UNION SELECT edges.b, reach.m FROM reach JOIN edges ON edges.a = reach.r),
+smallest AS (SELECT nodes.r, min(doc_id) AS doc_id FROM nodes JOIN sets USING (name) JOIN d ON d.r = sets.r GROUP BY nodes.r),
+groups AS (SELECT nodes.name, min(smallest.doc_id) AS component_id
+  FROM nodes JOIN reach ON reach.r = nodes.r JOIN smallest ON smallest.r = reach.m GROUP BY nodes.name)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
+       CASE WHEN n IS NULL THEN d.doc_id ELSE component_id END AS component_id
+FROM d LEFT JOIN sets USING (r) LEFT JOIN groups USING (name)
+"""
+
 _COINS = " || ".join(f"sha256('mix{i}:' || coalesce(CAST(doc_id AS VARCHAR), ''))" for i in range(mixing.SEEDS // 8))
 
 # The sharing is done literally: in each round, sources above their bound are
