@@ -64,7 +64,7 @@ def passages(rng, n, first=0):
 @pytest.fixture(scope="module")
 def crowd():
     rng = random.Random(4)
-    data = near_copies(rng, 70) + near_copies(rng, 40, length=90, changes=4, first=1000) + chain(45, first=2000)
+    data = near_copies(rng, 70, first=500) + near_copies(rng, 40, length=90, changes=4, first=1000) + chain(45, first=2000)
     data += passages(rng, 50, first=3000) + [(4000 + i, "just the same five words " * 3) for i in range(30)]
     rng.shuffle(data)
     return odd.rows(*data) + odd.ODD
