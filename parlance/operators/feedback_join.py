@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from parlance.operators.items import is_conversation, is_feedback, user_id
 
 
-def last_feedback(items: DataFrame, *carried: str) -> DataFrame:
-    """Last feedback item per partition key, as ``usuario_id, last_feedback map<PK, struct>``.
+def last_feedback(items: DataFrame, shape: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Last feedback item per partition key, as ``usuario_id, last_feedback map<PK, struct<Feedback>>``.
 
     ``max_by`` combines on the map side, so a busy user costs one row per task.
-    The struct keeps a null feedback apart from no feedback. The map covers the
-    keys that differ only in the user prefix, which share one user id.
+    ``shape`` is applied to the winners only, one row per key with the raw
+    ``Feedback``, so what loses is never parsed. The struct keeps a null feedback
+    apart from no feedback. The map covers the keys that differ only in the user
+    prefix, which share one user id.
     """
-    carried = carried or ("Feedback",)
     winners = items.where(is_feedback() & F.col("PK").isNotNull()).groupBy("PK").agg(
-        F.max_by(F.struct(*carried), "SK").alias("winner")
-    )
+        F.max_by(F.struct("Feedback"), "SK").alias("winner")
+    ).select("PK", "winner.Feedback")
+    if shape is not None:
+        winners = shape(winners)
     return winners.groupBy(user_id(F.col("PK")).alias("usuario_id")).agg(
-        F.map_from_entries(F.collect_list(F.struct("PK", "winner"))).alias("last_feedback")
+        F.map_from_entries(F.collect_list(F.struct("PK", F.struct("Feedback").alias("winner")))).alias("last_feedback")
     )
 
 

@@ -1,9 +1,4 @@
-"""Profiles, distributions, KPIs and samples of the user report.
-
-The reports count users. A user whose report comes in parts is put together
-from the parts first, on narrow columns; for a report without parts the rows
-are already grouped by user and nothing moves.
-"""
+"""Profiles, distributions, KPIs and samples of the user report, which has one row per user."""
 
 from __future__ import annotations
 
@@ -25,34 +20,25 @@ def _percent(part: Column, whole: Column, places: int) -> Column:
     return F.round(share, places).cast("double")
 
 
-def _per_user(report: DataFrame, key: str = "usuario_id", **columns: Column) -> DataFrame:
-    return report.groupBy(key).agg(*[c.alias(name) for name, c in columns.items()])
-
-
-def _any_filled(name: str) -> Column:
-    return F.max(_filled(name))
+RUN_COUNTS = (
+    "usuarios_procesados", "total_conversaciones", "usuarios_con_feedback", "usuarios_con_preguntas",
+    "usuarios_con_respuestas",
+)
 
 
-def _user_class(column: str) -> Column:
-    """Feedback class of a user from the classes of the parts."""
-    value = F.coalesce(F.col(column), F.lit(""))
-    likes, dislikes = F.max(value.isin("like", "mixed")), F.max(value.isin("dislike", "mixed"))
-    return F.when(likes & dislikes, "mixed").when(likes, "like").when(dislikes, "dislike").otherwise("")
+def run_counts() -> list[Column]:
+    """The aggregates of :func:`run_stats`, to be observed while a report is written."""
+    values = (
+        F.count(F.lit(1)), F.coalesce(F.sum("numero_conversaciones"), F.lit(0)).cast("bigint"),
+        F.count_if(_filled("feedback")), F.count_if(_filled("pregunta_conversacion")),
+        F.count_if(_filled("respuesta_feedback")),
+    )
+    return [value.alias(name) for name, value in zip(RUN_COUNTS, values, strict=True)]
 
 
 def run_stats(report: DataFrame) -> DataFrame:
     """Users, conversations, and users with feedback, questions and answers."""
-    users = _per_user(
-        report, n=F.sum("numero_conversaciones"), feedback=_any_filled("feedback"),
-        questions=_any_filled("pregunta_conversacion"), answers=_any_filled("respuesta_feedback"),
-    )
-    return users.agg(
-        F.count(F.lit(1)).alias("usuarios_procesados"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_conversaciones"),
-        F.count_if("feedback").alias("usuarios_con_feedback"),
-        F.count_if("questions").alias("usuarios_con_preguntas"),
-        F.count_if("answers").alias("usuarios_con_respuestas"),
-    )
+    return report.agg(*run_counts())
 
 
 def distinct_users_by_stage(rows: DataFrame, stages: dict[str, Column], key: str = "usuario_id") -> DataFrame:
@@ -70,23 +56,24 @@ def distinct_users_by_stage(rows: DataFrame, stages: dict[str, Column], key: str
 
 
 def value_distribution(df: DataFrame, column: str, blank_label: str | None = None, places: int = 1) -> DataFrame:
-    """``valor, n, pct`` per value; blanks show as ``blank_label``."""
+    """``valor, n, pct`` per value; blanks show as ``blank_label``.
+
+    The total is the sum of the counts, one row per value, so the input is read once.
+    """
     value = F.col(column)
     if blank_label is not None:
         value = F.when(F.coalesce(value, F.lit("")) == "", F.lit(blank_label)).otherwise(value)
     counts = df.groupBy(value.alias("valor")).agg(F.count(F.lit(1)).alias("n"))
-    # The total is a scalar of its own; a count reads no column of a table.
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.withColumn("pct", _percent(F.col("n"), total, places))
+    total = F.sum("n").over(Window.partitionBy())
+    return counts.select("valor", "n", _percent(F.col("n"), total, places).alias("pct"))
 
 
 def feedback_distribution(report: DataFrame, column: str = "feedback", places: int = 1) -> DataFrame:
     """``valor, n, pct``: users per feedback class that occurs, in one pass over the report."""
-    users = _per_user(report, feedback_class=_user_class(column))
+    kind = F.coalesce(F.col(column), F.lit(""))
     names = {"": V.NO_FEEDBACK, **{name: name for name in V.FEEDBACK_CLASSES}}
-    one = users.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col("feedback_class") == name).alias(label) for name, label in names.items()],
+    one = report.agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(kind == name).alias(label) for name, label in names.items()],
     )
     lines = [
         F.struct(
@@ -104,17 +91,15 @@ def histogram(df: DataFrame, column: str) -> DataFrame:
 
 def feedback_histogram(report: DataFrame) -> DataFrame:
     """``valor, n``: users per number of feedbacks, in order."""
-    return histogram(_per_user(report, numero_feedback=F.sum("numero_feedback")), "numero_feedback")
+    return histogram(report, "numero_feedback")
 
 
-def conversation_buckets(
-    report: DataFrame, column: str = "numero_conversaciones", edges=(1, 5), key: str = "usuario_id"
-) -> DataFrame:
+def conversation_buckets(report: DataFrame, column: str = "numero_conversaciones", edges=(1, 5)) -> DataFrame:
     """``grupo, n, promedio``: users with 1, 2 to 5, and more conversations, and the mean of all."""
     low, high = edges
-    n = F.col("n")
+    n = F.col(column)
     groups = {f"{low}": n == low, f"{low + 1}-{high}": (n > low) & (n <= high), f"{high + 1}+": n > high}
-    one = _per_user(report, key, n=F.sum(column)).agg(
+    one = report.agg(
         *[F.count_if(test).alias(name) for name, test in groups.items()],
         F.round(F.sum(n).cast(_WHOLE) / F.count(n).cast(_WHOLE), 2).cast("double").alias("promedio"),
     )
@@ -136,8 +121,7 @@ def duplicate_check(df: DataFrame, key: str = "usuario_id") -> DataFrame:
 
 def completeness(report: DataFrame, columns=("pregunta_conversacion", "feedback", "respuesta_feedback")) -> DataFrame:
     """``columna, llenos, pct``: users with a value, per column."""
-    users = _per_user(report, **{c: _any_filled(c) for c in columns})
-    counts = users.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c)).alias(c) for c in columns])
+    counts = report.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(_filled(c)).alias(c) for c in columns])
     lines = [
         F.struct(F.lit(c).alias("columna"), F.col(c).alias("llenos"), _percent(F.col(c), F.col("_n"), 1).alias("pct"))
         for c in columns
@@ -168,42 +152,36 @@ def top_answers(report: DataFrame, k: int = 10) -> DataFrame:
 
 def answer_shape(report: DataFrame) -> DataFrame:
     """Users with an answer, without one, and with several."""
-    column = "respuesta_feedback"
-    answer = F.when(_filled(column), F.col(column))
-    # Single answers of different parts make several when they differ.
-    users = _per_user(
-        report, one=_any_filled(column), many=F.max(has_many(F.col(column))) | (F.min(answer) != F.max(answer))
-    )
-    return users.agg(
-        F.count_if("one").alias("con_respuesta"),
-        F.count_if(~F.col("one")).alias("sin_respuesta"),
-        F.count_if("many").alias("con_multiples"),
+    answered = _filled("respuesta_feedback")
+    return report.agg(
+        F.count_if(answered).alias("con_respuesta"),
+        F.count_if(~answered).alias("sin_respuesta"),
+        F.count_if(has_many(F.col("respuesta_feedback"))).alias("con_multiples"),
     )
 
 
 def coherence(report: DataFrame) -> DataFrame:
     """Users with an extracted answer against users with any feedback text."""
-    users = _per_user(report, answer=_any_filled("respuesta_feedback"), feedback=_any_filled("feedback_total"))
-    return users.agg(
-        F.count_if("answer").alias("con_respuesta"), F.count_if("feedback").alias("con_feedback")
+    return report.agg(
+        F.count_if(_filled("respuesta_feedback")).alias("con_respuesta"),
+        F.count_if(_filled("feedback_total")).alias("con_feedback"),
     )
 
 
 def validation_report(typed: DataFrame) -> DataFrame:
     """Users, first and last date, mean conversations of the typed report."""
-    users = _per_user(typed, day=F.max("fecha_primera_conversacion"), n=F.sum("numero_conversaciones"))
-    return users.agg(
+    return typed.agg(
         F.count(F.lit(1)).alias("total_usuarios"),
-        F.min("day").alias("fecha_min"),
-        F.max("day").alias("fecha_max"),
-        F.avg("n").alias("promedio_conversaciones"),
+        F.min("fecha_primera_conversacion").alias("fecha_min"),
+        F.max("fecha_primera_conversacion").alias("fecha_max"),
+        F.avg("numero_conversaciones").alias("promedio_conversaciones"),
     )
 
 
 def kpis(report: DataFrame) -> DataFrame:
     """``metrica, valor``: users and conversations, in one scan."""
-    one = _per_user(report, n=F.sum("numero_conversaciones")).agg(
-        F.count("usuario_id").alias("users"), F.sum("n").cast("bigint").alias("conversations")
+    one = report.agg(
+        F.count("usuario_id").alias("users"), F.sum("numero_conversaciones").cast("bigint").alias("conversations")
     )
     return one.select(F.inline(F.array(
         F.struct(F.lit("Total Usuarios").alias("metrica"), F.col("users").alias("valor")),

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parlance import fixed_values as V
-from parlance.operators.parts import DEFAULT_PART_BYTES, attach_parts, number_groups, with_user_facts
 
 TEXT_COLUMNS = (
     "conversacion_completa", "feedback_total", "pregunta_conversacion", "feedback", "respuesta_feedback",
 )
+# What one row of Spark can hold. A longer text ends the job; it never changes the shape of the report.
+ROW_BYTES = (1 << 31) - (1 << 20)
 # Conversations before other rows, each in key order.
 ORDER = ("is_other", "SK", "PK")
 
@@ -43,26 +44,35 @@ def ordered_rows(*columns: str, order=ORDER) -> Column:
     return F.sort_array(F.collect_list(F.struct(*order, *columns)))
 
 
-def column_of(rows: str, name: str) -> Column:
+def column_of(rows: str | Column, name: str) -> Column:
     """One column of an array of rows."""
     return F.transform(rows, lambda row: row[name])
 
 
-def ordered_concat(
-    rows: DataFrame, key: str, column: str, order: list[str], separator: str,
-    size: Column | None = None, part_bytes: int = DEFAULT_PART_BYTES,
-) -> DataFrame:
-    """``key, parte, column``: written values joined in order, per key.
+def text_bytes(*columns: str) -> Column:
+    """Aggregate: bytes of the named text columns of a group."""
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in columns]
+    return F.sum(F.aggregate(F.array(*sizes), F.lit(0).cast("bigint"), lambda total, n: total + n))
+
+
+def bounded_rows(key: str, size: str, rows: str) -> Column:
+    """The rows of a group, or an error if their text cannot be one row of a report."""
+    message = F.concat(
+        F.lit("the text of "), F.coalesce(F.col(key), F.lit("null")), F.lit(" has "), F.col(size).cast("string"),
+        F.lit(f" bytes and a row holds at most {ROW_BYTES}; read conversation_report instead, which has a row per "
+              "conversation"),
+    )
+    return F.when(F.col(size) <= ROW_BYTES, F.col(rows)).otherwise(F.raise_error(message))
+
+
+def ordered_concat(rows: DataFrame, key: str, column: str, order: list[str], separator: str) -> DataFrame:
+    """``key, column``: written values joined in order, one row per key.
 
-    A key with more than ``part_bytes`` of text gets several parts in order.
-    ``size`` bounds the bytes of a value; give it when the value is costly to
-    compute. Key and order together must be unique.
+    The rows of a key are collected on the map side first, so a key sends one
+    list per task. Key and order together must be unique.
     """
-    size = F.octet_length(column) if size is None else size
-    sizes = rows.select(key, *order, F.coalesce(size, F.lit(0)).cast("bigint").alias("bytes"))
-    rows = attach_parts(rows, number_groups(sizes, key, order, part_bytes), key, order)
-    return rows.groupBy(key, "parte").agg(ordered_rows(column, order=order).alias("_rows")).select(
-        key, "parte", join_written(column_of("_rows", column), separator).alias(column)
+    return rows.groupBy(key).agg(ordered_rows(column, order=order).alias("_rows")).select(
+        key, join_written(column_of("_rows", column), separator).alias(column)
     )
 
 
@@ -73,13 +83,12 @@ def user_rollup(
     notebook_areas: bool = False,
     earliest: bool = False,
 ) -> DataFrame:
-    """Per-conversation rows -> one row per user (and part, if the rows carry ``parte``).
+    """Per-conversation rows -> one row per user.
 
     ``earliest`` takes the smallest date instead of the first row's date; it
     needs a ``dia`` date column. Rows without a user id are dropped.
     """
     rows = rows.where(F.col("usuario_id").isNotNull())
-    keys = ["usuario_id"] + (["parte"] if "parte" in rows.columns else [])
     order = F.struct(*ORDER)
     area = first_other_than if notebook_areas else (
         lambda value, order, default: first_real(value, order, default, also_default=True)
@@ -94,16 +103,13 @@ def user_rollup(
         area(F.col("ciudad"), order, area_default).alias("ciudad"),
         day.alias("fecha_primera_conversacion"),
     ]
-    grouped = rows.groupBy(*keys).agg(
+    grouped = rows.groupBy("usuario_id").agg(
         *facts,
         F.sum("numero_conversaciones").alias("numero_conversaciones"),
         F.sum("numero_feedback").alias("numero_feedback"),
+        text_bytes(*TEXT_COLUMNS).alias("_bytes"),
         ordered_rows(*TEXT_COLUMNS).alias("_rows"),
     )
-    if "parte" in keys:
-        # Empty at once when every part number is zero.
-        long = rows.where("parte > 0").select("usuario_id").distinct()
-        numbers = rows.join(long, "usuario_id", "left_semi").select("usuario_id", "parte").distinct()
-        grouped = with_user_facts(grouped, rows, numbers, facts)
-    texts = {c: join_written(column_of("_rows", c), separator) for c in TEXT_COLUMNS}
-    return grouped.withColumns(texts).select(*[c for c in keys if c == "parte"], *V.REPORT_COLUMNS)
+    rows_of_user = bounded_rows("usuario_id", "_bytes", "_rows")
+    texts = {c: join_written(column_of(rows_of_user, c), separator) for c in TEXT_COLUMNS}
+    return grouped.withColumns(texts).select(*V.REPORT_COLUMNS)

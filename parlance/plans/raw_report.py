@@ -14,9 +14,8 @@ from parlance.functions import convert, feedback as fb, text as tx
 from parlance.functions.transcript import json_questions
 from parlance.operators.feedback_join import apply_last_feedback, last_feedback, report_rows
 from parlance.operators.items import drop_register
-from parlance.operators.parts import DEFAULT_PART_BYTES, attach_parts, number_parts
 from parlance.operators.rollup import ORDER
-from parlance.plans.user_report import keep_report_rows, rollup_conversations, row_sizes
+from parlance.plans.user_report import keep_report_rows, rollup_conversations
 
 
 def raw_conversation_rows(items: DataFrame, start: str = V.REPORT_START) -> DataFrame:
@@ -36,14 +35,9 @@ def raw_conversation_rows(items: DataFrame, start: str = V.REPORT_START) -> Data
     )
 
 
-def raw_user_report(
-    items: DataFrame, start: str = V.REPORT_START, part_bytes: int = DEFAULT_PART_BYTES
-) -> DataFrame:
-    """Items -> one row per user (and part) with the 12 report columns."""
-    items = drop_register(items)
-    order = list(ORDER)
-    parts = number_parts(row_sizes(items), order, part_bytes)
-    rows = attach_parts(raw_conversation_rows(items, start), parts, "usuario_id", order)
+def raw_user_report(items: DataFrame, start: str = V.REPORT_START) -> DataFrame:
+    """Items -> one row per user with the 12 report columns."""
+    rows = raw_conversation_rows(drop_register(items), start)
     return rollup_conversations(
         rows, separator=V.PART_SEPARATOR, area_default=V.UNSPECIFIED_AREA, notebook_areas=True
     )

@@ -12,11 +12,12 @@ from parlance.functions.transcript import transcript
 from parlance.operators.contract import enforce_columns
 from parlance.operators.feedback_join import apply_last_feedback, last_feedback, report_rows
 from parlance.operators.items import (
-    drop_register, exclude_places, in_day_range, is_conversation, is_feedback, unwrap_items, user_id,
+    drop_register, exclude_places, in_day_range, unwrap_items,
 )
 from parlance.operators.parsing import with_fields
-from parlance.operators.parts import DEFAULT_PART_BYTES, attach_parts, number_parts, with_user_facts
-from parlance.operators.rollup import ORDER, column_of, first_real, join_written, ordered_rows, user_rollup
+from parlance.operators.rollup import (
+    ORDER, bounded_rows, column_of, first_real, join_written, ordered_rows, text_bytes, user_rollup,
+)
 
 RAW_CELLS = ("UserData", "CreatedAt", "Conversation")
 
@@ -54,25 +55,25 @@ def conversation_texts(rows: DataFrame) -> DataFrame:
     })
 
 
-def conversation_report(
-    items: DataFrame, list_mode: str = "all", part_bytes: int | None = None, **limits
-) -> DataFrame:
+def conversation_report(items: DataFrame, list_mode: str = "all", **limits) -> DataFrame:
     """One row per conversation with the 12 report columns and the order columns.
 
-    With ``part_bytes`` the rows carry ``parte``, numbered within the users who
-    are too long for one report row, so a rollup can follow.
+    This is also the long form of the report, for consumers that do not need one
+    row per user: it has the same shape for every user.
     """
     items = drop_register(items)
-    parts = number_parts(row_sizes(items), list(ORDER), part_bytes) if part_bytes else None
+
+    def unwrapped(winners: DataFrame) -> DataFrame:
+        return unwrap_items(winners, ("Feedback",), list_mode)
+
+    feedback = last_feedback(items, unwrapped)
     items = unwrap_items(items, ("Feedback", "CreatedAt"), list_mode)
     # Filtered and turned into texts first, so the join moves no raw cells.
     rows = conversation_texts(keep_report_rows(report_rows(items), **limits)).drop(*RAW_CELLS)
-    if part_bytes:
-        rows = attach_parts(rows, parts, "usuario_id", list(ORDER))
-    rows = apply_last_feedback(rows, last_feedback(items))
+    rows = apply_last_feedback(rows, feedback)
     rows = rows.withColumn("_flat", fb.flatten_feedback(F.col("Feedback")))
     return rows.select(
-        *ORDER, *(["parte"] if part_bytes else []),
+        *ORDER,
         "usuario_id", "nombre", "gerencia", F.col("gerencia").alias("ciudad"),
         "fecha_primera_conversacion", "dia",
         F.col("numero_conversaciones").cast("bigint").alias("numero_conversaciones"),
@@ -95,10 +96,7 @@ def classify_report(report: DataFrame) -> DataFrame:
 
 
 def rollup_conversations(rows: DataFrame, **options) -> DataFrame:
-    """Per-conversation report rows -> classified user report.
-
-    The rows should carry ``parte`` unless every user is known to be short.
-    """
+    """Per-conversation report rows -> classified user report."""
     return enforce_columns(classify_report(user_rollup(rows, **options)))
 
 
@@ -118,72 +116,44 @@ def _user_facts() -> list[Column]:
     ]
 
 
-def row_sizes(items: DataFrame) -> DataFrame:
-    """Keys and byte counts of the items, from lengths alone."""
-    is_row = is_conversation() | ~is_feedback()
-    conversation, feedback = (
-        F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in ("Conversation", "Feedback")
-    )
-    own = conversation + F.when(is_conversation(), F.lit(0)).otherwise(feedback)
-    return items.select(
-        user_id(F.col("PK")).alias("usuario_id"), (~is_conversation()).alias("is_other"), "SK", "PK",
-        is_row.alias("is_row"),
-        F.when(is_row, own).otherwise(F.lit(0)).alias("row_bytes"),
-        feedback.alias("copied_bytes"),
-    )
-
-
 def user_report(
-    items: DataFrame,
-    list_mode: str = "all",
-    separator: str = V.CONVERSATION_SEPARATOR,
-    part_bytes: int | None = DEFAULT_PART_BYTES,
-    with_part: bool = False,
-    **limits,
+    items: DataFrame, list_mode: str = "all", separator: str = V.CONVERSATION_SEPARATOR, **limits,
 ) -> DataFrame:
-    """Items -> one row per user with the 12 report columns.
+    """Items -> one row per user with the 12 report columns, whatever the size of a user.
 
     Same result as rolling up :func:`conversation_report`, with less data moved:
     rows are filtered and turned into texts before the only shuffle they take,
     and the user's last feedback is joined to the grouped row, on the same key,
-    instead of being copied onto every conversation first.
-
-    A user with more than ``part_bytes`` of text gets one row per part; the
-    counts of the parts add up and their texts in order are the whole text.
-    ``with_part`` adds the part number. ``part_bytes=None`` skips the check.
+    instead of being copied onto every conversation first. Facts and sums
+    combine on the map side, and so do the lists of texts. The plan does not
+    depend on the data. A user whose text does not fit a row of Spark ends the
+    job with a message that says so.
     """
     items = drop_register(items)
-    parts = number_parts(row_sizes(items), list(ORDER), part_bytes) if part_bytes else None
-    items = unwrap_items(items, ("Feedback", "CreatedAt"), list_mode)
 
-    rows = report_rows(items).where(F.col("usuario_id").isNotNull())
-    feedback = last_feedback(
-        items.withColumn("cells", _feedback_cells(F.col("Feedback"))), "cells"
-    )
-    keys = ["usuario_id"]
-    if parts is not None:
-        keys.append("parte")
-        rows = attach_parts(rows, parts, "usuario_id", list(ORDER))
-        feedback = _feedback_parts(feedback, parts)
+    def cells(winners: DataFrame) -> DataFrame:
+        return unwrap_items(winners, ("Feedback",), list_mode).withColumn("Feedback", _feedback_cells(F.col("Feedback")))
+
+    feedback = last_feedback(items, cells)
+    rows = report_rows(unwrap_items(items, ("Feedback", "CreatedAt"), list_mode)).where(F.col("usuario_id").isNotNull())
     rows = conversation_texts(keep_report_rows(rows, **limits))
     rows = rows.withColumn("own", F.when(F.col("Feedback").isNotNull(), _feedback_cells(F.col("Feedback"))))
 
-    grouped = rows.groupBy(*keys).agg(
+    grouped = rows.groupBy("usuario_id").agg(
         *_user_facts(),
         F.sum("numero_conversaciones").cast("bigint").alias("numero_conversaciones"),
+        text_bytes("conversacion_completa", "pregunta_conversacion", "own.total").alias("_bytes"),
         ordered_rows("conversacion_completa", "pregunta_conversacion", "own").alias("_rows"),
     )
-    if parts is not None:
-        numbers = parts.select("usuario_id", "parte").distinct()
-        grouped = with_user_facts(grouped, rows, numbers, _user_facts())
-    joined = grouped.join(feedback, keys, "left")
+    joined = grouped.join(feedback, "usuario_id", "left").withColumn(
+        "_rows", bounded_rows("usuario_id", "_bytes", "_rows"))
 
     def cells_of(row: Column) -> Column:
         winner = F.try_element_at(F.col("last_feedback"), row["PK"])
-        return F.when(winner.isNotNull() & ~row["is_other"], winner["cells"]).otherwise(row["own"])
+        return F.when(winner.isNotNull() & ~row["is_other"], winner["Feedback"]).otherwise(row["own"])
 
     report = joined.withColumn("_cells", F.transform("_rows", cells_of)).select(
-        *keys, "nombre", "gerencia", F.col("gerencia").alias("ciudad"),
+        "usuario_id", "nombre", "gerencia", F.col("gerencia").alias("ciudad"),
         "fecha_primera_conversacion", "numero_conversaciones",
         join_written(column_of("_rows", "conversacion_completa"), separator).alias("conversacion_completa"),
         join_written(column_of("_cells", "total"), separator).alias("feedback_total"),
@@ -192,15 +162,4 @@ def user_report(
         ).alias("numero_feedback"),
         join_written(column_of("_rows", "pregunta_conversacion"), separator).alias("pregunta_conversacion"),
     )
-    report = classify_report(report)
-    if with_part:
-        part = F.col("parte") if parts is not None else F.lit(0)
-        return report.select(*V.REPORT_COLUMNS, part.alias("parte"))
-    return enforce_columns(report)
-
-
-def _feedback_parts(feedback: DataFrame, parts: DataFrame) -> DataFrame:
-    """One copy of a long user's feedback per part, so rows and feedback share both keys."""
-    numbers = parts.select("usuario_id", "parte").distinct()
-    short = feedback.join(numbers, "usuario_id", "left_anti").withColumn("parte", F.lit(0))
-    return short.unionByName(feedback.join(numbers, "usuario_id"))
+    return enforce_columns(classify_report(report))

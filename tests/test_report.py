@@ -7,7 +7,6 @@ from parlance import fixed_values as V, schemas
 from parlance.operators import items as it, reports as rp, rollup as ro
 from parlance.operators.contract import column_differences, enforce_columns
 from parlance.operators.feedback_join import join_last_feedback
-from parlance.operators.parts import number_parts, running_total
 from parlance.plans import typed_report as ty, user_report as ur
 
 
@@ -87,51 +86,60 @@ def test_one_row_per_user_and_counts_preserved(spark):
     assert tuple(before) == tuple(after)
 
 
-@pytest.mark.parametrize("part_bytes", [100, 700])
-def test_long_users_come_in_parts(spark, part_bytes):
-    items = _random_items(spark, 4).cache()
-    whole = {r.usuario_id: r for r in ur.user_report(items, as_of="2025-08-31", part_bytes=None).collect()}
-    parts = ur.user_report(items, as_of="2025-08-31", part_bytes=part_bytes, with_part=True)
-    by_user = {}
-    for r in parts.orderBy("usuario_id", "parte").collect():
-        by_user.setdefault(r.usuario_id, []).append(r)
-    assert set(by_user) == set(whole)
-    assert max(len(p) for p in by_user.values()) > 3
-    for user, rows in by_user.items():
-        one = whole[user]
-        for column in ("conversacion_completa", "feedback_total", "pregunta_conversacion"):
-            assert " || ".join(r[column] for r in rows if r[column]) == one[column]
-        for column in ("numero_conversaciones", "numero_feedback"):
-            assert sum(r[column] for r in rows) == one[column]
-        for column in ("nombre", "gerencia", "ciudad", "fecha_primera_conversacion"):
-            assert {r[column] for r in rows} == {one[column]}
-
-
-def test_reports_count_users_not_parts(spark):
-    items = _random_items(spark, 8).cache()
-    whole = ur.user_report(items, as_of="2025-08-31", part_bytes=None).cache()
-    parts = ur.user_report(items, as_of="2025-08-31", part_bytes=150).cache()
-    assert parts.count() > whole.count()
-    for report in (
-        rp.run_stats, rp.feedback_distribution, rp.feedback_histogram, rp.conversation_buckets, rp.completeness,
-        rp.answer_vocabulary, rp.top_answers, rp.answer_shape, rp.coherence, rp.kpis,
-    ):
-        assert _rows(report(parts)) == _rows(report(whole)), report.__name__
-    typed = [rp.validation_report(ty.convert_columns(ty.as_text(r))).first() for r in (parts, whole)]
-    assert typed[0] == typed[1]
-
-
-@pytest.mark.parametrize("part_bytes", [100, 700])
-def test_rollup_in_parts_equals_report_in_parts(spark, part_bytes):
-    items = _random_items(spark, 7).cache()
-    direct = ur.user_report(items, as_of="2025-08-31", part_bytes=part_bytes)
-    rows = ur.conversation_report(items, as_of="2025-08-31", part_bytes=part_bytes)
-    rolled = ur.rollup_conversations(rows)
-    assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, rolled.collect()))
-    assert rolled.count() > rolled.select("usuario_id").distinct().count()
+def _twin(items):
+    """The user report in plain Python, from the rows per conversation."""
+    rows = ur.conversation_report(items, as_of="2025-08-31").collect()
+    users = {}
+    for r in sorted((r for r in rows if r.usuario_id is not None), key=lambda r: (r.is_other, r.SK, r.PK)):
+        users.setdefault(r.usuario_id, []).append(r)
+
+    def first(values, default, skip_default):
+        real = [v for v in values if v not in (None, "", "nan", "None") and not (skip_default and v == default)]
+        return real[0] if real else default
+
+    out = {}
+    for user, own in users.items():
+        texts = {c: " || ".join(r[c] for r in own if r[c] not in (None, "", "nan", "None"))
+                 for c in ("conversacion_completa", "feedback_total", "pregunta_conversacion")}
+        area = first([r.gerencia for r in own], V.UNSPECIFIED_AREA, False)
+        out[user] = (
+            first([r.nombre for r in own], V.ANONYMOUS_NAME, True), area, area, own[0].fecha_primera_conversacion,
+            sum(r.numero_conversaciones for r in own), texts["conversacion_completa"], texts["feedback_total"],
+            sum(r.numero_feedback for r in own), texts["pregunta_conversacion"],
+        )
+    return out
+
+
+def test_one_row_per_user_however_skewed(spark):
+    """One user with more than a third of 3000 rows: a row per user, equal to a plain Python twin."""
+    items = _random_items(spark, 4, users=300, rows=3000, hot=0.35).cache()
+    report = ur.user_report(items, as_of="2025-08-31").cache()
+    found = {r.usuario_id: tuple(r)[1:10] for r in report.collect()}
+    assert found == _twin(items) and report.count() == len(found)
+    assert rp.duplicate_check(report).first().sin_duplicados
+    assert [r.usuario_id for r in rp.first_rows(report, 5).collect()] == sorted(found)[:5]
+    profile = {r.columna: r.validos for r in ty.null_profile(report).collect()}
+    assert profile["usuario_id"] == len(found)
+    rolled = ur.rollup_conversations(ur.conversation_report(items, as_of="2025-08-31"))
+    assert sorted(map(tuple, rolled.collect())) == sorted(map(tuple, report.collect()))
+
+
+def test_plan_does_not_depend_on_the_data(spark):
+    def exchanges(items):
+        plan = ur.user_report(items)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange")
+
+    even, skewed = (_random_items(spark, 5, users=200, rows=400, hot=share).cache() for share in (0.0, 0.9))
+    assert exchanges(even) == exchanges(skewed)
+
+
+def test_text_beyond_a_row_ends_the_job(spark, monkeypatch):
+    monkeypatch.setattr(ro, "ROW_BYTES", 50)
+    with pytest.raises(Exception, match="a row holds at most 50"):
+        ur.user_report(_random_items(spark, 4), as_of="2025-08-31").collect()
 
 
-def test_ordered_concat_in_parts(spark):
+def test_ordered_concat(spark):
     rng = random.Random(2)
     data = [("hot" if rng.random() < 0.4 else f"k{i % 5}", i, rng.choice(["", "nan", None, f"t{i}"])) for i in range(400)]
     df = spark.createDataFrame(data, "k string, i int, t string").repartition(5)
@@ -140,37 +148,6 @@ def test_ordered_concat_in_parts(spark):
         expected.setdefault(k, []).extend([t] if t not in ("", "nan", None) else [])
     whole = {r.k: r.t for r in ro.ordered_concat(df, "k", "t", ["i"], "|").collect()}
     assert whole == {k: "|".join(v) for k, v in expected.items()}
-    parts = ro.ordered_concat(df, "k", "t", ["i"], "|", part_bytes=50).orderBy("k", "parte").collect()
-    joined = {}
-    for r in parts:
-        joined.setdefault(r.k, []).append(r.t)
-    assert {k: "|".join(t for t in v if t) for k, v in joined.items()} == whole
-    assert len(joined["hot"]) > 3
-
-
-def test_parts_are_bounded(spark):
-    items = _random_items(spark, 5, rows=300)
-    order = list(ro.ORDER)
-    sizes = ur.row_sizes(items)
-    numbered = number_parts(sizes, order, 500)
-    joined = numbered.join(sizes.where("is_row"), ["usuario_id", *order])
-    assert joined.count() == numbered.count()
-    largest = joined.groupBy("usuario_id", "parte").agg(F.sum("row_bytes").alias("b"), F.max("row_bytes").alias("m"))
-    assert largest.where("b > 500 + m").isEmpty()
-    assert number_parts(sizes, order, 10**9) is None
-
-
-def test_running_total_against_brute_force(spark):
-    rng = random.Random(9)
-    data = [("hot" if rng.random() < 0.5 else f"k{rng.randrange(20)}", i, rng.randrange(100)) for i in range(3000)]
-    rng.shuffle(data)
-    df = spark.createDataFrame(data, "k string, i int, size int").repartition(7)
-    got = {(r.k, r.i): r.before for r in running_total(df, "k", ["i"], "size").collect()}
-    expected, sums = {}, {}
-    for k, i, size in sorted(data):
-        expected[k, i] = sums.get(k, 0)
-        sums[k] = expected[k, i] + size
-    assert got == expected
 
 
 def test_notebook_rollup_options(spark):
@@ -211,7 +188,7 @@ def test_report_moves_the_text_once(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = ur.user_report(items, part_bytes=None)._jdf.queryExecution().executedPlan().toString()
+        plan = ur.user_report(items)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
