@@ -2,16 +2,13 @@
 
 Every adapter keeps all rows and whole texts. Keys decide only the *form* of a
 cell (envelope, JSON, Python literal), never whether its row or text is used.
-A conversation longer than ``TURNS_PER_ITEM`` turns becomes several items, so
-no cell grows without bound.
+A conversation is one item, however many turns it has.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-
-TURNS_PER_ITEM = 64
 USERS_PER = 3  # conversations per user
 FIRST_DAY = "2025-07-25"
 AREAS = (
@@ -49,10 +46,9 @@ def _created_at(conversation_id: Column) -> Column:
 
 
 def grouped_turns(conversations: DataFrame) -> DataFrame:
-    """``conv_id, part, turns``: the ordered turns of each item."""
-    return conversations.groupBy(
-        "conv_id", F.floor(F.col("turn") / F.lit(TURNS_PER_ITEM)).alias("part")
-    ).agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    """``conv_id, turns``: the ordered turns of each conversation."""
+    return conversations.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
 
 
 def _speaker(turn: Column, conversation_id: Column) -> Column:
@@ -174,10 +170,7 @@ def items(spark: SparkSession, sf_dir: str, form: int | None = None) -> DataFram
         .join(customers, "user", "left")
         .select(
             _user_key(F.col("user")).alias("PK"),
-            F.concat(
-                F.lit("CONVERSATION#"), F.lpad(F.col("conv_id").cast("string"), 10, "0"),
-                F.lit("#"), F.lpad(F.col("part").cast("string"), 6, "0"),
-            ).alias("SK"),
+            F.concat(F.lit("CONVERSATION#"), F.lpad(F.col("conv_id").cast("string"), 10, "0")).alias("SK"),
             _profile_cell(F.col("user"), F.col("c_name")).alias("UserData"),
             _created_at(F.col("conv_id")).alias("CreatedAt"),
             conversation_cell(F.col("conv_id"), F.col("turns"), cell_form).alias("Conversation"),
@@ -206,12 +199,12 @@ def items(spark: SparkSession, sf_dir: str, form: int | None = None) -> DataFram
 
 
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``conv_id, part, conversacion_completa`` straight from the turns."""
+    """``conv_id, conversacion_completa`` straight from the turns."""
     from parlance.functions.transcript import join_messages
 
     turns = grouped_turns(table(spark, sf_dir, "conversations"))
     messages = F.transform("turns", lambda t: F.struct(t["role"].alias("speaker"), t["text"].alias("text")))
-    return turns.select("conv_id", "part", join_messages(messages).alias("conversacion_completa"))
+    return turns.select("conv_id", join_messages(messages).alias("conversacion_completa"))
 
 
 def _map_cell(conversation_id: Column, turns: Column) -> Column:
@@ -253,8 +246,10 @@ def message_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = grouped_turns(table(spark, sf_dir, "conversations")).withColumn("user", _user(F.col("conv_id")))
     talks = turns.select(
         F.col("user").cast("string").alias("PK"),
-        F.concat_ws("#", F.col("conv_id").cast("string"), F.col("part").cast("string")).alias("SK"),
+        F.col("conv_id").cast("string").alias("SK"),
         F.when(F.col("conv_id") % 19 == 0, "sin fecha")
+        # Some times are beyond any clock; their items are priced as errors.
+        .when(F.col("conv_id") % 13 == 5, F.repeat(epoch_of(F.col("conv_id")).cast("string"), F.lit(2)))
         .when(F.col("conv_id") % 23 != 0, epoch_of(F.col("conv_id")).cast("string"))
         .alias("CreateTime"),
         _map_cell(F.col("conv_id"), F.col("turns")).alias("MessageMap"),
@@ -267,3 +262,29 @@ def message_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").alias("TotalPrice"),
     )
     return talks.unionByName(silent)
+
+
+RULE_PHRASES = (
+    "El trámite de registro es", "El certificado catastral incluye", "El CHIP", "Cuesta", "Los requisitos son",
+    "Quince días hábiles", "La sede", "Horario y atención", "Nada de eso",
+)
+
+
+def ruled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, text``: whole documents after words that one of the question rules looks for, or none."""
+    phrase = F.element_at(F.array(*[F.lit(p) for p in RULE_PHRASES]), (F.col("doc_id") % len(RULE_PHRASES) + 1).cast("int"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(phrase, F.lit(" "), F.col("text")).alias("text"))
+
+
+def dialogue_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, text``: whole documents in each of the forms that questions are read from."""
+    said = F.translate(F.col("text"), "|", "/")
+    form = F.col("doc_id") % 5
+    text = (
+        F.when(form == 0, F.concat(F.lit("user: "), said, F.lit(" | bot: ok || user: segunda | user: "), said))
+        .when(form == 1, F.concat(F.lit("user: "), said, F.lit(" | bot: ok | user: otra")))
+        .when(form == 2, F.concat(F.lit("User: "), said))
+        .when(form == 3, F.concat(F.lit("bot: "), said))
+        .otherwise(F.concat(F.lit("hola user: "), said))
+    )
+    return ruled_texts(spark, sf_dir).select("doc_id", text.alias("text"))

@@ -8,6 +8,7 @@ parsing as well as the arithmetic.
 from __future__ import annotations
 
 from parlance import fixed_values as V
+from workload.adapters import RULE_PHRASES
 from workload.queries import AS_OF, EVENT_FIRST_MS, EVENT_LAST_MS, FIRST_MS, LAST_MS, MODEL
 
 _WS = "'" + V.WHITESPACE + "'"
@@ -63,19 +64,19 @@ def _half_up(numerator: str, denominator: str, places: int) -> str:
 
 _LINES = f"""
 line AS (
-  SELECT conv_id, conv_id // 3 AS u, turn // 64 AS part, turn, role, text,
+  SELECT conv_id, conv_id // 3 AS u, turn, role, text,
          {_strip(f"replace(replace({_strip('text')}, chr(10) || chr(10), ' '), chr(10), ' ')")} AS clean
   FROM conversations
 ),
 talk AS (
-  SELECT conv_id, u, part,
+  SELECT conv_id, u,
          'USER#' || u AS PK,
-         'CONVERSATION#' || lpad(conv_id::VARCHAR, 10, '0') || '#' || lpad(part::VARCHAR, 6, '0') AS SK,
+         'CONVERSATION#' || lpad(conv_id::VARCHAR, 10, '0') AS SK,
          string_agg(CASE role WHEN 'assistant' THEN 'bot' ELSE role END || ': ' || clean, ' | ' ORDER BY turn) AS t,
          coalesce(list(clean ORDER BY turn) FILTER (WHERE role = 'user' AND clean <> ''), []::VARCHAR[]) AS qs,
          coalesce(list(clean ORDER BY turn) FILTER (WHERE role = 'assistant' AND clean <> ''), []::VARCHAR[]) AS bs,
          CASE WHEN conv_id % 11 <> 0 THEN DATE '2025-07-25' + (conv_id % 60)::INTEGER END AS dia
-  FROM line GROUP BY conv_id, u, part
+  FROM line GROUP BY conv_id, u
 ),
 talked AS (
   SELECT *, greatest({_count('t', 'bot')}, {_count('t', 'user')}, 1) AS n,
@@ -188,7 +189,7 @@ typed AS (
     SELECT u::VARCHAR AS usuario_id, sum(CASE WHEN role = 'user' THEN tokens ELSE 0 END)::INTEGER AS token_pregunta,
            sum(CASE WHEN role = 'assistant' THEN tokens ELSE 0 END)::INTEGER AS token_respuesta
     FROM (SELECT kept.u, role, {_estimate('clean')} AS tokens FROM kept
-          JOIN line ON kept.o = 0 AND kept.SK = 'CONVERSATION#' || lpad(conv_id::VARCHAR, 10, '0') || '#' || lpad(part::VARCHAR, 6, '0'))
+          JOIN line ON kept.o = 0 AND kept.SK = 'CONVERSATION#' || lpad(conv_id::VARCHAR, 10, '0'))
     GROUP BY u
   ) USING (usuario_id)
 )"""
@@ -198,24 +199,29 @@ SELECT * REPLACE (coalesce(token_pregunta, 0) AS token_pregunta, coalesce(token_
 
 _MESSAGES = f"""
 item AS (
-  SELECT conv_id, turn // 64 AS part, (conv_id // 3)::VARCHAR AS pk, conv_id || '#' || (turn // 64) AS sk,
+  SELECT conv_id, (conv_id // 3)::VARCHAR AS pk, conv_id::VARCHAR AS sk,
          sum(CASE WHEN role IN ('user', 'system') THEN {_chars4('text')} ELSE 0 END)::INTEGER AS i,
          sum(CASE WHEN role = 'assistant' THEN {_chars4('text')} ELSE 0 END)::INTEGER AS o,
-         CASE WHEN conv_id % 19 = 0 THEN 'bad' WHEN conv_id % 23 = 0 THEN 'none' ELSE 'ok' END AS clock,
+         CASE WHEN conv_id % 19 = 0 THEN 'bad' WHEN conv_id % 13 = 5 THEN 'error' WHEN conv_id % 23 = 0 THEN 'none'
+              ELSE 'ok' END AS clock,
          epoch_ms((DATE '2025-07-25' + (conv_id % 60)::INTEGER)::TIMESTAMP) + conv_id * 1000 AS ms,
          NULL::DOUBLE AS stored
-  FROM conversations GROUP BY conv_id, turn // 64
+  FROM conversations GROUP BY conv_id
   UNION ALL
-  SELECT NULL, NULL, c_custkey::VARCHAR, 'silent', 0, 0, 'none', NULL, c_acctbal
+  SELECT NULL, c_custkey::VARCHAR, 'silent', 0, 0, 'none', NULL, c_acctbal
   FROM customer WHERE c_custkey NOT IN (SELECT conv_id // 3 FROM conversations)
 ),
+counted AS (
+  SELECT * REPLACE (CASE WHEN clock = 'error' THEN 0 ELSE i END AS i, CASE WHEN clock = 'error' THEN 0 ELSE o END AS o)
+  FROM item WHERE clock <> 'ok' OR ms BETWEEN {FIRST_MS} AND {LAST_MS}
+),
 tokens AS (
-  SELECT CASE clock WHEN 'bad' THEN '{V.INVALID_DATE}' WHEN 'none' THEN ''
+  SELECT CASE clock WHEN 'bad' THEN '{V.INVALID_DATE}' WHEN 'none' THEN '' WHEN 'error' THEN '{V.ERROR_DATE}'
               ELSE strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') END AS create_date,
          i AS input_token, o AS output_token,
          (i::BIGINT * 3)::DOUBLE / 1000000 AS precio_token_input, (o::BIGINT * 15)::DOUBLE / 1000000 AS precio_token_output,
          coalesce(stored, (i::BIGINT * 3 + o::BIGINT * 15)::DOUBLE / 1000000) AS total_price, pk, sk
-  FROM item WHERE clock <> 'ok' OR ms BETWEEN {FIRST_MS} AND {LAST_MS}
+  FROM counted
 )"""
 
 _EVENTS = """
@@ -239,7 +245,7 @@ _RAW_ROWS = _with(_LINES, _PROFILES, _FEEDBACK, _ROWS, _ROWS.replace("kept AS",
 raw_talk AS (
   SELECT SK, to_json(list(struct_pack("from" := speaker, "text" := text) ORDER BY turn))::VARCHAR AS raw,
          coalesce(string_agg(trim(text, {_WS}), ' | ' ORDER BY turn) FILTER (WHERE speaker = 'user' AND trim(text, {_WS}) <> ''), '') AS raw_q
-  FROM (SELECT *, 'CONVERSATION#' || lpad(conv_id::VARCHAR, 10, '0') || '#' || lpad(part::VARCHAR, 6, '0') AS SK,
+  FROM (SELECT *, 'CONVERSATION#' || lpad(conv_id::VARCHAR, 10, '0') AS SK,
                CASE WHEN role = 'user' AND conv_id % 2 = 1 THEN 'USUARIO'
                     WHEN role = 'assistant' AND conv_id % 2 = 1 THEN 'Bot' ELSE role END AS speaker FROM line)
   GROUP BY SK
@@ -316,15 +322,24 @@ ORACLES: dict[str, str] = {
     "questions_of_documents": f"""
         SELECT doc_id, {_strip("replace(text, '|', '/')")} AS pregunta FROM documents""",
     "implied_questions": f"SELECT doc_id, {_IMPLIED} AS pregunta FROM documents",
+    "implied_questions_by_rule": "WITH said AS (SELECT doc_id, [" + ", ".join(f"'{p}'" for p in RULE_PHRASES)
+        + f"][doc_id % {len(RULE_PHRASES)} + 1] || ' ' || text AS text FROM documents) SELECT doc_id, {_IMPLIED} AS pregunta FROM said",
+    "questions_of_all_forms": f"""
+        WITH said AS (
+          SELECT doc_id, {_strip("replace(text, '|', '/')")} AS t, 'bot: ' || replace(text, '|', '/') AS text FROM (
+            SELECT doc_id, [{", ".join(f"'{p}'" for p in RULE_PHRASES)}][doc_id % {len(RULE_PHRASES)} + 1] || ' ' || text AS text
+            FROM documents))
+        SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN t || ' | segunda' WHEN 1 THEN t || ' | otra' WHEN 3 THEN {_IMPLIED} ELSE t END AS pregunta
+        FROM said""",
     "json_questions": f"""
-        SELECT conv_id, turn // 64 AS part,
+        SELECT conv_id,
                coalesce(string_agg({_strip('text')}, ' | ' ORDER BY turn) FILTER (WHERE role = 'user' AND {_strip('text')} <> ''), '') AS pregunta
-        FROM conversations GROUP BY conv_id, turn // 64""",
+        FROM conversations GROUP BY conv_id""",
     "role_text": f"""
-        SELECT conv_id, turn // 64 AS part,
+        SELECT conv_id,
                coalesce(string_agg({_strip('text')}, ' ' ORDER BY turn) FILTER (WHERE role = 'user' AND {_strip('text')} <> ''), '') AS texto_user,
                coalesce(string_agg({_strip('text')}, ' ' ORDER BY turn) FILTER (WHERE role = 'assistant' AND {_strip('text')} <> ''), '') AS texto_bot
-        FROM conversations GROUP BY conv_id, turn // 64""",
+        FROM conversations GROUP BY conv_id""",
     "feedback_count": _with(_FEEDBACK) + "SELECT PK, SK, n::INTEGER AS n FROM fb",
     "feedback_class": _with(_FEEDBACK) + "SELECT PK, SK, class AS feedback FROM fb",
     "feedback_answers": _with(_FEEDBACK) + """
@@ -359,7 +374,7 @@ ORACLES: dict[str, str] = {
         SELECT u::VARCHAR AS usuario_id, coalesce(nullif(nombre, ''), '{V.ANONYMOUS_NAME}') AS nombre,
                coalesce(nullif(ciudad, ''), '{V.UNSPECIFIED_AREA}') AS gerencia FROM profile""",
     "ordered_concatenation": _TALKS + """
-        SELECT u::VARCHAR AS usuario_id, 0 AS parte, string_agg(t, ' || ' ORDER BY SK) AS texto FROM talked GROUP BY u""",
+        SELECT u::VARCHAR AS usuario_id, string_agg(t, ' || ' ORDER BY SK) AS texto FROM talked GROUP BY u""",
     "report_contract": "SELECT " + ", ".join(
         {"usuario_id": "c_custkey::VARCHAR AS usuario_id", "nombre": "c_name AS nombre"}.get(c, f"'' AS {c}")
         for c in V.REPORT_COLUMNS
@@ -378,7 +393,7 @@ ORACLES: dict[str, str] = {
         SELECT PK, SK, CASE WHEN dia IS NOT NULL THEN strftime(dia, '%Y-%m-%d') || 'T10:00:00.000Z' END AS CreatedAt,
                t AS conversacion_completa FROM talked""",
     "message_export_round_trip": _TOKENS + """
-        SELECT pk AS PK, sk AS SK, CASE clock WHEN 'bad' THEN 'sin fecha' WHEN 'ok' THEN ms::VARCHAR END AS CreateTime,
+        SELECT pk AS PK, sk AS SK, CASE clock WHEN 'bad' THEN 'sin fecha' WHEN 'ok' THEN ms::VARCHAR WHEN 'error' THEN repeat(ms::VARCHAR, 2) END AS CreateTime,
                stored AS TotalPrice FROM item""",
     "items_csv_round_trip": _RAW_ROWS + """
         SELECT rws.PK, rws.SK, created AS CreatedAt, raw AS Conversation, own AS Feedback FROM rws LEFT JOIN raw_talk USING (SK)
@@ -415,31 +430,34 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, class AS feedback, CASE WHEN class IS NOT NULL THEN 'respuesta ' || doc_id END AS respuesta_feedback
         FROM (SELECT doc_id, CASE WHEN quality = 1 AND toxic = 1 THEN 'mixed' WHEN quality = 1 THEN 'like'
                                   WHEN toxic = 1 THEN 'dislike' END AS class FROM labels)""",
-    "user_texts": _TALKS + "SELECT conv_id, part, array_to_string(qs, chr(10)) AS textos FROM talked",
-    "bot_texts": _TALKS + "SELECT conv_id, part, array_to_string(bs, chr(10)) AS textos FROM talked",
+    "user_texts": _TALKS + "SELECT conv_id, array_to_string(qs, chr(10)) AS textos FROM talked",
+    "bot_texts": _TALKS + "SELECT conv_id, array_to_string(bs, chr(10)) AS textos FROM talked",
     "speaker_text": _TALKS + f"""
-        SELECT conv_id, part, {_strip("regexp_replace(array_to_string(qs, ' '), ' {2,}', ' ', 'g')")} AS texto_user,
+        SELECT conv_id, {_strip("regexp_replace(array_to_string(qs, ' '), ' {2,}', ' ', 'g')")} AS texto_user,
                {_strip("regexp_replace(array_to_string(bs, ' '), ' {2,}', ' ', 'g')")} AS texto_bot FROM talked""",
     "transcript_tokens": _TALKS + f"""
-        SELECT conv_id, part, sum(CASE WHEN role = 'user' THEN {_estimate('clean')} ELSE 0 END)::INTEGER AS token_pregunta,
+        SELECT conv_id, sum(CASE WHEN role = 'user' THEN {_estimate('clean')} ELSE 0 END)::INTEGER AS token_pregunta,
                sum(CASE WHEN role = 'assistant' THEN {_estimate('clean')} ELSE 0 END)::INTEGER AS token_respuesta
-        FROM line GROUP BY conv_id, part""",
+        FROM line GROUP BY conv_id""",
     "null_profile": _TYPED_REPORT + ", typed_all AS (" + _TYPED_SELECT + ") " + _columns_as_rows(
         _TYPED_COLUMNS,
         "SELECT '{name}' AS columna, '{kind}' AS tipo, count({name}) AS validos, count(*) - count({name}) AS nulos FROM typed_all",
     ),
     # message maps and token costs
     "message_map_rows": """
-        SELECT conv_id || '#' || (turn // 64) AS SK, CASE role WHEN 'system' THEN role ELSE 't' || turn END AS message_id,
+        SELECT conv_id::VARCHAR AS SK, CASE role WHEN 'system' THEN role ELSE 't' || turn END AS message_id,
                role, text AS body FROM conversations
         UNION ALL
-        SELECT DISTINCT conv_id || '#' || (turn // 64), 'file', 'user', '' FROM conversations WHERE conv_id % 17 = 0""",
+        SELECT DISTINCT conv_id::VARCHAR, 'file', 'user', '' FROM conversations WHERE conv_id % 17 = 0""",
     "message_map_tokens": _TOKENS + "SELECT sk AS SK, i AS input_token, o AS output_token FROM item WHERE conv_id IS NOT NULL",
     "enveloped_map_tokens": _TOKENS + """
-        SELECT conv_id, part, i AS input_token, o AS output_token FROM item WHERE conv_id IS NOT NULL""",
+        SELECT conv_id, i AS input_token, o AS output_token FROM item WHERE conv_id IS NOT NULL""",
     "typed_envelope": """
-        SELECT conv_id, turn // 64 AS part, CASE WHEN role = 'user' AND conv_id % 2 = 1 THEN 'USUARIO'
+        SELECT conv_id, CASE WHEN role = 'user' AND conv_id % 2 = 1 THEN 'USUARIO'
                WHEN role = 'assistant' AND conv_id % 2 = 1 THEN 'Bot' ELSE role END AS de, text AS texto FROM conversations""",
+    "nested_envelope": """
+        SELECT conv_id, turn::INTEGER AS turn, text AS texto, '["' || role || '",true,null,["a","b]}"]]' AS marcas
+        FROM conversations""",
     "token_repair": _TOKENS + """
         SELECT CASE WHEN conv_id IS NULL THEN 'missing' WHEN conv_id % 17 IN (0, 2) THEN 'repaired'
                     WHEN conv_id % 17 = 1 THEN 'cut' ELSE 'valid' END AS parse_status, count(*) AS n FROM item GROUP BY 1""",
@@ -453,9 +471,9 @@ ORACLES: dict[str, str] = {
         SELECT event_id, CASE clock WHEN 'bad' THEN '{V.INVALID_DATE}' WHEN 'none' THEN '' WHEN 'error' THEN '{V.ERROR_DATE}'
                ELSE strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') END AS create_date FROM event_time""",
     "run_counters": _TOKENS + f"""
-        SELECT count(*) FILTER (WHERE clock <> 'ok' OR ms BETWEEN {FIRST_MS} AND {LAST_MS}) AS processed_count,
+        SELECT count(*) FILTER (WHERE clock IN ('bad', 'none') OR clock = 'ok' AND ms BETWEEN {FIRST_MS} AND {LAST_MS}) AS processed_count,
                count(*) FILTER (WHERE clock = 'ok' AND ms NOT BETWEEN {FIRST_MS} AND {LAST_MS}) AS filtered_count,
-               0::BIGINT AS error_count FROM item""",
+               count(*) FILTER (WHERE clock = 'error') AS error_count FROM item""",
     "event_counters": _with(_EVENTS) + f"""
         SELECT count(*) FILTER (WHERE clock IN ('bad', 'none') OR clock = 'ok' AND ms BETWEEN {EVENT_FIRST_MS} AND {EVENT_LAST_MS}) AS processed_count,
                count(*) FILTER (WHERE clock = 'ok' AND ms NOT BETWEEN {EVENT_FIRST_MS} AND {EVENT_LAST_MS}) AS filtered_count,
@@ -499,6 +517,11 @@ ORACLES: dict[str, str] = {
         SELECT '1' AS grupo, count(*) FILTER (WHERE c = 1) AS n, any_value(promedio) AS promedio FROM turns, mean
         UNION ALL SELECT '2-5', count(*) FILTER (WHERE c BETWEEN 2 AND 5), any_value(promedio) FROM turns, mean
         UNION ALL SELECT '6+', count(*) FILTER (WHERE c > 5), any_value(promedio) FROM turns, mean""",
+    "user_conversation_buckets": _REPORT + f"""
+        , mean AS (SELECT {_half_up("sum(numero_conversaciones)", "count(*)", 2)} AS promedio FROM report)
+        SELECT '1' AS grupo, count(*) FILTER (WHERE numero_conversaciones = 1) AS n, any_value(promedio) AS promedio FROM report, mean
+        UNION ALL SELECT '2-5', count(*) FILTER (WHERE numero_conversaciones BETWEEN 2 AND 5), any_value(promedio) FROM report, mean
+        UNION ALL SELECT '6+', count(*) FILTER (WHERE numero_conversaciones > 5), any_value(promedio) FROM report, mean""",
     "duplicate_users": _ALL_ROWS + """
         SELECT u::VARCHAR AS usuario_id, count(*) AS n FROM rws GROUP BY 1 HAVING count(*) > 1""",
     "duplicate_check": "SELECT 0::BIGINT AS repetidos, true AS sin_duplicados",

@@ -16,7 +16,6 @@ from parlance.functions.questions import implied_question, user_questions
 from parlance.operators import items as it, reports as rp
 from parlance.operators.contract import enforce_columns
 from parlance.operators.feedback_join import join_last_feedback
-from parlance.operators.parts import DEFAULT_PART_BYTES
 from parlance.operators.rollup import ORDER, first_real, ordered_concat
 from parlance.plans import raw_report as raw, token_costs as tc, typed_report as ty, user_report as ur
 from parlance.session import new_folder
@@ -203,20 +202,30 @@ def implied_questions(spark, sf):
     return _documents(spark, sf).select("doc_id", implied_question(F.col("text")).alias("pregunta"))
 
 
+@query
+def implied_questions_by_rule(spark, sf):
+    return ad.ruled_texts(spark, sf).select("doc_id", implied_question(F.col("text")).alias("pregunta"))
+
+
+@query
+def questions_of_all_forms(spark, sf):
+    return ad.dialogue_texts(spark, sf).select("doc_id", user_questions(F.col("text")).alias("pregunta"))
+
+
 @query
 def json_questions(spark, sf):
     turns = ad.grouped_turns(ad.table(spark, sf, "conversations"))
     messages = F.transform("turns", lambda t: F.struct(t["role"].alias("from"), t["text"].alias("text")))
-    return turns.select("conv_id", "part", tr.json_questions(F.to_json(messages)).alias("pregunta"))
+    return turns.select("conv_id", tr.json_questions(F.to_json(messages)).alias("pregunta"))
 
 
 @query
 def role_text(spark, sf):
     turns = ad.grouped_turns(ad.table(spark, sf, "conversations"))
     text = ad.literal_conversation(F.col("conv_id"), F.col("turns"), exact=True)
-    turns = turns.select("conv_id", "part", text.alias("literal"))
+    turns = turns.select("conv_id", text.alias("literal"))
     return turns.select(
-        "conv_id", "part",
+        "conv_id",
         tr.role_text(F.col("literal"), "user").alias("texto_user"),
         tr.role_text(F.col("literal"), "bot").alias("texto_bot"),
     )
@@ -263,7 +272,7 @@ def user_report(spark, sf):
 
 @query
 def user_report_by_rollup(spark, sf):
-    rows = ur.conversation_report(ad.items(spark, sf), as_of=AS_OF, part_bytes=DEFAULT_PART_BYTES)
+    rows = ur.conversation_report(ad.items(spark, sf), as_of=AS_OF)
     return ur.rollup_conversations(rows)
 
 
@@ -287,9 +296,8 @@ def first_real_value(spark, sf):
 def ordered_concatenation(spark, sf):
     rows = _talks(spark, sf).select(
         it.user_id(F.col("PK")).alias("usuario_id"), "SK", tr.transcript(F.col("Conversation")).alias("texto"),
-        F.octet_length("Conversation").alias("tamano"),
     )
-    return ordered_concat(rows, "usuario_id", "texto", ["SK"], V.CONVERSATION_SEPARATOR, size=F.col("tamano"))
+    return ordered_concat(rows, "usuario_id", "texto", ["SK"], V.CONVERSATION_SEPARATOR)
 
 
 @query
@@ -379,8 +387,9 @@ def catalog_columns(spark, sf):
 def arrival_refresh(spark, sf):
     landing = writers.write_csv(_report(spark, sf), new_folder(spark, "landing"))
     target = new_folder(spark, "refreshed")
-    refresh.refresh(spark, landing, target, new_folder(spark, "progress"))
-    return refresh.latest_per_user(refresh.read_refreshed(spark, target))
+    view = "parlance_refreshed_report"
+    refresh.refresh(spark, landing, target, new_folder(spark, "progress"), view=view)
+    return refresh.latest_per_user(spark.table(view))
 
 
 # --- typed columns ----------------------------------------------------------------------
@@ -436,20 +445,20 @@ def feedback_domain(spark, sf):
 @query
 def user_texts(spark, sf):
     texts = _transcripts(spark, sf)
-    return texts.select("conv_id", "part", F.array_join(tr.user_texts(F.col("conversacion_completa")), "\n").alias("textos"))
+    return texts.select("conv_id", F.array_join(tr.user_texts(F.col("conversacion_completa")), "\n").alias("textos"))
 
 
 @query
 def bot_texts(spark, sf):
     texts = _transcripts(spark, sf)
-    return texts.select("conv_id", "part", F.array_join(tr.bot_texts(F.col("conversacion_completa")), "\n").alias("textos"))
+    return texts.select("conv_id", F.array_join(tr.bot_texts(F.col("conversacion_completa")), "\n").alias("textos"))
 
 
 @query
 def speaker_text(spark, sf):
     texts = _transcripts(spark, sf)
     return texts.select(
-        "conv_id", "part",
+        "conv_id",
         tr.user_text(F.col("conversacion_completa")).alias("texto_user"),
         tr.bot_text(F.col("conversacion_completa")).alias("texto_bot"),
     )
@@ -495,8 +504,8 @@ def enveloped_map_tokens(spark, sf):
         )
 
     cell = F.to_json(F.struct(F.map_from_entries(F.transform("turns", entry)).alias("M")))
-    maps = turns.select("conv_id", "part", read_json(cell).alias("m"))
-    return maps.select("conv_id", "part", tc.count_tokens(F.col("m")).alias("t")).select("conv_id", "part", "t.*")
+    maps = turns.select("conv_id", read_json(cell).alias("m"))
+    return maps.select("conv_id", tc.count_tokens(F.col("m")).alias("t")).select("conv_id", "t.*")
 
 
 @query
@@ -504,9 +513,35 @@ def typed_envelope(spark, sf):
     turns = ad.grouped_turns(ad.table(spark, sf, "conversations"))
     cell = ad.conversation_cell(F.col("conv_id"), F.col("turns"), F.lit(ad.ENVELOPE))
     message = T.StructType([T.StructField("from", T.StringType()), T.StructField("text", T.StringType())])
-    opened = turns.select("conv_id", "part", unwrap(read_json(cell), T.ArrayType(message)).alias("mensajes"))
-    return opened.select("conv_id", "part", F.inline("mensajes")).select(
-        "conv_id", "part", F.col("from").alias("de"), F.col("text").alias("texto")
+    opened = turns.select("conv_id", unwrap(read_json(cell), T.ArrayType(message)).alias("mensajes"))
+    return opened.select("conv_id", F.inline("mensajes")).select(
+        "conv_id", F.col("from").alias("de"), F.col("text").alias("texto")
+    )
+
+
+@query
+def nested_envelope(spark, sf):
+    """Lists and maps inside lists and maps, of unknown shape."""
+    turns = ad.grouped_turns(ad.table(spark, sf, "conversations"))
+
+    def text(value):
+        return F.struct(value.alias("S"))
+
+    def entry(t):
+        tags = F.array(
+            F.to_json(text(t["role"])), F.lit('{"BOOL":true}'), F.lit('{"NULL":true}'), F.lit('{"SS":["a","b]}"]}'))
+        return F.concat(
+            F.lit('{"M":{"turn":{"N":"'), t["turn"].cast("string"), F.lit('"},"said":{"M":{"text":'),
+            F.to_json(text(t["text"])), F.lit('}},"tags":{"L":['), F.array_join(tags, ","), F.lit("]}}}"),
+        )
+
+    cell = F.concat(F.lit('{"M":{"turns":{"L":['), F.array_join(F.transform("turns", entry), ","), F.lit("]}}}"))
+    opened = turns.select("conv_id", unwrap(read_json(cell), T.VariantType()).alias("v"))
+    entries = opened.select("conv_id", F.explode(F.try_variant_get("v", "$.turns", "array<variant>")).alias("t"))
+    return entries.select(
+        "conv_id", F.try_variant_get("t", "$.turn", "int").alias("turn"),
+        F.try_variant_get("t", "$.said.text", "string").alias("texto"),
+        F.to_json(F.try_variant_get("t", "$.tags", "variant")).alias("marcas"),
     )
 
 
@@ -636,7 +671,12 @@ def feedback_histogram(spark, sf):
 @query
 def conversation_buckets(spark, sf):
     users = ad.table(spark, sf, "conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("numero_conversaciones"))
-    return rp.conversation_buckets(users, key="conv_id")
+    return rp.conversation_buckets(users)
+
+
+@query
+def user_conversation_buckets(spark, sf):
+    return rp.conversation_buckets(_report(spark, sf))
 
 
 @query
