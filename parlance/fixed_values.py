@@ -80,6 +80,28 @@ IMPLIED_QUESTIONS = (
     (r"horario.*atenci[oó]n", "¿Cuál es el horario de atención?"),
 )
 
+# --- Fixed values: a question inside free text --------------------------------
+# After "user:", up to the next bot message or the end; {S} is white space.
+INLINE_QUESTION = r"(?iu)user:{S}*([^|]+?)(?:{S}*\|{S}*bot:|$)"
+
+# --- Fixed values: date texts and their formats, tried in this order ------------
+DATE_FORMATS = (
+    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
+    (r"^\d{2}/\d{2}/\d{4}$", "dd/MM/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+)
+
+# --- Fixed values: columns of the token view -----------------------------------
+TOKEN_VIEW_COLUMNS = {
+    "create_date": "create_date",
+    "input_token": "token pregunta",
+    "output_token": "token respuesta",
+    "input_token + output_token": "total tokens",
+    "precio_token_input": "precio total pregunta",
+    "precio_token_output": "precio total respuesta",
+    "total_price": "precio total",
+}
+
 # --- Fixed values: feedback classes and the texts that mark them ------------
 FEEDBACK_CLASSES = ("like", "dislike", "mixed")
 FEEDBACK_MARKS = (
@@ -91,6 +113,14 @@ INPUT_ROLES = ("user", "system", "instruction", "used_chunks")
 OUTPUT_ROLES = ("assistant", "bot")
 MAP_KEYS = ("system", "instruction", "user", "assistant")
 
+# --- Fixed values: repairs of damaged message maps --------------------------
+# A body cut off before its text, under any key that ends like this.
+TRUNCATED_BODY = ('ody": ",', 'ody": "",')
+# Doubled quotes of a CSV export, then constants written as texts.
+MAP_REPAIRS = (
+    ('""""', '"'), ('""', '"'), ('"null"', "null"), ('"true"', "true"), ('"false"', "false"),
+)
+
 # --- Fixed values: prices in USD per 1000 tokens ----------------------------
 INPUT_RATE = "0.003"
 OUTPUT_RATE = "0.015"

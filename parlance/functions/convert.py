@@ -38,13 +38,10 @@ def date_label(day: Column, missing: str = V.NO_DATE) -> Column:
 
 def parse_date(text: Column) -> Column:
     """Date text in one of several formats -> date."""
-    return (
-        F.when(text.isNull() | (text == ""), F.lit(None).cast("date"))
-        .when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, "yyyy-MM-dd"))
-        .when(text.rlike(r"^\d{2}/\d{2}/\d{4}$"), F.try_to_date(text, "dd/MM/yyyy"))
-        .when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.try_to_date(text, "M/d/yyyy"))
-        .otherwise(text.try_cast("date"))
-    )
+    out = F.when(text.isNull() | (text == ""), F.lit(None).cast("date"))
+    for pattern, form in V.DATE_FORMATS:
+        out = out.when(text.rlike(pattern), F.try_to_date(text, form))
+    return out.otherwise(text.try_cast("date"))
 
 
 def parse_timestamp(text: Column) -> Column:

@@ -12,6 +12,20 @@ from parlance.functions.literal import as_list, as_map, field, field_text, read_
 from parlance.functions.text import bind, strip
 
 _SETS = ("SS", "BS", "NS")
+_TEXT = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_WHOLE, _REAL = r"-?(?:0|[1-9]\d*+)", r"-?(?:0|[1-9]\d*+)\.\d++(?:[eE][+-]?\d++)?"
+# A quote inside a JSON text is escaped, so a brace and a quoted tag are never part of one.
+_PLAIN_FORMS = (
+    (rf"""(?s)\{{\s*+"S"\s*+:\s*+({_TEXT})\s*+\}}""", "$1"),
+    (rf"""\{{\s*+"N"\s*+:\s*+"?({_REAL}|{_WHOLE})"?\s*+\}}""", "$1"),
+    (rf"""(?s)\{{\s*+"N"\s*+:\s*+({_TEXT})\s*+\}}""", "$1"),
+    (r"""\{\s*+"BOOL"\s*+:\s*+(true|false)\s*+\}""", "$1"),
+    (r"""\{\s*+"NULL"\s*+:\s*+(?:true|false)\s*+\}""", "null"),
+    (r"""\{\s*+"(?:L|SS|NS|BS)"\s*+:\s*+\[""", "["),
+    (r"""\{\s*+"M"\s*+:\s*+\{""", "{"),
+    # What is left closes a list or an object, and then its tag.
+    (rf"""(?s)\G((?:[^"\]}}]++|{_TEXT}|[\]}}](?!\s*+\}}))*+)([\]}}])\s*+\}}""", "$1$2"),
+)
 
 
 def unwrap(value: Column, target: T.DataType) -> Column:
@@ -31,7 +45,7 @@ def unwrap(value: Column, target: T.DataType) -> Column:
         items = F.coalesce(as_list(field(value, "L")), *[as_list(field(value, s)) for s in _SETS], as_list(value))
         return F.transform(items, lambda v: unwrap(v, target.elementType))
     if isinstance(target, T.VariantType):
-        return unwrap_scalar(value)
+        return unwrap_any(value)
     return unwrap_text(value).try_cast(target)
 
 
@@ -56,6 +70,25 @@ def unwrap_scalar(value: Column) -> Column:
     )
 
 
+def plain_json(text: Column) -> Column:
+    """JSON text in which every value is tagged -> the same without tags, however deep.
+
+    Each pass is linear in the text. Text that also holds untagged objects does
+    not come out as JSON, which the caller finds out by reading it.
+    """
+    for pattern, replacement in _PLAIN_FORMS:
+        text = F.regexp_replace(text, pattern, replacement)
+    return text
+
+
+def unwrap_any(value: Column) -> Column:
+    """Enveloped VARIANT of unknown shape -> VARIANT without tags at any depth."""
+    holds = field(value, "M").isNotNull() | field(value, "L").isNotNull()
+    for name in _SETS:
+        holds = holds | field(value, name).isNotNull()
+    return F.when(holds, F.coalesce(read_json(plain_json(F.to_json(value))), value)).otherwise(unwrap_scalar(value))
+
+
 def tagged_number(text: Column) -> Column:
     """Text of a number tag -> VARIANT: real with a dot, else integer, else the text."""
     real = F.when(F.contains(text, F.lit(".")), text.try_cast("double"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from parlance import fixed_values as V
-from parlance.functions.envelope import collapse_list, unwrap_scalar, unwrap_text
+from parlance.functions.envelope import collapse_list, unwrap_any, unwrap_text
 from parlance.functions.literal import as_list, as_map, field, field_text, read_json, read_value
 from parlance.functions.text import bind, is_blank, occurrences, split_on, strip
 
@@ -127,7 +127,7 @@ def _object_text(value: Column) -> Column:
         entries,
         lambda e: F.concat(
             F.lit('"'), e["key"], F.lit('": '),
-            F.coalesce(F.to_json(unwrap_scalar(e["value"])), F.lit("null")),
+            F.coalesce(F.to_json(unwrap_any(e["value"])), F.lit("null")),
         ),
     )
     return F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}"))

@@ -22,20 +22,46 @@ def _outside_strings(word: str) -> str:
     return rf"""(?s)\G((?:[^"'{first}]++|{_DOUBLE}|{_SINGLE}|{first}(?!{rest}\b))*+){word}\b"""
 
 
+def _mark_outside_strings(mark: str, follow: str = "") -> str:
+    # One character outside strings; ``follow`` is a lookahead that it needs.
+    other = rf"|{mark}(?!{follow})" if follow else ""
+    return rf"""(?s)\G((?:[^"'{mark}]++|{_DOUBLE}|{_SINGLE}{other})*+){mark}""" + (f"(?={follow})" if follow else "")
+
+
+_JOIN = "\x01"
+_TRAILING = r"\s*+[\]})]"
+# A string, the space after it, and the string that follows: Python joins the two.
+_ADJACENT = rf"""(?s)\G((?:[^"']++|(?:{_DOUBLE}|{_SINGLE})(?!\s++["']))*+(?:{_DOUBLE}|{_SINGLE}))\s++(?=["'])"""
+
+
 def literal_to_json(text: Column) -> Column:
-    """Rewrite the bare words and byte escapes of a Python literal as JSON."""
-    rewrites = [(word, _outside_strings(word), "$1" + json_word) for word, json_word in _BARE_WORDS.items()]
-    rewrites.append(("\\x", r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2"))
+    """Rewrite a Python literal as JSON.
+
+    Bare words and byte escapes, tuples as lists, commas after the last element,
+    and strings that follow each other. Nothing inside a string changes.
+    """
+    rewrites = [
+        (lambda t: t.rlike(r"""["']\s++["']"""), _ADJACENT, "$1" + _JOIN),
+        (lambda t: F.contains(t, F.lit(_JOIN)), rf"""(["']){_JOIN}\1""", ""),
+        (lambda t: F.contains(t, F.lit("(")), _mark_outside_strings(r"\("), "$1["),
+        (lambda t: F.contains(t, F.lit(")")), _mark_outside_strings(r"\)"), "$1]"),
+        (lambda t: t.rlike(rf",{_TRAILING}"), _mark_outside_strings(",", _TRAILING), "$1"),
+    ]
+    rewrites += [
+        (lambda t, word=word: F.contains(t, F.lit(word)), _outside_strings(word), "$1" + json_word)
+        for word, json_word in _BARE_WORDS.items()
+    ]
+    rewrites.append((
+        lambda t: F.contains(t, F.lit("\\x")), r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2"))
     out = text
-    for mark, pattern, replacement in rewrites:
-        out = bind(out, _rewrite_if(mark, pattern, replacement))
+    for needed, pattern, replacement in rewrites:
+        out = bind(out, _rewrite_if(needed, pattern, replacement))
     return out
 
 
-def _rewrite_if(mark: str, pattern: str, replacement: str):
-    return lambda t: F.when(
-        F.contains(t, F.lit(mark)), F.regexp_replace(t, pattern, replacement)
-    ).otherwise(t)
+def _rewrite_if(needed, pattern: str, replacement: str):
+    # The cheap test spares most texts the walk over their strings.
+    return lambda t: F.when(needed(t), F.regexp_replace(t, pattern, replacement)).otherwise(t)
 
 
 def _only_element(wrapped: Column) -> Column:
@@ -62,24 +88,40 @@ def read_json(text: Column) -> Column:
     return bind(text, read)
 
 
-def read_json_object(text: Column) -> Column:
-    """JSON object text with repeated keys -> VARIANT; the last value of a key counts."""
-    listed = F.from_json(_bracketed(text), "array<map<string,variant>>")
+def _last_of_each(entries: Column) -> Column:
+    """Entries -> VARIANT object; the last value of a repeated key counts. The keys are sorted once."""
+    places = F.sort_array(F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"))))
+
+    def kept(order: Column) -> Column:
+        last = F.filter(order, lambda p, k: ~F.coalesce(F.get(order, k + 1)["key"] == p["key"], F.lit(False)))
+        at = F.sort_array(F.transform(last, lambda p: p["i"]))
+        return F.to_variant_object(F.map_from_entries(F.transform(at, lambda i: F.get(entries, i))))
 
-    def last_of_each(entries: Column) -> Column:
-        backwards = F.reverse(F.transform(entries, lambda e: e["key"]))
-        kept = F.filter(
-            entries, lambda e, i: F.array_position(backwards, e["key"]) == F.size(entries) - i
-        )
-        return F.to_variant_object(F.map_from_entries(kept))
+    return bind(places, kept)
 
-    only = F.when(F.size(listed) == 1, F.map_entries(F.get(listed, F.lit(0))))
-    return bind(only, lambda entries: F.when(entries.isNotNull(), last_of_each(entries)))
+
+def _objects_of(text: Column, options: dict[str, str] | None = None) -> Column:
+    """Text of an object, or of a list of objects, with repeated keys -> VARIANT."""
+    one = F.from_json(_bracketed(text), "array<map<string,variant>>", options or {})
+    only = F.when(F.size(one) == 1, F.map_entries(F.get(one, F.lit(0))))
+    many = F.from_json(text, "array<map<string,variant>>", options or {})
+    read_one = bind(only, lambda entries: F.when(entries.isNotNull(), _last_of_each(entries)))
+    read_many = bind(many, lambda maps: F.when(
+        F.startswith(F.ltrim(text), F.lit("[")) & F.forall(maps, lambda m: m.isNotNull()),
+        F.to_variant_object(F.transform(maps, lambda m: _last_of_each(F.map_entries(m)))),
+    ))
+    return F.coalesce(read_one, read_many)
+
+
+def read_json_object(text: Column) -> Column:
+    """JSON text with repeated keys -> VARIANT; the last value of a key counts."""
+    return _objects_of(text)
 
 
 def read_literal(text: Column) -> Column:
     """Python-literal text -> VARIANT."""
-    return _only_element(F.from_json(_bracketed(literal_to_json(text)), "variant", _LITERAL_OPTIONS))
+    return bind(literal_to_json(text), lambda t: F.coalesce(
+        _only_element(F.from_json(_bracketed(t), "variant", _LITERAL_OPTIONS)), _objects_of(t, _LITERAL_OPTIONS)))
 
 
 def read_value(text: Column) -> Column:

@@ -13,7 +13,7 @@ from parlance.functions.text import bind, split_on, strip
 
 _MIN_BOT_TEXT = 10
 _S = f"[{V.WHITESPACE_CLASS}]"
-_INLINE_QUESTION = rf"(?iu)user:{_S}*([^|]+?)(?:{_S}*\|{_S}*bot:|$)"
+_INLINE_QUESTION = V.INLINE_QUESTION.replace("{S}", _S)
 
 
 def _after_prefix(text: Column, prefix: str) -> Column:
@@ -41,12 +41,22 @@ def _dialect(pattern: str) -> str:
     return f"(?U){pattern}" if "\\" in pattern else pattern
 
 
+def _stems(pattern: str) -> list[str]:
+    """Plain texts of which a match of the pattern holds at least one; empty if there are none."""
+    wrapped = pattern.startswith("(?:") and pattern.endswith(")")
+    stems = []
+    for form in pattern[3:-1].split("|") if wrapped else [pattern]:
+        stem = re.match(r"[\w ]*", form)[0]
+        stems.append(stem[:-1] if form[len(stem):len(stem) + 1] in ("?", "*", "{") and stem else stem)
+    return stems if all(stems) else []
+
+
 def _found(text: Column, pattern: str) -> Column:
-    """Does the pattern occur? Plain words are searched as such, which is much faster."""
+    """Does the pattern occur? Its plain beginnings are searched first, which is much faster and mostly enough."""
+    stems = _stems(pattern)
+    plain = reduce(or_, [F.contains(text, F.lit(stem)) for stem in stems]) if stems else F.lit(True)
     words = pattern[3:-1] if pattern.startswith("(?:") and pattern.endswith(")") else pattern
-    if not re.fullmatch(r"[\w |]+", words):
-        return text.rlike(_dialect(pattern))
-    return reduce(or_, [F.contains(text, F.lit(word)) for word in words.split("|")])
+    return plain if re.fullmatch(r"[\w |]+", words) else plain & text.rlike(_dialect(pattern))
 
 
 def implied_question(bot_text: Column, rules=V.IMPLIED_QUESTIONS, fill_topic: bool = False) -> Column:

@@ -78,12 +78,7 @@ def _replaced(text: Column, *pairs: tuple[str, str]) -> Column:
 
 def _repaired(text: Column) -> Column:
     """Undo CSV quoting, bare up quoted constants and close truncated bodies."""
-    return _replaced(
-        _unquoted(text),
-        ('""""', '"'), ('""', '"'),
-        ('"null"', "null"), ('"true"', "true"), ('"false"', "false"),
-        ('"body": ",', '"body": "",'),
-    )
+    return _replaced(_unquoted(text), *V.MAP_REPAIRS, V.TRUNCATED_BODY)
 
 
 def _braced(text: Column) -> Column:
@@ -103,7 +98,7 @@ def read_message_map(raw: Column) -> Column:
 
 def _read_map(text: Column) -> Column:
     present = F.coalesce(text != "", F.lit(False))
-    body_closed = _replaced(text, ('"body": ",', '"body": "",'))
+    body_closed = _replaced(text, V.TRUNCATED_BODY)
 
     def tried(candidate: Column, status: str, read=read_json) -> Column:
         return bind(read(candidate), lambda v: F.when(

@@ -72,8 +72,13 @@ def token_table(items: DataFrame, first_ms: int, last_ms: int, **rates) -> DataF
 
 
 def or_placeholder(tokens: DataFrame, as_of: str) -> DataFrame:
-    """The table itself, or one ``sin_datos`` row when it is empty."""
-    return tokens.select(*V.TOKEN_COLUMNS).sparkSession.sql(
+    """The table itself, or one ``sin_datos`` row when it is empty.
+
+    The test for rows ends with the first one; give a written table, so that it
+    costs a glance at a file.
+    """
+    rows = tokens.select(*V.TOKEN_COLUMNS)
+    return rows.sparkSession.sql(
         """
         SELECT * FROM {rows}
         UNION ALL
@@ -81,21 +86,16 @@ def or_placeholder(tokens: DataFrame, as_of: str) -> DataFrame:
         WHERE NOT EXISTS (SELECT 1 FROM {rows})
         """,
         args={"as_of": as_of, "no_data": V.NO_DATA},
-        rows=tokens.select(*V.TOKEN_COLUMNS),
+        rows=rows,
     )
 
 
 def token_view_sql(name: str = V.TOKEN_VIEW_NAME, table: str = V.TOKEN_TABLE_NAME, temporary: bool = False) -> str:
     """Statement that creates or replaces the named view over the token table."""
+    columns = ",\n               ".join(f"{value} AS `{shown}`" for value, shown in V.TOKEN_VIEW_COLUMNS.items())
     return f"""
         CREATE OR REPLACE {"TEMPORARY " if temporary else ""}VIEW {name} AS
-        SELECT create_date,
-               input_token AS `token pregunta`,
-               output_token AS `token respuesta`,
-               input_token + output_token AS `total tokens`,
-               precio_token_input AS `precio total pregunta`,
-               precio_token_output AS `precio total respuesta`,
-               total_price AS `precio total`
+        SELECT {columns}
         FROM {table}
         WHERE input_token > 0 OR output_token > 0
     """

@@ -38,6 +38,46 @@ def test_random_literals(evaluate):
     assert [json.loads(f) for f in evaluate(lambda c: F.to_json(lt.read_literal(c)), *texts)] == values
 
 
+def test_literal_forms_beyond_json(evaluate):
+    texts = [
+        "[1, 2,]", "{'a': 1,}", "{'a': [1,], }", "(1, 'x', None)", "[(1, 2), (3,)]", "{'a': 1, 'a': 2, 'b': 3, 'a': 4}",
+        "[{'from': 'u', 'text': 'x', 'text': 'y'}, {'from': 'b', 'text': 'z'}]", "['a' 'b', 'c'  'd' 'e']", '["a" "b"]',
+        "['it,] (really)', \"a' 'b\"]", "{'a': 'x' 'y', 'k': ('p', 'q',)}", "['a', 'b']", "[',]', ',)']",
+    ]
+    found = evaluate(lambda c: F.to_json(lt.read_literal(c)), *texts)
+    as_json = [json.loads(json.dumps(ast.literal_eval(t))) for t in texts]
+    assert [f and json.loads(f) for f in found] == as_json
+
+
+def test_random_literals_with_loose_commas_and_repeats(evaluate):
+    rng = random.Random(12)
+
+    def text_of(depth):
+        kind = rng.randrange(8 if depth else 5)
+        comma = rng.choice(["", ",", " , "])
+        if kind == 5:
+            items = [text_of(depth - 1) for _ in range(rng.randrange(1, 4))]
+            return "[" + ", ".join(items) + comma + "]"
+        if kind == 6:
+            items = [text_of(depth - 1) for _ in range(rng.randrange(2, 4))]
+            return "(" + ", ".join(items) + comma + ")"
+        if kind == 7:
+            return "[" + " ".join(repr(rng.choice(["a'", 'b', ",]", "(x)", "None"])) for _ in range(1)) + comma + "]"
+        return repr([None, True, 3, 2.5, "".join(rng.choice("aN'\"\\ ,:()[]{}") for _ in range(8))][kind])
+
+    texts = ["[" + text_of(3) + "]" for _ in range(200)]
+    found = evaluate(lambda c: F.to_json(lt.read_literal(c)), *texts)
+    assert [json.loads(f) for f in found] == [json.loads(json.dumps(ast.literal_eval(t))) for t in texts]
+
+
+def test_map_with_many_repeated_keys(evaluate):
+    """The last value of every key, in time that grows with the keys and not with their square."""
+    n = 10_000
+    text = "{" + ", ".join(f'"k{i % (n // 2)}": {i}' for i in range(n)) + "}"
+    found = json.loads(evaluate(lambda c: F.to_json(lt.read_json_object(c)), text)[0])
+    assert found == {f"k{i}": i + n // 2 for i in range(n // 2)}
+
+
 def test_trailing_text_is_an_error(evaluate):
     assert evaluate(lambda c: F.to_json(lt.read_json(c)), '{"a":1} x', '[1] [2]', "1, 2", "", None, " [1] ") == [
         None, None, None, None, None, "[1]"
@@ -201,3 +241,25 @@ def test_collapse_list(evaluate):
     assert evaluate(lambda c: ev.collapse_list(F.filter(F.split(c, ","), lambda v: v == "z"), "first"), "a") == [None]
     with pytest.raises(ValueError):
         ev.collapse_list(F.col("c"), "last")
+
+
+def test_envelopes_of_unknown_shape(evaluate):
+    def opened(c):
+        return F.to_json(ev.unwrap(lt.read_json(c), T.VariantType()))
+
+    cases = {
+        '{"M":{"option":{"L":[{"S":"a"},{"S":"b"}]}}}': {"option": ["a", "b"]},
+        '{"L":[{"M":{"a":{"M":{"b":{"M":{}}}}}},{"L":[]},{"N":"1"},{"N":"2.5"},{"N":"x"},{"BOOL":false},{"NULL":true}]}':
+            [{"a": {"b": {}}}, [], 1, 2.5, "x", False, None],
+        '{"M":{"M":{"S":"x"},"S":{"S":"{\\"S\\": \\"y\\"}}]"},"L":{"SS":["p","q"]}}}': {"M": "x", "S": '{"S": "y"}}]', "L": ["p", "q"]},
+        '{"S":"plain"}': "plain", '{"N":"7"}': 7, '{"a":1}': {"a": 1}, "[1]": [1],
+    }
+    found = evaluate(opened, *cases)
+    assert [json.loads(f) for f in found] == list(cases.values())
+    deep = '{"L":[' * 200 + '{"S":"x"}' + "]}" * 200
+    assert json.loads(evaluate(opened, deep)[0]) == json.loads("[" * 200 + '"x"' + "]" * 200)
+
+
+def test_nested_tags_leave_the_feedback_text(evaluate):
+    cell = '{"M":{"type":{"S":"like"},"option":{"L":[{"S":"a"},{"M":{"k":{"N":"1"}}}]}}}'
+    assert evaluate(fb.unwrap_feedback, cell) == ['{"option": ["a",{"k":1}], "type": "like"}']
