@@ -1,8 +1,8 @@
 """Batch jobs from stored input to stored output.
 
 Each job overwrites its output and takes the date it stands for as an argument,
-so running it again gives the same result. Statistics are read from what was
-written, not computed a second time.
+so running it again gives the same result. Shuffles get as many partitions as
+the input asks for, and statistics are observed while the output is written.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ from datetime import UTC, date, datetime, timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from parlance import fixed_values as V, schemas
-from parlance.operators.reports import run_stats
+from parlance.operators.reports import RUN_COUNTS, run_counts
 from parlance.plans.token_costs import (
     or_placeholder, priced_items, token_totals, token_view_sql,
 )
 from parlance.plans.typed_report import typed_report
 from parlance.plans.user_report import user_report
+from parlance.session import sized_for
 from parlance.sources.catalog import register_table
 from parlance.sources.readers import read_report_csv
 from parlance.sources.writers import write_csv, write_parquet, write_verified_parquet
@@ -25,14 +26,19 @@ from parlance.sources.writers import write_csv, write_parquet, write_verified_pa
 
 def report_job(items: DataFrame, csv_path: str, as_of: str, **options) -> DataFrame:
     """Items -> user report as CSV. Returns the run statistics."""
-    write_csv(user_report(items, as_of=as_of, **options), csv_path)
-    written = read_report_csv(items.sparkSession, csv_path)
-    return run_stats(written.withColumn("numero_conversaciones", F.col("numero_conversaciones").cast("bigint")))
+    spark, seen = items.sparkSession, Observation()
+    report = user_report(items, as_of=as_of, **options)
+    with sized_for(items):
+        write_csv(report.observe(seen, *run_counts()), csv_path)
+    found = seen.get
+    return spark.range(1).select(*(F.lit(found[name]).cast("bigint").alias(name) for name in RUN_COUNTS))
 
 
 def typed_job(spark: SparkSession, csv_path: str, parquet_path: str, table: str | None = None) -> DataFrame:
     """Report CSV -> typed Parquet, registered as a table. Returns the read-back check."""
-    check = write_verified_parquet(typed_report(read_report_csv(spark, csv_path)), parquet_path)
+    text = read_report_csv(spark, csv_path)
+    with sized_for(text):
+        check = write_verified_parquet(typed_report(text), parquet_path)
     if table is not None:
         register_table(spark, table, parquet_path)
     return check
@@ -64,7 +70,8 @@ def token_job(
         F.count_if(F.col("status") == "processed").alias("processed_count"),
         F.count_if(F.col("status") == "error").alias("error_count"),
     )
-    write_parquet(priced.select(*V.TOKEN_COLUMNS), f"{folder}/table")
+    with sized_for(items):
+        write_parquet(priced.select(*V.TOKEN_COLUMNS), f"{folder}/table")
     stored = spark.read.schema(schemas.TOKEN_TABLE).parquet(f"{folder}/table")
     write_csv(or_placeholder(stored, f"{as_of} 00:00:00"), f"{folder}/csv")
     register_table(spark, table, f"{folder}/table")

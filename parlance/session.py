@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that hold at any scale. Partition counts and memory belong to the
 # cluster; AQE sizes the shuffles from what it measures.
@@ -14,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording the caller of every expression costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -32,14 +35,14 @@ def build_session(name: str = "parlance", master: str | None = None, **settings:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder.
+    A local session without that setting uses its warehouse folder.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="parlance-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_parlance"
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -57,6 +60,27 @@ def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int =
     return wanted
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files that a plan reads, as Spark knows it; tables of unknown size count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(size for size in sizes if size < 1 << 60)
+
+
+@contextmanager
+def sized_for(df: DataFrame) -> Iterator[None]:
+    """Shuffle partitions that fit the input of ``df``, for the jobs inside the block."""
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    size = input_bytes(df)
+    if size:
+        size_shuffles(spark, size)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

@@ -5,18 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def quoted_name(name: str) -> str:
+    """A table name, with or without its database, as SQL identifiers."""
+    return ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in name.split("."))
+
+
+def quoted_text(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Table over a Parquet folder, with the schema of its files.
 
-    An existing table is pointed at the files as they are now, so new columns show up.
+    An existing table with the same columns is pointed at the files as they are
+    now, without a moment in which there is no table. One with other columns is
+    created anew. Only external tables are touched: dropping a managed one would
+    delete its data.
     """
+    table, place = quoted_name(name), quoted_text(path)
     if spark.catalog.tableExists(name):
-        spark.sql(f"DROP TABLE {name}")  # external: the files stay
-    spark.sql(f"CREATE TABLE {name} USING PARQUET LOCATION '{path}'")
+        if spark.catalog.getTable(name).tableType != "EXTERNAL":
+            raise ValueError(f"{name} is not an external table; its data would be lost")
+        if spark.table(name).dtypes == spark.read.parquet(path).dtypes:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {place}")
+        else:
+            spark.sql(f"DROP TABLE {table}")  # external: the files stay
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {table} USING PARQUET LOCATION {place}")
     spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
+def register_view(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """View over a partitioned Parquet folder, replaced in place, that shows every folder there is when it is read."""
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted_name(name)} AS SELECT * FROM parquet.`{path.replace('`', '``')}`")
+    return spark.table(name)
+
+
 def column_listing(spark: SparkSession, database: str | None = None) -> DataFrame:
     """``table_name, column_name, data_type, is_nullable, ordinal_position`` of a database."""
     rows = [

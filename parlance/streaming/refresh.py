@@ -1,66 +1,106 @@
-"""Refresh the typed report as report files arrive."""
+"""Refresh the typed report as report files arrive.
+
+Every micro-batch becomes a folder of the target, named by its number. Numbers
+go on from the largest one that the target has when a checkpoint is new, and
+the checkpoint keeps the number it began with. So a batch that runs again after
+a failure overwrites its own folder, and a new or lost checkpoint never
+overwrites what an earlier one wrote.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from parlance import schemas
 from parlance.plans.typed_report import typed_report
+from parlance.sources.catalog import register_view
 from parlance.sources.readers import CSV_OPTIONS
 
 BATCH_COLUMN = "lote"
+FILE_COLUMN = "archivo"
 
 
 def report_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
-    """Stream of report rows from the CSV files that land in a folder."""
+    """Stream of report rows from the CSV files that land in a folder, with the file they came in."""
     reader = spark.readStream.schema(schemas.REPORT_TEXT).options(**CSV_OPTIONS)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(landing)
+    return reader.csv(landing).select("*", F.col("_metadata.file_path").alias(FILE_COLUMN))
 
 
-def write_batch(target: str, then: Callable[[], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """Sink of one micro-batch: its rows, typed, under a folder named by the batch.
+def write_batch(target: str, first: int = 0, then: Callable[[], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """Sink of one micro-batch: its rows, typed, under a folder named by ``first`` plus the batch number.
 
     A batch that runs again overwrites its own folder, so a restart never
-    doubles rows. ``then`` runs after each batch, for example a table refresh.
+    doubles rows. ``then`` runs after each batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        typed_report(batch).write.mode("overwrite").parquet(f"{target}/{BATCH_COLUMN}={batch_id}")
+        typed_report(batch).write.mode("overwrite").parquet(f"{target}/{BATCH_COLUMN}={first + batch_id}")
         if then is not None:
             then()
 
     return write
 
 
+def first_batch(spark: SparkSession, target: str, checkpoint: str) -> int:
+    """Number of a checkpoint's first batch: beyond all of the target's when the checkpoint is new."""
+    kept = f"{checkpoint.rstrip('/')}/first_batch"
+    try:
+        return spark.read.schema("first bigint").parquet(kept).first()["first"]
+    except AnalysisException:  # a new checkpoint
+        pass
+    try:
+        last = read_refreshed(spark, target).agg(F.max(BATCH_COLUMN)).first()[0]
+    except AnalysisException:  # a new target
+        last = None
+    first = 0 if last is None else last + 1
+    spark.range(1).select(F.lit(first).cast("bigint").alias("first")).write.parquet(kept)
+    return first
+
+
 def refresh(
     spark: SparkSession, landing: str, target: str, checkpoint: str,
-    max_files: int | None = None, then: Callable[[], None] | None = None,
+    max_files: int | None = None, then: Callable[[], None] | None = None, view: str | None = None,
 ) -> None:
-    """Process every file that has arrived since the last call, then stop."""
+    """Process every file that has arrived since the last call, then stop.
+
+    ``view`` names a view over the target that is replaced after each batch.
+    """
+
+    def after() -> None:
+        if view is not None:
+            register_view(spark, view, target)
+        if then is not None:
+            then()
+
     query = (
         report_stream(spark, landing, max_files).writeStream
         .trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(write_batch(target, then))
+        .foreachBatch(write_batch(target, first_batch(spark, target, checkpoint), after))
         .start()
     )
     query.awaitTermination()
 
 
 def read_refreshed(spark: SparkSession, target: str) -> DataFrame:
-    """All typed rows refreshed so far, with the batch that brought them."""
-    schema = T.StructType([*schemas.TYPED_REPORT, T.StructField(BATCH_COLUMN, T.LongType())])
-    return spark.read.schema(schema).parquet(target)
+    """All typed rows refreshed so far, with the file and the batch that brought them."""
+    extra = [T.StructField(FILE_COLUMN, T.StringType()), T.StructField(BATCH_COLUMN, T.LongType())]
+    return spark.read.schema(T.StructType([*schemas.TYPED_REPORT, *extra])).parquet(target)
 
 
 def latest_per_user(refreshed: DataFrame) -> DataFrame:
-    """Each user's row from the latest batch, when files replace earlier ones."""
-    columns = [c for c in refreshed.columns if c != BATCH_COLUMN]
-    newest = refreshed.groupBy("usuario_id").agg(
-        F.max_by(F.struct(*columns), BATCH_COLUMN).alias("row")
-    )
-    return newest.select("row.*")
+    """Each user's rows from the latest batch, and of its files the last by name, when files replace earlier ones.
+
+    Only keys and batches are aggregated; the texts take part in the join alone.
+    """
+    newest = refreshed.groupBy(F.col("usuario_id").alias("_user")).agg(
+        F.max(F.struct(BATCH_COLUMN, FILE_COLUMN)).alias("_newest"))
+    joined = refreshed.join(newest, F.col("usuario_id").eqNullSafe(F.col("_user")) & (
+        F.col(BATCH_COLUMN) == F.col("_newest")[BATCH_COLUMN]) & F.col(FILE_COLUMN).eqNullSafe(
+        F.col("_newest")[FILE_COLUMN]))
+    return joined.select(*[c for c in refreshed.columns if c not in (BATCH_COLUMN, FILE_COLUMN)])

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from parlance import schemas
@@ -111,7 +112,8 @@ def test_jobs(spark, small):
     messages = ad.message_items(spark, small)
     totals = jobs.token_job(messages, tokens, "2025-09-10", table="job_tokens", view="job_view").first()
     expected = token_table(messages, *jobs.day_range_ms("2025-08-04", "2025-09-10"))
-    assert totals.total_records == totals.processed_count == expected.count() and totals.error_count == 0
+    assert totals.total_records == totals.processed_count + totals.error_count == expected.count()
+    assert totals.error_count == expected.where("create_date = 'Error'").count() > 0
     assert _sorted(spark.table("job_tokens")) == _sorted(expected)
     assert spark.table("job_view").count() == expected.where("input_token + output_token > 0").count()
     empty = jobs.token_job(messages.where("false"), tokens, "2025-09-10", table="job_tokens", view="job_view").first()
@@ -131,13 +133,24 @@ def test_catalog(spark):
     assert listing == [("parlance_test", "id", "bigint", True, 1), ("parlance_test", "x", "string", True, 2)]
 
 
+def test_catalog_replaces_in_place_and_refuses_managed_tables(spark):
+    first, second = (writers.write_parquet(spark.range(n), new_folder(spark, "it's a table")) for n in (3, 5))
+    assert catalog.register_table(spark, "default.parlance_place", first).count() == 3
+    assert catalog.register_table(spark, "default.parlance_place", second).count() == 5
+    spark.range(2).write.mode("overwrite").saveAsTable("parlance_managed")
+    with pytest.raises(ValueError, match="not an external table"):
+        catalog.register_table(spark, "parlance_managed", first)
+    assert spark.table("parlance_managed").count() == 2
+    spark.sql("DROP TABLE parlance_managed")
+
+
 def test_stream_equals_batch(spark):
     landing, target, progress = (new_folder(spark, n) for n in ("landing", "target", "progress"))
     writers.write_csv(_report(spark, ["u1", "u2"]).repartition(2), f"{landing}/a")
     calls = []
     rf.refresh(spark, f"{landing}/*", target, progress, max_files=1, then=lambda: calls.append(1))
     batch = typed_report(readers.read_report_csv(spark, f"{landing}/*"))
-    assert _sorted(rf.read_refreshed(spark, target).drop("lote")) == _sorted(batch)
+    assert _sorted(rf.read_refreshed(spark, target).drop("lote", "archivo")) == _sorted(batch)
     assert len(calls) >= 1
     # Nothing new: nothing changes. A new file: only its rows are added.
     rf.refresh(spark, f"{landing}/*", target, progress)
@@ -148,6 +161,29 @@ def test_stream_equals_batch(spark):
     assert rf.read_refreshed(spark, target).count() == 4
     latest = {r.usuario_id: r.nombre for r in rf.latest_per_user(rf.read_refreshed(spark, target)).collect()}
     assert latest == {"u1": 'Ana "la" 1', "u2": "Eva", "u3": "Eva"}
+    # A lost checkpoint reads all files again, into new folders; the latest rows stay right.
+    again = new_folder(spark, "progress")
+    rf.refresh(spark, f"{landing}/*", target, again, max_files=1, view="parlance_refresh_test")
+    assert rf.first_batch(spark, target, again) > rf.first_batch(spark, target, progress) == 0
+    assert rf.read_refreshed(spark, target).count() == 8
+    assert rf.latest_per_user(spark.table("parlance_refresh_test")).count() == 3
+    last = _report(spark, ["u1"]).withColumn("nombre", F.lit("Sol"))
+    writers.write_csv(last, f"{landing}/c")
+    rf.refresh(spark, f"{landing}/*", target, again, view="parlance_refresh_test")
+    assert spark.table("parlance_refresh_test").count() == 9
+    latest = {r.usuario_id: r.nombre for r in rf.latest_per_user(spark.table("parlance_refresh_test")).collect()}
+    assert latest["u1"] == "Sol" and len(latest) == 3
+    spark.sql("DROP VIEW parlance_refresh_test")
+
+
+def test_latest_rows_of_a_batch_with_two_files(spark):
+    rows = _report(spark, ["u1"])
+    landing, target = new_folder(spark, "landing"), new_folder(spark, "target")
+    writers.write_csv(rows, f"{landing}/a")
+    writers.write_csv(rows.withColumn("nombre", F.lit("Eva")), f"{landing}/b")
+    rf.refresh(spark, f"{landing}/*", target, new_folder(spark, "progress"))
+    latest = rf.latest_per_user(rf.read_refreshed(spark, target)).collect()
+    assert [(r.usuario_id, r.nombre) for r in latest] == [("u1", "Eva")]
 
 
 def test_batch_rerun_does_not_double(spark):

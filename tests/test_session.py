@@ -1,6 +1,6 @@
 import os
 
-from parlance.session import new_folder, shared_folder, size_shuffles
+from parlance.session import new_folder, shared_folder, size_shuffles, sized_for
 
 
 def test_shared_folder_is_the_configured_one(spark):
@@ -21,6 +21,13 @@ def test_shuffles_follow_the_input(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_shuffles_of_a_job_fit_its_input(spark, small):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with sized_for(spark.read.parquet(f"{small}/documents.parquet")):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(spark.sparkContext.defaultParallelism)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_nothing_runs_in_python(spark, small):
     """No plan of a registered query has a Python worker in it."""
     from workload.queries import REGISTRY
