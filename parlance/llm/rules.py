@@ -4,9 +4,10 @@ Everything is built from Spark functions over the whole text; there is no user
 function, no explode and no shuffle. Words are runs of characters other than
 space and the control characters tab to carriage return.
 
-Repeated windows are found inside the row: every three-word window becomes a
-(window, position) pair, sorting brings equal windows together, and a window is
-repeated if it equals a neighbour. The words covered by repeated windows follow
+Repeated windows are found inside the row: if the hashes of the three-word
+windows are not all different, every window becomes a (window, position) pair,
+sorting brings equal windows together, and a window is repeated if it equals a
+neighbour. The words covered by repeated windows follow
 from the gaps between their sorted positions.
 
 Defined results: a null text counts as a text without words, and fails the base
@@ -69,9 +70,18 @@ def _count(text: Column, characters: str) -> Column:
     return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("bigint")
 
 
-def _windows(words: Column, n: Column) -> Column:
+def _places(n: Column) -> Column:
+    """Positions of the windows of three words."""
+    return F.when(n >= 3, F.sequence(F.lit(0), n.cast("int") - 3)).otherwise(F.array().cast("array<int>"))
+
+
+def _hashes(words: Column, places: Column) -> Column:
+    """A hash of every window: windows that are equal have equal ones."""
+    return F.transform(places, lambda i: F.xxhash64(words[i], words[i + 1], words[i + 2]))
+
+
+def _windows(words: Column, places: Column) -> Column:
     """(Three words, position) of every window. Words hold no space, so the joined form is exact."""
-    places = F.when(n >= 3, F.sequence(F.lit(0), n.cast("int") - 3)).otherwise(F.array().cast("array<int>"))
     return F.transform(places, lambda i: F.struct(
         F.concat_ws(" ", words[i], words[i + 1], words[i + 2]).alias("w"), i.alias("i")))
 
@@ -111,8 +121,13 @@ def measures(documents: DataFrame) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
     )
     names = [c for c in counted.columns if c != "words"]
-    sorted_windows = F.sort_array(_windows(F.col("words"), F.col("n_words")))
-    found = counted.select(*names, sorted_windows.alias("windows"))
+    hashed = counted.select(*names, "words", _places(F.col("n_words")).alias("all_places")).select(
+        "*", _hashes(F.col("words"), F.col("all_places")).alias("hashes"))
+    # Most texts repeat no window; if no two hashes are equal, no two windows are, and nothing is sorted.
+    different = F.size(F.array_distinct("hashes")) == F.size("hashes")
+    windows = F.sort_array(_windows(F.col("words"), F.col("all_places")))
+    found = hashed.select(*names, F.when(~different, windows).otherwise(
+        F.array().cast("array<struct<w:string,i:int>>")).alias("windows"))
     placed = found.select(*names, _repeated(F.col("windows")).alias("places"))
     return placed.select(*names, _covered(F.col("places")).alias("n_repeat_words"))
 
