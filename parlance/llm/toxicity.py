@@ -14,7 +14,8 @@ models of a class are interpolated and discounted:
 An expression keeps a ratio of its own only if its counts in the two classes
 contradict its backoff (a G-test above ``MIN_G``); otherwise the backoff judges
 it, and in the end the classes share one probability and the ratio is zero.
-This keeps the chance differences of many ordinary words out of the sum.
+Ratios below ``MIN_RATIO`` count as none, too. This keeps the chance differences
+of many ordinary words, and those of frequent words, out of the sum.
 
 Counting covers every labelled row of the training folds; only the words' names
 are shortened, to 32-bit hashes. What is sent to the executors is bounded: the
@@ -43,6 +44,8 @@ from parlance.llm.storage import one_row, stored
 
 DISCOUNT = 0.75
 MIN_G = 15.0
+# Log ratios nearer to zero than this are differences of topic, not of expression; they count as none.
+MIN_RATIO = 1.0
 MAX_BIGRAMS = 100_000
 MAX_WORDS = 200_000
 MAX_STEMS = 100_000
@@ -156,8 +159,14 @@ def _g_test(t: Column, o: Column, share: Column) -> Column:
 
 
 def _top(df: DataFrame, weight: Column, most: int, key: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ratios of the expressions with the clearest contradictions, by sorted keys."""
-    rows = df.select(F.col(key).alias("key"), "ratio", weight.alias("weight")).where(F.col("weight") >= MIN_G)
+    """Ratios of the expressions with the clearest contradictions, by sorted keys.
+
+    An expression without a clear ratio of its own is kept if its backoff has
+    one: there it says that the backoff does not hold for it.
+    """
+    own = F.when(F.abs("ratio") >= MIN_RATIO, F.col("ratio")).otherwise(0.0)
+    rows = df.select(F.col(key).alias("key"), own.alias("ratio"), weight.alias("weight"), "lower").where(
+        (F.col("weight") >= MIN_G) & ((F.col("ratio") != 0) | (F.abs("lower") >= MIN_RATIO)))
     found = rows.orderBy(F.desc("weight"), "key").limit(most).select("key", "ratio").toPandas()
     keys = found["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
@@ -200,11 +209,11 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, usable:
     stems = stems.withColumns({
         "pt": discounted("t", all_t) + left_t * spread, "po": discounted("o", all_o) + left_o * spread,
     }).withColumn("ratio", F.log(F.col("pt") / F.col("po")))
-    of_stem = stems.select("stem", "pt", "po", (F.col("t") + F.col("o")).alias("of"),
+    of_stem = stems.select("stem", "pt", "po", F.col("ratio").alias("lower"), (F.col("t") + F.col("o")).alias("of"),
                            toxic_share(F.col("t"), F.col("o"), F.lit(expected)).alias("stem_share"))
     share = (F.col("t") + F.col("o")) / F.col("of")
     words = words.join(of_stem, "stem").select(
-        "word", "t", "o", "stem_share",
+        "word", "t", "o", "stem_share", "lower",
         (discounted("t", all_t) + DISCOUNT * kinds_t / all_t * F.col("pt") * share).alias("pt"),
         (discounted("o", all_o) + DISCOUNT * kinds_o / all_o * F.col("po") * share).alias("po"),
     ).withColumn("ratio", F.log(F.col("pt") / F.col("po")))
@@ -221,7 +230,7 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, usable:
     # A pair can tell more than its word only if it was seen a few times.
     seen = pairs.where("t + o >= 3").select("pair", _first().alias("before"), _second().alias("word"),
                                             F.col("t").alias("ct"), F.col("o").alias("co"))
-    joined = seen.join(before, "before").join(words.select("word", "pt", "po", toxic_share(
+    joined = seen.join(before, "before").join(words.select("word", "pt", "po", F.col("ratio").alias("lower"), toxic_share(
         F.col("t"), F.col("o"), F.col("stem_share")).alias("word_share")), "word")
 
     def bigram(count: str, total: str, kept: str, lower: str) -> Column:
@@ -229,11 +238,11 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, usable:
         return own + F.col(kept) * F.col(lower)
 
     ratio = F.log(bigram("ct", "t", "lt", "pt") / bigram("co", "o", "lo", "po"))
-    joined = joined.select("pair", "ct", "co", "word_share", ratio.alias("ratio"))
+    joined = joined.select("pair", "ct", "co", "word_share", "lower", ratio.alias("ratio"))
     model = Model(
         *_top(joined, _g_test(F.col("ct"), F.col("co"), F.col("word_share")), MAX_BIGRAMS, "pair"),
         *_top(words, _g_test(F.col("t"), F.col("o"), F.col("stem_share")), MAX_WORDS, "word"),
-        *_top(stems, _g_test(F.col("t"), F.col("o"), F.lit(expected)), MAX_STEMS, "stem"),
+        *_top(stems.withColumn("lower", F.lit(0.0)), _g_test(F.col("t"), F.col("o"), F.lit(expected)), MAX_STEMS, "stem"),
         np.zeros(3),
     )
     slice_ids = (
