@@ -50,7 +50,7 @@ LEAF = 16
 FIRST_PIVOTS, MORE_PIVOTS = 4, 8
 SKETCH_BITS = 1024
 # Shingles are counted in blocks of this many; those found three times in a block are common.
-BLOCK = 4_000_000
+BLOCK = 1_500_000
 COMMON_IN_BLOCK = 3
 # Common shingles that are ranked last by number of documents; 8 bytes each go to every executor.
 MAX_COMMON = 1 << 19
