@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import Column, functions as F
 
 from parlance import fixed_values as V
@@ -14,6 +15,21 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+_BUILT: dict[tuple, Column] = {}
+
+
+def on(name: str, function: Callable[..., Column], *args) -> Column:
+    """``function`` of the named column, built once per process.
+
+    A long expression takes thousands of calls to the JVM to build. It names its
+    column but belongs to no table, so every plan can use the same one.
+    """
+    key = (id(SparkContext._active_spark_context._gateway), function, name, args)
+    if key not in _BUILT:
+        _BUILT[key] = function(F.col(name), *args)
+    return _BUILT[key]
+
+
 def strip(text: Column) -> Column:
     """Remove leading and trailing white space of any kind."""
     return F.btrim(text, F.lit(V.WHITESPACE))

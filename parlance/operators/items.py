@@ -8,6 +8,7 @@ from parlance import fixed_values as V
 from parlance.functions import convert
 from parlance.functions.envelope import open_scalar
 from parlance.functions.feedback import unwrap_feedback
+from parlance.functions.text import on
 
 
 def _marked(key: Column, mark: str) -> Column:
@@ -57,9 +58,10 @@ def rename_report_columns(df: DataFrame) -> DataFrame:
 
 def unwrap_items(items: DataFrame, columns=("UserData", "Feedback", "CreatedAt"), list_mode: str = "all") -> DataFrame:
     """Unwrap the enveloped cells of the named columns; the conversation keeps its form."""
-    readers = {"Feedback": lambda c: unwrap_feedback(c, list_mode)}
     present = [c for c in columns if c in items.columns]
-    return items.withColumns({c: readers.get(c, open_scalar)(F.col(c)) for c in present})
+    return items.withColumns({
+        c: on(c, unwrap_feedback, list_mode) if c == "Feedback" else on(c, open_scalar) for c in present
+    })
 
 
 def is_excluded_place(place: Column, words=V.EXCLUDED_PLACES, whole_words: bool = False) -> Column:

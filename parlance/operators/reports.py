@@ -68,22 +68,29 @@ def value_distribution(df: DataFrame, column: str, blank_label: str | None = Non
     return counts.select("valor", "n", _percent(F.col("n"), total, places).alias("pct"))
 
 
-def feedback_distribution(report: DataFrame, column: str = "feedback", places: int = 1) -> DataFrame:
-    """``valor, n, pct``: users per feedback class that occurs, in one pass over the report."""
+_CLASS_LABELS = {"": V.NO_FEEDBACK, **{name: name for name in V.FEEDBACK_CLASSES}}
+
+
+def _class_counts(column: str = "feedback") -> list[Column]:
     kind = F.coalesce(F.col(column), F.lit(""))
-    names = {"": V.NO_FEEDBACK, **{name: name for name in V.FEEDBACK_CLASSES}}
-    one = report.agg(
-        F.count(F.lit(1)).alias("_n"), *[F.count_if(kind == name).alias(label) for name, label in names.items()],
-    )
+    return [F.count(F.lit(1)).alias("_n"), *[F.count_if(kind == k).alias(label) for k, label in _CLASS_LABELS.items()]]
+
+
+def _class_lines(one: DataFrame, places: int = 1) -> DataFrame:
     lines = [
         F.struct(
             F.lit(label).alias("valor"), F.col(label).alias("n"), _percent(F.col(label), F.col("_n"), places).alias("pct")
         )
-        for label in names.values()
+        for label in _CLASS_LABELS.values()
     ]
     return one.select(F.inline(F.array(*lines))).where(F.col("n") > 0)
 
 
+def feedback_distribution(report: DataFrame, column: str = "feedback", places: int = 1) -> DataFrame:
+    """``valor, n, pct``: users per feedback class that occurs, in one pass over the report."""
+    return _class_lines(report.agg(*_class_counts(column)), places)
+
+
 def histogram(df: DataFrame, column: str) -> DataFrame:
     """``valor, n`` per value, in order of value."""
     return df.groupBy(F.col(column).alias("valor")).agg(F.count(F.lit(1)).alias("n")).orderBy("valor")
@@ -94,19 +101,31 @@ def feedback_histogram(report: DataFrame) -> DataFrame:
     return histogram(report, "numero_feedback")
 
 
-def conversation_buckets(report: DataFrame, column: str = "numero_conversaciones", edges=(1, 5)) -> DataFrame:
-    """``grupo, n, promedio``: users with 1, 2 to 5, and more conversations, and the mean of all."""
+def _bucket_names(edges: tuple[int, int]) -> list[str]:
+    low, high = edges
+    return [f"{low}", f"{low + 1}-{high}", f"{high + 1}+"]
+
+
+def _bucket_counts(column: str = "numero_conversaciones", edges: tuple[int, int] = (1, 5)) -> list[Column]:
     low, high = edges
     n = F.col(column)
-    groups = {f"{low}": n == low, f"{low + 1}-{high}": (n > low) & (n <= high), f"{high + 1}+": n > high}
-    one = report.agg(
-        *[F.count_if(test).alias(name) for name, test in groups.items()],
-        F.round(F.sum(n).cast(_WHOLE) / F.count(n).cast(_WHOLE), 2).cast("double").alias("promedio"),
-    )
-    lines = [F.struct(F.lit(g).alias("grupo"), F.col(f"`{g}`").alias("n"), F.col("promedio")) for g in groups]
+    tests = (n == low, (n > low) & (n <= high), n > high)
+    mean = F.round(F.sum(n).cast(_WHOLE) / F.count(n).cast(_WHOLE), 2).cast("double")
+    return [*[F.count_if(t).alias(g) for g, t in zip(_bucket_names(edges), tests, strict=True)], mean.alias("promedio")]
+
+
+def _bucket_lines(one: DataFrame, edges: tuple[int, int] = (1, 5)) -> DataFrame:
+    lines = [
+        F.struct(F.lit(g).alias("grupo"), F.col(f"`{g}`").alias("n"), F.col("promedio")) for g in _bucket_names(edges)
+    ]
     return one.select(F.inline(F.array(*lines)))
 
 
+def conversation_buckets(report: DataFrame, column: str = "numero_conversaciones", edges=(1, 5)) -> DataFrame:
+    """``grupo, n, promedio``: users with 1, 2 to 5, and more conversations, and the mean of all."""
+    return _bucket_lines(report.agg(*_bucket_counts(column, edges)), edges)
+
+
 def duplicate_keys(df: DataFrame, key: str = "usuario_id") -> DataFrame:
     """``key, n`` of the keys with more than one row."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -119,14 +138,24 @@ def duplicate_check(df: DataFrame, key: str = "usuario_id") -> DataFrame:
     )
 
 
-def completeness(report: DataFrame, columns=("pregunta_conversacion", "feedback", "respuesta_feedback")) -> DataFrame:
-    """``columna, llenos, pct``: users with a value, per column."""
-    counts = report.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(_filled(c)).alias(c) for c in columns])
+_COMPLETE = ("pregunta_conversacion", "feedback", "respuesta_feedback")
+
+
+def _complete_counts(columns=_COMPLETE) -> list[Column]:
+    return [F.count(F.lit(1)).alias("_n"), *[F.count_if(_filled(c)).alias(c) for c in columns]]
+
+
+def _complete_lines(one: DataFrame, columns=_COMPLETE) -> DataFrame:
     lines = [
         F.struct(F.lit(c).alias("columna"), F.col(c).alias("llenos"), _percent(F.col(c), F.col("_n"), 1).alias("pct"))
         for c in columns
     ]
-    return counts.select(F.inline(F.array(*lines)))
+    return one.select(F.inline(F.array(*lines)))
+
+
+def completeness(report: DataFrame, columns=_COMPLETE) -> DataFrame:
+    """``columna, llenos, pct``: users with a value, per column."""
+    return _complete_lines(report.agg(*_complete_counts(columns)), columns)
 
 
 def answer_pieces(report: DataFrame, column: str = "respuesta_feedback") -> DataFrame:
@@ -150,45 +179,87 @@ def top_answers(report: DataFrame, k: int = 10) -> DataFrame:
     return counts.orderBy(F.desc("n"), F.asc("respuesta")).limit(k)
 
 
-def answer_shape(report: DataFrame) -> DataFrame:
-    """Users with an answer, without one, and with several."""
+def _shape_counts() -> list[Column]:
     answered = _filled("respuesta_feedback")
-    return report.agg(
-        F.count_if(answered).alias("con_respuesta"),
-        F.count_if(~answered).alias("sin_respuesta"),
+    return [
+        F.count_if(answered).alias("con_respuesta"), F.count_if(~answered).alias("sin_respuesta"),
         F.count_if(has_many(F.col("respuesta_feedback"))).alias("con_multiples"),
-    )
+    ]
 
 
-def coherence(report: DataFrame) -> DataFrame:
-    """Users with an extracted answer against users with any feedback text."""
-    return report.agg(
+def answer_shape(report: DataFrame) -> DataFrame:
+    """Users with an answer, without one, and with several."""
+    return report.agg(*_shape_counts())
+
+
+def _coherence_counts() -> list[Column]:
+    return [
         F.count_if(_filled("respuesta_feedback")).alias("con_respuesta"),
         F.count_if(_filled("feedback_total")).alias("con_feedback"),
-    )
+    ]
+
+
+def coherence(report: DataFrame) -> DataFrame:
+    """Users with an extracted answer against users with any feedback text."""
+    return report.agg(*_coherence_counts())
+
+
+def _validation_counts() -> list[Column]:
+    day, n = F.col("fecha_primera_conversacion"), F.col("numero_conversaciones")
+    return [
+        F.count(F.lit(1)).alias("total_usuarios"), F.min(day).alias("fecha_min"), F.max(day).alias("fecha_max"),
+        F.avg(n).alias("promedio_conversaciones"),
+    ]
 
 
 def validation_report(typed: DataFrame) -> DataFrame:
     """Users, first and last date, mean conversations of the typed report."""
-    return typed.agg(
-        F.count(F.lit(1)).alias("total_usuarios"),
-        F.min("fecha_primera_conversacion").alias("fecha_min"),
-        F.max("fecha_primera_conversacion").alias("fecha_max"),
-        F.avg("numero_conversaciones").alias("promedio_conversaciones"),
-    )
+    return typed.agg(*_validation_counts())
 
 
-def kpis(report: DataFrame) -> DataFrame:
-    """``metrica, valor``: users and conversations, in one scan."""
-    one = report.agg(
-        F.count("usuario_id").alias("users"), F.sum("numero_conversaciones").cast("bigint").alias("conversations")
-    )
+def _kpi_counts() -> list[Column]:
+    return [
+        F.count("usuario_id").alias("users"),
+        F.sum("numero_conversaciones").cast("bigint").alias("conversations"),
+    ]
+
+
+def _kpi_lines(one: DataFrame) -> DataFrame:
     return one.select(F.inline(F.array(
         F.struct(F.lit("Total Usuarios").alias("metrica"), F.col("users").alias("valor")),
         F.struct(F.lit("Total Conversaciones").alias("metrica"), F.col("conversations").alias("valor")),
     )))
 
 
+def kpis(report: DataFrame) -> DataFrame:
+    """``metrica, valor``: users and conversations, in one scan."""
+    return _kpi_lines(report.agg(*_kpi_counts()))
+
+
+# The reports that are a few counts over all users: their counts, and the lines made of them.
+_SUMMARIES = {
+    "run_stats": (run_counts, None),
+    "feedback_distribution": (_class_counts, _class_lines),
+    "conversation_buckets": (_bucket_counts, _bucket_lines),
+    "completeness": (_complete_counts, _complete_lines),
+    "answer_shape": (_shape_counts, None),
+    "coherence": (_coherence_counts, None),
+    "validation_report": (_validation_counts, None),
+    "kpis": (_kpi_counts, _kpi_lines),
+}
+
+
+def summary(report: DataFrame) -> DataFrame:
+    """The counts of all these reports as one row, one struct per report, from a single pass."""
+    return report.agg(*[F.struct(*counts()).alias(name) for name, (counts, _) in _SUMMARIES.items()])
+
+
+def summary_tables(counts: DataFrame) -> dict[str, DataFrame]:
+    """The reports by name, from the row of :func:`summary`."""
+    tables = {name: counts.select(f"{name}.*") for name in _SUMMARIES}
+    return {name: lines(tables[name]) if lines else tables[name] for name, (_, lines) in _SUMMARIES.items()}
+
+
 def first_rows(df: DataFrame, n: int, order: str = "usuario_id", where: Column | None = None) -> DataFrame:
     """The first n rows in key order that meet a condition."""
     return (df if where is None else df.where(where)).orderBy(order).limit(n)

@@ -12,11 +12,12 @@ from datetime import UTC, date, datetime, timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from parlance import fixed_values as V, schemas
+from parlance.operators import reports as rp
 from parlance.operators.reports import RUN_COUNTS, run_counts
 from parlance.plans.token_costs import (
     or_placeholder, priced_items, token_totals, token_view_sql,
 )
-from parlance.plans.typed_report import typed_report
+from parlance.plans.typed_report import null_profile, typed_report
 from parlance.plans.user_report import user_report
 from parlance.session import sized_for
 from parlance.sources.catalog import register_table
@@ -44,6 +45,32 @@ def typed_job(spark: SparkSession, csv_path: str, parquet_path: str, table: str
     return check
 
 
+def statistics_job(spark: SparkSession, parquet_path: str, folder: str) -> dict[str, DataFrame]:
+    """Stored typed report -> all its statistics as Parquet, by name.
+
+    The counts over all users take one pass over the columns they need. The
+    distributions and samples take one narrow pass each. Nothing is computed
+    from the items again.
+    """
+    report = spark.read.schema(schemas.TYPED_REPORT).parquet(parquet_path)
+    write_parquet(rp.summary(report), f"{folder}/summary")
+    tables = rp.summary_tables(spark.read.parquet(f"{folder}/summary"))
+    grouped = {
+        "feedback_histogram": rp.feedback_histogram(report),
+        "duplicate_check": rp.duplicate_check(report),
+        "answer_vocabulary": rp.answer_vocabulary(report),
+        "top_answers": rp.top_answers(report),
+        "null_profile": null_profile(report),
+        "first_examples": rp.first_rows(report.select("usuario_id", "pregunta_conversacion"), 5),
+        "examples_per_class": rp.rows_per_class(
+            report.where("feedback is not null").select("usuario_id", "feedback", "respuesta_feedback"), "feedback", 3),
+    }
+    with sized_for(report):
+        for name, table in grouped.items():
+            write_parquet(table, f"{folder}/{name}")
+    return tables | {name: spark.read.parquet(f"{folder}/{name}") for name in grouped}
+
+
 def day_range_ms(start: str, as_of: str) -> tuple[int, int]:
     """First and last millisecond of the days from ``start`` to ``as_of``, in UTC."""
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parlance import fixed_values as V
 from parlance.functions import convert, tokens as tk
 from parlance.functions.literal import as_map, field
+from parlance.functions.text import on
 from parlance.operators.items import in_epoch_range
 from parlance.operators.parsing import with_fields
 
@@ -25,7 +26,7 @@ def item_status(first_ms: int, last_ms: int) -> Column:
 
 def read_maps(items: DataFrame) -> DataFrame:
     """Add ``message_map`` (variant) and ``parse_status``."""
-    read = with_fields(items, tk.read_message_map(F.col("MessageMap")))
+    read = with_fields(items, on("MessageMap", tk.read_message_map))
     return read.withColumnRenamed("value", "message_map")
 
 
@@ -47,7 +48,7 @@ def priced_items(
     usable = F.col("status") == "processed"
     none = F.struct(F.lit(0).alias("input_token"), F.lit(0).alias("output_token"))
     rows = with_fields(
-        read_maps(rows), F.when(usable, count_tokens(F.col("message_map"))).otherwise(none)
+        read_maps(rows), F.when(usable, on("message_map", count_tokens)).otherwise(none)
     )
     price_in = convert.token_price(F.col("input_token"), input_rate)
     price_out = convert.token_price(F.col("output_token"), output_rate)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parlance import fixed_values as V
 from parlance.functions import convert, tokens as tk
+from parlance.functions.text import on
 from parlance.functions.transcript import bot_texts_of, pieces, user_texts_of
 
 _CONVERSIONS = {
@@ -27,23 +28,31 @@ def convert_columns(df: DataFrame, types=V.REPORT_TYPES) -> DataFrame:
     def converted(name: str) -> Column:
         kind = types.get(name.lower())
         if name == "feedback" and kind:
-            return convert.in_domain(F.col(name))
+            return on(name, convert.in_domain)
         if name == "respuesta_feedback" and kind and "feedback" in df.columns:
             return convert.only_with(F.col(name), F.col("feedback"))
-        return _CONVERSIONS[kind](F.col(name)) if kind else F.col(name)
+        return on(name, _CONVERSIONS[kind]) if kind else F.col(name)
 
     return df.select(*[converted(c).alias(c) for c in df.columns])
 
 
+def _user_tokens(found: Column) -> Column:
+    return tk.estimated_tokens_of_all(user_texts_of(found))
+
+
+def _bot_tokens(found: Column) -> Column:
+    return tk.estimated_tokens_of_all(bot_texts_of(found))
+
+
 def token_columns(df: DataFrame, source: str = "conversacion_completa") -> DataFrame:
     """Add ``token_pregunta`` and ``token_respuesta``; null when the transcript column is missing."""
     if source not in df.columns:
         none = F.lit(None).cast("int")
         return df.withColumns({"token_pregunta": none, "token_respuesta": none})
     # Both counts read the same pieces, which are cut once.
-    return df.withColumn("_pieces", pieces(F.col(source))).withColumns({
-        "token_pregunta": tk.estimated_tokens_of_all(user_texts_of(F.col("_pieces"))),
-        "token_respuesta": tk.estimated_tokens_of_all(bot_texts_of(F.col("_pieces"))),
+    return df.withColumn("_pieces", on(source, pieces)).withColumns({
+        "token_pregunta": on("_pieces", _user_tokens),
+        "token_respuesta": on("_pieces", _bot_tokens),
     }).drop("_pieces")
 
 

@@ -24,8 +24,8 @@ RAW_CELLS = ("UserData", "CreatedAt", "Conversation")
 
 def profile_and_dates(rows: DataFrame, clean: bool = True) -> DataFrame:
     """Add ``nombre``, ``gerencia`` and ``dia`` from the raw cells."""
-    rows = with_fields(rows, parse_profile(F.col("UserData"), clean))
-    return rows.withColumnRenamed("ciudad", "gerencia").withColumn("dia", convert.to_day(F.col("CreatedAt")))
+    rows = with_fields(rows, tx.on("UserData", parse_profile, clean))
+    return rows.withColumnRenamed("ciudad", "gerencia").withColumn("dia", tx.on("CreatedAt", convert.to_day))
 
 
 def keep_report_rows(
@@ -47,11 +47,11 @@ def keep_report_rows(
 
 def conversation_texts(rows: DataFrame) -> DataFrame:
     """Add transcript, date text, turn count and user questions."""
-    rows = rows.withColumn("conversacion_completa", transcript(F.col("Conversation")))
+    rows = rows.withColumn("conversacion_completa", tx.on("Conversation", transcript))
     return rows.withColumns({
-        "fecha_primera_conversacion": convert.date_label(F.col("dia")),
-        "numero_conversaciones": tx.turn_count(F.col("conversacion_completa")),
-        "pregunta_conversacion": user_questions(F.col("conversacion_completa")),
+        "fecha_primera_conversacion": tx.on("dia", convert.date_label),
+        "numero_conversaciones": tx.on("conversacion_completa", tx.turn_count),
+        "pregunta_conversacion": tx.on("conversacion_completa", user_questions),
     })
 
 
@@ -71,7 +71,7 @@ def conversation_report(items: DataFrame, list_mode: str = "all", **limits) -> D
     # Filtered and turned into texts first, so the join moves no raw cells.
     rows = conversation_texts(keep_report_rows(report_rows(items), **limits)).drop(*RAW_CELLS)
     rows = apply_last_feedback(rows, feedback)
-    rows = rows.withColumn("_flat", fb.flatten_feedback(F.col("Feedback")))
+    rows = rows.withColumn("_flat", tx.on("Feedback", fb.flatten_feedback))
     return rows.select(
         *ORDER,
         "usuario_id", "nombre", "gerencia", F.col("gerencia").alias("ciudad"),
@@ -79,19 +79,22 @@ def conversation_report(items: DataFrame, list_mode: str = "all", **limits) -> D
         F.col("numero_conversaciones").cast("bigint").alias("numero_conversaciones"),
         "conversacion_completa",
         F.col("_flat.feedback_total").alias("feedback_total"),
-        fb.feedback_count(F.col("_flat.feedback_total")).cast("bigint").alias("numero_feedback"),
+        tx.on("_flat.feedback_total", fb.feedback_count).cast("bigint").alias("numero_feedback"),
         "pregunta_conversacion",
         F.col("_flat.tipo").alias("feedback"),
         F.col("_flat.comentario").alias("respuesta_feedback"),
     )
 
 
+def _distinct_answers(feedback: Column) -> Column:
+    return tx.distinct_pieces(fb.feedback_answers(feedback))
+
+
 def classify_report(report: DataFrame) -> DataFrame:
     """Replace ``feedback`` and ``respuesta_feedback`` by what the whole feedback text says."""
-    text = F.col("feedback_total")
     return report.withColumns({
-        "feedback": fb.feedback_class(text),
-        "respuesta_feedback": tx.distinct_pieces(fb.feedback_answers(text)),
+        "feedback": tx.on("feedback_total", fb.feedback_class),
+        "respuesta_feedback": tx.on("feedback_total", _distinct_answers),
     })
 
 
@@ -132,12 +135,13 @@ def user_report(
     items = drop_register(items)
 
     def cells(winners: DataFrame) -> DataFrame:
-        return unwrap_items(winners, ("Feedback",), list_mode).withColumn("Feedback", _feedback_cells(F.col("Feedback")))
+        return unwrap_items(winners, ("Feedback",), list_mode).withColumn(
+            "Feedback", tx.on("Feedback", _feedback_cells))
 
     feedback = last_feedback(items, cells)
     rows = report_rows(unwrap_items(items, ("Feedback", "CreatedAt"), list_mode)).where(F.col("usuario_id").isNotNull())
     rows = conversation_texts(keep_report_rows(rows, **limits))
-    rows = rows.withColumn("own", F.when(F.col("Feedback").isNotNull(), _feedback_cells(F.col("Feedback"))))
+    rows = rows.withColumn("own", F.when(F.col("Feedback").isNotNull(), tx.on("Feedback", _feedback_cells)))
 
     grouped = rows.groupBy("usuario_id").agg(
         *_user_facts(),

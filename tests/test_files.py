@@ -2,10 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from parlance import schemas
+from parlance.operators import reports as rp
 from parlance.operators.reports import run_stats
 from parlance.plans import jobs
 from parlance.plans.token_costs import token_table
-from parlance.plans.typed_report import typed_report
+from parlance.plans.typed_report import null_profile, typed_report
 from parlance.plans.user_report import user_report
 from parlance.session import new_folder
 from parlance.sources import catalog, readers, writers
@@ -109,6 +110,19 @@ def test_jobs(spark, small):
     check = jobs.typed_job(spark, csv, typed, "job_report").collect()
     assert all(r.coincide for r in check) and len(check) == 14
     assert spark.table("job_report").count() == stats.usuarios_procesados
+    stored = spark.read.parquet(typed)
+    statistics = jobs.statistics_job(spark, typed, new_folder(spark, "job-statistics"))
+    for name, expected in {
+        "run_stats": rp.run_stats(stored), "feedback_distribution": rp.feedback_distribution(stored),
+        "conversation_buckets": rp.conversation_buckets(stored), "completeness": rp.completeness(stored),
+        "answer_shape": rp.answer_shape(stored), "coherence": rp.coherence(stored),
+        "validation_report": rp.validation_report(stored), "kpis": rp.kpis(stored), "top_answers": rp.top_answers(stored),
+        "null_profile": null_profile(stored), "feedback_histogram": rp.feedback_histogram(stored),
+        "duplicate_check": rp.duplicate_check(stored), "answer_vocabulary": rp.answer_vocabulary(stored),
+    }.items():
+        assert _sorted(statistics[name]) == _sorted(expected), name
+    plan = rp.summary(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "conversacion_completa" not in plan.split("ReadSchema")[1]
     messages = ad.message_items(spark, small)
     totals = jobs.token_job(messages, tokens, "2025-09-10", table="job_tokens", view="job_view").first()
     expected = token_table(messages, *jobs.day_range_ms("2025-08-04", "2025-09-10"))
