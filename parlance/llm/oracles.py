@@ -165,11 +165,7 @@ found AS (SELECT r, i FROM w JOIN twice USING (win)),
 islands AS (
   SELECT r, i, sum(CASE WHEN i > before + 50 OR before IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS g
   FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM found)),
-spans AS (SELECT r, min(i) - 1 AS a, max(i) + 49 AS b FROM islands GROUP BY r, g),
-per AS (
-  SELECT r, sum(b - a) AS n_repeated, count(*) AS n_passages, string_agg(a || ':' || b, ',' ORDER BY a) AS passages
-  FROM spans GROUP BY r)
-SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_repeated, 0) AS BIGINT) AS n_repeated,
-       CAST(coalesce(n_passages, 0) AS BIGINT) AS n_passages, coalesce(passages, '') AS passages
-FROM d LEFT JOIN per USING (r)
+spans AS (SELECT r, min(i) - 1 AS a, max(i) + 49 AS b FROM islands GROUP BY r, g)
+SELECT doc_id, CAST(a AS BIGINT) AS start_word, CAST(b AS BIGINT) AS end_word, CAST(len(ws) AS BIGINT) AS doc_words
+FROM d JOIN spans USING (r)
 """

@@ -62,11 +62,12 @@ def op5_toxicity(spark, sf_dir):
 
 @query
 def op6_repeated_passages(spark, sf_dir):
+    """One row per repeated passage; documents that repeat nothing have none."""
     found = suffixes.repeated_passages(spark, table(spark, sf_dir, "documents"))
-    places = F.transform("passages", lambda p: F.concat_ws(":", p["start"].cast("string"), p["end"].cast("string")))
-    return found.select(
-        "doc_id", "n_words", "n_repeated", F.size("passages").cast("bigint").alias("n_passages"),
-        F.array_join(places, ",").alias("passages"),
+    passages = found.select("doc_id", "n_words", F.explode("passages").alias("p"))
+    return passages.select(
+        "doc_id", F.col("p.start").cast("bigint").alias("start_word"), F.col("p.end").cast("bigint").alias("end_word"),
+        F.col("n_words").alias("doc_words"),
     )
 
 
