@@ -273,14 +273,14 @@ def _set_rows(seed: int):
 def _sets(spark: SparkSession, documents: DataFrame, nodes: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     """Shingle sets of the wanted nodes, from the texts of their first documents.
 
-    The ids are written first, so that Spark knows their size when it plans the
-    joins, and moves the texts only if the ids are too many to send.
+    The ids are written first, alone, so that Spark knows how small they are when
+    it plans the join, and moves the texts only if the ids are too many to send.
+    Repeated ids may bring sets that nobody asks for; they meet no pair.
     """
-    needed = stored(spark, wanted.distinct().join(nodes.select("node", "doc_id"), "node"), "jaccard-needed")
-    ids = needed.select(F.col("doc_id").alias("id"))
+    needed = wanted.distinct().join(nodes.select("node", "doc_id"), "node")
+    ids = stored(spark, needed.select(F.col("doc_id").alias("id")).distinct(), "jaccard-ids")
     texts = _texts(documents).join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
-    found = texts.mapInArrow(_set_rows(seed), "node bigint, shingles binary")
-    return stored(spark, found.join(needed.select("node"), "node", "left_semi"), "jaccard-sets")
+    return stored(spark, texts.mapInArrow(_set_rows(seed), "node bigint, shingles binary"), "jaccard-sets")
 
 
 def _link_test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
