@@ -56,18 +56,17 @@ RULES = (
 )
 
 
-SPACE = " \t\n\x0b\x0c\r"
 MARKS = ".,;:!?()\""
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
 def _split(text: Column) -> Column:
-    return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.filter(F.split(text, f"{SPACE_CLASS}+"), lambda w: w != "")
 
 
 def _count(text: Column, characters: str) -> Column:
-    """How many of the characters a text holds."""
-    return (F.length(text) - F.length(F.translate(text, characters, ""))).cast("bigint")
+    """How many characters of a class a text holds."""
+    return F.regexp_count(text, F.lit(characters)).cast("bigint")
 
 
 def _places(n: Column) -> Column:
@@ -103,19 +102,19 @@ def _covered(places: Column) -> Column:
 def measures(documents: DataFrame) -> DataFrame:
     """Counts per document. What a later step uses inside a loop is a column of the step before."""
     text = F.col("text")
-    plain = F.translate(F.lower(text), MARKS, "")
+    plain = F.regexp_replace(F.lower(text), f"[{MARKS}]", "")
     parts = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"),
     ).select(
         "doc_id", "text", _split(text).alias("words"),
-        F.filter(F.split(text, "\n"), lambda line: F.translate(line, SPACE, "") != "").alias("lines"),
+        F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
     counted = parts.select(
         "doc_id", "words",
         F.size("words").cast("bigint").alias("n_words"),
-        F.length(F.translate(text, SPACE, "")).cast("bigint").alias("word_chars"),
-        _count(text, SYMBOLS).alias("n_symbols"), _count(text, "!").alias("n_shouts"),
-        _count(text, CAPITALS).alias("n_capitals"),
+        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
+        _count(text, f"[{SYMBOLS}]").alias("n_symbols"), _count(text, "!").alias("n_shouts"),
+        _count(text, "[A-Z]").alias("n_capitals"),
         F.size(F.filter(_split(plain), lambda w: w.isin(*STOP_WORDS))).cast("bigint").alias("n_stop_words"),
         F.size("lines").cast("bigint").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
