@@ -339,31 +339,30 @@ def _split_regions(
     open_regions = members.join(central, "node").join(nodes.select("node", "n", "sketch"), "node")
     labels = central.select("node", F.col("node").alias("label"))
     found, pivots = [edges], FIRST_PIVOTS
-    in_region, same = Window.partitionBy("region"), Window.partitionBy("region", "label")
     order = (F.desc("central"), F.xxhash64("node"), "node")
-    kept = ("region", "node", "n", "sketch", "central")
     while True:
         labels = stored(spark, _merged(labels, found[-1]), "jaccard-labels")
-        ranked = Window.partitionBy("region").orderBy(*order)
-        open_regions = stored(spark, (
-            open_regions.join(labels, "node").repartition("region")
-            .select("*", F.min("label").over(in_region).alias("low"), F.max("label").over(in_region).alias("high"))
-            .where("low <> high").drop("low", "high")
-            .withColumn("crowd", F.count("*").over(same))
-            .withColumn("pivot", F.row_number().over(ranked) <= pivots)
-        ), "jaccard-open")
+        labelled = open_regions.join(labels, "node")
+        # Sums and limits per region combine on the map side, so a crowded region is not gathered.
+        mixed = labelled.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        crowds = labelled.groupBy("region", "label").agg(F.count("*").alias("crowd"))
+        open_regions = stored(spark, labelled.join(mixed.select("region"), "region", "left_semi").join(
+            crowds, ["region", "label"]), "jaccard-open")
         if open_regions.isEmpty():
             return found
-        chosen = open_regions.where("pivot").select(
+        place = F.row_number().over(Window.partitionBy("region").orderBy(*order))
+        chosen = stored(spark, open_regions.withColumn("place", place).where(F.col("place") <= pivots).select(
             "region", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("sketch").alias("ps"),
-            F.col("label").alias("plabel"))
+            F.col("label").alias("plabel")), "jaccard-pivots")
         pairs = open_regions.join(chosen, "region").where(
             (F.col("label") != F.col("plabel")) & _near_sizes("n", "pn") & _in_window("sketch", "ps", "n", "pn"))
-        pairs = pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-        pairs = stored(spark, pairs, "jaccard-pairs")
+        pairs = stored(spark, pairs.select(
+            F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct(), "jaccard-pairs")
         found.append(stored(spark, _linked(pairs, sets).distinct(), "jaccard-links"))
         release(spark)
-        open_regions = open_regions.where("not pivot").select(*kept)
+        done = chosen.select("region", F.col("p").alias("node"))
+        open_regions = open_regions.select("region", "node", "n", "sketch", "central").join(
+            done, ["region", "node"], "left_anti")
         order = (F.asc("crowd"), F.xxhash64("node"), "node")
         pivots *= MORE_PIVOTS
 
