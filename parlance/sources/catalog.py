@@ -21,9 +21,12 @@ def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     An existing table with the same columns is pointed at the files as they are
     now, without a moment in which there is no table. One with other columns is
     created anew. Only external tables are touched: dropping a managed one would
-    delete its data.
+    delete its data. A temporary view of the same name would hide the table, so it
+    goes.
     """
     table, place = quoted_name(name), quoted_text(path)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary:
+        spark.catalog.dropTempView(name)
     if spark.catalog.tableExists(name):
         if spark.catalog.getTable(name).tableType != "EXTERNAL":
             raise ValueError(f"{name} is not an external table; its data would be lost")
