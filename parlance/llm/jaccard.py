@@ -52,6 +52,8 @@ SKETCH_BITS = 1024
 # Shingles are counted in blocks of this many; those found three times in a block are common.
 BLOCK = 1_500_000
 COMMON_IN_BLOCK = 3
+# A table of up to so many ids is sent to every executor; a larger one is joined with a shuffle.
+SENT_IDS = 2_000_000
 # Common shingles that are ranked last by number of documents; 8 bytes each go to every executor.
 MAX_COMMON = 1 << 19
 
@@ -270,16 +272,19 @@ def _set_rows(seed: int):
     return rows
 
 
+def _sendable(ids: DataFrame) -> DataFrame:
+    """A stored table of ids, marked for sending if its counted size is within the bound."""
+    return F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+
+
 def _sets(spark: SparkSession, documents: DataFrame, nodes: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     """Shingle sets of the wanted nodes, from the texts of their first documents.
 
-    The ids are written first, alone, so that Spark knows how small they are when
-    it plans the join, and moves the texts only if the ids are too many to send.
     Repeated ids may bring sets that nobody asks for; they meet no pair.
     """
     needed = wanted.distinct().join(nodes.select("node", "doc_id"), "node")
     ids = stored(spark, needed.select(F.col("doc_id").alias("id")).distinct(), "jaccard-ids")
-    texts = _texts(documents).join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
+    texts = _texts(documents).join(_sendable(ids), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi").select("text")
     return stored(spark, texts.mapInArrow(_set_rows(seed), "node bigint, shingles binary"), "jaccard-sets")
 
 
@@ -358,7 +363,10 @@ def _split_regions(
             (F.col("label") != F.col("plabel")) & _near_sizes("n", "pn") & _in_window("sketch", "ps", "n", "pn"))
         pairs = stored(spark, pairs.select(
             F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct(), "jaccard-pairs")
-        found.append(stored(spark, _linked(pairs, sets).distinct(), "jaccard-links"))
+        # A round looks at few of the sets; the others are not moved.
+        ends = stored(spark, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "jaccard-ends")
+        some = sets.join(_sendable(ends), "node", "left_semi")
+        found.append(stored(spark, _linked(pairs, some).distinct(), "jaccard-links"))
         release(spark)
         done = chosen.select("region", F.col("p").alias("node"))
         open_regions = open_regions.select("region", "node", "n", "sketch", "central").join(
