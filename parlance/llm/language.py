@@ -65,25 +65,34 @@ def grams_of(word: str, length: int) -> list[str]:
     return [padded[i:i + length] for i in range(len(padded) - length + 1)]
 
 
+_COUNTS = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("gram", pa.string()), ("found", pa.int64())])
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts (n = -1), words (n = 0) and n-grams of each language, counted per batch."""
     for batch in batches:
-        found: Counter[tuple[str, int, str]] = Counter()
+        words: dict[str, Counter[str]] = {}
         texts: Counter[str] = Counter()
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
             texts[lang] += 1
-            for word, count in Counter(words_of(text.as_py())).items():
-                found[lang, 0, word] += count
+            words.setdefault(lang, Counter()).update(words_of(text.as_py()))
+        for lang, found in words.items():
+            # A word is cut into n-grams once, whatever the number of times it was found.
+            grams: list[Counter[str]] = [found, *(Counter() for _ in range(LONGEST))]
+            for word, count in found.items():
                 for length in range(1, LONGEST + 1):
+                    own = grams[length]
                     for gram in grams_of(word, length):
-                        found[lang, length, gram] += count
-        rows = [(lang, n, gram, c) for (lang, n, gram), c in found.items()]
-        rows += [(lang, -1, "", c) for lang, c in texts.items()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(column, kind) for column, kind in zip(
-                zip(*rows, strict=True), (pa.string(), pa.int32(), pa.string(), pa.int64()), strict=True)],
-            ["lang", "n", "gram", "found"],
-        ) if rows else pa.RecordBatch.from_pylist([], schema=pa.schema(
-            [("lang", pa.string()), ("n", pa.int32()), ("gram", pa.string()), ("found", pa.int64())]))
+                        own[gram] += count
+            yield pa.RecordBatch.from_arrays([
+                pa.array([lang], pa.string()), pa.array([-1], pa.int32()), pa.array([""]), pa.array([texts[lang]]),
+            ], schema=_COUNTS)
+            for n, counter in enumerate(grams):
+                size = len(counter)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang] * size, pa.string()), pa.array([n] * size, pa.int32()),
+                    pa.array(list(counter), pa.string()), pa.array(list(counter.values()), pa.int64()),
+                ], schema=_COUNTS)
 
 
 def train(
@@ -97,6 +106,8 @@ def train(
         .select(F.col("doc_id").alias("sample_id"))
     )
     sample = labelled.select("doc_id", "text", "lang").join(F.broadcast(ids), F.col("doc_id") == F.col("sample_id"))
+    # The sample is small; dealt anew, all cores count it, however few files it came from.
+    sample = sample.repartition(spark.sparkContext.defaultParallelism)
     counts = sample.select("lang", "text").mapInArrow(_counts, "lang string, n int, gram string, found bigint")
     grams = stored(spark, counts.groupBy("n", "gram", "lang").agg(F.sum("found").alias("found")).groupBy("n", "gram").agg(
         F.sum("found").alias("total"), F.collect_list(F.struct("lang", "found")).alias("by_lang")), "language-grams")
