@@ -386,19 +386,26 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (WHERE respuesta_feedback <> '') AS usuarios_con_respuestas FROM report""",
     # files and catalog
     "export_round_trip": _ALL_ROWS + """
-        SELECT PK, SK, created AS CreatedAt, own AS Feedback FROM rws
-        UNION ALL SELECT PK, SK, NULL, raw_f FROM fb
-        UNION ALL SELECT PK, 'Register#1', NULL, NULL FROM profile""",
-    "enveloped_export": _TALKS + """
-        SELECT PK, SK, CASE WHEN dia IS NOT NULL THEN strftime(dia, '%Y-%m-%d') || 'T10:00:00.000Z' END AS CreatedAt,
-               t AS conversacion_completa FROM talked""",
+        SELECT rws.PK, SK, created AS CreatedAt, own AS Feedback, t AS conversacion, nombre, ciudad
+        FROM rws JOIN profile USING (u)
+        UNION ALL SELECT PK, SK, NULL, raw_f, '', '', '' FROM fb
+        UNION ALL SELECT PK, 'Register#1', NULL, NULL, '', '', '' FROM profile""",
+    "enveloped_export": _ALL_ROWS + """
+        SELECT PK, SK, created AS CreatedAt, t AS conversacion_completa FROM rws
+        UNION ALL SELECT PK, SK, NULL, '' FROM fb
+        UNION ALL SELECT PK, 'Register#1', NULL, '' FROM profile""",
     "message_export_round_trip": _TOKENS + """
         SELECT pk AS PK, sk AS SK, CASE clock WHEN 'bad' THEN 'sin fecha' WHEN 'ok' THEN ms::VARCHAR WHEN 'error' THEN repeat(ms::VARCHAR, 2) END AS CreateTime,
-               stored AS TotalPrice FROM item""",
+               stored AS TotalPrice, i AS input_token, o AS output_token FROM item""",
     "items_csv_round_trip": _RAW_ROWS + """
         SELECT rws.PK, rws.SK, created AS CreatedAt, raw AS Conversation, own AS Feedback FROM rws LEFT JOIN raw_talk USING (SK)
         UNION ALL SELECT PK, SK, NULL, NULL, raw_f FROM fb
         UNION ALL SELECT PK, 'Register#1', NULL, NULL, NULL FROM profile""",
+    "items_csv_all_forms": _ALL_ROWS + """
+        SELECT rws.PK, SK, created AS CreatedAt, own AS Feedback, t AS conversacion, nombre, ciudad
+        FROM rws JOIN profile USING (u)
+        UNION ALL SELECT PK, SK, NULL, raw_f, '', '', '' FROM fb
+        UNION ALL SELECT PK, 'Register#1', NULL, NULL, '', '', '' FROM profile""",
     "csv_round_trip": _REPORT + "SELECT " + ", ".join(
         f"nullif({c}::VARCHAR, '') AS {c}" for c in V.REPORT_COLUMNS
     ) + " FROM report",

@@ -317,12 +317,15 @@ def run_stats(spark, sf):
 @query
 def export_round_trip(spark, sf):
     path = writers.write_json(ad.items(spark, sf), new_folder(spark, "items"))
-    return readers.read_items(spark, path).select("PK", "SK", "CreatedAt", "Feedback")
+    return readers.read_items(spark, path).select(
+        "PK", "SK", "CreatedAt", "Feedback", tr.transcript(F.col("Conversation")).alias("conversacion"),
+        parse_profile(F.col("UserData")).alias("p"),
+    ).select("PK", "SK", "CreatedAt", "Feedback", "conversacion", "p.*")
 
 
 @query
 def enveloped_export(spark, sf):
-    items = ad.items(spark, sf, form=ad.ENVELOPE).where(it.is_conversation())
+    items = ad.items(spark, sf, form=ad.ENVELOPE)
 
     def tagged(name):
         return F.when(F.col(name).isNotNull(), F.struct(F.col(name).alias("S"))).alias(name)
@@ -336,7 +339,10 @@ def enveloped_export(spark, sf):
 @query
 def message_export_round_trip(spark, sf):
     path = writers.write_json(ad.message_items(spark, sf), new_folder(spark, "messages"))
-    return readers.read_message_items(spark, path).select("PK", "SK", "CreateTime", "TotalPrice")
+    back = tc.read_maps(readers.read_message_items(spark, path))
+    return back.select(
+        "PK", "SK", "CreateTime", "TotalPrice", tc.count_tokens(F.col("message_map")).alias("t"),
+    ).select("PK", "SK", "CreateTime", "TotalPrice", "t.*")
 
 
 @query
@@ -346,6 +352,15 @@ def items_csv_round_trip(spark, sf):
     return readers.read_items_csv(spark, path).select("PK", "SK", "CreatedAt", "Conversation", "Feedback")
 
 
+@query
+def items_csv_all_forms(spark, sf):
+    path = writers.write_csv(ad.items(spark, sf), new_folder(spark, "dump"))
+    return readers.read_items_csv(spark, path).select(
+        "PK", "SK", "CreatedAt", "Feedback", tr.transcript(F.col("Conversation")).alias("conversacion"),
+        parse_profile(F.col("UserData")).alias("p"),
+    ).select("PK", "SK", "CreatedAt", "Feedback", "conversacion", "p.*")
+
+
 @query
 def csv_round_trip(spark, sf):
     path = writers.write_csv(_report(spark, sf), new_folder(spark, "report"))
