@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parlance.llm import words as W
-from parlance.llm.storage import stored
+from parlance.llm.storage import stored, text_batches
 
 WINDOW = 10
 # Bytes of item text that one automaton may hold (its nodes take about 100 times as much).
@@ -197,6 +197,7 @@ def item_groups(items: DataFrame, automaton_bytes: int = AUTOMATON_BYTES) -> lis
 
 
 def _share(spark: SparkSession, items: list[tuple[str, str]]) -> tuple[Broadcast, str]:
+    text_batches(spark)
     return spark.sparkContext.broadcast(items), hashlib.sha256(repr(items).encode()).hexdigest()
 
 

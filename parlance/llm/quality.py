@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parlance.llm import words as W
+from parlance.llm.storage import text_batches
 
 BUCKETS = 1 << 18
 FIT_ROWS = 12_000
@@ -101,7 +102,8 @@ def sparse_rows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]
         buckets, first = grams(*W.texts_of(piece.column("text")))
         for a, b in zip(first[:-1], first[1:], strict=True):
             at, count = np.unique(buckets[a:b], return_counts=True)
-            yield np.append(at, BUCKETS), np.append(count * (SHARE / max(1, b - a)), 1.0)
+            yield (np.append(at, BUCKETS).astype(np.int32),
+                   np.append(count * (SHARE / max(1, b - a)), 1.0).astype(np.float32))
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
@@ -163,6 +165,7 @@ def _scorer(shared):
 
 def quality_scores(spark: SparkSession, documents: DataFrame, weights: np.ndarray) -> DataFrame:
     """Per document: ``doc_id`` and ``score`` between 0 and 1."""
+    text_batches(spark)
     shared = spark.sparkContext.broadcast(weights)
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return texts.mapInArrow(_scorer(shared), "doc_id bigint, score double")
@@ -178,4 +181,5 @@ def _keeper(shared, threshold: float):
 
 def good_documents(spark: SparkSession, documents: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
     """Documents that score at least ``threshold``, with all their columns."""
+    text_batches(spark)
     return documents.mapInArrow(_keeper(spark.sparkContext.broadcast(weights), threshold), documents.schema)

@@ -32,6 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from parlance.llm.storage import text_batches
+
 # --- Fixed values: the base patterns -------------------------------------------
 ASSIGN = re.compile(
     r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -226,6 +228,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def secrets(documents: DataFrame) -> DataFrame:
     """Per document: counts by kind and all spans."""
+    text_batches(documents.sparkSession)
     return documents.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(_scan, SCHEMA)
 
 
@@ -255,4 +258,5 @@ def _redact_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def redacted(documents: DataFrame) -> DataFrame:
     """All documents and columns, with secrets cut out of ``text`` and ``n_chars`` counted again."""
+    text_batches(documents.sparkSession)
     return documents.mapInArrow(_redact_rows, documents.schema)

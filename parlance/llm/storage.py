@@ -10,22 +10,27 @@ from parlance.session import new_folder
 
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-TEXT_ROWS = "2000"
+TEXT_ROWS = "1000"
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Rows with whole texts go to Python in smaller batches than usual, unless the session says otherwise.
+
+    A batch is held several times, in the executor and in its Python worker, so
+    ten thousand texts of a usual length would take hundreds of megabytes.
+    """
+    if spark.conf.get(BATCH_ROWS, None) is None:
+        spark.conf.set(BATCH_ROWS, TEXT_ROWS)
 
 
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new folder that all executors share and read it back.
 
     Unlike a cached table it survives lost executors, and it cuts the lineage.
-    Rows with texts are long, so they go to Python in smaller batches than usual.
     """
     folder = new_folder(spark, label)
-    before = spark.conf.get(BATCH_ROWS, None)
-    spark.conf.set(BATCH_ROWS, TEXT_ROWS)
-    try:
-        df.write.parquet(folder)
-    finally:
-        spark.conf.unset(BATCH_ROWS) if before is None else spark.conf.set(BATCH_ROWS, before)
+    text_batches(spark)
+    df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
