@@ -13,16 +13,20 @@ models of a class are interpolated and discounted:
 
 An expression keeps a ratio of its own only if its counts in the two classes
 contradict its backoff (a G-test above ``MIN_G``); otherwise the backoff judges
-it, and in the end the classes share one probability and the ratio is zero.
-Ratios below ``MIN_RATIO`` count as none, too. This keeps the chance differences
-of many ordinary words, and those of frequent words, out of the sum.
+it, and in the end the classes share one probability and the ratio is zero. This
+keeps the chance differences of many ordinary words out of the sum. Neither the
+size of a ratio nor the number of ratios is limited.
 
-Counting covers every labelled row of the training folds; only the words' names
-are shortened, to 32-bit hashes. What is sent to the executors is bounded: the
-bigrams, words and beginnings with the clearest contradictions (``MAX_BIGRAMS``,
-``MAX_WORDS``, ``MAX_STEMS``). A slice of the training rows is not counted; on
-at most ``CALIBRATION_ROWS`` of it a logistic curve is fitted from normalised
-ratios to the chance of label 1.
+The ratios are kept in a stored table, each as its step from the ratio of its
+backoff, so the sum over a text is a sum over its beginnings, words and bigrams,
+in any order. Steps are whole multiples of 1 / ``SCALE``: sums are exact. The
+``SENT_ROWS`` most frequent expressions are sent to the executors; beyond them
+the n-grams of the texts are joined with the table by key. Both give the same
+sums.
+
+Counting leaves out a slice of the training rows; only the words' names are
+shortened, to 32-bit hashes. On at most ``CALIBRATION_ROWS`` of the slice a
+logistic curve is fitted from normalised ratios to the chance of label 1.
 
 Defined results: a null or empty text has no words and gets the value of the
 curve there. Labels with a null id or value are ignored, and an id with
@@ -44,11 +48,9 @@ from parlance.llm.storage import one_row, stored
 
 DISCOUNT = 0.75
 MIN_G = 15.0
-# Log ratios nearer to zero than this are differences of topic, not of expression; they count as none.
-MIN_RATIO = 1.0
-MAX_BIGRAMS = 100_000
-MAX_WORDS = 200_000
-MAX_STEMS = 100_000
+SCALE = 1 << 24
+# Up to so many ratios, the most frequent expressions, are sent to the executors; more are joined with a shuffle.
+SENT_ROWS = 1_000_000
 STEM_BYTES = 4
 CALIBRATION_ROWS = 20_000
 CALIBRATION_SLICE = 8  # one of so many training rows
@@ -60,14 +62,15 @@ BLOCK_WORDS = 3_000_000
 
 
 class Model(NamedTuple):
-    """Log ratios by sorted keys, and the curve."""
+    """Steps of the log ratios by sorted keys, the stored table of the steps that are not sent, and the curve."""
 
     pairs: np.ndarray
-    pair_ratio: np.ndarray
+    pair_step: np.ndarray
     words: np.ndarray
-    word_ratio: np.ndarray
+    word_step: np.ndarray
     stems: np.ndarray
-    stem_ratio: np.ndarray
+    stem_step: np.ndarray
+    rest: DataFrame | None
     curve: np.ndarray
 
 
@@ -158,27 +161,31 @@ def _g_test(t: Column, o: Column, share: Column) -> Column:
     return 2 * (part(t, share) + part(o, 1 - share))
 
 
-def _top(df: DataFrame, weight: Column, most: int, key: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ratios of the expressions with the clearest contradictions, by sorted keys.
+PAIR, WORD, STEM = 0, 1, 2
 
-    An expression without a clear ratio of its own is kept if its backoff has
-    one: there it says that the backoff does not hold for it.
-    """
-    own = F.when(F.abs("ratio") >= MIN_RATIO, F.col("ratio")).otherwise(0.0)
-    rows = df.select(F.col(key).alias("key"), own.alias("ratio"), weight.alias("weight"), "lower").where(
-        (F.col("weight") >= MIN_G) & ((F.col("ratio") != 0) | (F.abs("lower") >= MIN_RATIO)))
-    found = rows.orderBy(F.desc("weight"), "key").limit(most).select("key", "ratio").toPandas()
-    keys = found["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], found["ratio"].to_numpy(float)[order]
 
+def _model(spark: SparkSession, steps: DataFrame) -> Model:
+    """The most frequent steps as arrays, all others in a table."""
+    sent, rest = steps, None
+    if steps.count() > SENT_ROWS:
+        sent = stored(spark, steps.orderBy(F.desc("seen"), "kind", "key").limit(SENT_ROWS), "toxicity-sent")
+        rest = stored(spark, steps.join(sent.select("kind", "key"), ["kind", "key"], "left_anti").select(
+            "kind", "key", "step"), "toxicity-rest")
+    found = sent.select("kind", "key", "step").toPandas()
+    arrays = []
+    for kind in (PAIR, WORD, STEM):
+        part = found[found["kind"] == kind]
+        keys = part["key"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        arrays += [keys[order], part["step"].to_numpy(np.int64)[order]]
+    return Model(*arrays, rest, np.zeros(3))
 
-def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, usable: Column) -> Model:
-    """Count, compare and calibrate on labelled rows for which ``usable`` holds."""
-    rows = training_rows(documents, labels, usable)
-    counts = stored(spark, rows.where(~_in_slice()).select("text", "label").mapInArrow(
-        _counts, "kind tinyint, pair bigint, t bigint, o bigint").groupBy("kind", "pair").agg(
-            F.sum("t").alias("t"), F.sum("o").alias("o")), "toxicity-counts")
+
+def _steps(spark: SparkSession, counts: DataFrame) -> DataFrame | None:
+    """Steps of all expressions that contradict their backoff: ``kind``, ``key``, ``seen``, ``step``.
+
+    None without counts of both classes.
+    """
     pairs, stem_pairs = counts.where("kind = 0"), counts.where("kind = 1")
     # Different words before each word, and the words that begin alike.
     words = pairs.groupBy(_second().alias("word")).agg(_positive("t").alias("t"), _positive("o").alias("o"))
@@ -192,9 +199,7 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, usable:
     stem_t, stem_o, n_stems = one_row(stems.agg(
         F.coalesce(_positive("t"), F.lit(0)), F.coalesce(_positive("o"), F.lit(0)), F.count("*")))
     if not all_t or not all_o:
-        nothing = np.zeros(0)
-        none = nothing.astype(np.uint64)
-        return Model(none, nothing, none, nothing, none, nothing, np.zeros(3))
+        return None
 
     def discounted(count: str, total: int) -> Column:
         return F.greatest(F.col(count) - DISCOUNT, F.lit(0.0)) / F.lit(float(total))
@@ -206,9 +211,20 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, usable:
     def toxic_share(t: Column, o: Column, prior: Column) -> Column:
         return (t + prior) / (t + o + 1)
 
+    def judged(t: str, o: str, share: Column, ratio: Column, lower: Column) -> Column:
+        """The own ratio where the counts contradict the backoff, else that of the backoff."""
+        own = F.round(ratio * SCALE).cast("bigint")
+        return F.when(_g_test(F.col(t), F.col(o), share) >= MIN_G, own).otherwise(lower)
+
+    def step(kind: int, key: str, t: str, o: str, lower: Column) -> list[Column]:
+        return [F.lit(kind).cast("tinyint").alias("kind"), F.col(key).cast("bigint").alias("key"),
+                (F.col(t) + F.col(o)).alias("seen"), (F.col("ratio") - lower).alias("step")]
+
     stems = stems.withColumns({
         "pt": discounted("t", all_t) + left_t * spread, "po": discounted("o", all_o) + left_o * spread,
-    }).withColumn("ratio", F.log(F.col("pt") / F.col("po")))
+    })
+    nothing = F.lit(0).cast("bigint")
+    stems = stems.withColumn("ratio", judged("t", "o", F.lit(expected), F.log(F.col("pt") / F.col("po")), nothing))
     of_stem = stems.select("stem", "pt", "po", F.col("ratio").alias("lower"), (F.col("t") + F.col("o")).alias("of"),
                            toxic_share(F.col("t"), F.col("o"), F.lit(expected)).alias("stem_share"))
     share = (F.col("t") + F.col("o")) / F.col("of")
@@ -216,7 +232,7 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, usable:
         "word", "t", "o", "stem_share", "lower",
         (discounted("t", all_t) + DISCOUNT * kinds_t / all_t * F.col("pt") * share).alias("pt"),
         (discounted("o", all_o) + DISCOUNT * kinds_o / all_o * F.col("po") * share).alias("po"),
-    ).withColumn("ratio", F.log(F.col("pt") / F.col("po")))
+    ).withColumn("ratio", judged("t", "o", F.col("stem_share"), F.log(F.col("pt") / F.col("po")), F.col("lower")))
     words = stored(spark, words, "toxicity-ratios")
     # What a class keeps for unseen pairs after a word.
     before = pairs.groupBy(_first().alias("before")).agg(
@@ -227,31 +243,48 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, usable:
 
     before = stored(spark, before.select(
         "before", "t", "o", left("kt", "t").alias("lt"), left("ko", "o").alias("lo")), "toxicity-before")
-    # A pair can tell more than its word only if it was seen a few times.
-    seen = pairs.where("t + o >= 3").select("pair", _first().alias("before"), _second().alias("word"),
-                                            F.col("t").alias("ct"), F.col("o").alias("co"))
-    joined = seen.join(before, "before").join(words.select("word", "pt", "po", F.col("ratio").alias("lower"), toxic_share(
+    # Only pairs that contradict their word go on to the words before them.
+    seen = pairs.select("pair", _first().alias("before"), _second().alias("word"),
+                        F.col("t").alias("ct"), F.col("o").alias("co"))
+    joined = seen.join(words.select("word", "pt", "po", F.col("ratio").alias("lower"), toxic_share(
         F.col("t"), F.col("o"), F.col("stem_share")).alias("word_share")), "word")
+    joined = joined.where(_g_test(F.col("ct"), F.col("co"), F.col("word_share")) >= MIN_G).join(before, "before")
 
     def bigram(count: str, total: str, kept: str, lower: str) -> Column:
         own = F.when(F.col(total) > 0, F.greatest(F.col(count) - DISCOUNT, F.lit(0.0)) / F.col(total)).otherwise(0.0)
         return own + F.col(kept) * F.col(lower)
 
     ratio = F.log(bigram("ct", "t", "lt", "pt") / bigram("co", "o", "lo", "po"))
-    joined = joined.select("pair", "ct", "co", "word_share", "lower", ratio.alias("ratio"))
-    model = Model(
-        *_top(joined, _g_test(F.col("ct"), F.col("co"), F.col("word_share")), MAX_BIGRAMS, "pair"),
-        *_top(words, _g_test(F.col("t"), F.col("o"), F.col("stem_share")), MAX_WORDS, "word"),
-        *_top(stems.withColumn("lower", F.lit(0.0)), _g_test(F.col("t"), F.col("o"), F.lit(expected)), MAX_STEMS, "stem"),
-        np.zeros(3),
-    )
+    joined = joined.withColumn("ratio", F.round(ratio * SCALE).cast("bigint"))
+    steps = joined.select(*step(PAIR, "pair", "ct", "co", F.col("lower"))).unionByName(
+        words.select(*step(WORD, "word", "t", "o", F.col("lower")))).unionByName(
+        stems.select(*step(STEM, "stem", "t", "o", nothing)))
+    return stored(spark, steps.where("step <> 0"), "toxicity-steps")
+
+
+def _nothing() -> Model:
+    none, zero = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return Model(none, zero, none, zero, none, zero, None, np.zeros(3))
+
+
+def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, usable: Column) -> Model:
+    """Count, compare and calibrate on labelled rows for which ``usable`` holds."""
+    rows = training_rows(documents, labels, usable)
+    counts = stored(spark, rows.where(~_in_slice()).select("text", "label").mapInArrow(
+        _counts, "kind tinyint, pair bigint, t bigint, o bigint").groupBy("kind", "pair").agg(
+            F.sum("t").alias("t"), F.sum("o").alias("o")), "toxicity-counts")
+    steps = _steps(spark, counts)
+    if steps is None:
+        return _nothing()
+    model = _model(spark, steps)
     slice_ids = (
         rows.where(_in_slice()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(CALIBRATION_ROWS).select(F.col("doc_id").alias("slice_id"))
     )
-    sample = rows.join(F.broadcast(slice_ids), F.col("doc_id") == F.col("slice_id")).select("text", "label")
-    shared = spark.sparkContext.broadcast(model)
-    found = sample.mapInArrow(_features_of(shared), "label int, total double, n bigint").toPandas()
+    sample = rows.join(F.broadcast(slice_ids), F.col("doc_id") == F.col("slice_id")).select(
+        F.col("label").cast("bigint").alias("label"), "text")
+    # In a fixed order, because sums of floats depend on it.
+    found = _summed_texts(spark, sample, "label", model).toPandas().sort_values(["label", "total", "n"])
     return model._replace(curve=fit_curve(
         features(found["total"].to_numpy(float), found["n"].to_numpy(float)), found["label"].to_numpy(float)))
 
@@ -259,30 +292,87 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, usable:
 def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values of the wanted keys, and which of them there are."""
     if not len(keys):
-        return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return values[at], keys[at] == wanted
+    known = keys[at] == wanted
+    return np.where(known, values[at], 0), known
 
 
-def totals(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of the log ratios and number of words of each text of a batch."""
-    sums, counts = [np.zeros(0)], [np.zeros(0, np.int64)]
+def _grams(piece: pa.RecordBatch, model: Model) -> tuple[list[tuple], np.ndarray]:
+    """Kind, sorted keys, their steps and the wanted keys of the n-grams at every word; first word per text."""
+    before, word, stem, first = named(*W.texts_of(piece.column("text")))
+    return [
+        (STEM, model.stems, model.stem_step, stem), (WORD, model.words, model.word_step, word),
+        (PAIR, model.pairs, model.pair_step, before << np.uint64(32) | word),
+    ], first
+
+
+def _sums(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of the steps that were sent and number of words of each text of a batch."""
+    sums, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for piece in W.pieces(batch, "text"):
-        before, word, stem, first = named(*W.texts_of(piece.column("text")))
-        ratio, known = _lookup(model.stems, model.stem_ratio, stem)
-        ratio = np.where(known, ratio, 0.0)
-        for keys, values, wanted in (
-            (model.words, model.word_ratio, word),
-            (model.pairs, model.pair_ratio, before << np.uint64(32) | word),
-        ):
-            own, known = _lookup(keys, values, wanted)
-            ratio = np.where(known, own, ratio)
+        grams, first = _grams(piece, model)
+        ratio = sum(_lookup(keys, steps, wanted)[0] for _, keys, steps, wanted in grams)
         count = np.diff(first)
-        sums.append(np.where(count, np.add.reduceat(np.append(ratio, 0.0), first[:-1]), 0.0))
+        sums.append(np.where(count, np.add.reduceat(np.append(ratio, 0), first[:-1]), 0))
         counts.append(count)
     return np.concatenate(sums), np.concatenate(counts)
 
 
+def totals(batch: pa.RecordBatch, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of the log ratios that were sent and number of words of each text of a batch."""
+    total, n = _sums(batch, model)
+    return total / SCALE, n
+
+
+def _sums_of(shared, keep: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total, n = _sums(batch, shared.value)
+            yield pa.RecordBatch.from_arrays(
+                [*map(batch.column, keep), pa.array(total, pa.int64()), pa.array(n, pa.int64())], [*keep, "total", "n"])
+
+    return run
+
+
+def _unsent(shared):
+    """N-grams of each text that were not sent, with how often they occur in it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in W.pieces(batch, "text"):
+                grams, first = _grams(piece, shared.value)
+                row = np.repeat(np.arange(len(piece)), np.diff(first))
+                for kind, keys, steps, wanted in grams:
+                    other = ~_lookup(keys, steps, wanted)[1]
+                    found, times = np.unique(np.stack([row[other].astype(np.uint64), wanted[other]]), axis=1,
+                                             return_counts=True)
+                    at = pa.array(found[0].astype(np.int64))
+                    yield pa.RecordBatch.from_arrays([
+                        piece.column("a").take(at), piece.column("b").take(at),
+                        pa.array(np.full(len(at), kind, np.int8)), W.as_long(found[1]), pa.array(times.astype(np.int64)),
+                    ], ["a", "b", "kind", "key", "times"])
+
+    return run
+
+
+def _summed_texts(spark: SparkSession, texts: DataFrame, key: str, model: Model) -> DataFrame:
+    """Per row of ``texts``: the bigint ``key``, the sum of its log ratios ``total`` and its number of words ``n``."""
+    shared = spark.sparkContext.broadcast(model._replace(rest=None))
+    if model.rest is None:
+        sums = texts.select(key, "text").mapInArrow(_sums_of(shared, [key]), f"{key} bigint, total bigint, n bigint")
+        return sums.withColumn("total", F.col("total") / SCALE)
+    # Texts are known by 128 bits; equal texts have equal sums, so the sum over all copies is divided by their number.
+    texts = texts.select(key, "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("a"),
+                         F.xxhash64(F.lit("b"), F.coalesce("text", F.lit(""))).alias("b"))
+    sums = texts.mapInArrow(_sums_of(shared, [key, "a", "b"]), f"{key} bigint, a bigint, b bigint, total bigint, n bigint")
+    copies = texts.groupBy("a", "b").agg(F.count("*").alias("copies"))
+    more = texts.mapInArrow(_unsent(shared), "a bigint, b bigint, kind tinyint, key bigint, times bigint").join(
+        model.rest, ["kind", "key"]).groupBy("a", "b").agg(F.sum(F.col("times") * F.col("step")).alias("more"))
+    more = more.join(copies, ["a", "b"]).selectExpr("a", "b", "more div copies as more")
+    return sums.join(more, ["a", "b"], "left").select(
+        key, ((F.col("total") + F.coalesce("more", F.lit(0))) / SCALE).alias("total"), "n")
+
+
 def features(total: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Length-normalised ratios: per word, and per root of the number of words.
 
@@ -312,23 +402,11 @@ def fit_curve(x: np.ndarray, label: np.ndarray, steps: int = 50, penalty: float
     return w
 
 
-def _features_of(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total, n = totals(batch, shared.value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("label").cast(pa.int32()), pa.array(total), pa.array(n.astype(np.int64))],
-                ["label", "total", "n"])
-
-    return run
-
-
-def _scorer(shared):
+def _scorer(curve: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            total, n = totals(batch, model)
-            margin = (features(total, n) * model.curve).sum(axis=1)
+            total, n = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("total", "n"))
+            margin = (features(total, n) * curve).sum(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(margin, -35, 35))))], ["doc_id", "score"])
 
@@ -337,6 +415,5 @@ def _scorer(shared):
 
 def toxicity_scores(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
     """Per document: ``doc_id`` and ``score`` between 0 and 1."""
-    shared = spark.sparkContext.broadcast(model)
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return texts.mapInArrow(_scorer(shared), "doc_id bigint, score double")
+    return _summed_texts(spark, texts, "doc_id", model).mapInArrow(_scorer(model.curve), "doc_id bigint, score double")

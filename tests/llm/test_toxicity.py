@@ -64,3 +64,41 @@ def test_odd_documents(spark, model):
     for given in (labels, labels.limit(0)):
         nothing = toxicity.train(spark, docs, given, F.lit(True))
         assert {r["score"] for r in toxicity.toxicity_scores(spark, docs, nothing).collect()} == {0.5}
+
+
+def mild(spark):
+    """Texts that are toxic through many words, each less than e times likelier in them."""
+    rng = np.random.default_rng(3)
+    words = [f"{a}{b}rd{k}" for k in range(16) for a in "abcde" for b in "fghij"]
+    odds = np.where(np.arange(400) % 2, 2.0, 1.0)
+    data, labels = [], []
+    for i in range(1600):
+        toxic = i % 3 == 0
+        p = odds if toxic else odds[::-1]
+        data.append((i, " ".join(rng.choice(words, 120, p=p / p.sum()))))
+        labels.append((i, int(toxic)))
+    return odd.table(spark, odd.rows(*data)), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+
+
+def test_many_mild_expressions_count(spark):
+    docs, labels = mild(spark)
+    scores = toxicity.toxicity_scores(spark, docs, toxicity.train(spark, docs, labels, F.lit(True))).join(
+        labels, "doc_id").toPandas()
+    assert (scores[scores["toxic"] == 1]["score"] >= 0.5).mean() >= 0.9
+    assert (scores[scores["toxic"] == 0]["score"] >= 0.5).mean() <= 0.1
+
+
+def test_scores_do_not_depend_on_what_is_sent(spark, monkeypatch):
+    docs, labels = mild(spark)
+    docs = docs.unionByName(docs.limit(50)).unionByName(odd.table(spark, odd.ODD))
+
+    def scores():
+        model = toxicity.train(spark, docs, labels, F.lit(True))
+        return model, sorted((repr(r["doc_id"]), r["score"])
+                             for r in toxicity.toxicity_scores(spark, docs, model).collect())
+
+    whole, wanted = scores()
+    monkeypatch.setattr(toxicity, "SENT_ROWS", 10)
+    part, found = scores()
+    assert whole.rest is None and part.rest.count() == len(whole.pairs) + len(whole.words) + len(whole.stems) - 10 > 0
+    assert found == wanted
