@@ -24,9 +24,11 @@ in any order. Steps are whole multiples of 1 / ``SCALE``: sums are exact. The
 the n-grams of the texts are joined with the table by key. Both give the same
 sums.
 
-Counting leaves out a slice of the training rows; only the words' names are
-shortened, to 32-bit hashes. On at most ``CALIBRATION_ROWS`` of the slice a
-logistic curve is fitted from normalised ratios to the chance of label 1.
+Counting covers every labelled row of the training folds; only the words' names
+are shortened, to 32-bit hashes. A logistic curve from normalised ratios to the
+chance of label 1 is fitted on at most ``CALIBRATION_ROWS`` of these rows. It is
+fitted with ratios of the counts without those rows, so no text judges itself;
+texts are scored with the ratios of all counts.
 
 Defined results: a null or empty text has no words and gets the value of the
 curve there. Labels with a null id or value are ignored, and an id with
@@ -53,7 +55,7 @@ SCALE = 1 << 24
 SENT_ROWS = 1_000_000
 STEM_BYTES = 4
 CALIBRATION_ROWS = 20_000
-CALIBRATION_SLICE = 8  # one of so many training rows
+CALIBRATION_SLICE = 8  # the curve is fitted on one of so many training rows
 # Up to so many labelled ids are sent to the documents; more are joined with a shuffle.
 SENT_IDS = 2_000_000
 TEXT_START = np.uint64(0)
@@ -90,39 +92,46 @@ def named(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return before, word, W.mix(stem + W.ODD) & low, found.first
 
 
-def _summed(kind: int, keys: np.ndarray, toxic: np.ndarray) -> pa.RecordBatch:
-    """Keys of one kind with their counts in toxic and in ordinary texts."""
+def _summed(kind: int, keys: np.ndarray, toxic: np.ndarray, held: np.ndarray) -> pa.RecordBatch:
+    """Keys of one kind with their counts in toxic and in ordinary texts, and those in texts held for the curve."""
     keys, inverse, total = np.unique(keys, return_inverse=True, return_counts=True)
-    bad = np.bincount(inverse, weights=toxic, minlength=len(keys)).astype(np.int64)
+
+    def count(weights: np.ndarray) -> np.ndarray:
+        return np.bincount(inverse, weights=weights, minlength=len(keys)).astype(np.int64)
+
+    bad = count(toxic)
+    held_bad, held_all = count(toxic * held), count(held)
     return pa.RecordBatch.from_arrays([
-        pa.array(np.full(len(keys), kind, np.int8)), W.as_long(keys), pa.array(bad, pa.int64()),
-        pa.array(total - bad, pa.int64()),
-    ], ["kind", "pair", "t", "o"])
+        pa.array(np.full(len(keys), kind, np.int8)), W.as_long(keys),
+        *(pa.array(c, pa.int64()) for c in (bad, total - bad, held_bad, held_all - held_bad)),
+    ], ["kind", "pair", "t", "o", "held_t", "held_o"])
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (word before, word) and (beginning, word) with counts in toxic and ordinary texts."""
-    pairs, stems, toxic = [], [], []
+    pairs, stems, toxic, held = [], [], [], []
 
     def flush() -> Iterator[pa.RecordBatch]:
         if toxic:
-            label = np.concatenate(toxic)
+            label, out = np.concatenate(toxic), np.concatenate(held)
             for kind, parts in enumerate((pairs, stems)):
-                yield _summed(kind, np.concatenate(parts), label)
+                yield _summed(kind, np.concatenate(parts), label, out)
                 parts.clear()
             toxic.clear()
+            held.clear()
 
-    held = 0
+    kept = 0
     for batch in batches:
         for piece in W.pieces(batch, "text"):
             before, word, stem, first = named(*W.texts_of(piece.column("text")))
             pairs.append(before << np.uint64(32) | word)
             stems.append(stem << np.uint64(32) | word)
-            toxic.append(np.repeat(piece.column("label").to_numpy(zero_copy_only=False).astype(float), np.diff(first)))
-            held += len(word)
-            if held > BLOCK_WORDS:
+            for name, parts in (("label", toxic), ("held", held)):
+                parts.append(np.repeat(piece.column(name).to_numpy(zero_copy_only=False).astype(float), np.diff(first)))
+            kept += len(word)
+            if kept > BLOCK_WORDS:
                 yield from flush()
-                held = 0
+                kept = 0
     yield from flush()
 
 
@@ -270,22 +279,27 @@ def _nothing() -> Model:
 def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, usable: Column) -> Model:
     """Count, compare and calibrate on labelled rows for which ``usable`` holds."""
     rows = training_rows(documents, labels, usable)
-    counts = stored(spark, rows.where(~_in_slice()).select("text", "label").mapInArrow(
-        _counts, "kind tinyint, pair bigint, t bigint, o bigint").groupBy("kind", "pair").agg(
-            F.sum("t").alias("t"), F.sum("o").alias("o")), "toxicity-counts")
-    steps = _steps(spark, counts)
-    if steps is None:
-        return _nothing()
-    model = _model(spark, steps)
-    slice_ids = (
+    slice_ids = stored(spark, (
         rows.where(_in_slice()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(CALIBRATION_ROWS).select(F.col("doc_id").alias("slice_id"))
-    )
+    ), "toxicity-slice")
+    marked = rows.join(F.broadcast(slice_ids), F.col("doc_id") == F.col("slice_id"), "left").select(
+        "text", "label", F.col("slice_id").isNotNull().cast("int").alias("held"))
+    counts = stored(spark, marked.mapInArrow(
+        _counts, "kind tinyint, pair bigint, t bigint, o bigint, held_t bigint, held_o bigint").groupBy(
+            "kind", "pair").agg(*(F.sum(c).alias(c) for c in ("t", "o", "held_t", "held_o"))), "toxicity-counts")
+    steps = _steps(spark, counts.select("kind", "pair", "t", "o"))
+    if steps is None:
+        return _nothing()
+    others = _steps(spark, counts.select(
+        "kind", "pair", (F.col("t") - F.col("held_t")).alias("t"), (F.col("o") - F.col("held_o")).alias("o")
+    ).where("t + o > 0"))
     sample = rows.join(F.broadcast(slice_ids), F.col("doc_id") == F.col("slice_id")).select(
         F.col("label").cast("bigint").alias("label"), "text")
     # In a fixed order, because sums of floats depend on it.
-    found = _summed_texts(spark, sample, "label", model).toPandas().sort_values(["label", "total", "n"])
-    return model._replace(curve=fit_curve(
+    found = _summed_texts(spark, sample, "label", _nothing() if others is None else _model(spark, others)).toPandas(
+        ).sort_values(["label", "total", "n"])
+    return _model(spark, steps)._replace(curve=fit_curve(
         features(found["total"].to_numpy(float), found["n"].to_numpy(float)), found["label"].to_numpy(float)))
 
 

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from parlance.llm import quality, toxicity
+from parlance.llm import quality, toxicity, words as W
 from tests.llm import odd
 from tests.llm.test_quality import read
 
@@ -102,3 +102,17 @@ def test_scores_do_not_depend_on_what_is_sent(spark, monkeypatch):
     part, found = scores()
     assert whole.rest is None and part.rest.count() == len(whole.pairs) + len(whole.words) + len(whole.stems) - 10 > 0
     assert found == wanted
+
+
+def test_every_training_row_is_counted(spark):
+    """A bigram of one row only is known, whichever row it is."""
+    rng = np.random.default_rng(4)
+    words = [f"{a}{b}rd" for a in "abcdefghij" for b in "klmnopqrst"]
+    told = [f"{words[k]} {words[k + 50]}" for k in range(40)]
+    data = [(i, " ".join([*rng.choice(words, 60), *([told[i // 4]] * 40 if i % 4 == 0 else [])])) for i in range(160)]
+    docs = odd.table(spark, odd.rows(*data))
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(160)], "doc_id bigint, toxic int")
+    model = toxicity.train(spark, docs, labels, F.lit(True))
+    own = [toxicity.named(*W.texts_of(pa.array([pair]))) for pair in told]
+    pairs = [before[1] << np.uint64(32) | word[1] for before, word, *_ in own]
+    assert toxicity._lookup(model.pairs, model.pair_step, np.array(pairs))[1].all()
