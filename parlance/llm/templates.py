@@ -14,6 +14,11 @@ taken for template, however many pages repeat it. On a page that deviates from
 its host's template its own article, main or body element is used, without the
 text that the template explains.
 
+Classes and ids name boilerplate by their whole words only. Boilerplate that is
+or holds an article or main element is not dropped if the page has none with
+text outside boilerplate. On a page without any, and without a main container of
+its host, a name drops nothing that holds most of the page's slot text.
+
 Vectors are compared by an XOR of page hashes with counts, so they are partial
 sums per host and token; neither the pages nor the tokens of a host are ever
 gathered. Hosts with fewer than ``MIN_PAGES`` pages are pooled.
@@ -56,9 +61,12 @@ BOILERPLATE_NAMES = frozenset(
     "consent gdpr notice alert newsletter subscribe subscription signup popup modal overlay sidebar aside widget "
     "widgets related recommended recommendations share sharing social menu nav navbar navigation breadcrumb "
     "breadcrumbs footer comment comments commentlist disqus discussion replies respond responses pagination pager "
-    "login search toolbar".split()
+    "login search toolbar "
+    "cookie-notice cookie-banner cookie-consent site-footer page-footer main-nav site-nav nav-menu main-menu "
+    "main-navigation site-navigation widget-area comments-area comment-list comment-respond share-buttons social-share "
+    "social-links related-posts newsletter-signup sidebar-left sidebar-right left-sidebar right-sidebar".split()
 )
-HEADER_NAMES = frozenset("header masthead topbar".split())
+HEADER_NAMES = frozenset("header masthead topbar site-header page-header".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 ARTICLE, MAIN, CONTENT, PLAIN = 3, 2, 1, 0
 CONTENT_NAMES = frozenset("article content post entry story body main text".split())
@@ -72,12 +80,17 @@ _NAME = re.compile(r"[A-Za-z0-9]+")
 
 
 class Block(NamedTuple):
-    """A block of text: its container's path, whether boilerplate holds it, and the open containers."""
+    """A block of text: its container's path, whether boilerplate holds it, and the open containers.
+
+    ``owner`` is the element that drops it if that is only one and it does so by
+    its class or id, else -1.
+    """
 
     text: str
     path: str
     dropped: bool
     inside: tuple[int, ...]
+    owner: int
 
 
 class Container(NamedTuple):
@@ -91,9 +104,20 @@ class Container(NamedTuple):
 class _Open(NamedTuple):
     tag: str
     path: str
-    dropped: bool
     number: int
     article: bool
+    element: int
+
+
+class _Element(NamedTuple):
+    """An element: the one around it, why it is boilerplate, and whether it is an article or main element."""
+
+    parent: int
+    why: int
+    main: bool
+
+
+KEPT, NAMED, FIRM = 0, 1, 2
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -104,15 +128,57 @@ def _names(attributes: dict[str, str]) -> set[str]:
     return {n.lower() for key in ("class", "id") for n in _NAME.findall(attributes.get(key, ""))}
 
 
-def _boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+def _boilerplate(tag: str, attributes: dict[str, str], in_article: bool) -> int:
+    """Whether an element is boilerplate, by its meaning (``FIRM``) or by a whole word of its class or id (``NAMED``)."""
     if tag in ("html", "body", "main"):
-        return False
+        return KEPT
     if tag in BOILERPLATE or "hidden" in attributes or attributes.get("role", "").lower() in BOILERPLATE_ROLES:
-        return True
-    names = _names(attributes)
-    if names & BOILERPLATE_NAMES:
-        return True
-    return not in_article and (tag == "header" or bool(names & HEADER_NAMES))
+        return FIRM
+    if not in_article and tag == "header":
+        return FIRM
+    words = {w.lower() for key in ("class", "id") for w in attributes.get(key, "").split()}
+    return NAMED if words & BOILERPLATE_NAMES or not in_article and words & HEADER_NAMES else KEPT
+
+
+def _dropped(elements: list[_Element], spared: set[int]) -> list[tuple[int, int, int]]:
+    """Per element: how many elements from it outwards drop it, the outermost of them, and why that one does."""
+    out: list[tuple[int, int, int]] = []
+    for k, (parent, why, _) in enumerate(elements):
+        count, owner, reason = out[parent] if parent >= 0 else (0, -1, KEPT)
+        if why and k not in spared:
+            count, owner, reason = count + 1, owner if count else k, reason if count else why
+        out.append((count, owner, reason))
+    return out
+
+
+def _spared(elements: list[_Element], found: list[tuple[int, int]]) -> tuple[set[int], bool]:
+    """Boilerplate that is or holds an article or main element, on a page that has none with text outside boilerplate.
+
+    Also whether such elements hold at least as much text as is left without
+    them. ``found`` has the element and length of each block.
+    """
+    if not any(e.main for e in elements):
+        return set(), True
+    in_main: list[bool] = []
+    for parent, _, main in elements:
+        in_main.append(main or parent >= 0 and in_main[parent])
+    state = _dropped(elements, set())
+    if any(in_main[k] and not state[k][0] for k, _ in found if k >= 0):
+        return set(), True
+    held = outside = 0
+    spared: set[int] = set()
+    for k, size in found:
+        if k >= 0 and in_main[k]:
+            held += size
+            while k >= 0 and not elements[k].main:
+                k = elements[k].parent
+            while k >= 0:
+                if elements[k].why:
+                    spared.add(k)
+                k = elements[k].parent
+        elif k < 0 or not state[k][0]:
+            outside += size
+    return spared, held >= outside
 
 
 def _rank(tag: str, attributes: dict[str, str]) -> int:
@@ -126,9 +192,10 @@ def _rank(tag: str, attributes: dict[str, str]) -> int:
 def parse(page: str | None) -> tuple[list[Container], list[Block]]:
     """Containers and blocks of a page, in order."""
     page = page or ""
-    containers: list[Container] = []
-    blocks: list[Block] = []
-    stack = [_Open("", "", False, -1, False)]
+    found: list[tuple[str, str, tuple[int, ...], int]] = []
+    opened: list[tuple[str, int, int]] = []
+    elements: list[_Element] = []
+    stack = [_Open("", "", -1, False, -1)]
     inside: list[int] = []
     parts: list[str] = []
 
@@ -136,7 +203,7 @@ def parse(page: str | None) -> tuple[list[Container], list[Block]]:
         text = " ".join(entities.unescape("".join(parts)).split()) if parts else ""
         parts.clear()
         if text:
-            blocks.append(Block(text, stack[-1].path, stack[-1].dropped, tuple(inside)))
+            found.append((text, stack[-1].path, tuple(inside), stack[-1].element))
 
     def close(depth: int) -> None:
         for item in stack[depth:]:
@@ -179,19 +246,28 @@ def parse(page: str | None) -> tuple[list[Container], list[Block]]:
             continue
         attributes = _attributes(m[3]) if m[3] else {}
         top = stack[-1]
-        dropped = top.dropped or _boilerplate(tag, attributes, top.article)
+        rank = _rank(tag, attributes)
+        elements.append(_Element(top.element, _boilerplate(tag, attributes, top.article), rank >= MAIN))
         if tag in BLOCKS and tag != "p":
             name = ".".join([tag, *sorted(_names({"class": attributes.get("class", "")}))])
             path = f"{top.path}/{name}"
-            containers.append(Container(path, _rank(tag, attributes), dropped))
-            number = len(containers) - 1
+            opened.append((path, rank, len(elements) - 1))
+            number = len(opened) - 1
             inside.append(number)
         else:
             path, number = top.path, -1
-        stack.append(_Open(tag, path, dropped, number, top.article or tag == "article"))
+        stack.append(_Open(tag, path, number, top.article or tag == "article", len(elements) - 1))
     parts.append(page[at:])
     flush()
-    return containers, blocks
+    spared, most = _spared(elements, [(element, len(text)) for text, _, _, element in found])
+    state = _dropped(elements, spared)
+    blocks = []
+    for text, path, around, element in found:
+        count, owner, why = state[element] if element >= 0 else (0, -1, KEPT)
+        blocks.append(Block(text, path, count > 0, around, owner if count == 1 and why == NAMED else -1))
+    # Spared elements with less text than the rest of the page add to it but do not stand for it.
+    return [Container(path, rank if most or rank < MAIN else PLAIN, state[element][0] > 0)
+            for path, rank, element in opened], blocks
 
 
 def _token(*parts: str) -> int:
@@ -267,7 +343,13 @@ def main_blocks(page: str | None, main: int | None, known: frozenset[int]) -> li
     if best >= MAIN:
         chosen = {k for k in usable if containers[k].rank == best}
         return [b.text for b in blocks if not b.dropped and chosen.intersection(b.inside)]
-    return [b.text for b in blocks if not b.dropped and _token("text", b.path, b.text) not in known]
+    slots = [b for b in blocks if (not b.dropped or b.owner >= 0) and _token("text", b.path, b.text) not in known]
+    sizes: dict[int, int] = {}
+    for b in slots:
+        sizes[b.owner] = sizes.get(b.owner, 0) + len(b.text)
+    # A name alone does not drop what holds most of the text.
+    kept = {-1, *(k for k, size in sizes.items() if 2 * size > sum(sizes.values()))}
+    return [b.text for b in slots if b.owner in kept]
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

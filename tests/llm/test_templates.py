@@ -86,3 +86,18 @@ def test_given_pages(spark, small):
                   for part in re.split(r"</?(?:p|h1)>", re.sub("<br>", " ", article)))
         wanted = "\n".join(b for b in blocks if b)
         assert [r["text"] for r in found if r["page_id"] == row["page_id"]] == [wanted]
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<div class='content-sidebar-wrap'><article>a b</article></div>z", "a b"),
+    ("<div class='layout has-sidebar'><main>a b</main></div>z", "a b"),
+    ("<article class='post ad-free'>a b</article>z", "a b"), ("<section class='social-news'><p>a b</p></section>", "a b"),
+    ("<div class='sidebar'><article>a b</article></div>z", "a b"), ("<form><nav>n</nav><main>a b</main></form>z", "a b"),
+    ("<main><article class='widget'>a b</article></main>z", "a b"), ("<span class='ad'><main>a b</main></span>z", "a b"),
+    ("<article>a b</article><div class='related'><article>other text that is longer</article></div>", "a b"),
+    ("<div class='x'>a story that is longer</div><div class='related'><article>c</article></div>",
+     "a story that is longer\nc"),
+    ("<div class='widget'><nav>n</nav><p>a b c</p></div>z", "a b c\nz"), ("<p>a b c</p><div class='widget'>z</div>", "a b c"),
+])
+def test_names_do_not_drop_the_main_text(page, text):
+    assert "\n".join(templates.main_blocks(page, None, frozenset())) == text
