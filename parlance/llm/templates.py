@@ -19,9 +19,11 @@ or holds an article or main element is not dropped if the page has none with
 text outside boilerplate. On a page without any, and without a main container of
 its host, a name drops nothing that holds most of the page's slot text.
 
-Vectors are compared by an XOR of page hashes with counts, so they are partial
+Vectors are compared by sums of page hashes with counts, so they are partial
 sums per host and token; neither the pages nor the tokens of a host are ever
-gathered. Hosts with fewer than ``MIN_PAGES`` pages are pooled.
+gathered. Rows of a host with equal html are one page. Hosts with fewer than
+``MIN_PAGES`` pages are pooled. Template text never takes all slot text of a
+page: what only some pages of the host have stays there, or else all of it.
 
 Defined results: null or empty html gives an empty text. A null url belongs to
 the host without name. Repeated rows each get their result; extra columns do not
@@ -275,11 +277,12 @@ def _token(*parts: str) -> int:
 
 
 ROOT = _token("page")
-TOKENS = "host string, token bigint, rank int, vector bigint, pages bigint, chars bigint"
+TOKENS = "host string, token bigint, rank int, low bigint, high bigint, pages bigint, chars bigint"
+LOW = (1 << 32) - 1
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of each page: rank of containers (-1 for text), hash of page and count, characters of slot text."""
+    """Tokens of each page: rank of containers (-1 for text), halves of the hash of page and count, characters of slot text."""
     for batch in batches:
         rows: list[tuple] = []
         for host, page, key in zip(
@@ -295,44 +298,59 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not block.dropped:
                     for number in block.inside:
                         found[_token("<", containers[number].path)][2] += len(block.text)
+            hashes = {count: xxhash.xxh64_intdigest(f"{key}:{count}") for _, count, _ in found.values()}
             rows += [
-                (host, token, rank, xxhash.xxh64_intdigest(f"{key}:{count}") - (1 << 63), 1, chars)
+                (host, token, rank, hashes[count] & LOW, hashes[count] >> 32, 1, chars)
                 for token, (rank, count, chars) in found.items()
             ]
         yield pa.RecordBatch.from_arrays([
             pa.array(column, kind) for column, kind in zip(
-                zip(*rows, strict=True) if rows else [[]] * 6,
-                (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)
-        ], ["host", "token", "rank", "vector", "pages", "chars"])
+                zip(*rows, strict=True) if rows else [[]] * 7,
+                (pa.string(), pa.int64(), pa.int32(), *[pa.int64()] * 4), strict=True)
+        ], ["host", "token", "rank", "low", "high", "pages", "chars"])
 
 
 def _summed(tokens: DataFrame, key: str) -> DataFrame:
     return tokens.groupBy(key, "token").agg(
-        F.max("rank").alias("rank"), F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"),
-        F.sum("chars").alias("chars"))
+        F.max("rank").alias("rank"), *(F.sum(c).alias(c) for c in ("low", "high", "pages", "chars")))
+
+
+def _distinct(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """One row for all rows of a host with equal html. Only html that occurs more than once is shuffled for it."""
+    page = ["host", "page", "other"]
+    pages = pages.select("host", "html", F.xxhash64("html").alias("page"), F.xxhash64(F.lit("b"), "html").alias("other"))
+    copied = stored(spark, pages.groupBy(page).agg(F.count("*").alias("n")).where("n > 1").select(page), "templates-copied")
+    return pages.join(copied, page, "left_anti").unionByName(
+        pages.join(copied, page, "left_semi").groupBy(page).agg(F.first("html").alias("html")).select(pages.columns))
 
 
 def host_templates(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Per host: the token of the container of the main text, and the tokens of template text."""
-    tokens = stored(spark, _summed(pages.select("host", "html", "page").mapInArrow(_tokens, TOKENS), "host"), "templates")
+    """Per host: the token of the container of the main text, the tokens of template text, and those on every page."""
+    tokens = stored(spark, _summed(
+        _distinct(spark, pages).select("host", "html", "page").mapInArrow(_tokens, TOKENS), "host"), "templates")
     sizes = tokens.where(F.col("token") == ROOT).select("host", F.col("pages").alias("size"))
     group = F.when(F.col("size") < MIN_PAGES, F.lit("")).otherwise(F.concat(F.lit("host "), F.col("host")))
     hosts = sizes.select("host", group.alias("of"))
     pooled = stored(spark, _summed(tokens.join(hosts, "host"), "of"), "templates-pooled")
     # Classes: tokens with one vector; valid ones are large enough and on enough pages of the group.
     whole = pooled.where(F.col("token") == ROOT).select("of", F.col("pages").alias("size"))
-    classes = pooled.groupBy("of", "vector").agg(F.count("*").alias("tokens"), F.max("pages").alias("on")).join(whole, "of")
+    vector = ["of", "low", "high"]
+    classes = pooled.groupBy(vector).agg(F.count("*").alias("tokens"), F.max("pages").alias("on")).join(whole, "of")
     valid = classes.where((F.col("tokens") >= MIN_CLASS) & (F.col("on") >= F.lit(MIN_SHARE) * F.col("size")))
-    template = pooled.join(valid.select("of", "vector"), ["of", "vector"], "left_semi")
+    template = pooled.join(valid.select(*vector, "size"), vector)
+    text = (F.col("rank") < 0) & (F.col("token") != ROOT)
     deduced = template.groupBy("of").agg(
         F.max_by(F.when((F.col("rank") > PLAIN) & (F.col("chars") > 0), F.col("token")),
                  F.when((F.col("rank") > PLAIN) & (F.col("chars") > 0), F.struct("rank", "chars", "token"))).alias("main"),
-        F.collect_list(F.when((F.col("rank") < 0) & (F.col("token") != ROOT), F.col("token"))).alias("known"),
+        F.collect_list(F.when(text, F.col("token"))).alias("known"),
+        F.collect_list(F.when(text & (F.col("pages") == F.col("size")), F.col("token"))).alias("fixed"),
     )
-    return stored(spark, hosts.join(deduced, "of", "left").select("host", "main", "known"), "templates-hosts")
+    return stored(spark, hosts.join(deduced, "of", "left").select("host", "main", "known", "fixed"), "templates-hosts")
 
 
-def main_blocks(page: str | None, main: int | None, known: frozenset[int]) -> list[str]:
+def main_blocks(
+    page: str | None, main: int | None, known: frozenset[int], fixed: frozenset[int] = frozenset(),
+) -> list[str]:
     """Blocks of the main text: the slots of the main container, or of the page's own best element."""
     containers, blocks = parse(page)
     usable = [k for k, c in enumerate(containers) if not c.dropped]
@@ -343,26 +361,30 @@ def main_blocks(page: str | None, main: int | None, known: frozenset[int]) -> li
     if best >= MAIN:
         chosen = {k for k in usable if containers[k].rank == best}
         return [b.text for b in blocks if not b.dropped and chosen.intersection(b.inside)]
-    slots = [b for b in blocks if (not b.dropped or b.owner >= 0) and _token("text", b.path, b.text) not in known]
+    usable = [(b, _token("text", b.path, b.text)) for b in blocks if not b.dropped or b.owner >= 0]
+    # Template text that would take all slot text is not template there.
+    template = known if any(token not in known and not b.dropped for b, token in usable) else fixed
+    bare = all(token in template or b.dropped for b, token in usable)
     sizes: dict[int, int] = {}
-    for b in slots:
-        sizes[b.owner] = sizes.get(b.owner, 0) + len(b.text)
+    for b, token in usable:
+        if token not in template:
+            sizes[b.owner] = sizes.get(b.owner, 0) + len(b.text)
     # A name alone does not drop what holds most of the text.
     kept = {-1, *(k for k, size in sizes.items() if 2 * size > sum(sizes.values()))}
-    return [b.text for b in slots if b.owner in kept]
+    return [b.text for b, token in usable if b.owner in kept and (token not in template or bare and not b.dropped)]
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        known_of: dict[str, frozenset[int]] = {}
-        for page, host, main, known in zip(
+        known_of: dict[str, tuple[frozenset[int], frozenset[int]]] = {}
+        for page, host, main, known, fixed in zip(
             batch.column("html"), batch.column("host").to_pylist(), batch.column("main").to_pylist(),
-            batch.column("known"), strict=True,
+            batch.column("known"), batch.column("fixed"), strict=True,
         ):
             if host not in known_of:
-                known_of[host] = frozenset(known.as_py() or ())
-            texts.append("\n".join(main_blocks(page.as_py(), main, known_of[host])))
+                known_of[host] = frozenset(known.as_py() or ()), frozenset(fixed.as_py() or ())
+            texts.append("\n".join(main_blocks(page.as_py(), main, *known_of[host])))
         yield pa.RecordBatch.from_arrays([
             batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
             pa.array([len(t) for t in texts], pa.int64()),
@@ -378,7 +400,7 @@ def main_texts(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Per page: ``page_id``, ``url``, ``text`` and ``n_chars``."""
     named = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
-    keyed = named.withColumn("page", F.xxhash64("page_id", "url", "html"))
-    templates = host_templates(spark, keyed)
-    return named.join(templates, "host", "left").select("page_id", "url", "html", "host", "main", "known").mapInArrow(
+    templates = host_templates(spark, named)
+    return named.join(templates, "host", "left").select(
+        "page_id", "url", "html", "host", "main", "known", "fixed").mapInArrow(
         _extract, "page_id bigint, url string, text string, n_chars bigint")

@@ -101,3 +101,21 @@ def test_given_pages(spark, small):
 ])
 def test_names_do_not_drop_the_main_text(page, text):
     assert "\n".join(templates.main_blocks(page, None, frozenset())) == text
+
+
+def test_repeated_rows_are_one_page(spark):
+    data = [page(i // 2, f"<p>Story {i // 2}</p><p>More {i // 2}</p>") for i in range(12)]
+    assert texts(spark, data) == {i: f"Story {i}\nMore {i}" for i in range(6)}
+
+
+@pytest.mark.parametrize("extra", ["", "<!-- {} -->", "<div class='sidebar'>Number {}</div>"])
+def test_text_of_copies_is_not_template(spark, extra):
+    data = [page(i, "<p>Same</p><p>text</p><p>here</p>" if i < 4 else f"<p>Story {i}</p><p>More {i}</p>", extra.format(i))
+            for i in range(7)]
+    assert texts(spark, data) == {
+        i: "Same\ntext\nhere" if i < 4 else f"Story {i}\nMore {i}" for i in range(7)}
+
+
+def test_pages_that_are_all_alike_keep_their_text(spark):
+    data = [page(i, "<p>Same</p>", f"<!-- {i} -->") for i in range(4)]
+    assert set(texts(spark, data).values()) == {"Welcome to h\nSame\nLegal text"}
