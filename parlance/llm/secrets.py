@@ -1,8 +1,11 @@
 """Secret scans: fixed patterns, and a battery of randomness tests.
 
 Patterns give the base spans. Beyond them, every run of 20 or more characters
-of a text encoding is a candidate. Its encoding is the smallest of a fixed list
-that holds all its characters, and its symbols are numbered in that alphabet.
+of a text encoding is a candidate, and so are its parts of that length between
+the marks + and /, between - and _, and between all four: a key can stand in a
+path or behind a name. The encoding of a candidate is the smallest of a fixed
+list that holds all its characters (a run with marks of both kinds has none and
+is judged by its parts), and its symbols are numbered in that alphabet.
 
 *Is it random?* Three tests of uniform random symbols are combined by Fisher's
 method: chi-squared uniformity over groups of the alphabet, Wald-Wolfowitz runs
@@ -17,8 +20,9 @@ little a short token proves. Benjamini-Hochberg over the candidates of a
 document keeps the expected share of false discoveries below ``FALSE_SHARE``.
 
 Defined results: a null or empty text has no spans. Positions are code points,
-end exclusive. Added spans that overlap a base span are left out; base spans
-always stay. Runs of digits alone are numbers, not candidates.
+end exclusive. Candidates that overlap a base span are left out; base spans
+always stay. Found candidates that overlap each other become one span. Runs of
+digits alone are numbers, not candidates.
 """
 
 from __future__ import annotations
@@ -62,6 +66,7 @@ ENCODINGS = {
     "base64url": UPPER + LOWER + DIGITS + "-_",
 }
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+PARTS = tuple(map(re.compile, (r"[A-Za-z0-9_-]{20,}", r"[A-Za-z0-9+/]{20,}", r"[A-Za-z0-9]{20,}")))
 
 # --- Fixed values: letters of ordinary text, in per mille ---------------------------
 LETTER_FREQUENCY = {
@@ -178,18 +183,31 @@ def _by_start(span: tuple[int, int, str]) -> tuple[int, int]:
     return span[0], KINDS.index(span[2])
 
 
+def candidate_spans(text: str) -> list[tuple[int, int]]:
+    """Runs of characters of the encodings and their long parts between marks, each once."""
+    found = []
+    for m in CANDIDATE.finditer(text):
+        parts = {p.span() for pattern in PARTS for p in pattern.finditer(text, *m.span())}
+        found += sorted(parts | {m.span()})
+    return found
+
+
 def random_spans(text: str, taken: list[tuple[int, int, str]] = ()) -> list[tuple[int, int, str]]:
-    """Spans of the candidates that pass the battery and are discoveries."""
+    """Spans of the candidates that pass the battery and are discoveries; overlapping ones are one span."""
     candidates = []
-    for m in CANDIDATE.finditer(text):
-        encoding = encoding_of(m[0])
+    for start, end in candidate_spans(text):
+        token = text[start:end]
+        encoding = encoding_of(token)
         if encoding is not None:
-            candidates.append((m.start(), m.end(), ordinary(m[0], encoding), randomness(m[0], encoding)))
+            candidates.append((start, end, ordinary(token, encoding), randomness(token, encoding)))
     chosen = discoveries([c[2] for c in candidates])
-    return [
-        (start, end, "random") for (start, end, _, random), found in zip(candidates, chosen, strict=True)
-        if found and random >= NOT_RANDOM and not any(a < end and start < b for a, b, _ in taken)
-    ]
+    spans: list[tuple[int, int, str]] = []
+    for (start, end, _, random), found in zip(candidates, chosen, strict=True):
+        if found and random >= NOT_RANDOM and not any(a < end and start < b for a, b, _ in taken):
+            if spans and start < spans[-1][1]:
+                start, end = spans[-1][0], max(end, spans.pop()[1])
+            spans.append((start, end, "random"))
+    return spans
 
 
 def secret_spans(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:

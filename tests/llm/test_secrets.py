@@ -72,3 +72,23 @@ def test_redaction(spark):
     assert len(found.collect()) == len(data)
     assert rows[100]["text"] == "a [SECRET] b [SECRET] c" and rows[100]["n_chars"] == len(rows[100]["text"])
     assert rows[1]["text"] is None and rows[8]["text"] == odd.LONG
+
+
+def test_keys_in_paths_are_found():
+    rng = random.Random(9)
+    found = total = 0
+    for alphabet in (secrets.ENCODINGS["base62"], secrets.ENCODINGS["base64url"], secrets.ENCODINGS["base32"]):
+        for _ in range(100):
+            key = "".join(rng.choice(alphabet) for _ in range(40))
+            text = f"see https://host.example/v1/user-data/{key}/all-of-it here"
+            start = text.index(key)
+            total += 1
+            spans = [s[:2] for s in secrets.secret_spans(text)[1] if s[2] == "random"]
+            found += any(a <= start and start + 40 <= b for a, b in spans)
+            assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+    assert found >= 0.95 * total
+    # A part may hold a short word beside its key.
+    assert secrets.redact(f"/v1/user-data/{KEY}").endswith("[SECRET]") and KEY not in secrets.redact(f"/v1/user-data/{KEY}")
+    for text in ("/usr/share/internationalization/of-the/configuration_directory/with+marks",
+                 "a-number-of/people_went_to_the_little_house/and+internationalizations/again"):
+        assert not [s for s in secrets.secret_spans(text)[1] if s[2] == "random"], text
