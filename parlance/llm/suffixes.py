@@ -6,13 +6,12 @@ of ``SEED`` words. The choice depends on the content alone, so equal passages
 retain suffixes at equal places, one in about twenty words.
 
 A retained suffix stands for its stretch: the passage-long windows whose
-minimiser it is. Suffixes are brought in the order of the hash of their stretch,
-so that equal ones become neighbours, whatever document they come from; a
-stretch found in two documents is repeated as a whole. A stretch that differs
-may still share its inner part with another one that begins with the same seed.
-For those only, the match is extended word by word to the left and to the right
-of the seed: every window of the stretch is compared with the windows of the
-other stretches of that seed. The result is exact: a word is repeated if and
+minimiser it is. Suffixes are not sorted but grouped by the hash of their
+stretch, whatever document they come from; a stretch found in two documents is
+repeated as a whole. A stretch that differs may still share its inner part with
+another one that begins with the same seed. For those only, the hashes of all
+windows of the stretch are grouped over the whole table, in place of extending a
+match word by word to the left and to the right of the seed. The result is exact: a word is repeated if and
 only if it lies in ``PASSAGE`` consecutive words that another document has too.
 
 Groups of equal suffixes are reduced with partial sums to their first and last
