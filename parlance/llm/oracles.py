@@ -169,3 +169,32 @@ spans AS (SELECT r, min(i) - 1 AS a, max(i) + 49 AS b FROM islands GROUP BY r, g
 SELECT doc_id, CAST(a AS BIGINT) AS start_word, CAST(b AS BIGINT) AS end_word, CAST(len(ws) AS BIGINT) AS doc_words
 FROM d JOIN spans USING (r)
 """
+
+ORACLES["op12_ranked_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+held AS (SELECT r, doc_id, ws, CAST(len(ws) AS BIGINT) AS n FROM d WHERE len(ws) > 0),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM held),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM held) GROUP BY r, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * docs + 2) / (2.0 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), corpus),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+norms AS (SELECT r, doc_id, 50 + (50 * n * docs) // total AS m FROM held, corpus),
+scores AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN norms USING (r)
+  GROUP BY item_id, r, doc_id),
+ranked AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""

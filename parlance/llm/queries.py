@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parlance.llm import decontaminate, jaccard, language, mixing, quality, rules, secrets, suffixes, templates, toxicity
+from parlance.llm import (
+    alignment, decontaminate, jaccard, language, lexical, mixing, quality, rules, secrets, suffixes, templates, toxicity,
+    urls,
+)
 
 QUALITY_THRESHOLD = 0.3
 LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 5, 0
 TOXICITY_FOLDS, TOXICITY_HELD_OUT = 3, 1
 TOXICITY_THRESHOLD = 0.7
+URL_RULES = (
+    urls.Rule("block", "net/"), urls.Rule("allow", "example.net/en/"), urls.Rule("block", "example.com/de/"),
+    urls.Rule("allow", "org/fr/"),
+)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -97,3 +104,20 @@ def op10_quality_classifier(spark, sf_dir):
         "doc_id", (quality.id_fold(F.col("doc_id"), quality.FOLDS) == quality.HELD_OUT).alias("held_out"), "score",
         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query
+def op11_align_tokens(spark, sf_dir):
+    return alignment.cross_alignment(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_ranked_search(spark, sf_dir):
+    return lexical.ranked_search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    found = urls.judged(spark, pages, urls.train(spark, pages), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "score")

@@ -10,7 +10,7 @@ from tests.conftest import SMALL
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in REGISTRY) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in REGISTRY) == list(range(1, 14))
     assert set(ORACLES) <= set(REGISTRY) <= set(entry.queries())
     assert "pipeline" in entry.queries()
 
@@ -35,6 +35,8 @@ def test_twin(spark, name):
     ("op5_toxicity", ["doc_id", "held_out", "score", "predicted"]),
     ("op8_html_text", ["page_id", "url", "text", "n_chars"]),
     ("op10_quality_classifier", ["doc_id", "held_out", "score", "predicted"]),
+    ("op11_align_tokens", ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]),
+    ("op13_url_filter", ["page_id", "host", "path", "rule", "verdict", "score"]),
 ])
 def test_columns_and_rows(spark, name, columns):
     found = REGISTRY[name](spark, SMALL)
