@@ -208,21 +208,16 @@ class _Ranking:
         self.least[self.item[last]] = self.score[last]
 
     def rows(self) -> pa.RecordBatch:
-        """The classes that can reach a ranking: fewer members than places have a higher score.
-
-        Members of classes with equal scores are ranked among each other by id.
-        """
+        """The best classes expanded into their members by id, cut to the documents that can be in a ranking."""
         sizes = np.fromiter(map(len, self.members), np.int64, len(self.members))
-        before = np.cumsum(sizes) - sizes
-        begin = np.searchsorted(self.item, np.arange(len(self.least)))
-        new = np.ones(len(sizes), bool)
-        new[1:] = (self.item[1:] != self.item[:-1]) | (self.score[1:] != self.score[:-1])
-        higher = before[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        needed = higher - before[begin[self.item]] < self.top if len(sizes) else new
+        ids = pa.array([i for listed in self.members for i in listed], pa.int64())
+        item, score = np.repeat(self.item, sizes), np.repeat(self.score, sizes)
+        order = np.lexsort((ids.fill_null(0).to_numpy(), np.asarray(ids.is_null()), -score, item))
+        begin = np.searchsorted(item[order], np.arange(len(self.least)))
+        order = order[np.arange(len(order)) - begin[item[order]] < self.top]
         return pa.RecordBatch.from_arrays([
-            pa.array(self.item[needed], pa.int32()), pa.array(self.score[needed]),
-            pa.array(list(self.members[needed]), pa.list_(pa.int64())),
-        ], ["item", "score", "members"])
+            pa.array(item[order], pa.int32()), pa.array(score[order]), ids.take(pa.array(order)),
+        ], ["item", "score", "doc_id"])
 
 
 def class_scores(block: Block, term: np.ndarray, tf: np.ndarray, row: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -288,10 +283,9 @@ def _block_search(spark: SparkSession, documents: DataFrame, queries: DataFrame,
     normed = bags.where(F.octet_length("bag") > 0).select(
         "doc_id", "bag", norm(F.col("n"), held, max(total, 1)).alias("m"))
     scored = classes(normed, top).mapInArrow(
-        _scorer(spark.sparkContext.broadcast(block), top), "item int, score long, members array<long>")
+        _scorer(spark.sparkContext.broadcast(block), top), "item int, score long, doc_id long")
     names = spark.createDataFrame(list(enumerate(ids)), f"item int, item_id {queries.schema['item_id'].dataType.simpleString()}")
-    expanded = scored.select("item", "score", F.explode("members").alias("doc_id"))
-    return _best(expanded.join(F.broadcast(names), "item").select("item_id", "doc_id", "score"), top)
+    return _best(scored.join(F.broadcast(names), "item").select("item_id", "doc_id", "score"), top)
 
 
 def _join_search(spark: SparkSession, documents: DataFrame, queries: DataFrame, top: int) -> DataFrame:
