@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from parlance.functions.grammar import json_of_literal
 from parlance.functions.text import bind
 
 _DOUBLE = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
@@ -22,38 +23,22 @@ def _outside_strings(word: str) -> str:
     return rf"""(?s)\G((?:[^"'{first}]++|{_DOUBLE}|{_SINGLE}|{first}(?!{rest}\b))*+){word}\b"""
 
 
-def _mark_outside_strings(mark: str, follow: str = "") -> str:
-    # One character outside strings; ``follow`` is a lookahead that it needs.
-    other = rf"|{mark}(?!{follow})" if follow else ""
-    return rf"""(?s)\G((?:[^"'{mark}]++|{_DOUBLE}|{_SINGLE}{other})*+){mark}""" + (f"(?={follow})" if follow else "")
-
-
-_JOIN = "\x01"
-_TRAILING = r"\s*+[\]})]"
-# A string, the space after it, and the string that follows: Python joins the two.
-_ADJACENT = rf"""(?s)\G((?:[^"']++|(?:{_DOUBLE}|{_SINGLE})(?!\s++["']))*+(?:{_DOUBLE}|{_SINGLE}))\s++(?=["'])"""
+# Escapes that mean the same in JSON, and byte escapes, which are rewritten.
+_COMMON_ESCAPES = r"""^(?:[^\\]++|\\(?:[\\'"nrtbf]|u[0-9a-fA-F]{4}|x[0-9a-fA-F]{2}))*+$"""
 
 
 def literal_to_json(text: Column) -> Column:
-    """Rewrite a Python literal as JSON.
+    """A literal as ``repr`` writes it -> JSON text but for single quotes; null if it has other escapes.
 
-    Bare words and byte escapes, tuples as lists, commas after the last element,
-    and strings that follow each other. Nothing inside a string changes.
+    Bare words and byte escapes are rewritten. Nothing else inside a string changes.
     """
     rewrites = [
-        (lambda t: t.rlike(r"""["']\s++["']"""), _ADJACENT, "$1" + _JOIN),
-        (lambda t: F.contains(t, F.lit(_JOIN)), rf"""(["']){_JOIN}\1""", ""),
-        (lambda t: F.contains(t, F.lit("(")), _mark_outside_strings(r"\("), "$1["),
-        (lambda t: F.contains(t, F.lit(")")), _mark_outside_strings(r"\)"), "$1]"),
-        (lambda t: t.rlike(rf",{_TRAILING}"), _mark_outside_strings(",", _TRAILING), "$1"),
-    ]
-    rewrites += [
         (lambda t, word=word: F.contains(t, F.lit(word)), _outside_strings(word), "$1" + json_word)
         for word, json_word in _BARE_WORDS.items()
     ]
     rewrites.append((
         lambda t: F.contains(t, F.lit("\\x")), r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2"))
-    out = text
+    out = F.when(~F.contains(text, F.lit("\\")) | text.rlike(_COMMON_ESCAPES), text)
     for needed, pattern, replacement in rewrites:
         out = bind(out, _rewrite_if(needed, pattern, replacement))
     return out
@@ -119,9 +104,20 @@ def read_json_object(text: Column) -> Column:
 
 
 def read_literal(text: Column) -> Column:
-    """Python-literal text -> VARIANT."""
-    return bind(literal_to_json(text), lambda t: F.coalesce(
-        _only_element(F.from_json(_bracketed(t), "variant", _LITERAL_OPTIONS)), _objects_of(t, _LITERAL_OPTIONS)))
+    """Python-literal text -> VARIANT.
+
+    Text as ``repr`` writes it is almost JSON and takes the short way; any other
+    literal is cut into tokens.
+    """
+
+    def short(t: Column) -> Column:
+        return F.coalesce(
+            _only_element(F.from_json(_bracketed(t), "variant", _LITERAL_OPTIONS)), _objects_of(t, _LITERAL_OPTIONS))
+
+    def long(t: Column) -> Column:
+        return F.coalesce(_only_element(F.try_parse_json(_bracketed(t))), _objects_of(t))
+
+    return bind(text, lambda t: F.coalesce(bind(literal_to_json(t), short), bind(json_of_literal(t), long)))
 
 
 def read_value(text: Column) -> Column:

@@ -263,3 +263,95 @@ def test_envelopes_of_unknown_shape(evaluate):
 def test_nested_tags_leave_the_feedback_text(evaluate):
     cell = '{"M":{"type":{"S":"like"},"option":{"L":[{"S":"a"},{"M":{"k":{"N":"1"}}}]}}}'
     assert evaluate(fb.unwrap_feedback, cell) == ['{"option": ["a",{"k":1}], "type": "like"}']
+
+
+_FORMS = [
+    """['a' "b"]""", "{'k': {1, 2}}", "[b'x', 1]", "['''t''']", r"[r'a\d']", "{'a': 1_000}", "[0x1F]", "{1: 'a'}",
+    "['it''s']", "[u'x']", '["""a "quoted"\nline"""]', "[-0x1f, 0o17, 0b101, +3, - 4, 1., .5, 1e5, 1.5E-3, -2.0]",
+    "{None: 1, True: 2, 3.5: 4, -1: 5}", "[('a'), ('b',), (), (('c'))]", "('x')", "([1, 2])", "{'a'}", "{(1, 2), (3,),}",
+    r"['\a\v\x41\101\0é\U0001F600\'\"\\\q\d']", r"[b'\x00\xffAA']", r"['😀']", "['a\\\nb']",
+    "[rb'a\\b', bR'c', Br'd', U'e']", "[1, # one\n 2]", "{'a': [{'b': (1, {2, 3})}], 'c': {}}", "['\t tab']", "[[], {}, ()]",
+    "[None, True, False]", "{'x': 'a' 'b', 'y': ('p' 'q')}", "['{', \"}\", '(', ':,']", "[1,\n 2,\n]", "{'a': -1, 'a': 2}",
+    "['', \"\", '''''' , r'']", "[r'\\'']", "1", "'s'", "-5", "None", "['a', ['b', ('c', {'d': {'e'}})]]",
+]
+_NO_LITERALS = [
+    "[1 2]", "['a' 1]", "[x]", "{'a' 1}", "[1,,2]", "[,]", "{,}", "(1", "['a\nb']", "[1}", "xb'a'", "['a'x]", "[1__0]", "{1: }",
+    "[0x]", "[1.2.3]", "lambda: 1", "[*a]", "", "[f'x']",
+]
+
+
+def _as_json(value):
+    """What a literal comes out as: sets and tuples as lists, bytes as text, keys as text."""
+    if isinstance(value, dict):
+        return {k if isinstance(k, str) else json.dumps(k): _as_json(v) for k, v in value.items()}
+    if isinstance(value, set):
+        return sorted((_as_json(v) for v in value), key=repr)
+    if isinstance(value, (list, tuple)):
+        return [_as_json(v) for v in value]
+    return value.decode("latin-1") if isinstance(value, bytes) else value
+
+
+def _sorted_sets(found, value):
+    """The lists that stand for sets, in the order of the twin."""
+    if isinstance(value, set):
+        return sorted(found, key=repr)
+    if isinstance(value, (list, tuple)):
+        return [_sorted_sets(f, v) for f, v in zip(found, value, strict=True)]
+    if isinstance(value, dict):
+        return {k: _sorted_sets(f, v) for (k, f), v in zip(sorted(found.items()), (
+            v for _, v in sorted((_as_json({k: 0}).popitem()[0], v) for k, v in value.items())), strict=True)}
+    return found
+
+
+def test_all_forms_of_literals(evaluate):
+    found = evaluate(lambda c: F.to_json(lt.read_literal(c)), *_FORMS)
+    for text, got in zip(_FORMS, found, strict=True):
+        value = ast.literal_eval(text)
+        wanted = json.loads(json.dumps(_as_json(value)))
+        assert got is not None or wanted is None, text
+        assert wanted is None or _sorted_sets(json.loads(got), value) == wanted, text
+
+
+def test_what_is_no_literal_is_not_read(evaluate):
+    for text in _NO_LITERALS:
+        with pytest.raises((SyntaxError, ValueError)):
+            ast.literal_eval(text)
+    assert evaluate(lambda c: F.to_json(lt.read_literal(c)), *_NO_LITERALS) == [None] * len(_NO_LITERALS)
+
+
+def test_random_literals_of_all_forms(evaluate):
+    rng = random.Random(13)
+
+    def string():
+        body = "".join(rng.choice(["a", "'", '"', "\\", "{", ",", ":", "#", "ñ", "😀", " ", "None", "1"]) for _ in range(6))
+        kind = rng.randrange(4)
+        if kind == 0:
+            return repr(body)
+        if kind == 1:
+            return '"""' + body.replace("\\", "\\\\").replace('"', '\\"') + '"""'
+        if kind == 2:
+            return "r" + repr(body.replace("\\", "").replace("'", ""))
+        return repr(body.encode("latin-1", "ignore")) if rng.random() < 0.3 else repr(body) + rng.choice([" ", "", "\n"]) + repr(body)
+
+    def scalar():
+        return rng.choice([string, lambda: rng.choice(["0x1f", "-1_000", ".5", "2.", "1e3", "+7", "0b11", "None", "True"])])()
+
+    def text_of(depth):
+        kind = rng.randrange(8) if depth else 7
+        comma, space = rng.choice(["", ","]), rng.choice(["", " ", "\n"])
+        if kind < 2:
+            return "[" + space + ", ".join(text_of(depth - 1) for _ in range(rng.randrange(1, 4))) + comma + "]"
+        if kind == 2:
+            return "(" + ", ".join(text_of(depth - 1) for _ in range(rng.randrange(2, 4))) + comma + space + ")"
+        if kind < 5:
+            return "{" + ", ".join(f"{k!r}:{space}{text_of(depth - 1)}" for k in rng.sample(["a", "b'", 'c"', 1, 2.5], 2)) + comma + "}"
+        if kind == 5:
+            return "{" + ", ".join(rng.sample(["1", "'x'", '"y"', "(1, 'z')", "2.5"], 3)) + comma + "}"
+        return scalar()
+
+    texts = ["[" + text_of(3) + "]" for _ in range(400)]
+    found = evaluate(lambda c: F.to_json(lt.read_literal(c)), *texts)
+    for text, got in zip(texts, found, strict=True):
+        value = ast.literal_eval(text)
+        assert got is not None, text
+        assert _sorted_sets(json.loads(got), value) == json.loads(json.dumps(_as_json(value))), text
