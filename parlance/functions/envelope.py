@@ -12,9 +12,33 @@ from parlance.functions.literal import as_list, as_map, field, field_text, read_
 from parlance.functions.text import bind, strip
 
 _SETS = ("SS", "BS", "NS")
+# Levels of brackets that are followed; the store itself nests attributes at most 32 deep, two brackets each.
+DEPTH = 64
 _TEXT = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _WHOLE, _REAL = r"-?(?:0|[1-9]\d*+)", r"-?(?:0|[1-9]\d*+)\.\d++(?:[eE][+-]?\d++)?"
-# A quote inside a JSON text is escaped, so a brace and a quoted tag are never part of one.
+
+
+def _balanced(depth: int) -> str:
+    inner = f"|{_balanced(depth - 1)}" if depth > 1 else ""
+    return rf"""[{{\[](?:[^{{}}\[\]"]++|{_TEXT}{inner})*+[}}\]]"""
+
+
+# JSON as Spark writes it holds no blanks outside strings and no control character, so this one marks
+# the brackets that are done. A quote inside a string is escaped, so a brace and a quoted tag are never part of one.
+_DONE = "\x01"
+_SKIPPED = rf"""[^{{\["]++|{_TEXT}|(?<={_DONE})[{{\[]"""
+_BALANCED = _balanced(DEPTH)
+_OPEN = (
+    rf"""(?s)\G((?:{_SKIPPED})*+)(?:\{{(?:"S":({_TEXT})|"N":"?({_REAL}|{_WHOLE})"?|"N":({_TEXT})|"BOOL":(true|false)"""
+    rf"""|"NULL":(null)|"M":(?=\{{)({_BALANCED})|"(?:L|SS|BS)":(?=\[)({_BALANCED})|"(NS)":(?=\[)({_BALANCED}))\}}"""
+    rf"""|({_BALANCED}))"""
+)
+_HAS_OPEN = rf"""(?s)^(?:{_SKIPPED})*+[{{\[]"""
+# A number set keeps its tag until its elements are written as numbers.
+_OPENED = f"$1$9{_DONE}$2$3$4$5$6$7$8$10$11"
+_NUMBER_SET = f"NS{_DONE}["
+_NUMBERS = rf"""(?s)(NS{_DONE}\[|\G,)(?:"({_REAL}|{_WHOLE})"|({_TEXT}))"""
+# For text that is tagged throughout, at any depth.
 _PLAIN_FORMS = (
     (rf"""(?s)\{{\s*+"S"\s*+:\s*+({_TEXT})\s*+\}}""", "$1"),
     (rf"""\{{\s*+"N"\s*+:\s*+"?({_REAL}|{_WHOLE})"?\s*+\}}""", "$1"),
@@ -71,11 +95,27 @@ def unwrap_scalar(value: Column) -> Column:
 
 
 def plain_json(text: Column) -> Column:
-    """JSON text in which every value is tagged -> the same without tags, however deep.
+    """JSON text of enveloped values -> the same without tags, however tagged and untagged values hold each other.
 
-    Each pass is linear in the text. Text that also holds untagged objects does
-    not come out as JSON, which the caller finds out by reading it.
+    Each pass opens the outermost values that are not open yet and marks their
+    brackets as done, so an object that was below a tag keeps a key that has the
+    name of a tag. There are as many passes as the text has levels. Text with more
+    levels than are followed has to be tagged throughout.
     """
+    nulls = F.regexp_replace(text, r"""\{"NULL":(?:true|false)\}""", '{"NULL":null}')
+    passes = F.sequence(F.lit(1), F.least(F.lit(DEPTH), F.regexp_count(text, F.lit(r"[{\[]")) + 1))
+    opened = F.aggregate(passes, nulls, lambda t, _: F.when(
+        t.rlike(_HAS_OPEN), F.regexp_replace(t, _OPEN, _OPENED)).otherwise(t))
+
+    def closed(t: Column) -> Column:
+        numbers = F.when(F.contains(t, F.lit(_NUMBER_SET)), F.replace(
+            F.regexp_replace(t, _NUMBERS, "$1$2$3"), F.lit(_NUMBER_SET), F.lit("["))).otherwise(t)
+        return F.replace(numbers, F.lit(_DONE), F.lit(""))
+
+    return bind(opened, lambda t: F.when(t.rlike(_HAS_OPEN), _tagged_throughout(text)).otherwise(closed(t)))
+
+
+def _tagged_throughout(text: Column) -> Column:
     for pattern, replacement in _PLAIN_FORMS:
         text = F.regexp_replace(text, pattern, replacement)
     return text
@@ -83,10 +123,16 @@ def plain_json(text: Column) -> Column:
 
 def unwrap_any(value: Column) -> Column:
     """Enveloped VARIANT of unknown shape -> VARIANT without tags at any depth."""
-    holds = field(value, "M").isNotNull() | field(value, "L").isNotNull()
-    for name in _SETS:
-        holds = holds | field(value, name).isNotNull()
-    return F.when(holds, F.coalesce(read_json(plain_json(F.to_json(value))), value)).otherwise(unwrap_scalar(value))
+    holds = as_map(value).isNotNull() | as_list(value).isNotNull()
+    return F.when(_is_scalar(value), unwrap_scalar(value)).when(
+        holds, F.coalesce(read_json(plain_json(F.to_json(value))), value)).otherwise(value)
+
+
+def _is_scalar(value: Column) -> Column:
+    found = field(value, "S").isNotNull()
+    for tag in ("N", "BOOL", "NULL"):
+        found = found | field(value, tag).isNotNull()
+    return found
 
 
 def tagged_number(text: Column) -> Column:

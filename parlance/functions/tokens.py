@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from parlance import fixed_values as V
+from parlance.functions.cells import WHOLE_BYTES, read_members
 from parlance.functions.literal import as_list, as_map, field, is_string, read_json, read_json_object
 from parlance.functions.text import bind, strip
 
@@ -86,30 +87,37 @@ def _braced(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, r"(?s)(\{.*\})", 1), F.lit(""))
 
 
-def read_message_map(raw: Column) -> Column:
-    """Message-map text -> ``struct<value variant, parse_status string>``.
+def read_message_map(raw: Column, whole_bytes: int = WHOLE_BYTES) -> Column:
+    """Message-map text -> ``struct<value variant, members array<struct<key, value>>, parse_status string>``.
 
     The text is read as it is first; only when that fails is it repaired, and
     only when that fails is it cut to its braces. ``parse_status`` says which
     step succeeded: ``valid``, ``repaired``, ``cut``, ``unreadable`` or ``missing``.
+    A map above ``whole_bytes`` is cut into its members, which stand in ``members``
+    in place of a value.
     """
-    return bind(strip(raw), _read_map)
+    return bind(strip(raw), lambda text: _read_map(text, whole_bytes))
 
 
-def _read_map(text: Column) -> Column:
+MEMBERS = "array<struct<key: string, value: variant>>"
+
+
+def _read_map(text: Column, whole_bytes: int) -> Column:
     present = F.coalesce(text != "", F.lit(False))
     body_closed = _replaced(text, V.TRUNCATED_BODY)
 
     def tried(candidate: Column, status: str, read=read_json) -> Column:
-        return bind(read(candidate), lambda v: F.when(
-            v.isNotNull(), F.struct(v.alias("value"), F.lit(status).alias("parse_status"))
-        ))
+        return bind(read(candidate), lambda v: F.when(v.isNotNull(), _map_read(v, None, status)))
+
+    def tried_members(candidate: Column, status: str) -> Column:
+        return bind(read_members(candidate, whole_bytes), lambda m: F.when(m.isNotNull(), _map_read(None, m, status)))
 
-    failed = F.struct(F.lit(None).cast("variant").alias("value"), F.lit(_STATUS_UNREADABLE).alias("parse_status"))
-    missing = F.struct(F.lit(None).cast("variant").alias("value"), F.lit(_STATUS_MISSING).alias("parse_status"))
+    failed, missing = _map_read(None, None, _STATUS_UNREADABLE), _map_read(None, None, _STATUS_MISSING)
     return F.when(
         present,
         F.coalesce(
+            tried_members(text, "valid"),
+            tried_members(body_closed, "repaired"),
             tried(text, "valid"),
             tried(text, "valid", read_json_object),
             tried(body_closed, "repaired"),
@@ -120,23 +128,42 @@ def _read_map(text: Column) -> Column:
     ).otherwise(missing)
 
 
+def _map_read(value: Column | None, members: Column | None, status: str) -> Column:
+    return F.struct(
+        (F.lit(None).cast("variant") if value is None else value).alias("value"),
+        (F.lit(None).cast(MEMBERS) if members is None else members).alias("members"),
+        F.lit(status).alias("parse_status"),
+    )
+
+
 def _open(value: Column) -> Column:
     """Content of an enveloped value; a value without a tag stays."""
     return F.coalesce(field(value, "S"), field(value, "L"), field(value, "M"), value)
 
 
-def message_entries(value: Column, enveloped: bool = False) -> Column:
+def message_entries(value: Column, enveloped: bool = False, members: Column | None = None) -> Column:
     """Message map -> ``array<struct<message_id, role, body, listed>>``, one per content item.
 
     ``listed`` marks items from entries that are themselves lists of messages.
     ``enveloped`` opens attribute-value envelopes at every level of the map.
+    ``members`` stand for the value of a map that was cut into them.
     """
-    return bind(as_map(value), lambda entries: _map_items(entries, enveloped))
+    return bind(map_members(value, members), lambda entries: _map_items(entries, enveloped))
 
 
-def _map_items(members: Column, enveloped: bool) -> Column:
+def map_members(value: Column, members: Column | None = None) -> Column:
+    """Members of a message map, whether it was read whole or cut."""
+    whole = F.map_entries(as_map(value))
+    return whole if members is None else F.coalesce(members, whole)
+
+
+def is_tagged_map(value: Column) -> Column:
+    """Is a member of a message map an envelope?"""
+    return field(value, "M").isNotNull() | field(value, "L").isNotNull()
+
+
+def _map_items(entries: Column, enveloped: bool) -> Column:
     opened = _open if enveloped else lambda v: v
-    entries = F.map_entries(members)
     if enveloped:
         entries = F.transform(entries, lambda e: F.struct(e["key"].alias("key"), _open(e["value"]).alias("value")))
 
@@ -186,12 +213,6 @@ def map_tokens(value: Column, enveloped: bool = False) -> Column:
     empty value as none at all. A bare text is input.
     """
 
-    def of_map(members: Column) -> Column:
-        usual_key = F.exists(F.map_keys(members), lambda k: k.isin(*V.MAP_KEYS))
-        found = bind(_map_items(members, enveloped), lambda items: _item_tokens(items, usual_key))
-        empty = F.size(members) == 0
-        return F.when(empty, _pair(F.lit(0), F.lit(0))).when(members.isNotNull(), found)
-
     text = F.when(is_string(value), F.try_variant_get(value, "$", "string"))
     other = (
         F.when(value.isNull() | F.is_variant_null(value), _pair(F.lit(0), F.lit(0)))
@@ -199,7 +220,15 @@ def map_tokens(value: Column, enveloped: bool = False) -> Column:
         .when(text.isNotNull(), _pair(chars4_tokens(text), F.lit(0)))
         .otherwise(_pair(F.lit(1), F.lit(1)))
     )
-    return F.coalesce(bind(as_map(value), of_map), other)
+    return F.coalesce(bind(F.map_entries(as_map(value)), lambda e: member_tokens(e, enveloped)), other)
+
+
+def member_tokens(entries: Column, enveloped: bool = False) -> Column:
+    """Members of a message map, ``array<struct<key, value>>`` -> ``struct<input_token, output_token>``."""
+    usual_key = F.exists(entries, lambda e: e["key"].isin(*V.MAP_KEYS))
+    found = bind(_map_items(entries, enveloped), lambda items: _item_tokens(items, usual_key))
+    empty = F.size(entries) == 0
+    return F.when(empty, _pair(F.lit(0), F.lit(0))).when(entries.isNotNull(), found)
 
 
 def _pair(input_token: Column, output_token: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from parlance import fixed_values as V
+from parlance.functions.cells import WHOLE_BYTES, read_list, split_list, split_members
 from parlance.functions.literal import as_list, as_map, field, field_text, is_string, read_literal, read_value
 from parlance.functions.text import bind, split_on, strip
 
@@ -25,21 +26,31 @@ def _wrapped_in(text: Column, opening: str, closing: str) -> Column:
     return F.startswith(text, F.lit(opening)) & F.endswith(text, F.lit(closing))
 
 
-def parse_messages(conversation: Column) -> Column:
+def parse_messages(conversation: Column, whole_bytes: int = WHOLE_BYTES) -> Column:
     """Conversation text -> ``array<struct<speaker, text>>``, null when it is not structured.
 
-    Reads JSON and Python-literal text; enveloped or plain messages; a list, a
-    tagged list or a single message. Elements that are no message are skipped.
+    Reads JSON and Python-literal text of any size; enveloped or plain messages; a
+    list, a tagged list or a single message. Elements that are no message are
+    skipped. Cells above ``whole_bytes`` are cut into their messages first.
     """
-    return _messages_of(strip(conversation))
+    return _messages_of(strip(conversation), whole_bytes)
 
 
-def _messages_of(text: Column) -> Column:
-    structured = _wrapped_in(text, "[", "]") | _wrapped_in(text, "{", "}")
-    value = F.when(structured, read_value(text))
-    elements = bind(value, lambda v: F.coalesce(
+def _is_structured(text: Column) -> Column:
+    return _wrapped_in(text, "[", "]") | _wrapped_in(text, "{", "}")
+
+
+def _messages_of(text: Column, whole_bytes: int = WHOLE_BYTES) -> Column:
+    value = F.when(_is_structured(text), read_value(text))
+    whole = bind(value, lambda v: F.coalesce(
         as_list(v), as_list(field(v, "L")), F.when(as_map(v).isNotNull(), F.array(v))
     ))
+    # The only member of a tagged list is its list.
+    tagged = bind(split_members(text), lambda m: F.when(
+        (F.size(m) == 1) & F.get(m, F.lit(0))["key"].isin('"L"', "'L'"), F.get(m, F.lit(0))["value"]))
+    parts = F.coalesce(read_list(text, whole_bytes=0), bind(tagged, lambda t: read_list(t, whole_bytes=0)))
+    elements = F.when(F.octet_length(text) <= whole_bytes, whole).otherwise(
+        F.coalesce(parts, F.when(_wrapped_in(text, "{", "}"), whole)))
 
     def member(element: Column, name: str) -> Column:
         return F.coalesce(
@@ -64,16 +75,41 @@ def join_messages(messages: Column) -> Column:
     return F.array_join(lines, V.PART_SEPARATOR)
 
 
-def transcript(conversation: Column) -> Column:
-    """Conversation text -> transcript. Unstructured text passes through; blank gives ``''``."""
-    return bind(strip(conversation), lambda text: F.when(
-        F.coalesce(text, F.lit("")).isin("", *V.BLANK_WORDS_EXACT), F.lit("")
-    ).otherwise(F.coalesce(join_messages(_messages_of(text)), text)))
+def _is_blank_cell(text: Column) -> Column:
+    return F.coalesce(text, F.lit("")).isin("", *V.BLANK_WORDS_EXACT)
+
+
+def _too_large(text: Column, whole_bytes: int) -> Column:
+    # A large cell that can be cut into elements is a list, whatever reading an element meets.
+    return (F.octet_length(text) > whole_bytes) & split_list(text).isNotNull()
+
+
+def transcript(conversation: Column, whole_bytes: int = WHOLE_BYTES) -> Column:
+    """Conversation text -> transcript. Unstructured text passes through; blank gives ``''``.
+
+    A list with a message that is itself too large to be read gives null;
+    :func:`cell_status` names such cells. It is never taken for plain text.
+    """
+    return bind(strip(conversation), lambda text: F.when(_is_blank_cell(text), F.lit("")).otherwise(F.coalesce(
+        join_messages(_messages_of(text, whole_bytes)), F.when(~_too_large(text, whole_bytes), text))))
+
 
+def cell_status(conversation: Column, whole_bytes: int = WHOLE_BYTES) -> Column:
+    """What a conversation cell is: ``blank``, ``messages``, ``text`` or ``too_large``."""
+
+    def of(text: Column) -> Column:
+        read = _messages_of(text, whole_bytes).isNotNull()
+        return (
+            F.when(_is_blank_cell(text), "blank").when(read, "messages")
+            .when(_too_large(text, whole_bytes), "too_large").otherwise("text")
+        )
 
-def _speaker_texts(value: Column, speaker: str) -> Column:
+    return bind(strip(conversation), of)
+
+
+def _speaker_texts(messages: Column, speaker: str) -> Column:
     mine = F.filter(
-        as_list(value),
+        messages,
         lambda m: is_string(field(m, "from"))
         & (field_text(m, "from") == speaker)
         & field(m, "text").isNotNull(),
@@ -82,16 +118,17 @@ def _speaker_texts(value: Column, speaker: str) -> Column:
     return F.filter(texts, lambda t: t != "")
 
 
-def json_questions(conversation: Column) -> Column:
+def json_questions(conversation: Column, whole_bytes: int = WHOLE_BYTES) -> Column:
     """Texts of the messages whose speaker is exactly ``user``, in order, repeats kept."""
-    text = strip(conversation)
-    value = F.when(_wrapped_in(text, "[", "]"), read_value(text))
-    return F.coalesce(F.array_join(_speaker_texts(value, "user"), V.PART_SEPARATOR), F.lit(""))
+    messages = bind(strip(conversation), lambda text: F.when(
+        _wrapped_in(text, "[", "]"), read_list(text, whole_bytes=whole_bytes)))
+    return F.coalesce(F.array_join(_speaker_texts(messages, "user"), V.PART_SEPARATOR), F.lit(""))
 
 
-def role_text(conversation: Column, speaker: str) -> Column:
+def role_text(conversation: Column, speaker: str, whole_bytes: int = WHOLE_BYTES) -> Column:
     """All texts of one speaker of a Python-literal list, joined by a space."""
-    return F.coalesce(F.array_join(_speaker_texts(read_literal(conversation), speaker), " "), F.lit(""))
+    messages = bind(conversation, lambda text: read_list(text, read_literal, whole_bytes))
+    return F.coalesce(F.array_join(_speaker_texts(messages, speaker), " "), F.lit(""))
 
 
 def pieces(transcript_text: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parlance import fixed_values as V
 from parlance.functions import convert, tokens as tk
 from parlance.functions.literal import as_map, field
-from parlance.functions.text import on
+from parlance.functions.text import bind, on
 from parlance.operators.items import in_epoch_range
 from parlance.operators.parsing import with_fields
 
@@ -25,15 +25,26 @@ def item_status(first_ms: int, last_ms: int) -> Column:
 
 
 def read_maps(items: DataFrame) -> DataFrame:
-    """Add ``message_map`` (variant) and ``parse_status``."""
+    """Add ``message_map`` (variant), ``map_members`` in place of a value too large for one, and ``parse_status``."""
     read = with_fields(items, on("MessageMap", tk.read_message_map))
-    return read.withColumnRenamed("value", "message_map")
+    return read.withColumnsRenamed({"value": "message_map", "members": "map_members"})
 
 
-def count_tokens(value: Column) -> Column:
-    """Tokens of a message map, plain or enveloped."""
+def count_tokens(value: Column, members: Column | None = None) -> Column:
+    """Tokens of a message map, plain or enveloped, as a whole or member by member."""
     opened = field(value, "M")
-    return F.when(as_map(opened).isNotNull(), tk.map_tokens(opened, enveloped=True)).otherwise(tk.map_tokens(value))
+    is_root = as_map(opened).isNotNull()
+
+    def of_members(entries: Column) -> Column:
+        tagged = is_root | F.exists(entries, lambda e: tk.is_tagged_map(e["value"]))
+        return F.when(tagged, tk.member_tokens(entries, enveloped=True)).otherwise(tk.member_tokens(entries))
+
+    entries = tk.map_members(F.when(is_root, opened).otherwise(value), members)
+    return bind(entries, lambda e: F.when(e.isNotNull(), of_members(e)).otherwise(tk.map_tokens(value)))
+
+
+def _count_tokens_of_read(value: Column) -> Column:
+    return count_tokens(value, F.col("map_members"))
 
 
 def priced_items(
@@ -48,7 +59,7 @@ def priced_items(
     usable = F.col("status") == "processed"
     none = F.struct(F.lit(0).alias("input_token"), F.lit(0).alias("output_token"))
     rows = with_fields(
-        read_maps(rows), F.when(usable, on("message_map", count_tokens)).otherwise(none)
+        read_maps(rows), F.when(usable, on("message_map", _count_tokens_of_read)).otherwise(none)
     )
     price_in = convert.token_price(F.col("input_token"), input_rate)
     price_out = convert.token_price(F.col("output_token"), output_rate)

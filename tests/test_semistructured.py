@@ -355,3 +355,63 @@ def test_random_literals_of_all_forms(evaluate):
         value = ast.literal_eval(text)
         assert got is not None, text
         assert _sorted_sets(json.loads(got), value) == json.loads(json.dumps(_as_json(value))), text
+
+
+def _unwrapped(value):
+    """The envelope rules, one value at a time."""
+    if isinstance(value, list):
+        return [_unwrapped(v) for v in value]
+    if not isinstance(value, dict):
+        return value
+    if len(value) == 1:
+        (tag, inner), = value.items()
+        if tag in ("S", "BOOL") and not isinstance(inner, (dict, list)):
+            return inner
+        if tag == "N":
+            return float(inner) if "." in inner else int(inner)
+        if tag == "NULL":
+            return None
+        if tag == "L" and isinstance(inner, list):
+            return [_unwrapped(v) for v in inner]
+        if tag == "M" and isinstance(inner, dict):
+            return {k: _unwrapped(v) for k, v in inner.items()}
+        if tag in ("SS", "BS"):
+            return list(inner)
+        if tag == "NS":
+            return [float(n) if "." in n else int(n) for n in inner]
+    return {k: _unwrapped(v) for k, v in value.items()}
+
+
+def test_random_trees_of_mixed_shapes(evaluate):
+    rng = random.Random(14)
+    keys = ["a", "b\"", "S", "M", "x{", "NS", "ñ]"]
+
+    def tree(depth):
+        kind = rng.randrange(10 if depth else 6)
+        text = "".join(rng.choice('a"\\{}[]:,ñ😀\n') for _ in range(4))
+        if kind < 6:
+            return [{"S": text}, {"N": str(rng.randrange(-50, 50))}, {"N": "2.5"}, {"BOOL": True}, {"NULL": True},
+                    {"NS": ["1", "-2.5", "30"]}][kind]
+        # Only below a tag may a key be named like one.
+        named = keys if kind == 6 else [k for k in keys if not k.isupper()]
+        members = {k: tree(depth - 1) for k in rng.sample(named, rng.randrange(2, 4))}
+        items = [tree(depth - 1) for _ in range(rng.randrange(3))]
+        return [{"M": members}, {"L": items}, members, items][kind - 6]
+
+    trees = [tree(5) for _ in range(300)] + [
+        {"a": {"M": {"b": {"S": "z"}}}}, {"M": {"a": {"x": {"S": "t"}}}}, {"NS": ["1", "2"]}, {"M": {"S": {"S": "x"}}},
+        {"M": {"M": {"M": {"M": {"N": "1"}}}}}, {"SS": ["{", "}"]}, {"L": []}, {"M": {}}, [], {}, {"k": [{"L": [{"k": {"S": "v"}}]}]},
+    ]
+    deep = {"S": "end"}
+    for level in range(30):
+        deep = {"M": {f"k{level}": {"L": [deep]}}} if level % 2 else {"plain": deep, "n": {"N": "1"}}
+    trees.append(deep)
+    found = evaluate(lambda c: F.to_json(ev.unwrap_any(lt.read_json(c))), *map(json.dumps, trees))
+    for text, got in zip(trees, found, strict=True):
+        assert (got and json.loads(got)) == _unwrapped(text), text
+
+
+def test_feedback_of_mixed_shapes(evaluate):
+    cells = ['{"M":{"a":{"x":{"S":"t"}}}}', '{"M":{"type":{"S":"like"},"n":{"NS":["1","2.5"]}}}']
+    assert evaluate(fb.unwrap_feedback, *cells) == ['{"a": {"x":"t"}}', '{"type": "like", "n": [1,2.5]}'][:1] + [
+        '{"n": [1,2.5], "type": "like"}']

@@ -341,7 +341,7 @@ def message_export_round_trip(spark, sf):
     path = writers.write_json(ad.message_items(spark, sf), new_folder(spark, "messages"))
     back = tc.read_maps(readers.read_message_items(spark, path))
     return back.select(
-        "PK", "SK", "CreateTime", "TotalPrice", tc.count_tokens(F.col("message_map")).alias("t"),
+        "PK", "SK", "CreateTime", "TotalPrice", tc.count_tokens(F.col("message_map"), F.col("map_members")).alias("t"),
     ).select("PK", "SK", "CreateTime", "TotalPrice", "t.*")
 
 
@@ -494,7 +494,7 @@ def null_profile(spark, sf):
 @query
 def message_map_rows(spark, sf):
     maps = tc.read_maps(ad.message_items(spark, sf)).select(
-        "SK", F.explode(tk.message_entries(F.col("message_map"))).alias("m")
+        "SK", F.explode(tk.message_entries(F.col("message_map"), members=F.col("map_members"))).alias("m")
     )
     return maps.select("SK", "m.message_id", "m.role", "m.body")
 
@@ -502,7 +502,7 @@ def message_map_rows(spark, sf):
 @query
 def message_map_tokens(spark, sf):
     maps = tc.read_maps(ad.message_items(spark, sf)).where(F.col("parse_status") != "missing")
-    return maps.select("SK", tc.count_tokens(F.col("message_map")).alias("t")).select("SK", "t.*")
+    return maps.select("SK", tc.count_tokens(F.col("message_map"), F.col("map_members")).alias("t")).select("SK", "t.*")
 
 
 @query
