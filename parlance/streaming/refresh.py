@@ -21,14 +21,17 @@ from parlance.sources.readers import CSV_OPTIONS
 
 BATCH_COLUMN = "lote"
 FILE_COLUMN = "archivo"
+ARRIVAL_COLUMN = "llegada"
 
 
 def report_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
-    """Stream of report rows from the CSV files that land in a folder, with the file they came in."""
+    """Stream of report rows from the CSV files that land in a folder, with the file they came in and its time."""
     reader = spark.readStream.schema(schemas.REPORT_TEXT).options(**CSV_OPTIONS)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(landing).select("*", F.col("_metadata.file_path").alias(FILE_COLUMN))
+    return reader.csv(landing).select(
+        "*", F.col("_metadata.file_path").alias(FILE_COLUMN),
+        F.col("_metadata.file_modification_time").alias(ARRIVAL_COLUMN))
 
 
 def write_batch(target: str, first: int = 0, then: Callable[[], None] | None = None) -> Callable[[DataFrame, int], None]:
@@ -88,19 +91,23 @@ def refresh(
 
 
 def read_refreshed(spark: SparkSession, target: str) -> DataFrame:
-    """All typed rows refreshed so far, with the file and the batch that brought them."""
-    extra = [T.StructField(FILE_COLUMN, T.StringType()), T.StructField(BATCH_COLUMN, T.LongType())]
+    """All typed rows refreshed so far, with the file, its arrival, and the batch that brought them."""
+    extra = [
+        T.StructField(FILE_COLUMN, T.StringType()), T.StructField(ARRIVAL_COLUMN, T.TimestampType()),
+        T.StructField(BATCH_COLUMN, T.LongType()),
+    ]
     return spark.read.schema(T.StructType([*schemas.TYPED_REPORT, *extra])).parquet(target)
 
 
 def latest_per_user(refreshed: DataFrame) -> DataFrame:
-    """Each user's rows from the latest batch, and of its files the last by name, when files replace earlier ones.
+    """Each user's rows of the file that arrived last, when files replace earlier ones.
 
-    Only keys and batches are aggregated; the texts take part in the join alone.
+    Files of one time go by batch and name; so do rows of before arrivals were
+    kept. Only keys are aggregated; the texts take part in the join alone. This
+    reads all that was refreshed; :mod:`parlance.streaming.current` keeps the newest
+    rows by key instead.
     """
-    newest = refreshed.groupBy(F.col("usuario_id").alias("_user")).agg(
-        F.max(F.struct(BATCH_COLUMN, FILE_COLUMN)).alias("_newest"))
-    joined = refreshed.join(newest, F.col("usuario_id").eqNullSafe(F.col("_user")) & (
-        F.col(BATCH_COLUMN) == F.col("_newest")[BATCH_COLUMN]) & F.col(FILE_COLUMN).eqNullSafe(
-        F.col("_newest")[FILE_COLUMN]))
-    return joined.select(*[c for c in refreshed.columns if c not in (BATCH_COLUMN, FILE_COLUMN)])
+    order = F.struct(*[c for c in (ARRIVAL_COLUMN, BATCH_COLUMN, FILE_COLUMN) if c in refreshed.columns])
+    newest = refreshed.groupBy(F.col("usuario_id").alias("_user")).agg(F.max(order).alias("_newest"))
+    joined = refreshed.join(newest, F.col("usuario_id").eqNullSafe(F.col("_user")) & order.eqNullSafe(F.col("_newest")))
+    return joined.select(*[c for c in refreshed.columns if c not in (ARRIVAL_COLUMN, BATCH_COLUMN, FILE_COLUMN)])

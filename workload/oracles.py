@@ -418,6 +418,7 @@ ORACLES: dict[str, str] = {
         "true AS is_nullable, {i} AS ordinal_position",
     ),
     "arrival_refresh": _TYPED_REPORT + _TYPED_SELECT,
+    "arrival_refresh_by_key": _TYPED_REPORT + _TYPED_SELECT,
     "parquet_check": _REPORT + _columns_as_rows(
         _TYPED_COLUMNS,
         "SELECT {i} AS posicion, '{name}' AS columna, '{kind}' AS tipo, count(*) AS filas_escritas, "

@@ -20,7 +20,7 @@ from parlance.operators.rollup import ORDER, first_real, ordered_concat
 from parlance.plans import raw_report as raw, token_costs as tc, typed_report as ty, user_report as ur
 from parlance.session import new_folder
 from parlance.sources import catalog, readers, writers
-from parlance.streaming import refresh
+from parlance.streaming import current, refresh
 from workload import adapters as ad
 
 AS_OF = "2025-09-10"
@@ -407,6 +407,18 @@ def arrival_refresh(spark, sf):
     return refresh.latest_per_user(spark.table(view))
 
 
+@query
+def arrival_refresh_by_key(spark, sf):
+    """Two dumps arrive, the first with other names; the state keeps the newest rows."""
+    report, landing, state = _report(spark, sf), new_folder(spark, "landing"), new_folder(spark, "current")
+    progress = new_folder(spark, "progress")
+    writers.write_csv(report.withColumn("nombre", F.lit("x")).where(F.crc32("usuario_id") % 4 == 0), f"{landing}/z")
+    current.refresh_current(spark, f"{landing}/*", state, progress, buckets=16)
+    writers.write_csv(report, f"{landing}/a")
+    current.refresh_current(spark, f"{landing}/*", state, progress)
+    return current.read_current(spark, state)
+
+
 # --- typed columns ----------------------------------------------------------------------
 
 @query
