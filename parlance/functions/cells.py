@@ -84,17 +84,21 @@ def _small(text: Column, whole_bytes: int) -> Column:
     return F.octet_length(text) <= whole_bytes
 
 
-def _all_read(values: Column) -> Column:
-    return bind(values, lambda found: F.when(F.forall(found, lambda v: v.isNotNull()), found))
+def read_parts(text: Column, parts: Column, read: Callable[[Column], Column], of_whole: Callable[[Column], Column]) -> Column:
+    """``of_whole`` of the text's value, or, where ``parts`` are its elements, their values; null if one cannot be read.
+
+    The reader, a long expression, occurs once.
+    """
+    values = F.transform(F.coalesce(parts, F.array(text)), read)
+    return bind(values, lambda found: F.when(parts.isNull(), of_whole(F.get(found, F.lit(0)))).when(
+        F.forall(found, lambda v: v.isNotNull()), found))
 
 
 def read_list(text: Column, read: Callable[[Column], Column] = read_value, whole_bytes: int = WHOLE_BYTES) -> Column:
     """Text of a list of any size -> array of VARIANT; null when it is no list that can be read."""
-
-    def by_parts(t: Column) -> Column:
-        return _all_read(F.transform(split_list(t), read))
-
-    return F.when(_small(text, whole_bytes), as_list(read(text))).otherwise(by_parts(text))
+    parts = F.when(~_small(text, whole_bytes), split_list(text))
+    return bind(parts, lambda found: F.when(
+        _small(text, whole_bytes) | found.isNotNull(), read_parts(text, found, read, as_list)))
 
 
 def read_members(text: Column, whole_bytes: int = WHOLE_BYTES) -> Column:

@@ -41,7 +41,7 @@ _STRUCTURE = (
     (r"\{([^{}\[\]:]++)\}", "[$1]"),
     # One value in parentheses is that value; twice, for parentheses in parentheses.
     (r"\(([snw]|\[[^\[\]{}()]*+\]|\{[^\[\]{}()]*+\})\)", " $1 "),
-    (r"\( *+([snw]|\[[^\[\]{}()]*+\]|\{[^\[\]{}()]*+\}) *+\)", None),
+    (r"\( ([snw]|\[[^\[\]{}()]*+\]|\{[^\[\]{}()]*+\}) \)", "  $1  "),
     (r"[nw](?= *+:)", "k"),
     (rf"(?<=[{_VALUE_END} ]),(?= *+[\]}})])", " "),
     (r"\(", "["),
@@ -58,15 +58,17 @@ _WHOLE_UNITS = r"^(?:\\u(?![dD][89a-fA-F])[0-9a-fA-F]{4}|\\u[dD][89abAB][0-9a-fA
 _CODE_POINT = r"^\\U(?:0000(?![dD][89a-fA-F])[0-9a-fA-F]|000[1-9a-fA-F]|0010)"
 
 
+def _table(values: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(text) for pair in values.items() for text in pair])
+
+
 def _utf16(digits: Column) -> Column:
     return F.decode(F.unhex(digits), "UTF-16BE")
 
 
 def _decoded(part: Column, is_bytes: Column) -> Column:
     """One part of a string's body -> its characters; null for what is not read."""
-    simple = part
-    for written, character in _ESCAPED.items():
-        simple = F.when(part == F.lit(written), F.lit(character)).otherwise(simple)
+    simple = F.coalesce(F.try_element_at(_table(_ESCAPED), part), part)
     second = F.substring(part, 2, 1)
     rest = F.substring(part, F.lit(3), F.length(part))
     octal = F.lpad(F.conv(F.substring(part, F.lit(2), F.length(part)), 8, 16), 4, "0")
@@ -133,10 +135,7 @@ def _number(token: Column) -> Column:
 
 
 def _word(token: Column) -> Column:
-    out = F.lit(None).cast("string")
-    for word, written in _WORDS.items():
-        out = F.when(token == word, F.lit(written)).otherwise(out)
-    return out
+    return F.try_element_at(_table(_WORDS), token)
 
 
 def _kind(token: Column) -> Column:
@@ -151,22 +150,16 @@ def _kind(token: Column) -> Column:
 
 def _structured(kinds: Column) -> Column:
     for pattern, replacement in _STRUCTURE:
-        if replacement is None:  # the same number of characters, whatever the blanks
-            inner = F.regexp_extract(kinds, pattern, 0)
-            kinds = F.when(inner != "", F.replace(kinds, inner, F.translate(inner, "()", "  "))).otherwise(kinds)
-        else:
-            kinds = F.regexp_replace(kinds, pattern, replacement)
+        kinds = F.regexp_replace(kinds, pattern, replacement)
     return kinds
 
 
 def _written(token: Column, kind: Column) -> Column:
+    quote = F.when(kind == "k", F.lit('"')).otherwise(F.lit(""))
     value = (
         F.when(kind == "s", _string(token))
-        .when(kind == "n", _number(token))
-        .when(kind == "w", _word(token))
-        .when(kind == "k", F.concat(F.lit('"'), F.coalesce(_word(token), _number(token)), F.lit('"')))
-        .when(kind == "x", F.lit(None).cast("string"))
-        .otherwise(kind)
+        .when(kind.isin("n", "w", "k"), F.concat(quote, F.coalesce(_word(token), _number(token)), quote))
+        .when(kind != "x", kind)
     )
     return F.coalesce(value, F.lit("?"))
 

@@ -85,22 +85,17 @@ def _last_of_each(entries: Column) -> Column:
     return bind(places, kept)
 
 
-def _objects_of(text: Column, options: dict[str, str] | None = None) -> Column:
-    """Text of an object, or of a list of objects, with repeated keys -> VARIANT."""
-    one = F.from_json(_bracketed(text), "array<map<string,variant>>", options or {})
-    only = F.when(F.size(one) == 1, F.map_entries(F.get(one, F.lit(0))))
-    many = F.from_json(text, "array<map<string,variant>>", options or {})
-    read_one = bind(only, lambda entries: F.when(entries.isNotNull(), _last_of_each(entries)))
-    read_many = bind(many, lambda maps: F.when(
-        F.startswith(F.ltrim(text), F.lit("[")) & F.forall(maps, lambda m: m.isNotNull()),
-        F.to_variant_object(F.transform(maps, lambda m: _last_of_each(F.map_entries(m)))),
-    ))
-    return F.coalesce(read_one, read_many)
+def read_json_object(text: Column) -> Column:
+    """JSON text of an object, or of a list of objects, with repeated keys -> VARIANT; the last value of a key counts."""
+    listed = F.startswith(F.ltrim(text), F.lit("["))
+    maps = F.from_json(F.when(listed, text).otherwise(_bracketed(text)), "array<map<string,variant>>")
+    objects = F.transform(maps, lambda m: F.when(m.isNotNull(), _last_of_each(F.map_entries(m))))
 
+    def read(found: Column) -> Column:
+        good = F.forall(found, lambda v: v.isNotNull())
+        return F.when(listed & good, F.to_variant_object(found)).when(good & (F.size(found) == 1), F.get(found, F.lit(0)))
 
-def read_json_object(text: Column) -> Column:
-    """JSON text with repeated keys -> VARIANT; the last value of a key counts."""
-    return _objects_of(text)
+    return bind(objects, read)
 
 
 def read_literal(text: Column) -> Column:
@@ -111,11 +106,10 @@ def read_literal(text: Column) -> Column:
     """
 
     def short(t: Column) -> Column:
-        return F.coalesce(
-            _only_element(F.from_json(_bracketed(t), "variant", _LITERAL_OPTIONS)), _objects_of(t, _LITERAL_OPTIONS))
+        return _only_element(F.from_json(_bracketed(t), "variant", _LITERAL_OPTIONS))
 
     def long(t: Column) -> Column:
-        return F.coalesce(_only_element(F.try_parse_json(_bracketed(t))), _objects_of(t))
+        return F.coalesce(_only_element(F.try_parse_json(_bracketed(t))), read_json_object(t))
 
     return bind(text, lambda t: F.coalesce(bind(literal_to_json(t), short), bind(json_of_literal(t), long)))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from parlance import fixed_values as V
-from parlance.functions.cells import WHOLE_BYTES, read_list, split_list, split_members
+from parlance.functions.cells import WHOLE_BYTES, read_list, read_parts, split_list, split_members
 from parlance.functions.literal import as_list, as_map, field, field_text, is_string, read_literal, read_value
 from parlance.functions.text import bind, split_on, strip
 
@@ -41,16 +41,15 @@ def _is_structured(text: Column) -> Column:
 
 
 def _messages_of(text: Column, whole_bytes: int = WHOLE_BYTES) -> Column:
-    value = F.when(_is_structured(text), read_value(text))
-    whole = bind(value, lambda v: F.coalesce(
-        as_list(v), as_list(field(v, "L")), F.when(as_map(v).isNotNull(), F.array(v))
-    ))
     # The only member of a tagged list is its list.
     tagged = bind(split_members(text), lambda m: F.when(
-        (F.size(m) == 1) & F.get(m, F.lit(0))["key"].isin('"L"', "'L'"), F.get(m, F.lit(0))["value"]))
-    parts = F.coalesce(read_list(text, whole_bytes=0), bind(tagged, lambda t: read_list(t, whole_bytes=0)))
-    elements = F.when(F.octet_length(text) <= whole_bytes, whole).otherwise(
-        F.coalesce(parts, F.when(_wrapped_in(text, "{", "}"), whole)))
+        (F.size(m) == 1) & F.get(m, F.lit(0))["key"].isin('"L"', "'L'"), split_list(F.get(m, F.lit(0))["value"])))
+    parts = F.when(F.octet_length(text) > whole_bytes, F.coalesce(split_list(text), tagged))
+
+    def of_whole(value: Column) -> Column:
+        return F.coalesce(as_list(value), as_list(field(value, "L")), F.when(as_map(value).isNotNull(), F.array(value)))
+
+    elements = F.when(_is_structured(text), bind(parts, lambda found: read_parts(text, found, read_value, of_whole)))
 
     def member(element: Column, name: str) -> Column:
         return F.coalesce(

@@ -58,13 +58,14 @@ def distinct_users_by_stage(rows: DataFrame, stages: dict[str, Column], key: str
 def value_distribution(df: DataFrame, column: str, blank_label: str | None = None, places: int = 1) -> DataFrame:
     """``valor, n, pct`` per value; blanks show as ``blank_label``.
 
-    The total is the sum of the counts, one row per value, so the input is read once.
+    The total is a scalar subquery over the counts, which shares their exchange:
+    the input is read once, partial sums are added up, and no task holds all values.
     """
     value = F.col(column)
     if blank_label is not None:
         value = F.when(F.coalesce(value, F.lit("")) == "", F.lit(blank_label)).otherwise(value)
     counts = df.groupBy(value.alias("valor")).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
+    total = counts.agg(F.sum("n")).scalar()
     return counts.select("valor", "n", _percent(F.col("n"), total, places).alias("pct"))
 
 

@@ -18,11 +18,13 @@ def quoted_text(text: str) -> str:
 def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Table over a Parquet folder, with the schema of its files.
 
-    An existing table with the same columns is pointed at the files as they are
-    now, without a moment in which there is no table. One with other columns is
-    created anew. Only external tables are touched: dropping a managed one would
-    delete its data. A temporary view of the same name would hide the table, so it
-    goes.
+    An existing table with the same columns, or with the first of them, is pointed
+    at the files as they are now, after the new columns were added at its end: there
+    is no moment without a table, and until the files change a new column is null.
+    Only where columns are gone or have another type is the table created anew,
+    which the catalog cannot do in place; :func:`register_view` can. Only external
+    tables are touched: dropping a managed one would delete its data. A temporary
+    view of the same name would hide the table, so it goes.
     """
     table, place = quoted_name(name), quoted_text(path)
     if spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary:
@@ -30,7 +32,11 @@ def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     if spark.catalog.tableExists(name):
         if spark.catalog.getTable(name).tableType != "EXTERNAL":
             raise ValueError(f"{name} is not an external table; its data would be lost")
-        if spark.table(name).dtypes == spark.read.parquet(path).dtypes:
+        old, new = spark.table(name).dtypes, spark.read.parquet(path).dtypes
+        if old == new[:len(old)]:
+            if added := new[len(old):]:
+                columns = ", ".join(f"{quoted_name(column)} {kind}" for column, kind in added)
+                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
             spark.sql(f"ALTER TABLE {table} SET LOCATION {place}")
         else:
             spark.sql(f"DROP TABLE {table}")  # external: the files stay

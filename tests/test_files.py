@@ -1,3 +1,4 @@
+import threading
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,6 +148,39 @@ def test_catalog(spark):
     assert listing == [("parlance_test", "id", "bigint", True, 1), ("parlance_test", "x", "string", True, 2)]
 
 
+def test_a_reader_never_misses_the_table_while_columns_are_added(spark):
+    def written(columns):
+        return writers.write_parquet(
+            spark.range(3).select("id", *[F.lit(i).alias(f"c{i}") for i in range(columns)]), new_folder(spark, "grown"))
+
+    catalog.register_table(spark, "parlance_grown", written(0))
+    failures, seen, done = [], set(), threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                table = spark.table("parlance_grown")
+                seen.add(len(table.columns))
+                assert table.count() == 3
+            except Exception as error:  # noqa: BLE001
+                failures.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for columns in range(1, 6):
+            assert catalog.register_table(spark, "parlance_grown", written(columns)).columns[1:] == [
+                f"c{i}" for i in range(columns)]
+    finally:
+        done.set()
+        reader.join()
+    assert not failures and len(seen) > 1
+    assert [r["c4"] for r in spark.table("parlance_grown").collect()] == [4, 4, 4]
+    # Gone and changed columns: the table has the columns of its files.
+    assert catalog.register_table(spark, "parlance_grown", written(1)).columns == ["id", "c0"]
+    spark.sql("DROP TABLE parlance_grown")
+
+
 def test_catalog_replaces_in_place_and_refuses_managed_tables(spark):
     first, second = (writers.write_parquet(spark.range(n), new_folder(spark, "it's a table")) for n in (3, 5))
     assert catalog.register_table(spark, "default.parlance_place", first).count() == 3

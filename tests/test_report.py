@@ -254,3 +254,14 @@ def test_empty_report(report):
     assert _rows(rp.feedback_distribution(empty)) == []
     assert [r.pct for r in rp.completeness(empty).collect()] == [None, None, None]
     assert _rows(rp.answer_vocabulary(empty)) == [(0, 0)]
+
+
+def test_value_distribution_reads_once_and_has_no_task_of_all_values(spark, tmp_path):
+    spark.range(20_000).select((F.col("id") % 7000).cast("string").alias("v")).write.parquet(str(tmp_path / "t"))
+    found = rp.value_distribution(spark.read.parquet(str(tmp_path / "t")), "v", places=3)
+    assert {(r.n, r.pct) for r in found.collect()} == {(3, 0.015), (2, 0.01)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    final = plan.split("Initial Plan")[0]
+    assert "ReusedExchange" in final or final.count("FileScan") == 1, plan
+    assert rp.value_distribution(spark.createDataFrame([], "v string"), "v").collect() == []

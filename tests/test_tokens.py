@@ -143,3 +143,10 @@ def test_maps_are_parsed_once(spark):
     plan = tokens._jdf.queryExecution().optimizedPlan().toString()
     # One per step of reading a map, and in two of them the keys and values of a map too large to be read whole.
     assert plan.count("parseJson") == 4 + 2 * 2
+
+
+def test_placeholder_of_a_written_table_reads_the_items_once(spark):
+    from workload.queries import REGISTRY
+
+    plan = REGISTRY["filled_placeholder"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "conversations" not in plan and "parseJson" not in plan

@@ -36,6 +36,33 @@ def _quoted(text: Column) -> Column:
     return F.concat(F.lit("'"), out, F.lit("'"))
 
 
+def literal_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn as a Python dictionary; the form of its text goes by the turn's number."""
+    turns = table(spark, sf_dir, "conversations")
+    text, role = F.col("text"), F.col("role")
+    half = F.floor(F.length(text) / 2).cast("int")
+    first, second = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length(text))
+
+    def escaped(t: Column, mark: str) -> Column:
+        return F.replace(F.replace(t, F.lit("\\"), F.lit("\\\\")), F.lit(mark), F.lit("\\" + mark))
+
+    double = F.replace(F.replace(escaped(second, '"'), F.lit("\n"), F.lit("\\x0a")), F.lit("\r"), F.lit("\\15"))
+    is_plain = ~text.rlike(r"[\\'\n\r]")
+    triple = F.concat(F.lit("'" * 3), escaped(text, "'"), F.lit("'" * 3))
+    written = (
+        F.when(F.col("turn") % 4 == 0, triple)
+        .when(F.col("turn") % 4 == 1, F.concat(_quoted(first), F.lit(' u"'), double, F.lit('"')))
+        .when((F.col("turn") % 4 == 2) & is_plain, F.concat(F.lit("r'"), text, F.lit("'")))
+        .otherwise(F.concat(F.lit("("), _quoted(text), F.lit(")")))
+    )
+    cell = F.concat(
+        F.lit("{1: "), written, F.lit(", 'n': [0x"), F.lower(F.hex(F.col("turn"))), F.lit("f, 1_0,], # numbers\n 'rest': ({1, b'"),
+        role, F.lit("'}, ('"), role, F.lit("', "), F.col("turn").cast("string"), F.lit(", .5), '"), role, F.lit("' \""), role,
+        F.lit('"'), F.lit(", {True: -1_000})}"),
+    )
+    return turns.select("conv_id", "turn", cell.alias("cell"))
+
+
 def _json_string(text: Column) -> Column:
     return F.regexp_extract(F.to_json(F.array(text)), r"(?s)^\[(.*)\]$", 1)
 

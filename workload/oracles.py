@@ -458,6 +458,14 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT DISTINCT conv_id::VARCHAR, 'file', 'user', '' FROM conversations WHERE conv_id % 17 = 0""",
     "message_map_tokens": _TOKENS + "SELECT sk AS SK, i AS input_token, o AS output_token FROM item WHERE conv_id IS NOT NULL",
+    "message_map_tokens_by_members": _TOKENS + "SELECT sk AS SK, i AS input_token, o AS output_token FROM item WHERE conv_id IS NOT NULL",
+    "transcript_by_elements": _TALKS + "SELECT SK, t AS conversacion_completa FROM talked",
+    "literal_forms": """
+        SELECT conv_id, turn::INTEGER AS turn, text AS texto, turn * 16 + 15 AS numero,
+               '[[1,"' || role || '"],["' || role || '",' || turn || ',0.5],"' || role || role || '",{"true":-1000}]' AS resto
+        FROM conversations""",
+    "mixed_envelope": """
+        SELECT p_partkey, p_name AS nombre, p_name AS otro, p_size::BIGINT AS medida, p_partkey::BIGINT AS clave FROM part""",
     "enveloped_map_tokens": _TOKENS + """
         SELECT conv_id, i AS input_token, o AS output_token FROM item WHERE conv_id IS NOT NULL""",
     "typed_envelope": """

@@ -8,8 +8,8 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from parlance import fixed_values as V, schemas
-from parlance.functions import convert, feedback as fb, text as tx, tokens as tk, transcript as tr
-from parlance.functions.envelope import unwrap
+from parlance.functions import convert, feedback as fb, literal as lt, text as tx, tokens as tk, transcript as tr
+from parlance.functions.envelope import unwrap, unwrap_any
 from parlance.functions.literal import read_json
 from parlance.functions.profile import parse_profile
 from parlance.functions.questions import implied_question, user_questions
@@ -511,6 +511,46 @@ def message_map_rows(spark, sf):
     return maps.select("SK", "m.message_id", "m.role", "m.body")
 
 
+@query
+def transcript_by_elements(spark, sf):
+    """Every list cut into its elements first, as cells too large for one value are."""
+    return _talks(spark, sf).select("SK", tr.transcript(F.col("Conversation"), 0).alias("conversacion_completa"))
+
+
+@query
+def message_map_tokens_by_members(spark, sf):
+    """Every map cut into its members first, as cells too large for one value are."""
+    items = ad.message_items(spark, sf).select("SK", tk.read_message_map(F.col("MessageMap"), 0).alias("m"))
+    maps = items.where(F.col("m.parse_status") != "missing")
+    return maps.select("SK", tc.count_tokens(F.col("m.value"), F.col("m.members")).alias("t")).select("SK", "t.*")
+
+
+@query
+def literal_forms(spark, sf):
+    """Texts and numbers written as Python literals of all forms."""
+    cells = ad.literal_cells(spark, sf).select("conv_id", "turn", lt.read_literal(F.col("cell")).alias("v"))
+    return cells.select(
+        "conv_id", F.col("turn").cast("int").alias("turn"), lt.field_text(F.col("v"), "1").alias("texto"),
+        F.try_variant_get("v", "$.n[0]", "bigint").alias("numero"), F.to_json(lt.field(F.col("v"), "rest")).alias("resto"),
+    )
+
+
+@query
+def mixed_envelope(spark, sf):
+    """Tagged values below untagged ones and the other way round, with number sets."""
+    parts = ad.table(spark, sf, "part")
+    name = F.to_json(F.struct(F.col("p_name").alias("S")))
+    cell = F.concat(
+        F.lit('{"M":{"p":{"name":'), name, F.lit(',"in":[{"M":{"S":'), name, F.lit('}}]},"n":{"NS":["'),
+        F.col("p_size").cast("string"), F.lit('","'), F.col("p_partkey").cast("string"), F.lit('"]}}}'))
+    value = unwrap_any(lt.read_json(cell))
+    return parts.select(
+        "p_partkey", F.try_variant_get(value, "$.p.name", "string").alias("nombre"),
+        F.try_variant_get(value, "$.p.in[0].S", "string").alias("otro"), F.try_variant_get(value, "$.n[0]", "bigint").alias("medida"),
+        F.try_variant_get(value, "$.n[1]", "bigint").alias("clave"),
+    )
+
+
 @query
 def message_map_tokens(spark, sf):
     maps = tc.read_maps(ad.message_items(spark, sf)).where(F.col("parse_status") != "missing")
@@ -643,7 +683,9 @@ def empty_placeholder(spark, sf):
 
 @query
 def filled_placeholder(spark, sf):
-    return tc.or_placeholder(_tokens(spark, sf), AS_OF + " 00:00:00")
+    # Written first, as the job does it, so that looking for a first row does not plan the tokens again.
+    written = writers.write_parquet(_tokens(spark, sf), new_folder(spark, "tokens"))
+    return tc.or_placeholder(spark.read.schema(schemas.TOKEN_TABLE).parquet(written), AS_OF + " 00:00:00")
 
 
 @query
