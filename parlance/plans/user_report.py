@@ -16,8 +16,10 @@ from parlance.operators.items import (
 )
 from parlance.operators.parsing import with_fields
 from parlance.operators.rollup import (
-    ORDER, bounded_rows, column_of, first_real, join_written, ordered_rows, text_bytes, user_rollup,
+    ORDER, TEXT_COLUMNS, bounded_rows, column_of, first_real, join_written, ordered_rows, row_bytes_of, text_bytes,
+    user_rollup, user_rollup_in_blocks,
 )
+from parlance.session import new_folder
 
 RAW_CELLS = ("UserData", "CreatedAt", "Conversation")
 
@@ -103,6 +105,22 @@ def rollup_conversations(rows: DataFrame, **options) -> DataFrame:
     return enforce_columns(classify_report(user_rollup(rows, **options)))
 
 
+def user_report_in_blocks(items: DataFrame, list_mode: str = "all", limits: dict | None = None, **options) -> DataFrame:
+    """Same rows as :func:`user_report`, for tables in which a user may have more text than a task should hold.
+
+    The rows per conversation are written to the shared folder once. Sizes are
+    summed from their narrow columns before any text moves, and texts are joined
+    in blocks. This moves every text three times, where :func:`user_report` moves
+    it once and collects a user's texts in one buffer.
+    """
+    spark = items.sparkSession
+    rows = conversation_report(items, list_mode, **(limits or {})).withColumn("_size", row_bytes_of(*TEXT_COLUMNS))
+    folder = new_folder(spark, "conversations")
+    rows.write.parquet(folder)
+    rows = spark.read.schema(rows.schema).parquet(folder)
+    return enforce_columns(classify_report(user_rollup_in_blocks(rows, **options)))
+
+
 def _feedback_cells(cell: Column) -> Column:
     total = fb.flatten_feedback(cell)["feedback_total"]
     return tx.bind(total, lambda t: F.struct(

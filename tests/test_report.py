@@ -265,3 +265,32 @@ def test_value_distribution_reads_once_and_has_no_task_of_all_values(spark, tmp_
     final = plan.split("Initial Plan")[0]
     assert "ReusedExchange" in final or final.count("FileScan") == 1, plan
     assert rp.value_distribution(spark.createDataFrame([], "v string"), "v").collect() == []
+
+
+def test_report_in_blocks_equals_report(spark):
+    items = _random_items(spark, 7, users=30, rows=600, hot=0.4).cache()
+    wanted = sorted(map(tuple, ur.user_report(items, as_of="2025-08-31").collect()))
+    for block_bytes in (1, 60, 2000, 1 << 30):
+        found = ur.user_report_in_blocks(items, limits={"as_of": "2025-08-31"}, block_bytes=block_bytes)
+        assert sorted(map(tuple, found.collect())) == wanted
+
+
+def test_blocks_hold_no_more_than_their_bound(spark):
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+        F.col("id").alias("i"), F.repeat(F.lit("x"), (F.col("id") % 7).cast("int")).alias("t"))
+    rows = rows.withColumn("size", F.octet_length("t").cast("bigint"))
+    joined = ro.concat_in_blocks(rows, "k", ("t",), ("i",), "size", "|", block_bytes=100)
+    wanted = {}
+    for r in sorted(rows.collect(), key=lambda r: r.i):
+        wanted.setdefault(r.k, []).extend([r.t] if r.t else [])
+    assert {r.k: r.t for r in joined.collect()} == {k: "|".join(v) for k, v in wanted.items()}
+    # The step before the last has many blocks of the hot key, each below the bound and one row.
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Aggregate") == 2 and "_block" in plan
+
+
+def test_oversized_user_is_refused_before_text_moves(spark):
+    items = _random_items(spark, 4)
+    with pytest.raises(ValueError, match="a row holds at most 50"):
+        ur.user_report_in_blocks(items, limits={"as_of": "2025-08-31"}, row_bytes=50)

@@ -357,6 +357,7 @@ ORACLES: dict[str, str] = {
                fn::BIGINT AS numero_feedback, q AS pregunta_conversacion, '' AS feedback, '' AS respuesta_feedback
         FROM kept""",
     "user_report": _REPORT + f"SELECT {_REPORT_COLUMNS} FROM report",
+    "user_report_in_blocks": _REPORT + f"SELECT {_REPORT_COLUMNS} FROM report",
     "user_report_by_rollup": _REPORT + f"SELECT {_REPORT_COLUMNS} FROM report",
     "raw_user_report": _RAW_ROWS + f"""
         SELECT u::VARCHAR AS usuario_id, any_value(coalesce(nullif(raw_name, ''), '{V.ANONYMOUS_NAME}')) AS nombre,

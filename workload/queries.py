@@ -292,6 +292,12 @@ def first_real_value(spark, sf):
     )
 
 
+@query
+def user_report_in_blocks(spark, sf):
+    """Blocks of 500 bytes, so that most users have several."""
+    return ur.user_report_in_blocks(ad.items(spark, sf), limits={"as_of": AS_OF}, block_bytes=500)
+
+
 @query
 def ordered_concatenation(spark, sf):
     rows = _talks(spark, sf).select(
