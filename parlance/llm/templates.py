@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -51,7 +52,9 @@ MIN_SHARE = 0.5
 
 # --- Fixed values: elements by their meaning -----------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select".split())
+RAW = frozenset("script style textarea title noscript template iframe svg select".split())
+# Of the elements above, those that end where they begin with "/>"; elsewhere that means nothing.
+FOREIGN = frozenset(["svg"])
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p "
@@ -75,14 +78,15 @@ CONTENT_NAMES = frozenset("article content post entry story body main text".spli
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S,
+    # A quote opens a string only behind an equals sign.
+    r"|<(/?)([A-Za-z][^\s/>]*)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+)|[^>=])*+)(?:>|\Z)", re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME = re.compile(r"[A-Za-z0-9]+")
 
 
 class Block(NamedTuple):
-    """A block of text: its container's path, whether boilerplate holds it, and the open containers.
+    """A block of text: its container's path, whether boilerplate holds it, and the innermost open container (or -1).
 
     ``owner`` is the element that drops it if that is only one and it does so by
     its class or id, else -1.
@@ -91,16 +95,21 @@ class Block(NamedTuple):
     text: str
     path: str
     dropped: bool
-    inside: tuple[int, ...]
+    inside: int
     owner: int
 
 
 class Container(NamedTuple):
-    """An opened container: its path and the rank of its element as the holder of the main text."""
+    """An opened container: its path, the rank of its element as the holder of the main text, and the container around it.
+
+    A path is a hash of the path around it and the container's own name, so its
+    length does not grow with the depth.
+    """
 
     path: str
     rank: int
     dropped: bool
+    parent: int
 
 
 class _Open(NamedTuple):
@@ -169,12 +178,17 @@ def _spared(elements: list[_Element], found: list[tuple[int, int]]) -> tuple[set
         return set(), True
     held = outside = 0
     spared: set[int] = set()
+    # The nearest article or main element around each element, and the elements seen on the way out.
+    around: list[int] = []
+    for k, (parent, _, main) in enumerate(elements):
+        around.append(k if main else around[parent] if parent >= 0 else -1)
+    seen: set[int] = set()
     for k, size in found:
         if k >= 0 and in_main[k]:
             held += size
-            while k >= 0 and not elements[k].main:
-                k = elements[k].parent
-            while k >= 0:
+            k = around[k]
+            while k >= 0 and k not in seen:
+                seen.add(k)
                 if elements[k].why:
                     spared.add(k)
                 k = elements[k].parent
@@ -194,23 +208,25 @@ def _rank(tag: str, attributes: dict[str, str]) -> int:
 def parse(page: str | None) -> tuple[list[Container], list[Block]]:
     """Containers and blocks of a page, in order."""
     page = page or ""
-    found: list[tuple[str, str, tuple[int, ...], int]] = []
-    opened: list[tuple[str, int, int]] = []
+    found: list[tuple[str, str, int, int]] = []
+    opened: list[tuple[str, int, int, int]] = []
     elements: list[_Element] = []
     stack = [_Open("", "", -1, False, -1)]
-    inside: list[int] = []
+    inside: list[int] = [-1]
+    open_tags: Counter[str] = Counter()
     parts: list[str] = []
 
     def flush() -> None:
         text = " ".join(entities.unescape("".join(parts)).split()) if parts else ""
         parts.clear()
         if text:
-            found.append((text, stack[-1].path, tuple(inside), stack[-1].element))
+            found.append((text, stack[-1].path, inside[-1], stack[-1].element))
 
     def close(depth: int) -> None:
-        for item in stack[depth:]:
+        for item in reversed(stack[depth:]):
+            open_tags[item.tag] -= 1
             if item.number >= 0:
-                inside.remove(item.number)
+                inside.pop()
         del stack[depth:]
 
     at = 0
@@ -224,13 +240,14 @@ def parse(page: str | None) -> tuple[list[Container], list[Block]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
             if tag in BLOCKS:
                 flush()
-            if depth:
-                close(depth)
+            if open_tags[tag]:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
         if tag in RAW:
+            if tag in FOREIGN and m[3].endswith("/"):
+                continue
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
@@ -252,13 +269,14 @@ def parse(page: str | None) -> tuple[list[Container], list[Block]]:
         elements.append(_Element(top.element, _boilerplate(tag, attributes, top.article), rank >= MAIN))
         if tag in BLOCKS and tag != "p":
             name = ".".join([tag, *sorted(_names({"class": attributes.get("class", "")}))])
-            path = f"{top.path}/{name}"
-            opened.append((path, rank, len(elements) - 1))
+            path = xxhash.xxh64_hexdigest(f"{top.path}/{name}")
+            opened.append((path, rank, len(elements) - 1, inside[-1]))
             number = len(opened) - 1
             inside.append(number)
         else:
             path, number = top.path, -1
         stack.append(_Open(tag, path, number, top.article or tag == "article", len(elements) - 1))
+        open_tags[tag] += 1
     parts.append(page[at:])
     flush()
     spared, most = _spared(elements, [(element, len(text)) for text, _, _, element in found])
@@ -268,8 +286,16 @@ def parse(page: str | None) -> tuple[list[Container], list[Block]]:
         count, owner, why = state[element] if element >= 0 else (0, -1, KEPT)
         blocks.append(Block(text, path, count > 0, around, owner if count == 1 and why == NAMED else -1))
     # Spared elements with less text than the rest of the page add to it but do not stand for it.
-    return [Container(path, rank if most or rank < MAIN else PLAIN, state[element][0] > 0)
-            for path, rank, element in opened], blocks
+    return [Container(path, rank if most or rank < MAIN else PLAIN, state[element][0] > 0, parent)
+            for path, rank, element, parent in opened], blocks
+
+
+def held(containers: list[Container], chosen: set[int]) -> list[bool]:
+    """Per container: whether it is a chosen one or inside one."""
+    out: list[bool] = []
+    for k, container in enumerate(containers):
+        out.append(k in chosen or container.parent >= 0 and out[container.parent])
+    return out
 
 
 def _token(*parts: str) -> int:
@@ -293,11 +319,16 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for container in containers:
                 entry = found.setdefault(_token("<", container.path), [-1 if container.dropped else container.rank, 0, 0])
                 entry[1] += 1
+            slots = [0] * len(containers)
             for block in blocks:
                 found.setdefault(_token("text", block.path, block.text), [-1, 0, 0])[1] += 1
-                if not block.dropped:
-                    for number in block.inside:
-                        found[_token("<", containers[number].path)][2] += len(block.text)
+                if not block.dropped and block.inside >= 0:
+                    slots[block.inside] += len(block.text)
+            # Inner containers have larger numbers, so one pass backwards adds them to those around them.
+            for number in range(len(containers) - 1, -1, -1):
+                found[_token("<", containers[number].path)][2] += slots[number]
+                if containers[number].parent >= 0:
+                    slots[containers[number].parent] += slots[number]
             hashes = {count: xxhash.xxh64_intdigest(f"{key}:{count}") for _, count, _ in found.values()}
             rows += [
                 (host, token, rank, hashes[count] & LOW, hashes[count] >> 32, 1, chars)
@@ -356,11 +387,13 @@ def main_blocks(
     usable = [k for k, c in enumerate(containers) if not c.dropped]
     chosen = {k for k in usable if main is not None and _token("<", containers[k].path) == main}
     if chosen:
-        return [b.text for b in blocks if not b.dropped and chosen.intersection(b.inside)]
+        within = held(containers, chosen)
+        return [b.text for b in blocks if not b.dropped and b.inside >= 0 and within[b.inside]]
     best = max((containers[k].rank for k in usable), default=PLAIN)
     if best >= MAIN:
         chosen = {k for k in usable if containers[k].rank == best}
-        return [b.text for b in blocks if not b.dropped and chosen.intersection(b.inside)]
+        within = held(containers, chosen)
+        return [b.text for b in blocks if not b.dropped and b.inside >= 0 and within[b.inside]]
     usable = [(b, _token("text", b.path, b.text)) for b in blocks if not b.dropped or b.owner >= 0]
     # Template text that would take all slot text is not template there.
     template = known if any(token not in known and not b.dropped for b, token in usable) else fixed

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from parlance.llm import templates
@@ -119,3 +121,25 @@ def test_text_of_copies_is_not_template(spark, extra):
 def test_pages_that_are_all_alike_keep_their_text(spark):
     data = [page(i, "<p>Same</p>", f"<!-- {i} -->") for i in range(4)]
     assert set(texts(spark, data).values()) == {"Welcome to h\nSame\nLegal text"}
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ('<article><svg width=1 /><p>Hello main text</p></article>', "Hello main text"),
+    ("<article><p title=it's>Hello world</p><p>We don't stop</p></article>", "Hello world\nWe don't stop"),
+    ("<article><p>Let <math><mi>x</mi></math> be.</p><svg><text>no</text></svg><p data-a = 'a>b' b=\"c>d\">Two</p></article>", "Let x be.\nTwo"),
+    ("<article><p a=\"unclosed>One</p><p>Two</p></article>", "One\nTwo"),
+    ("<article><p>One</b></i></div> more</p></article>", "One\nmore"),
+])
+def test_markup_never_takes_text(page, text):
+    assert "\n".join(templates.main_blocks(page, None, frozenset())) == text
+
+
+def test_large_nested_pages_take_linear_time_and_memory():
+    depth = 120_000
+    page = "<body><article>" + "<div class=a><i>" * depth + "text" + "</x>" * depth + "</div>" * depth + "<p>end</p></article>"
+    started = time.process_time()
+    containers, blocks = templates.parse(page)
+    assert templates.main_blocks(page, None, frozenset()) == ["text", "end"]
+    assert time.process_time() - started < 60
+    assert len(page) > 3_000_000 and len(containers) == depth + 2
+    assert sum(len(c.path) for c in containers) + sum(len(b.path) for b in blocks) <= 17 * (depth + 5)
