@@ -30,7 +30,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -195,7 +197,12 @@ def candidate_spans(text: str) -> list[tuple[int, int]]:
 def random_spans(text: str, taken: list[tuple[int, int, str]] = ()) -> list[tuple[int, int, str]]:
     """Spans of the candidates that pass the battery and are discoveries; overlapping ones are one span."""
     candidates = []
+    # What a pattern has found already is not tested: it would take part in the control of the others.
+    begins, ends = [a for a, _, _ in taken], list(accumulate((b for _, b, _ in taken), max))
     for start, end in candidate_spans(text):
+        before = bisect_left(begins, end)
+        if before and ends[before - 1] > start:
+            continue
         token = text[start:end]
         encoding = encoding_of(token)
         if encoding is not None:
@@ -203,7 +210,7 @@ def random_spans(text: str, taken: list[tuple[int, int, str]] = ()) -> list[tupl
     chosen = discoveries([c[2] for c in candidates])
     spans: list[tuple[int, int, str]] = []
     for (start, end, _, random), found in zip(candidates, chosen, strict=True):
-        if found and random >= NOT_RANDOM and not any(a < end and start < b for a, b, _ in taken):
+        if found and random >= NOT_RANDOM:
             if spans and start < spans[-1][1]:
                 start, end = spans[-1][0], max(end, spans.pop()[1])
             spans.append((start, end, "random"))

@@ -23,6 +23,16 @@ def brute(text):
     return [(a, b, kind) for a, _, kind, b in sorted(out)]
 
 
+def test_base_spans_take_no_part_in_the_control():
+    key = "q7Lw2ZpXv9Rk4TnB8sYd3HgM6cJf"
+    alone = secrets.secret_spans(f"see {key} here")[1]
+    assert [s[2] for s in alone] == ["random"]
+    rng = random.Random(4)
+    plain = " ".join("".join(rng.choice("0123456789abcdef") for _ in range(24)) for _ in range(200))
+    spans = secrets.secret_spans(f"see {key} here {plain}")[1]
+    assert [s for s in spans if s[2] == "random"] == alone and sum(s[2] == "hex" for s in spans) == 200
+
+
 def test_base_spans():
     rng = random.Random(5)
     noise = ["".join(rng.choice(["token", "=", " ", "AKIA", "9", "f", "Z", "secret", ":", '"', "api_key", "é"])
