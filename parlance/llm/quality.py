@@ -44,10 +44,11 @@ def id_fold(doc_id: Column, folds: int) -> Column:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: int, usable: Column) -> DataFrame:
-    """At most ``rows`` labelled texts: those whose ids have the smallest hashes.
+    """At most ``rows`` labelled texts: those whose ids have the smallest hashes, one text per id.
 
     The ids are a bounded table, so sending them to the documents is safe; the
-    documents are scanned once and not shuffled.
+    documents are scanned once, and only the texts of these ids are shuffled. Of
+    the rows of a repeated id the smallest text counts.
     """
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & usable)
@@ -56,7 +57,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: i
         .select(F.col("doc_id").alias("label_id"), "label")
     )
     texts = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
-    return texts.join(F.broadcast(ids), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "label")
+    return texts.join(F.broadcast(ids), F.col("doc_id") == F.col("label_id")).groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.min("label").alias("label"))
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -70,3 +70,10 @@ def test_sparse_rows_are_scored_as_dense_ones(spark):
     weights = np.random.default_rng(0).normal(size=quality.BUCKETS + 1)
     dense = [1 / (1 + np.exp(-(weights[at] @ x))) for at, x in quality.sparse_rows(batch)]
     assert np.allclose(quality.scores_of(batch, weights), dense)
+
+
+def test_sample_is_bounded_under_repeated_ids(spark):
+    documents = odd.table(spark, odd.rows(*[(i % 7, f"text {i}") for i in range(5000)]))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(7)], "doc_id long, quality int, toxic int")
+    sample = quality.labelled_sample(documents, labels, "quality", 5, F.lit(True))
+    assert sample.count() == 5 and len({r["doc_id"] for r in sample.collect()}) == 5
