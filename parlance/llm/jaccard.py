@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from parlance.llm import words as W
 from parlance.llm.components import components
-from parlance.llm.storage import one_row, release, stored
+from parlance.llm.storage import free_names, one_row, release, stored
 
 SHINGLE = 5
 LEAF = 16
@@ -411,11 +411,11 @@ def jaccard_groups(spark: SparkSession, documents: DataFrame) -> DataFrame:
     )
 
 
-def _named(seed: int):
+def _named(seed: int, name: str):
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = [_name(s, seed)[0] if len(s) else None for s in shingle_sets(batch)]
-            yield batch.append_column("__node", pa.array(nodes, pa.int64()))
+            yield batch.append_column(name, pa.array(nodes, pa.int64()))
 
     return add
 
@@ -425,13 +425,14 @@ def one_per_group(spark: SparkSession, documents: DataFrame) -> DataFrame:
     _, groups, seed = _grouped(spark, documents)
     names = [f"`{c}`" for c in documents.columns]
     id_text = F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit(""))
+    node, key, keep, first = free_names(documents.columns, "__node", "__id", "__kept", "__first")
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("node").alias("__node"), id_text.alias("__id"), F.lit(True).alias("__kept"))
-    schema = T.StructType([*documents.schema.fields, T.StructField("__node", T.LongType())])
-    named = documents.mapInArrow(_named(seed), schema).withColumn("__id", id_text)
-    first = F.row_number().over(Window.partitionBy("__node", "__id").orderBy(F.lit(1)))
+        F.col("node").alias(node), id_text.alias(key), F.lit(True).alias(keep))
+    schema = T.StructType([*documents.schema.fields, T.StructField(node, T.LongType())])
+    named = documents.mapInArrow(_named(seed, node), schema).withColumn(key, id_text)
+    place = F.row_number().over(Window.partitionBy(node, key).orderBy(F.lit(1)))
     return (
-        named.join(kept, ["__node", "__id"], "left").where("__node is null or __kept")
-        .withColumn("__first", first).where("__node is null or __first = 1").select(*names)
+        named.join(kept, [node, key], "left").where(F.col(node).isNull() | F.col(keep))
+        .withColumn(first, place).where(F.col(node).isNull() | (F.col(first) == 1)).select(*names)
     )
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from parlance.llm.storage import stored
+from parlance.llm.storage import free_names, stored
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
@@ -102,8 +102,9 @@ def source_plan(spark: SparkSession, sizes: DataFrame, **options) -> DataFrame:
 
 def _of_source(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Rows with the columns of their source's plan."""
-    plan = plan.withColumnRenamed("source", "__source")
-    return rows.join(plan, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    name, = free_names(rows.columns, "__source")
+    plan = plan.withColumnRenamed("source", name)
+    return rows.join(plan, F.col("source").eqNullSafe(F.col(name))).drop(name)
 
 
 def _sizes(spark: SparkSession, documents: DataFrame) -> DataFrame:
@@ -127,10 +128,11 @@ def mixed(spark: SparkSession, documents: DataFrame, **options) -> DataFrame:
 def mix_documents(spark: SparkSession, documents: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is emitted, all columns kept."""
     plan = stored(spark, source_plan(spark, _sizes(spark, documents), **options), "mixing-plan")
-    plan = plan.select("source", F.struct("rate", "seed").alias("__mix"))
-    emitted = copies(F.col("__mix.rate"), F.element_at(coins(F.col("doc_id")), F.col("__mix.seed") + 1))
+    mix, copy = free_names(documents.columns, "__mix", "__copy")
+    plan = plan.select("source", F.struct("rate", "seed").alias(mix))
+    emitted = copies(F.col(mix)["rate"], F.element_at(coins(F.col("doc_id")), F.col(mix)["seed"] + 1))
     return (
         _of_source(documents, plan)
-        .withColumn("__copy", F.explode(F.array_repeat(F.lit(1), emitted.cast("int"))))
+        .withColumn(copy, F.explode(F.array_repeat(F.lit(1), emitted.cast("int"))))
         .select(*(F.col(f"`{c}`") for c in documents.columns))
     )

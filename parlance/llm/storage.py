@@ -44,6 +44,17 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores behind it as keep it apart from the columns, in any case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def one_row(df: DataFrame) -> tuple:
     """The single row of an aggregate without keys."""
     return tuple(df.collect()[0])

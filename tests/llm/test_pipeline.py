@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from parlance.llm import mixing, quality, secrets
+from parlance.llm import jaccard, mixing, quality, secrets
 from tests.llm import odd
 from tests.llm.test_decontaminate import brute as contaminated
 from tests.llm.test_jaccard import brute as groups
@@ -76,3 +76,14 @@ def test_secrets_are_gone(mix):
 
 def test_options_of_the_mix_are_those_of_the_operator():
     assert mixing.WEIGHTS == (5, 2, 1) and mixing.BUDGET == 1.5 and mixing.MAX_REPEATS == 2.0
+
+
+def test_columns_named_like_those_used_inside(spark):
+    data = [(i, f"word{i % 3} a b c d e f g", "s", 7, 8, "x", 9, "y", 5, 6) for i in range(9)]
+    documents = spark.createDataFrame(
+        data, "doc_id long, text string, source string, __node int, __id int, __kept string, __first int, __SOURCE string, __mix int, __copy int")
+    kept = jaccard.one_per_group(spark, documents)
+    assert kept.columns == documents.columns
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(data[:3])
+    mix = mixing.mix_documents(spark, documents)
+    assert mix.columns == documents.columns and {tuple(r) for r in mix.collect()} <= set(data)
