@@ -7,16 +7,27 @@ form of that sharing is a water level: a source takes the smaller of its bound
 and level times weight, and the level follows from running sums over the
 sources in the order in which they reach their bound.
 
-A document is emitted floor(rate) times, and once more with a probability of
-the rate's fraction, decided by a hash of its id. Independent coins can miss the
-target of a source with few or very unequal documents, so the coins of
-``SEEDS`` seeds are summed per source in one aggregate, and each source uses the
-seed whose words come nearest to its target. No document table is grouped by
-source without partial sums, and sources are joined back as a narrow table.
+A document is emitted floor(rate) times, and once more with a probability equal
+to the rate's fraction. Its coin is a hash of its id under one seed fixed in
+advance. Independent coins of a small or uneven source stray far from its
+target, so the coins are thinned evenly: documents of a source whose sizes have
+equally many binary digits are a class, and a class copies those with the
+smallest coins, n times fraction of its n documents. The coins of a class are
+exchangeable, so every document of it, long or short, has a chance equal to the
+fraction, while the words of a class differ from their share only by what its
+sizes differ within a factor of two.
+
+The bound below which a class copies follows from counts of its coins in
+``BINS`` bins: the running sum names the bin in which the last copies fall, and
+inside that bin the bound is interpolated. No document is ranked or moved; the
+counts combine on the map side, and each source's bounds, at most one per binary
+digit, are joined back as one narrow row.
 
 Defined results: a null or empty text has size 0 and takes 0; a null source is
 a source of its own, last in order; a null id hashes as the empty text; repeated
-rows share a coin; an empty table gives an empty mix.
+rows share a coin; a document without words keeps its chance of a copy; an empty
+table gives an empty mix. Extra columns, whatever their names, stay as they are
+in the mix.
 """
 
 from __future__ import annotations
@@ -28,7 +39,8 @@ from parlance.llm.storage import free_names, stored
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MAX_REPEATS = 2.0
-SEEDS = 16
+SEED = "mix0:"
+BINS = 1024
 SCALE = float(1 << 32)
 
 
@@ -37,13 +49,16 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
-def coins(doc_id: Column) -> Column:
-    """``SEEDS`` numbers in [0, 1) that depend on the id alone."""
+def coin(doc_id: Column) -> Column:
+    """A number in [0, 1) that depends on the id alone."""
     name = F.coalesce(doc_id.cast("string"), F.lit(""))
-    digits = F.concat(*(F.sha2(F.concat(F.lit(f"mix{i}:"), name), 256) for i in range(SEEDS // 8)))
-    return F.array(*(
-        F.conv(F.substring(digits, 8 * k + 1, 8), 16, 10).cast("double") / F.lit(SCALE) for k in range(SEEDS)
-    ))
+    digits = F.substring(F.sha2(F.concat(F.lit(SEED), name), 256), 1, 8)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(SCALE)
+
+
+def size_class(size: Column) -> Column:
+    """Number of binary digits of a size."""
+    return F.length(F.bin(size))
 
 
 def source_targets(
@@ -78,26 +93,41 @@ def source_targets(
     )
 
 
-def copies(rate: Column, coin: Column) -> Column:
-    """Number of times a document is emitted."""
-    whole = F.floor(rate)
-    return (whole + F.when(coin < rate - whole, 1).otherwise(0)).cast("bigint")
+def copies(rate: Column, bounds: Column, size: Column, doc_id: Column) -> Column:
+    """Number of times a document is emitted: the whole part of the rate, and a copy if its coin is below its bound."""
+    bound = F.element_at(bounds, size_class(size))
+    return (F.floor(rate) + F.when(coin(doc_id) < bound, 1).otherwise(0)).cast("bigint")
+
+
+def copy_bounds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per source and class: the bound below which a coin gives a copy."""
+    bins = sizes.groupBy(
+        "source", size_class(F.col("size")).alias("class"), F.floor(coin(F.col("doc_id")) * BINS).alias("bin"),
+    ).agg(F.count("*").alias("n"))
+    of_class = Window.partitionBy("source", "class")
+    before = of_class.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    counted = bins.select(
+        "source", "class", "bin", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
+        F.sum("n").over(of_class).alias("of_class"),
+    )
+    wanted = counted.join(
+        targets.select(F.col("source").alias("of_source"), (F.col("rate") - F.floor("rate")).alias("fraction")),
+        F.col("source").eqNullSafe(F.col("of_source")),
+    ).withColumn("wanted", F.col("of_class") * F.col("fraction"))
+    end = F.col("before") + F.col("n")
+    # A fraction next to one can round up to all documents of a class.
+    last = wanted.where((F.col("before") <= F.col("wanted")) & ((F.col("wanted") < end) | (end == F.col("of_class"))))
+    bound = (F.col("bin") + (F.col("wanted") - F.col("before")) / F.col("n")) / F.lit(float(BINS))
+    return last.select("source", "class", bound.alias("bound"))
 
 
 def source_plan(spark: SparkSession, sizes: DataFrame, **options) -> DataFrame:
-    """Per source: ``source_size``, ``target``, ``rate`` and the ``seed`` that comes nearest to the target."""
+    """Per source: ``source_size``, ``target``, ``rate`` and ``bounds``, the bound of each class for copies."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     targets = stored(spark, source_targets(sizes, **options).withColumn("rate", rate), "mixing-targets")
-    joined = _of_source(sizes, targets).withColumn("coins", coins(F.col("doc_id")))
-    taken = [
-        F.sum(F.col("size") * copies(F.col("rate"), F.col("coins")[k])).cast("double").alias(f"t{k}")
-        for k in range(SEEDS)
-    ]
-    misses = F.array(*(
-        F.struct(F.abs(F.col(f"t{k}") - F.col("target")).alias("miss"), F.lit(k).alias("seed")) for k in range(SEEDS)
-    ))
-    return joined.groupBy("source", "source_size", "target", "rate").agg(*taken).select(
-        "source", "source_size", "target", "rate", F.array_min(misses)["seed"].alias("seed"))
+    bounds = copy_bounds(sizes, targets).groupBy("source").agg(
+        F.map_from_entries(F.collect_list(F.struct("class", "bound"))).alias("bounds"))
+    return _of_source(bounds, targets.select("source", "source_size", "target", "rate"))
 
 
 def _of_source(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -112,16 +142,13 @@ def _sizes(spark: SparkSession, documents: DataFrame) -> DataFrame:
         F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size")), "mixing-sizes")
 
 
-def _emitted() -> Column:
-    return copies(F.col("rate"), F.element_at(coins(F.col("doc_id")), F.col("seed") + 1))
-
-
 def mixed(spark: SparkSession, documents: DataFrame, **options) -> DataFrame:
     """Per document: size, source size, target of its source, copies and words taken."""
     sizes = _sizes(spark, documents)
     plan = stored(spark, source_plan(spark, sizes, **options), "mixing-plan")
     return _of_source(sizes, plan).select(
-        "doc_id", "source", "size", "source_size", "target", _emitted().alias("copies"),
+        "doc_id", "source", "size", "source_size", "target",
+        copies(F.col("rate"), F.col("bounds"), F.col("size"), F.col("doc_id")).alias("copies"),
     ).withColumn("taken", F.col("size") * F.col("copies"))
 
 
@@ -129,8 +156,8 @@ def mix_documents(spark: SparkSession, documents: DataFrame, **options) -> DataF
     """The mix itself: every document as often as it is emitted, all columns kept."""
     plan = stored(spark, source_plan(spark, _sizes(spark, documents), **options), "mixing-plan")
     mix, copy = free_names(documents.columns, "__mix", "__copy")
-    plan = plan.select("source", F.struct("rate", "seed").alias(mix))
-    emitted = copies(F.col(mix)["rate"], F.element_at(coins(F.col("doc_id")), F.col(mix)["seed"] + 1))
+    plan = plan.select("source", F.struct("rate", "bounds").alias(mix))
+    emitted = copies(F.col(mix)["rate"], F.col(mix)["bounds"], word_count(F.col("text")), F.col("doc_id"))
     return (
         _of_source(documents, plan)
         .withColumn(copy, F.explode(F.array_repeat(F.lit(1), emitted.cast("int"))))

@@ -73,13 +73,13 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
 FROM d LEFT JOIN sets USING (r) LEFT JOIN groups USING (name)
 """
 
-_COINS = " || ".join(f"sha256('mix{i}:' || coalesce(CAST(doc_id AS VARCHAR), ''))" for i in range(mixing.SEEDS // 8))
+_COIN = f"(CAST('0x' || substr(sha256('{mixing.SEED}' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) / 4294967296.0)"
 
 # The sharing is done literally: in each round, sources above their bound are
 # fixed at it and the rest is shared by weight among the others.
 ORACLES["op4_mix_sources"] = f"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, source, {_COINS} AS digits,
+  SELECT doc_id, source, {_COIN} AS coin,
          CAST(coalesce(len(list_filter(regexp_split_to_array(text, '{_SPACE}+'), lambda w: w <> '')), 0) AS BIGINT) AS size
   FROM documents),
 s AS (
@@ -103,22 +103,23 @@ last AS (
   FROM shared WHERE round = (SELECT count(*) FROM s)),
 plan AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM last),
-tossed AS (
-  SELECT d.*, p.source_size, p.target, p.rate,
-         list_transform(range({mixing.SEEDS}),
-           lambda k: CAST('0x' || substr(d.digits, 8 * k + 1, 8) AS BIGINT) / 4294967296.0) AS coins
+ranged AS (
+  SELECT d.*, p.source_size, p.target, floor(p.rate) AS whole, p.rate - floor(p.rate) AS fraction,
+         length(bin(d.size)) AS class, CAST(floor(d.coin * {mixing.BINS}) AS BIGINT) AS place
   FROM d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source),
-taken AS (
-  SELECT *, list_transform(coins, lambda c: size * CAST(floor(rate) + CASE WHEN c < rate - floor(rate) THEN 1 ELSE 0 END
-         AS BIGINT)) AS takes
-  FROM tossed),
-seeds AS (
-  SELECT source, arg_min(k, (miss, k)) AS seed FROM (
-    SELECT source, k, abs(sum(takes[k + 1]) - any_value(target)) AS miss
-    FROM taken, range({mixing.SEEDS}) AS g(k) GROUP BY source, k)
-  GROUP BY source)
-SELECT t.doc_id, t.size, t.source_size, t.target, CAST(t.takes[s.seed + 1] AS BIGINT) AS taken
-FROM taken t JOIN seeds s ON t.source IS NOT DISTINCT FROM s.source
+bins AS (
+  SELECT source, class, place, count(*) AS n, any_value(fraction) AS fraction FROM ranged GROUP BY source, class, place),
+filled AS (
+  SELECT *, sum(n) OVER (PARTITION BY source, class) AS of_class,
+         sum(n) OVER (PARTITION BY source, class) * fraction AS wanted,
+         sum(n) OVER (PARTITION BY source, class ORDER BY place) - n AS below
+  FROM bins),
+bounds AS (
+  SELECT source, class, (place + (wanted - below) / n) / {mixing.BINS}.0 AS bound FROM filled
+  WHERE below <= wanted AND (wanted < below + n OR below + n = of_class))
+SELECT r.doc_id, r.size, r.source_size, r.target,
+       CAST(r.size * (r.whole + CASE WHEN r.coin < b.bound THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM ranged r JOIN bounds b ON r.source IS NOT DISTINCT FROM b.source AND r.class = b.class
 """
 
 ORACLES["op7_decontaminate"] = """

@@ -68,6 +68,27 @@ def test_reruns_agree_and_the_mix_is_the_plan(spark):
     assert dict(copies) == {r["doc_id"]: r["copies"] for r in mixing.mixed(spark, docs).collect() if r["copies"]}
 
 
+@pytest.mark.parametrize("extra", (0.3, 0.7))
+def test_chance_of_a_copy_is_the_fraction_for_every_size(spark, extra):
+    """Sources of one long document and many of one word, each with the rate 1 + extra."""
+    sources, long, short = 240, 300, 24
+    parts = [(f"s{k}", size) for k in range(sources) for size in [long] + [1] * short]
+    found = mixing.mixed(spark, documents(spark, parts), weights=(1,), budget=1 + extra).collect()
+    assert {r["copies"] for r in found} == {1, 2}
+    for size, n in ((long, sources), (1, sources * short)):
+        copied = sum(r["copies"] == 2 for r in found if r["size"] == size)
+        assert abs(copied / n - extra) <= 3 * (extra * (1 - extra) / n) ** 0.5, size
+
+
+def test_words_of_an_even_source_come_near_its_target(spark):
+    """A class of n documents copies its share up to those of one bin, where independent coins stray by sqrt(n)."""
+    found = mixing.mixed(spark, documents(spark, [("a", 6)] * 900 + [("b", 6)] * 100), budget=1.4, weights=(1,)).collect()
+    taken, targets = defaultdict(int), {r["source"]: r["target"] for r in found}
+    for r in found:
+        taken[r["source"]] += r["taken"]
+    assert all(abs(taken[s] - target) <= 3 * 6 for s, target in targets.items())
+
+
 def test_odd_documents(spark):
     docs = odd.table(spark, odd.ODD)
     found = mixing.mixed(spark, docs)
