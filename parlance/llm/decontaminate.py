@@ -6,21 +6,31 @@ ends, are the patterns of one automaton; each task builds it once and scans
 each document once. Hits are positions in the normalised text; they are mapped
 to word numbers and, through them, to code points of the original text.
 
-The automaton is sent to every executor, so its size is checked: item texts
-beyond ``automaton_bytes`` are dealt over several automata. Each scans the
-documents in a job of its own, so a worker holds one of them at a time, and
-the hits of a document are merged.
+Windows are cut out of the items by tasks, one word after the other, made
+distinct, and stored. The automaton is sent to every executor, so its size is
+bounded: the pairs of window and item are dealt by hash into groups of about
+``automaton_bytes``, so a long item, or a window that very many items share, is
+spread over several automata. The driver reads one group at a time, and only to
+send it. Each group scans the documents in a job of its own, so a worker holds
+one automaton at a time, and the hits of a document are merged. One scan per
+group is the price of bounded memory: it grows with the benchmark, not with the
+documents.
 
 Defined results: a null or empty text has no words and no hits. An item with
 fewer than ten words is one window; without words, or with a null id, it is no
-item. Rows repeated in the item table count once. Extra columns do not matter.
+item. Rows repeated in the item table count once; an empty item table hits
+nothing. A very long item is one row in one task while its windows are cut, and
+a single word must fit a row. Extra columns do not matter.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import uuid
+from collections import deque
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import ahocorasick
 import numpy as np
@@ -32,8 +42,10 @@ from parlance.llm import words as W
 from parlance.llm.storage import stored, text_batches
 
 WINDOW = 10
-# Bytes of item text that one automaton may hold (its nodes take about 100 times as much).
-AUTOMATON_BYTES = 2 << 20
+# Bytes of windows and item ids that one automaton may hold, as the mean of the groups. Each word of an item is in
+# ten windows, and the nodes take about ten times the windows.
+AUTOMATON_BYTES = 20 << 20
+WINDOW_ROWS = 2000  # windows sent out of a task at once
 
 SCHEMA = (
     "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, "
@@ -51,6 +63,7 @@ _TABLE = bytes(
     0x20 if not W.ALNUM[b] and not 0x41 <= b <= 0x5A else (b + 0x20 if 0x41 <= b <= 0x5A else b) for b in range(256)
 )
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_RUN = re.compile(rb"[^ ]+")
 
 
 def normalised_words(text: str | None) -> list[bytes]:
@@ -58,26 +71,40 @@ def normalised_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
 
 
-def windows_of(text: str | None, window: int = WINDOW) -> set[str]:
-    """Patterns of one item: its windows of ``window`` words, padded with spaces."""
-    found = normalised_words(text)
-    if not found:
-        return set()
-    size = min(window, len(found))
-    return {
-        " " + b" ".join(found[i:i + size]).decode("latin-1") + " " for i in range(len(found) - size + 1)
-    }
+def windows_of(text: str | None, window: int = WINDOW) -> Iterator[str]:
+    """Patterns of one item in their order: its windows of ``window`` words, padded with spaces."""
+    last: deque[str] = deque(maxlen=window)
+    cut = False
+    for found in _RUN.finditer((text or "").encode("utf-8", "surrogatepass").translate(_TABLE)):
+        last.append(found[0].decode("latin-1"))
+        if len(last) == window:
+            cut = True
+            yield f" {' '.join(last)} "
+    if last and not cut:
+        yield f" {' '.join(last)} "
+
 
+def _cutter(window: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item_id, text in zip(batch.column("item_id"), batch.column("text"), strict=True):
+                patterns = windows_of(text.as_py(), window)
+                while rows := list(islice(patterns, WINDOW_ROWS)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(rows, pa.string()), pa.array([item_id.as_py()] * len(rows), pa.string())],
+                        ["pattern", "item_id"])
+
+    return cut
 
-def _automaton(items: list[tuple[str, str]], window: int) -> ahocorasick.Automaton:
-    patterns: dict[str, set[str]] = {}
-    for item_id, text in items:
-        for pattern in windows_of(text, window):
-            patterns.setdefault(pattern, set()).add(item_id)
+
+def _automaton(pairs: list[tuple[str, str]]) -> ahocorasick.Automaton:
+    patterns: dict[str, list[str]] = {}
+    for pattern, item_id in pairs:
+        patterns.setdefault(pattern, []).append(item_id)
     out = ahocorasick.Automaton()
     for pattern, ids in patterns.items():
         # Characters to step back from the last letter, and the number of words.
-        out.add_word(pattern, (len(pattern), pattern.count(" ") - 1, tuple(sorted(ids))))
+        out.add_word(pattern, (len(pattern), pattern.count(" ") - 1, tuple(ids)))
     out.make_automaton()
     return out
 
@@ -85,11 +112,11 @@ def _automaton(items: list[tuple[str, str]], window: int) -> ahocorasick.Automat
 _BUILT: dict[str, ahocorasick.Automaton] = {}
 
 
-def _built(items: Broadcast, key: str, window: int) -> ahocorasick.Automaton:
-    """The automaton of a broadcast, built once per Python worker; ``key`` depends on its content."""
+def _built(pairs: Broadcast, key: str) -> ahocorasick.Automaton:
+    """The automaton of a broadcast, built once per Python worker; ``key`` names its group."""
     if key not in _BUILT:
         _BUILT.clear()
-        _BUILT[key] = _automaton(items.value, window)
+        _BUILT[key] = _automaton(pairs.value)
     return _BUILT[key]
 
 
@@ -132,9 +159,9 @@ def _row(doc_id, n_words: int, n_hit: int, ids: set[str], word_spans, spans, tex
     }
 
 
-def _scanner(items: Broadcast, key: str, window: int):
+def _scanner(pairs: Broadcast, key: str):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _built(items, key, window)
+        automaton = _built(pairs, key)
         for batch in batches:
             rows = []
             for doc_id, text, text_key in zip(*(batch.column(c) for c in ("doc_id", "text", "text_key")), strict=True):
@@ -178,27 +205,31 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, schema=OUTPUT)
 
 
-def item_groups(items: DataFrame, automaton_bytes: int = AUTOMATON_BYTES) -> list[list[tuple[str, str]]]:
-    """Distinct items in groups of bounded size, one automaton each; at least one group."""
-    rows = (
-        items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
-        .select(F.col("item_id").cast("string").alias("item_id"), "text").distinct().orderBy("item_id", "text")
-    )
-    groups: list[list[tuple[str, str]]] = [[]]
-    size = 0
-    for row in rows.toLocalIterator():
-        length = len(row["text"].encode())
-        if size and size + length > automaton_bytes:
-            groups.append([])
-            size = 0
-        groups[-1].append((row["item_id"], row["text"]))
-        size += length
-    return groups
-
-
-def _share(spark: SparkSession, items: list[tuple[str, str]]) -> tuple[Broadcast, str]:
+def window_groups(
+    spark: SparkSession, items: DataFrame, window: int = WINDOW, automaton_bytes: int = AUTOMATON_BYTES,
+) -> tuple[DataFrame, int]:
+    """Distinct pairs of window and item, stored by ``part``, and the number of parts; at least one."""
+    texts = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("item_id").cast("string").alias("item_id"), "text")
+    pairs = stored(spark, texts.mapInArrow(
+        _cutter(window), "pattern string, item_id string").distinct(), "decontaminate-windows")
+    size = pairs.agg(F.sum(F.octet_length("pattern") + F.octet_length("item_id"))).first()[0] or 0
+    parts = max(1, -(-size // automaton_bytes))
+    part = F.pmod(F.xxhash64("pattern", "item_id"), F.lit(parts)).cast("int")
+    dealt = pairs.withColumn("part", part)
+    return (dealt if parts == 1 else stored(spark, dealt.repartition("part"), "decontaminate-parts")), parts
+
+
+def _groups(
+    spark: SparkSession, items: DataFrame, window: int, automaton_bytes: int,
+) -> Iterator[tuple[Broadcast, str]]:
+    """One bounded group after the other as a broadcast, and a name for it."""
     text_batches(spark)
-    return spark.sparkContext.broadcast(items), hashlib.sha256(repr(items).encode()).hexdigest()
+    pairs, parts = window_groups(spark, items, window, automaton_bytes)
+    for part in range(parts):
+        rows = pairs.where(F.col("part") == part).select("pattern", "item_id").toArrow()
+        group = list(zip(*(rows.column(c).to_pylist() for c in ("pattern", "item_id")), strict=True))
+        yield spark.sparkContext.broadcast(group), uuid.uuid4().hex
 
 
 def contamination(
@@ -208,15 +239,17 @@ def contamination(
     """Per document: words, hit words, items found, and the hit spans of the original text."""
     texts = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
-    groups = item_groups(items, automaton_bytes)
-    parts = [texts.mapInArrow(_scanner(*_share(spark, group), window), SCHEMA) for group in groups]
-    if len(parts) == 1:
-        return parts[0]
+    groups = _groups(spark, items, window, automaton_bytes)
+    scanned = texts.mapInArrow(_scanner(*next(groups)), SCHEMA)
+    following = next(groups, None)
+    if following is None:
+        return scanned
     # The hits of equal rows are equal, so hits merge by id and text; all rows stay.
-    merged: DataFrame | None = None
-    for part in parts:
-        found = stored(spark, part.dropDuplicates(["doc_id", "text_key"]), "decontaminate-hits")
-        merged = found if merged is None else merged.unionByName(found)
+    merged = stored(spark, scanned.dropDuplicates(["doc_id", "text_key"]), "decontaminate-hits")
+    for group in chain([following], groups):
+        scanned = texts.mapInArrow(_scanner(*group), SCHEMA).where("contaminated")
+        merged = merged.unionByName(stored(
+            spark, scanned.dropDuplicates(["doc_id", "text_key"]), "decontaminate-hits"))
     joined = merged.groupBy("doc_id", "text_key").agg(
         *(F.max(c).alias(c) for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")),
         *(F.flatten(F.collect_list(c)).alias(c) for c in ("item_ids", "spans", "word_spans")),
@@ -228,9 +261,9 @@ def contamination(
     ).select(names)
 
 
-def _clean_rows(items: Broadcast, key: str, window: int):
+def _clean_rows(pairs: Broadcast, key: str):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _built(items, key, window)
+        automaton = _built(pairs, key)
         for batch in batches:
             clean = [_scan(text.as_py() or "", automaton)[1] is None for text in batch.column("text")]
             yield batch.filter(pa.array(clean, pa.bool_()))
@@ -243,9 +276,11 @@ def without_contamination(
     automaton_bytes: int = AUTOMATON_BYTES,
 ) -> DataFrame:
     """Documents that no window of an item occurs in, with all their columns."""
-    groups = item_groups(items, automaton_bytes)
-    for number, group in enumerate(groups):
-        documents = documents.mapInArrow(_clean_rows(*_share(spark, group), window), documents.schema)
-        if number < len(groups) - 1:
+    groups = _groups(spark, items, window, automaton_bytes)
+    group = next(groups)
+    while group is not None:
+        documents = documents.mapInArrow(_clean_rows(*group), documents.schema)
+        group = next(groups, None)
+        if group is not None:
             documents = stored(spark, documents, "decontaminate-kept")
     return documents

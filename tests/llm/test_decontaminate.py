@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from parlance.llm import decontaminate
 from tests.llm import odd
 
@@ -39,8 +41,8 @@ def items(spark, data=ITEMS):
     return spark.createDataFrame([(*r, "extra") for r in data], "item_id bigint, text string, doc_id string")
 
 
-def results(spark, data, **options):
-    found = decontaminate.contamination(spark, odd.table(spark, data), items(spark), **options)
+def results(spark, data, items_table=ITEMS, **options):
+    found = decontaminate.contamination(spark, odd.table(spark, data), items(spark, items_table), **options)
     return odd.as_rows(found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"))
 
 
@@ -59,6 +61,29 @@ def test_random_texts(spark):
     assert results(spark, data) == sorted(((r[0], *brute(r[1], ITEMS)) for r in data), key=repr)
 
 
+def test_one_item_beyond_the_bound_is_dealt_over_several_automata(spark):
+    long = " ".join(f"w{i}" for i in range(3000))
+    data = [(1, long), *((k, "a window that very many items share with one another word for word") for k in range(2, 60))]
+    bound = 40_000
+    pairs, parts = decontaminate.window_groups(spark, items(spark, data), automaton_bytes=bound)
+    sizes = {r["part"]: r["n"] for r in pairs.groupBy("part").agg(
+        F.sum(F.octet_length("pattern") + F.octet_length("item_id")).alias("n")).collect()}
+    assert len(sizes) == parts > 3 and max(sizes.values()) < 1.5 * bound
+    assert pairs.count() == 2991 + 58 * 4
+    docs = odd.rows(
+        " ".join(f"W{i}" for i in range(1495, 1520)), "x " + long + " y", data[1][1], "w1 w2 w3", " ".join(long.split()[:9]))
+    assert results(spark, docs, items_table=data, automaton_bytes=bound) == sorted(
+        ((r[0], *brute(r[1], data)) for r in docs), key=repr)
+
+
+def test_windows_come_one_by_one():
+    assert list(decontaminate.windows_of("A, b C d", 2)) == [" a b ", " b c ", " c d "]
+    assert list(decontaminate.windows_of("A-b", 3)) == [" a b "]
+    assert list(decontaminate.windows_of("--")) == list(decontaminate.windows_of(None)) == []
+    endless = decontaminate.windows_of("word " * 2_000_000)
+    assert next(endless) == " " + "word " * 10
+
+
 def test_spans_are_places_of_the_original(spark):
     text = "é  before: SHORT -- item, after"
     for options in ({}, {"automaton_bytes": 40}):
