@@ -158,6 +158,12 @@ def training_rows(documents: DataFrame, labels: DataFrame, usable: Column) -> Da
         F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "label")
 
 
+def calibration_texts(rows: DataFrame, slice_ids: DataFrame) -> DataFrame:
+    """One labelled text for each id of the slice; of the rows of a repeated id the smallest text counts."""
+    return rows.join(F.broadcast(slice_ids), F.col("doc_id") == F.col("slice_id")).groupBy("slice_id").agg(
+        F.min("label").cast("bigint").alias("label"), F.min("text").alias("text")).select("label", "text")
+
+
 def _in_slice() -> Column:
     return F.pmod(F.xxhash64(F.lit("curve"), F.col("doc_id")), F.lit(CALIBRATION_SLICE)) == 0
 
@@ -294,8 +300,7 @@ def train(spark: SparkSession, documents: DataFrame, labels: DataFrame, usable:
     others = _steps(spark, counts.select(
         "kind", "pair", (F.col("t") - F.col("held_t")).alias("t"), (F.col("o") - F.col("held_o")).alias("o")
     ).where("t + o > 0"))
-    sample = rows.join(F.broadcast(slice_ids), F.col("doc_id") == F.col("slice_id")).select(
-        F.col("label").cast("bigint").alias("label"), "text")
+    sample = calibration_texts(rows, slice_ids)
     # In a fixed order, because sums of floats depend on it.
     found = _summed_texts(spark, sample, "label", _nothing() if others is None else _model(spark, others)).toPandas(
         ).sort_values(["label", "total", "n"])

@@ -116,3 +116,11 @@ def test_every_training_row_is_counted(spark):
     own = [toxicity.named(*W.texts_of(pa.array([pair]))) for pair in told]
     pairs = [before[1] << np.uint64(32) | word[1] for before, word, *_ in own]
     assert toxicity._lookup(model.pairs, model.pair_step, np.array(pairs))[1].all()
+
+
+def test_the_calibration_sample_is_bounded_by_rows(spark):
+    data = [(7, f"text {i}", 1) for i in range(5000)] + [(8, "other", 0), (9, "not in the slice", 1)]
+    rows = spark.createDataFrame(data, "doc_id long, text string, label int")
+    ids = spark.createDataFrame([(7,), (8,)], "slice_id long")
+    found = sorted((r["label"], r["text"]) for r in toxicity.calibration_texts(rows, ids).collect())
+    assert found == [(0, "other"), (1, "text 0")]
