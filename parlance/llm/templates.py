@@ -7,12 +7,16 @@ one vector are an equivalence class, and a class of several tokens that covers
 the host's pages is part of the template. Paths nest: a class holds another one
 if its containers are prefixes of the other's. What the template leaves open are
 its slots. The slots below boilerplate containers (menus, headers, footers,
-sidebars, notices, adverts, forms, comments) are dropped; of the other template
-containers the one that stands for an article, or else the one with most slot
-text over all pages of the host, holds the main text. Text inside it is never
-taken for template, however many pages repeat it. On a page that deviates from
-its host's template its own article, main or body element is used, without the
-text that the template explains.
+sidebars, notices, adverts, forms, comments) are dropped. A template container
+that holds the share ``DOMINANT`` of the host's slot text holds the main text;
+such containers are nested, and of them the one that is named as an article or
+main element counts, or without such a name the innermost, if the template has
+others beside it, or a named one in it with most of the slot text. Else the named
+one with most slot text does. Text inside a named one is never
+taken for template, however many pages repeat it; of an unnamed one the slots
+are the main text, on pages where it has any. On a page that deviates
+from its host's template its own article, main or body element is used, without
+the text that the template explains.
 
 Classes and ids name boilerplate by their whole words only. Boilerplate that is
 or holds an article or main element is not dropped if the page has none with
@@ -23,7 +27,9 @@ Vectors are compared by sums of page hashes with counts, so they are partial
 sums per host and token; neither the pages nor the tokens of a host are ever
 gathered. Rows of a host with equal html are one page. Hosts with fewer than
 ``MIN_PAGES`` pages are pooled. Template text never takes all slot text of a
-page: what only some pages of the host have stays there, or else all of it.
+page: what only some pages of the host have stays there, or else all of it. Only
+tokens on the share ``MIN_SHARE`` of a host's pages are brought together, so they
+are at most 1 / ``MIN_SHARE`` times the tokens of an average page.
 
 Defined results: null or empty html gives an empty text. A null url belongs to
 the host without name. Repeated rows each get their result; extra columns do not
@@ -49,6 +55,7 @@ from parlance.llm.storage import stored
 MIN_PAGES = 3
 MIN_CLASS = 3
 MIN_SHARE = 0.5
+DOMINANT = 0.9
 
 # --- Fixed values: elements by their meaning -----------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -303,47 +310,129 @@ def _token(*parts: str) -> int:
 
 
 ROOT = _token("page")
-TOKENS = "host string, token bigint, rank int, low bigint, high bigint, pages bigint, chars bigint"
+TEXT, DROPPED = -2, -1
+TOKENS = "host string, token bigint, rank int, low bigint, high bigint, pages bigint, chars bigint, up bigint"
 LOW = (1 << 32) - 1
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of each page: rank of containers (-1 for text), halves of the hash of page and count, characters of slot text."""
+    """Tokens of each page.
+
+    Of each its rank (``TEXT`` for text), halves of the hash of page and count,
+    characters of text outside boilerplate, and the token of the container around it.
+    """
     for batch in batches:
         rows: list[tuple] = []
         for host, page, key in zip(
             batch.column("host").to_pylist(), batch.column("html"), batch.column("page").to_pylist(), strict=True,
         ):
             containers, blocks = parse(page.as_py())
-            found: dict[int, list[int]] = {ROOT: [-1, 1, 0]}
-            for container in containers:
-                entry = found.setdefault(_token("<", container.path), [-1 if container.dropped else container.rank, 0, 0])
+            names = [_token("<", container.path) for container in containers]
+            found: dict[int, list[int]] = {ROOT: [DROPPED, 1, 0, 0]}
+            for name, container in zip(names, containers, strict=True):
+                entry = found.setdefault(name, [
+                    DROPPED if container.dropped else container.rank, 0, 0,
+                    names[container.parent] if container.parent >= 0 else ROOT])
                 entry[1] += 1
             slots = [0] * len(containers)
             for block in blocks:
-                found.setdefault(_token("text", block.path, block.text), [-1, 0, 0])[1] += 1
-                if not block.dropped and block.inside >= 0:
-                    slots[block.inside] += len(block.text)
+                entry = found.setdefault(_token("text", block.path, block.text), [
+                    TEXT, 0, 0, names[block.inside] if block.inside >= 0 else ROOT])
+                entry[1] += 1
+                if not block.dropped:
+                    entry[2] += len(block.text)
+                    found[ROOT][2] += len(block.text)
+                    if block.inside >= 0:
+                        slots[block.inside] += len(block.text)
             # Inner containers have larger numbers, so one pass backwards adds them to those around them.
             for number in range(len(containers) - 1, -1, -1):
-                found[_token("<", containers[number].path)][2] += slots[number]
+                found[names[number]][2] += slots[number]
                 if containers[number].parent >= 0:
                     slots[containers[number].parent] += slots[number]
-            hashes = {count: xxhash.xxh64_intdigest(f"{key}:{count}") for _, count, _ in found.values()}
+            hashes = {count: xxhash.xxh64_intdigest(f"{key}:{count}") for _, count, _, _ in found.values()}
             rows += [
-                (host, token, rank, hashes[count] & LOW, hashes[count] >> 32, 1, chars)
-                for token, (rank, count, chars) in found.items()
+                (host, token, rank, hashes[count] & LOW, hashes[count] >> 32, 1, chars, up)
+                for token, (rank, count, chars, up) in found.items()
             ]
         yield pa.RecordBatch.from_arrays([
             pa.array(column, kind) for column, kind in zip(
-                zip(*rows, strict=True) if rows else [[]] * 7,
-                (pa.string(), pa.int64(), pa.int32(), *[pa.int64()] * 4), strict=True)
-        ], ["host", "token", "rank", "low", "high", "pages", "chars"])
+                zip(*rows, strict=True) if rows else [[]] * 8,
+                (pa.string(), pa.int64(), pa.int32(), *[pa.int64()] * 5), strict=True)
+        ], ["host", "token", "rank", "low", "high", "pages", "chars", "up"])
 
 
 def _summed(tokens: DataFrame, key: str) -> DataFrame:
     return tokens.groupBy(key, "token").agg(
-        F.max("rank").alias("rank"), *(F.sum(c).alias(c) for c in ("low", "high", "pages", "chars")))
+        F.max("rank").alias("rank"), *(F.sum(c).alias(c) for c in ("low", "high", "pages", "chars")), F.max("up").alias("up"))
+
+
+def slot_chars(rows: list[dict]) -> tuple[dict[int, int], list[int]]:
+    """Characters of slot text in each container of a template, ``ROOT`` being the page, and the containers from outer to inner.
+
+    Slot text is all text outside boilerplate but that of the template.
+    """
+    slot = {r["token"]: r["chars"] for r in rows if r["rank"] != TEXT}
+    up = {r["token"]: r["up"] for r in rows if r["rank"] != TEXT}
+    fixed = dict.fromkeys(slot, 0)
+    for r in rows:
+        if r["rank"] == TEXT and r["valid"] and r["up"] in fixed:
+            fixed[r["up"]] += r["chars"]
+    waiting = Counter(up.values())
+    order = [token for token in slot if not waiting[token]]
+    # A container follows all those inside it, while the list grows.
+    for token in order:
+        slot[token] -= fixed[token]
+        around = up[token]
+        if around in fixed:
+            fixed[around] += fixed[token]
+            waiting[around] -= 1
+            if not waiting[around]:
+                order.append(around)
+    return slot, order[::-1]
+
+
+def main_container(rows: list[dict], pooled: bool = False) -> int | None:
+    """Token of the template container that holds the main text.
+
+    Without a name a container counts only if the template has others beside it,
+    and only for pages of one host: in a pool of hosts its path says too little.
+    """
+    slot, order = slot_chars(rows)
+    up = {r["token"]: r["up"] for r in rows}
+    usable = {r["token"]: r for r in rows if r["valid"] and r["rank"] >= PLAIN and r["chars"] > 0}
+
+    def best(tokens: list[int]) -> int | None:
+        return max((t for t in tokens if usable[t]["rank"] > PLAIN), default=None, key=lambda t: (
+            usable[t]["rank"], slot[t], usable[t]["chars"], t))
+
+    dominant = [t for t in order if t in usable and 0 < slot[ROOT] * DOMINANT <= slot[t]]
+    named = best(dominant)
+    if named is not None or not dominant or pooled:
+        return best(list(usable)) if named is None else named
+    inner, around, within = dominant[-1], set(), {dominant[-1]}
+    t = inner
+    while t in up:
+        around.add(t)
+        t = up[t]
+    for t in order:
+        if up[t] in within:
+            within.add(t)
+    if all(r["token"] in around or r["token"] in within for r in rows if r["valid"] and r["rank"] >= DROPPED):
+        return best(list(usable))
+    named = best([t for t in usable if t in within and 2 * slot[t] > slot[ROOT]])
+    return inner if named is None else named
+
+
+def _deduced(group: pa.Table) -> pa.Table:
+    """The main container and the template text of one group of pages, from the tokens on enough of them."""
+    rows = group.to_pylist()
+    text = [r for r in rows if r["valid"] and r["rank"] < PLAIN and r["token"] != ROOT]
+    of = rows[0]["of"]
+    return pa.table({
+        "of": pa.array([of], pa.string()), "main": pa.array([main_container(rows, not of)], pa.int64()),
+        "known": pa.array([[r["token"] for r in text]], pa.list_(pa.int64())),
+        "fixed": pa.array([[r["token"] for r in text if r["pages"] == r["size"]]], pa.list_(pa.int64())),
+    })
 
 
 def _distinct(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -365,35 +454,34 @@ def host_templates(spark: SparkSession, pages: DataFrame) -> DataFrame:
     pooled = stored(spark, _summed(tokens.join(hosts, "host"), "of"), "templates-pooled")
     # Classes: tokens with one vector; valid ones are large enough and on enough pages of the group.
     whole = pooled.where(F.col("token") == ROOT).select("of", F.col("pages").alias("size"))
+    frequent = pooled.join(whole, "of").where(F.col("pages") >= F.lit(MIN_SHARE) * F.col("size"))
     vector = ["of", "low", "high"]
-    classes = pooled.groupBy(vector).agg(F.count("*").alias("tokens"), F.max("pages").alias("on")).join(whole, "of")
-    valid = classes.where((F.col("tokens") >= MIN_CLASS) & (F.col("on") >= F.lit(MIN_SHARE) * F.col("size")))
-    template = pooled.join(valid.select(*vector, "size"), vector)
-    text = (F.col("rank") < 0) & (F.col("token") != ROOT)
-    deduced = template.groupBy("of").agg(
-        F.max_by(F.when((F.col("rank") > PLAIN) & (F.col("chars") > 0), F.col("token")),
-                 F.when((F.col("rank") > PLAIN) & (F.col("chars") > 0), F.struct("rank", "chars", "token"))).alias("main"),
-        F.collect_list(F.when(text, F.col("token"))).alias("known"),
-        F.collect_list(F.when(text & (F.col("pages") == F.col("size")), F.col("token"))).alias("fixed"),
-    )
+    classes = frequent.groupBy(vector).agg((F.count("*") >= MIN_CLASS).alias("valid"))
+    deduced = frequent.join(classes, vector).select(
+        "of", "token", "rank", "pages", "chars", "up", "size", "valid",
+    ).groupBy("of").applyInArrow(_deduced, "of string, main bigint, known array<bigint>, fixed array<bigint>")
     return stored(spark, hosts.join(deduced, "of", "left").select("host", "main", "known", "fixed"), "templates-hosts")
 
 
 def main_blocks(
     page: str | None, main: int | None, known: frozenset[int], fixed: frozenset[int] = frozenset(),
 ) -> list[str]:
-    """Blocks of the main text: the slots of the main container, or of the page's own best element."""
+    """Blocks of the main text: of the main container, or of the page's own best element, or else all slots."""
     containers, blocks = parse(page)
     usable = [k for k, c in enumerate(containers) if not c.dropped]
     chosen = {k for k in usable if main is not None and _token("<", containers[k].path) == main}
-    if chosen:
-        within = held(containers, chosen)
-        return [b.text for b in blocks if not b.dropped and b.inside >= 0 and within[b.inside]]
-    best = max((containers[k].rank for k in usable), default=PLAIN)
-    if best >= MAIN:
-        chosen = {k for k in usable if containers[k].rank == best}
-        within = held(containers, chosen)
+    unnamed = all(containers[k].rank == PLAIN for k in chosen)
+    if unnamed:
+        best = max((containers[k].rank for k in usable), default=PLAIN)
+        if best >= MAIN:
+            chosen, unnamed = {k for k in usable if containers[k].rank == best}, False
+    within = held(containers, chosen)
+    if not unnamed:
         return [b.text for b in blocks if not b.dropped and b.inside >= 0 and within[b.inside]]
+    if chosen:
+        inner = [b for b in blocks if b.inside >= 0 and within[b.inside]]
+        if any(not b.dropped and _token("text", b.path, b.text) not in known for b in inner):
+            blocks = inner
     usable = [(b, _token("text", b.path, b.text)) for b in blocks if not b.dropped or b.owner >= 0]
     # Template text that would take all slot text is not template there.
     template = known if any(token not in known and not b.dropped for b, token in usable) else fixed

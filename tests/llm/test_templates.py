@@ -1,3 +1,4 @@
+import random
 import time
 
 import pytest
@@ -143,3 +144,126 @@ def test_large_nested_pages_take_linear_time_and_memory():
     assert time.process_time() - started < 60
     assert len(page) > 3_000_000 and len(containers) == depth + 2
     assert sum(len(c.path) for c in containers) + sum(len(b.path) for b in blocks) <= 17 * (depth + 5)
+
+
+NAMES = [("<article>", "<div class='k3'>"), ("</article>", "</div>"), ("<nav>", "<div class='k1'>"), ("</nav>", "</div>"),
+         ('<div class="ad">', "<div class='k2'>"), ("<footer>", "<div class='k4'>"), ("</footer>", "</div>")]
+
+
+def test_templates_find_the_text_without_names(spark, small):
+    """The given pages, with every element that names its part made a plain one, as pages of one host."""
+    given = spark.read.parquet(f"{small}/pages.parquet").select("page_id", "html").collect()
+    wanted = {r["page_id"]: r["text"] for r in templates.main_texts(
+        spark, spark.read.parquet(f"{small}/pages.parquet")).collect()}
+    plain = []
+    for r in given:
+        html = r["html"]
+        for old, new in NAMES:
+            html = html.replace(old, new)
+        plain.append((r["page_id"], "http://one.example/", html, ""))
+    found = texts(spark, plain)
+    assert len(found) > 3 and found == wanted
+    # Without the templates nothing tells the parts of such a page.
+    assert all("\n".join(templates.main_blocks(html, None, frozenset())) != wanted[i] for i, _, html, _ in plain)
+
+
+def test_slots_decide_before_names_of_classes(spark):
+    """A container with nearly all slot text holds the main text, whatever another one is called."""
+    data = [(i, "http://s.example/", f"<html><body><div class='k1'>Head</div><div class='k2'><p>Long story {i} of many words "
+                                     f"that fill a page</p><ul><li>one {i}<ul><li>inner {i}</li></ul></li></ul><p>Read more</p>"
+                                     f"</div><div class='text'>n {i}</div></body></html>", "") for i in range(5)]
+    assert texts(spark, data) == {i: f"Long story {i} of many words that fill a page\none {i}\ninner {i}" for i in range(5)}
+
+
+def test_pages_of_another_template_keep_their_slots(spark):
+    """Three in ten pages of a host have other containers; what the host repeats is left out there too."""
+    data = [page(i, f"<p>Story {i} of the first kind</p>") for i in range(7)]
+    data += [(i, "http://h.example/", "<html><body><div class='x1'>Welcome to h</div><table><tr><td class='y'>"
+                                      f"<p>Other {i}</p><p>more {i}</p></td></tr></table></body></html>", "") for i in (7, 8, 9)]
+    assert texts(spark, data) == {i: f"Story {i} of the first kind" if i < 7 else f"Other {i}\nmore {i}" for i in range(10)}
+
+
+def brute_force(pages):
+    """Main container and template text of a host, by comparing whole occurrence vectors and rereading every page."""
+    parsed = [templates.parse(p) for p in sorted(set(pages))]
+    vectors, rank, length = {}, {}, {}
+    for k, (containers, blocks) in enumerate(parsed):
+        names = [(c.path, None) for c in containers] + [(b.path, b.text) for b in blocks] + [("", None)]
+        for name in names:
+            vectors.setdefault(name, [0] * len(parsed))[k] += 1
+        for c in containers:
+            rank[c.path, None] = max(rank.get((c.path, None), -1), -1 if c.dropped else c.rank)
+    classes = {}
+    for name, vector in vectors.items():
+        classes.setdefault(tuple(vector), []).append(name)
+    valid = {n for v, names in classes.items() if len(names) >= 3 and 2 * sum(x > 0 for x in v) >= len(parsed) for n in names}
+    known = {n for n in valid if n[1] is not None}
+    whole, inside, chars = 0, {}, {}
+    for containers, blocks in parsed:
+        for b in blocks:
+            slot = 0 if b.dropped or (b.path, b.text) in known else len(b.text)
+            whole += slot
+            k, level = b.inside, []
+            while k >= 0:
+                level.append(containers[k].path)
+                k = containers[k].parent
+            for depth, path in enumerate(reversed(level)):
+                length[path] = depth
+                inside[path] = inside.get(path, 0) + slot
+                chars[path] = chars.get(path, 0) + (0 if b.dropped else len(b.text))
+    inner = {n[0]: set() for n in rank}  # the containers in each one
+    for containers, _ in parsed:
+        for c in containers:
+            k = c.parent
+            while k >= 0:
+                inner[containers[k].path].add(c.path)
+                k = containers[k].parent
+    usable = [n[0] for n in valid if n in rank and rank[n] >= 0 and chars.get(n[0], 0) > 0]
+
+    def best(paths):
+        order = sorted((rank[p, None], inside[p], chars[p], p) for p in paths if rank[p, None] > 0)
+        found = [p for r, i, c, p in order if order[-1][:3] == (r, i, c)]
+        return found[0] if len(found) == 1 else "tie" if found else None
+
+    most = [p for p in usable if whole > 0 and inside[p] >= 0.9 * whole]
+    main = best(most)
+    if main is None:
+        last = max(most, key=length.get, default=None)
+        others = [n[0] for n in valid if n in rank and last is not None and n[0] != last
+                  and n[0] not in inner[last] and last not in inner[n[0]]]
+        if others:
+            main = best([p for p in usable if p in inner[last] and 2 * inside[p] > whole]) or last
+        else:
+            main = best(usable)
+    return main, {templates._token("text", *n) for n in known}
+
+
+def test_deduction_equals_brute_force(spark):
+    rng = random.Random(8)
+    hosts, data = {}, []
+    for h in range(24):
+        layout = [(rng.choice(["div", "section", "td", "article", "main", "nav"]),
+                   rng.choice(["", "content", "k1", "k2", "k3", "story", "sidebar"])) for _ in range(rng.randint(1, 4))]
+        for _ in range(rng.randint(3, 9)):
+            parts = []
+            for tag, name in layout:
+                if rng.random() < 0.1:
+                    continue
+                inner = "".join(f"<{t}>{rng.choice(['Same words', 'Other', f'Text {rng.random()}'])} {'long ' * rng.randint(0, 9)}</{t}>"
+                                for t in rng.choices(["p", "li", "div", "h2"], k=rng.randint(1, 3)))
+                parts.append(f"<{tag} class='{name}'><div class='in'>Fixed {name}{inner}</div></{tag}>")
+            html = f"<html><body>{''.join(parts)}<div>Imprint</div></body></html>"
+            hosts.setdefault(f"h{h}.example", []).append(html)
+            data.append((len(data), f"http://h{h}.example/", html))
+    frame = spark.createDataFrame(data, "page_id bigint, url string, html string").withColumn("host", templates.host_of("url"))
+    found = {r["host"]: r for r in templates.host_templates(spark, frame).collect()}
+    compared = 0
+    for host, pages in hosts.items():
+        if len(set(pages)) < templates.MIN_PAGES:
+            continue
+        main, known = brute_force(pages)
+        assert known <= set(found[host]["known"])
+        if main != "tie":
+            assert found[host]["main"] == (None if main is None else templates._token("<", main))
+            compared += main is not None
+    assert compared > 10
