@@ -454,10 +454,10 @@ def host_templates(spark: SparkSession, pages: DataFrame) -> DataFrame:
     pooled = stored(spark, _summed(tokens.join(hosts, "host"), "of"), "templates-pooled")
     # Classes: tokens with one vector; valid ones are large enough and on enough pages of the group.
     whole = pooled.where(F.col("token") == ROOT).select("of", F.col("pages").alias("size"))
-    frequent = pooled.join(whole, "of").where(F.col("pages") >= F.lit(MIN_SHARE) * F.col("size"))
     vector = ["of", "low", "high"]
-    classes = frequent.groupBy(vector).agg((F.count("*") >= MIN_CLASS).alias("valid"))
-    deduced = frequent.join(classes, vector).select(
+    classes = pooled.groupBy(vector).agg((F.count("*") >= MIN_CLASS).alias("valid"), F.max("pages").alias("on"))
+    frequent = classes.join(whole, "of").where(F.col("on") >= F.lit(MIN_SHARE) * F.col("size"))
+    deduced = pooled.join(frequent, vector).select(
         "of", "token", "rank", "pages", "chars", "up", "size", "valid",
     ).groupBy("of").applyInArrow(_deduced, "of string, main bigint, known array<bigint>, fixed array<bigint>")
     return stored(spark, hosts.join(deduced, "of", "left").select("host", "main", "known", "fixed"), "templates-hosts")
