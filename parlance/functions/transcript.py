@@ -182,3 +182,40 @@ def user_text(transcript_text: Column, prefixes=V.USER_PREFIXES) -> Column:
 def bot_text(transcript_text: Column, prefixes=V.BOT_PREFIXES) -> Column:
     """All bot texts of a transcript as one line."""
     return _one_line(texts_after(pieces(transcript_text), prefixes))
+
+
+def _prefixed(transcript_pieces: Column, prefixes, lead: str = "") -> Column:
+    pattern = rf"(?iu)^[{V.WHITESPACE_CLASS}{lead}]*+(?:{'|'.join(prefixes)})"
+    return F.size(F.filter(transcript_pieces, lambda p: p.rlike(pattern)))
+
+
+def message_counts(conversation: Column, whole_bytes: int = WHOLE_BYTES) -> Column:
+    """Conversation text -> ``struct<mensajes, de_usuario, de_bot, de_otros>``: whole messages by who wrote them.
+
+    Messages of a list are counted as they are, whatever words or separators
+    their texts hold. In unstructured text the pieces that begin with a speaker
+    count; a piece without one continues the piece before it, and a text without
+    any is one message of others. A blank cell has no messages; a list that
+    cannot be read gives nulls, see :func:`cell_status`.
+    """
+
+    def counts(total: Column, user: Column, bot: Column) -> Column:
+        return F.struct(total.alias("mensajes"), user.alias("de_usuario"), bot.alias("de_bot"),
+                        (total - user - bot).alias("de_otros"))
+
+    def of_messages(messages: Column) -> Column:
+        speakers = F.transform(messages, lambda m: speaker_label(m["speaker"]))
+        return bind(speakers, lambda names: counts(
+            F.size(names), *(F.size(F.filter(names, lambda n: n == label)) for label in ("user", "bot"))))
+
+    def of_text(text: Column) -> Column:
+        found = F.struct(_prefixed(pieces(text), V.USER_PREFIXES, V.ZERO_WIDTH_CLASS).alias("user"),
+                         _prefixed(pieces(text), V.BOT_PREFIXES).alias("bot"))
+        return bind(found, lambda n: counts(F.greatest(n["user"] + n["bot"], F.lit(1)), n["user"], n["bot"]))
+
+    none, unread = F.lit(0), F.lit(None).cast("int")
+    return bind(strip(conversation), lambda text: bind(_messages_of(text, whole_bytes), lambda messages: (
+        F.when(_is_blank_cell(text), counts(none, none, none))
+        .when(messages.isNotNull(), of_messages(messages))
+        .when(_too_large(text, whole_bytes), counts(unread, unread, unread))
+        .otherwise(of_text(text)))))

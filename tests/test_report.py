@@ -7,7 +7,7 @@ from parlance import fixed_values as V, schemas
 from parlance.operators import items as it, reports as rp, rollup as ro
 from parlance.operators.contract import column_differences, enforce_columns
 from parlance.operators.feedback_join import join_last_feedback
-from parlance.plans import typed_report as ty, user_report as ur
+from parlance.plans import message_report as mr, typed_report as ty, user_report as ur
 
 
 def _items(spark, rows):
@@ -294,3 +294,22 @@ def test_oversized_user_is_refused_before_text_moves(spark):
     items = _random_items(spark, 4)
     with pytest.raises(ValueError, match="a row holds at most 50"):
         ur.user_report_in_blocks(items, limits={"as_of": "2025-08-31"}, row_bytes=50)
+
+
+def test_message_report(spark):
+    items = _items(spark, [
+        ("USER#A", "CONVERSATION#1", None, None, '[{"from":"user","text":"bot bot"},{"from":"bot","text":"x"}]', None),
+        ("A", "CONVERSATION#2", None, None, '[{"from":"user","text":"a | b"}]', None),
+        ("USER#A", "CONVERSATION#3", None, None, None, None),
+        ("USER#A", "FEEDBACK#1", None, None, "[]", "f"), ("USER#A", "Register#1", None, None, "hola", None),
+        ("USER#B", "PROFILE", None, None, None, None), (None, "CONVERSATION#4", None, None, "hola", None),
+    ])
+    got = {r.usuario_id: tuple(r)[1:] for r in mr.message_report(items).collect()}
+    assert got == {"A": (3, 3, 2, 1, 0, 2, 0), None: (1, 1, 0, 0, 1, 1, 0)}
+    assert mr.message_report(items.limit(0)).count() == 0
+
+
+def test_the_message_report_shuffles_no_text(spark):
+    items = _items(spark, [("USER#A", "CONVERSATION#1", None, None, "hola", None)])
+    plan = mr.message_report(items)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_sum" in plan

@@ -129,6 +129,23 @@ def test_questions_from_messages(evaluate):
     ) == ["a | a", "", "x", "", ""]
 
 
+def test_message_counts(evaluate):
+    cases = {
+        '[{"from":"user","text":"bot: a | user: b"},{"from":"Bot","text":"user user"},{"from":"Sys","text":"x"}]': (3, 1, 1, 1),
+        "[{'from': 'USUARIO', 'text': 'it\\'s'}, 3, {'text': 'no speaker'}]": (2, 1, 0, 1),
+        '{"L":[{"M":{"from":{"S":"user"},"text":{"S":"hey"}}}]}': (1, 1, 0, 0), '{"from":"bot","text":"solo"}': (1, 0, 1, 0),
+        "[]": (0, 0, 0, 0), "": (0, 0, 0, 0), "None": (0, 0, 0, 0), "hola": (1, 0, 0, 1), "[broken": (1, 0, 0, 1),
+        "user: a | more of a | bot: b || usuario: c": (3, 2, 1, 0),
+    }
+    got = evaluate(tr.message_counts, *cases)
+    assert [tuple(r) for r in got] == list(cases.values())
+    assert tuple(evaluate(tr.message_counts, None)[0]) == (0, 0, 0, 0)
+    # Cut into elements first, as large cells are; a large list that cannot be read is not counted as text.
+    cut = evaluate(lambda c: tr.message_counts(c, 0), *[c for c in cases if c.startswith("[{")])
+    assert [tuple(r) for r in cut] == [n for c, n in cases.items() if c.startswith("[{")]
+    assert tuple(evaluate(lambda c: tr.message_counts(c, 0), "[{'from': 'user', 'text': }]")[0]) == (None,) * 4
+
+
 def test_role_text(evaluate):
     text = "[{'from': 'user', 'text': 'x', 'timestamp': '2'}, {'from': 'bot', 'text': ' y\\n\\nz '}, {'from': 'user', 'text': 'w'}]"
     assert evaluate(lambda c: tr.role_text(c, "user"), text, "", "{}") == ["x w", "", ""]

@@ -238,6 +238,9 @@ def _with(*parts: str) -> str:
 _REPORT = _with(_LINES, _PROFILES, _FEEDBACK, _ROWS, _USER_REPORT)
 _TYPED_REPORT = _with(_LINES, _PROFILES, _FEEDBACK, _ROWS, _USER_REPORT, _TYPED)
 _TALKS = _with(_LINES)
+_MESSAGES = """count(*) AS mensajes, count(*) FILTER (WHERE role = 'user') AS de_usuario,
+               count(*) FILTER (WHERE role = 'assistant') AS de_bot,
+               count(*) FILTER (WHERE role NOT IN ('user', 'assistant')) AS de_otros"""
 # The rows with the stored conversation text, and without an end of the dates.
 _RAW_ROWS = _with(_LINES, _PROFILES, _FEEDBACK, _ROWS, _ROWS.replace("kept AS", "kept_open AS").replace(
     f"BETWEEN DATE '{V.REPORT_START}' AND DATE '{AS_OF}'", f">= DATE '{V.REPORT_START}'"
@@ -282,6 +285,14 @@ _TYPED_COLUMNS = [(c, {"date": "date", "integer": "int", "string": "string"}[V.R
 ORACLES: dict[str, str] = {
     # text
     "transcript": _TALKS + "SELECT SK, t AS conversacion_completa FROM talked",
+    "conversation_messages": f"""
+        SELECT (conv_id // 3)::VARCHAR AS usuario_id, 'CONVERSATION#' || lpad(conv_id::VARCHAR, 10, '0') AS SK, {_MESSAGES}
+        FROM conversations GROUP BY conv_id""",
+    "message_report": f"""
+        SELECT usuario_id, count(*) AS conversaciones, sum(mensajes)::BIGINT AS mensajes, sum(de_usuario)::BIGINT AS de_usuario,
+               sum(de_bot)::BIGINT AS de_bot, sum(de_otros)::BIGINT AS de_otros, max(mensajes) AS maximo, 0::BIGINT AS sin_leer
+        FROM (SELECT (conv_id // 3)::VARCHAR AS usuario_id, {_MESSAGES} FROM conversations GROUP BY conv_id)
+        GROUP BY usuario_id""",
     "turn_count": _TALKS + "SELECT SK, n::INTEGER AS turnos FROM talked",
     "text_normalize": f"""
         SELECT doc_id, {_strip(r"regexp_replace(replace(regexp_replace(translate(" + _strip('text') + r", chr(10) || chr(13) || chr(9), '   '), ' {2,}', ' ', 'g'), '|', ' | '), ' \|(?:  \|)+ ', ' | ', 'g')")} AS texto

@@ -17,7 +17,7 @@ from parlance.operators import items as it, reports as rp
 from parlance.operators.contract import enforce_columns
 from parlance.operators.feedback_join import join_last_feedback
 from parlance.operators.rollup import ORDER, first_real, ordered_concat
-from parlance.plans import raw_report as raw, token_costs as tc, typed_report as ty, user_report as ur
+from parlance.plans import message_report as mr, raw_report as raw, token_costs as tc, typed_report as ty, user_report as ur
 from parlance.session import new_folder
 from parlance.sources import catalog, readers, writers
 from parlance.streaming import current, refresh
@@ -74,6 +74,16 @@ def transcript(spark, sf):
     return _talks(spark, sf).select("SK", tr.transcript(F.col("Conversation")).alias("conversacion_completa"))
 
 
+@query
+def conversation_messages(spark, sf):
+    return mr.conversation_messages(ad.items(spark, sf))
+
+
+@query
+def message_report(spark, sf):
+    return mr.message_report(ad.items(spark, sf))
+
+
 @query
 def turn_count(spark, sf):
     return _talks(spark, sf).select("SK", tx.turn_count(tr.transcript(F.col("Conversation"))).alias("turnos"))
