@@ -11,6 +11,12 @@ models of a class are interpolated and discounted:
               among the words that begin with s, which both classes have in
               common: a rare expression is judged by its relatives.
 
+The number of different words before w grows more slowly than the text it is
+counted in, so frequent words would look likelier in the class with less text.
+For the larger class it is therefore the number that is expected in as many of
+its words as the smaller one has: a pair seen n times counts 1 - (1 - f)^n for
+the share f of the larger class.
+
 An expression keeps a ratio of its own only if its counts in the two classes
 contradict its backoff (a G-test above ``MIN_G``); otherwise the backoff judges
 it, and in the end the classes share one probability and the ratio is zero. This
@@ -139,6 +145,16 @@ def _positive(count: str) -> Column:
     return F.sum((F.col(count) > 0).cast("bigint"))
 
 
+def _exact_sum(value: Column) -> Column:
+    """Sum of fractions that does not depend on their order."""
+    return F.coalesce(F.sum(F.round(value * SCALE).cast("bigint")), F.lit(0)) / SCALE
+
+
+def _different(count: str, share: float) -> Column:
+    """How many different pairs are expected in this share of the text."""
+    return F.lit(1.0) - F.pow(F.lit(1.0 - min(share, 1.0)), F.col(count))
+
+
 def _first(pair: str = "pair") -> Column:
     return F.shiftrightunsigned(pair, 32)
 
@@ -203,24 +219,28 @@ def _steps(spark: SparkSession, counts: DataFrame) -> DataFrame | None:
     """
     pairs, stem_pairs = counts.where("kind = 0"), counts.where("kind = 1")
     # Different words before each word, and the words that begin alike.
-    words = pairs.groupBy(_second().alias("word")).agg(_positive("t").alias("t"), _positive("o").alias("o"))
+    size_t, size_o = one_row(pairs.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("o"), F.lit(0))))
+    if not size_t or not size_o:
+        return None
+    words = pairs.groupBy(_second().alias("word")).agg(
+        _exact_sum(_different("t", size_o / size_t)).alias("t"), _exact_sum(_different("o", size_t / size_o)).alias("o"))
     words = stored(spark, words.join(
         stem_pairs.select(_second().alias("word"), _first().alias("stem")).groupBy("word").agg(
             F.min("stem").alias("stem")), "word"), "toxicity-words")
-    stems = words.groupBy("stem").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
-    all_t, all_o, kinds_t, kinds_o = one_row(words.agg(
-        F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("o"), F.lit(0)),
-        F.coalesce(_positive("t"), F.lit(0)), F.coalesce(_positive("o"), F.lit(0))))
-    stem_t, stem_o, n_stems = one_row(stems.agg(
-        F.coalesce(_positive("t"), F.lit(0)), F.coalesce(_positive("o"), F.lit(0)), F.count("*")))
-    if not all_t or not all_o:
-        return None
+    stems = words.groupBy("stem").agg(_exact_sum(F.col("t")).alias("t"), _exact_sum(F.col("o")).alias("o"))
+
+    def taken(count: str) -> Column:
+        return _exact_sum(F.least(F.col(count), F.lit(DISCOUNT)))
+
+    all_t, all_o, taken_t, taken_o = one_row(words.agg(
+        _exact_sum(F.col("t")), _exact_sum(F.col("o")), taken("t"), taken("o")))
+    stem_t, stem_o, n_stems = one_row(stems.agg(taken("t"), taken("o"), F.count("*")))
 
     def discounted(count: str, total: int) -> Column:
-        return F.greatest(F.col(count) - DISCOUNT, F.lit(0.0)) / F.lit(float(total))
+        return F.greatest(F.col(count) - DISCOUNT, F.lit(0.0)) / F.lit(total)
 
     spread = F.lit(1.0 / n_stems)
-    left_t, left_o = DISCOUNT * stem_t / all_t, DISCOUNT * stem_o / all_o
+    left_t, left_o = stem_t / all_t, stem_o / all_o
     expected = all_t / (all_t + all_o)
 
     def toxic_share(t: Column, o: Column, prior: Column) -> Column:
@@ -233,7 +253,7 @@ def _steps(spark: SparkSession, counts: DataFrame) -> DataFrame | None:
 
     def step(kind: int, key: str, t: str, o: str, lower: Column) -> list[Column]:
         return [F.lit(kind).cast("tinyint").alias("kind"), F.col(key).cast("bigint").alias("key"),
-                (F.col(t) + F.col(o)).alias("seen"), (F.col("ratio") - lower).alias("step")]
+                (F.col(t) + F.col(o)).cast("double").alias("seen"), (F.col("ratio") - lower).alias("step")]
 
     stems = stems.withColumns({
         "pt": discounted("t", all_t) + left_t * spread, "po": discounted("o", all_o) + left_o * spread,
@@ -245,8 +265,8 @@ def _steps(spark: SparkSession, counts: DataFrame) -> DataFrame | None:
     share = (F.col("t") + F.col("o")) / F.col("of")
     words = words.join(of_stem, "stem").select(
         "word", "t", "o", "stem_share", "lower",
-        (discounted("t", all_t) + DISCOUNT * kinds_t / all_t * F.col("pt") * share).alias("pt"),
-        (discounted("o", all_o) + DISCOUNT * kinds_o / all_o * F.col("po") * share).alias("po"),
+        (discounted("t", all_t) + taken_t / all_t * F.col("pt") * share).alias("pt"),
+        (discounted("o", all_o) + taken_o / all_o * F.col("po") * share).alias("po"),
     ).withColumn("ratio", judged("t", "o", F.col("stem_share"), F.log(F.col("pt") / F.col("po")), F.col("lower")))
     words = stored(spark, words, "toxicity-ratios")
     # What a class keeps for unseen pairs after a word.
@@ -261,8 +281,10 @@ def _steps(spark: SparkSession, counts: DataFrame) -> DataFrame | None:
     # Only pairs that contradict their word go on to the words before them.
     seen = pairs.select("pair", _first().alias("before"), _second().alias("word"),
                         F.col("t").alias("ct"), F.col("o").alias("co"))
-    joined = seen.join(words.select("word", "pt", "po", F.col("ratio").alias("lower"), toxic_share(
-        F.col("t"), F.col("o"), F.col("stem_share")).alias("word_share")), "word")
+    # Pairs count all text of both classes, words as much of either.
+    alike = toxic_share(F.col("t"), F.col("o"), F.col("stem_share"))
+    joined = seen.join(words.select("word", "pt", "po", F.col("ratio").alias("lower"), (
+        alike * size_t / (alike * size_t + (1 - alike) * size_o)).alias("word_share")), "word")
     joined = joined.where(_g_test(F.col("ct"), F.col("co"), F.col("word_share")) >= MIN_G).join(before, "before")
 
     def bigram(count: str, total: str, kept: str, lower: str) -> Column:
