@@ -65,8 +65,9 @@ CALIBRATION_SLICE = 8  # the curve is fitted on one of so many training rows
 # Up to so many labelled ids are sent to the documents; more are joined with a shuffle.
 SENT_IDS = 2_000_000
 TEXT_START = np.uint64(0)
-# Words whose counts a task sums up before it hands them on.
+# Words whose counts a task sums up before it hands them on, and keys that it hands on at once.
 BLOCK_WORDS = 3_000_000
+BATCH_KEYS = 1 << 16
 
 
 class Model(NamedTuple):
@@ -98,33 +99,42 @@ def named(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return before, word, W.mix(stem + W.ODD) & low, found.first
 
 
-def _summed(kind: int, keys: np.ndarray, toxic: np.ndarray, held: np.ndarray) -> pa.RecordBatch:
-    """Keys of one kind with their counts in toxic and in ordinary texts, and those in texts held for the curve."""
-    keys, inverse, total = np.unique(keys, return_inverse=True, return_counts=True)
+def _summed(kind: int, keys: np.ndarray, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Keys of one kind with their counts in toxic and in ordinary texts, and those in texts held for the curve.
 
-    def count(weights: np.ndarray) -> np.ndarray:
-        return np.bincount(inverse, weights=weights, minlength=len(keys)).astype(np.int64)
+    ``group`` is 1 for toxic plus 2 for held. The rows are handed on in batches, because a batch lies whole outside
+    the heap of the executor.
+    """
+    order = np.argsort(keys)
+    keys, group = keys[order], group[order]
+    del order
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    for start in range(0, len(first), BATCH_KEYS):
+        at = first[start:start + BATCH_KEYS]
+        stop = first[start + BATCH_KEYS] if start + BATCH_KEYS < len(first) else len(keys)
+        own, bounds = group[at[0]:stop], at - at[0]
+
+        def count(chosen: np.ndarray) -> np.ndarray:
+            return np.add.reduceat(chosen, bounds, dtype=np.int64)
 
-    bad = count(toxic)
-    held_bad, held_all = count(toxic * held), count(held)
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.full(len(keys), kind, np.int8)), W.as_long(keys),
-        *(pa.array(c, pa.int64()) for c in (bad, total - bad, held_bad, held_all - held_bad)),
-    ], ["kind", "pair", "t", "o", "held_t", "held_o"])
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.full(len(at), kind, np.int8)), W.as_long(keys[at]),
+            *(pa.array(count(chosen)) for chosen in (own & 1 == 1, own & 1 == 0, own == 3, own == 2)),
+        ], ["kind", "pair", "t", "o", "held_t", "held_o"])
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (word before, word) and (beginning, word) with counts in toxic and ordinary texts."""
-    pairs, stems, toxic, held = [], [], [], []
+    pairs, stems, groups = [], [], []
 
     def flush() -> Iterator[pa.RecordBatch]:
-        if toxic:
-            label, out = np.concatenate(toxic), np.concatenate(held)
+        if groups:
+            group = np.concatenate(groups)
+            groups.clear()
             for kind, parts in enumerate((pairs, stems)):
-                yield _summed(kind, np.concatenate(parts), label, out)
+                keys = np.concatenate(parts)
                 parts.clear()
-            toxic.clear()
-            held.clear()
+                yield from _summed(kind, keys, group)
 
     kept = 0
     for batch in batches:
@@ -132,8 +142,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before, word, stem, first = named(*W.texts_of(piece.column("text")))
             pairs.append(before << np.uint64(32) | word)
             stems.append(stem << np.uint64(32) | word)
-            for name, parts in (("label", toxic), ("held", held)):
-                parts.append(np.repeat(piece.column(name).to_numpy(zero_copy_only=False).astype(float), np.diff(first)))
+            label, held = (piece.column(c).to_numpy(zero_copy_only=False).astype(np.uint8) for c in ("label", "held"))
+            groups.append(np.repeat(label + 2 * held, np.diff(first)))
             kept += len(word)
             if kept > BLOCK_WORDS:
                 yield from flush()
@@ -443,13 +453,28 @@ def fit_curve(x: np.ndarray, label: np.ndarray, steps: int = 50, penalty: float
     return w
 
 
+def _chance(total: np.ndarray, n: np.ndarray, curve: np.ndarray) -> pa.Array:
+    """Value of the curve for each text."""
+    margin = (features(total, n) * curve).sum(axis=1)
+    return pa.array(1 / (1 + np.exp(-np.clip(margin, -35, 35))))
+
+
 def _scorer(curve: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, n = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("total", "n"))
-            margin = (features(total, n) * curve).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _chance(total, n, curve)], ["doc_id", "score"])
+
+    return run
+
+
+def _text_scorer(shared):
+    """Like :func:`_scorer`, straight from the texts, where all steps were sent."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total, n = totals(batch, shared.value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(margin, -35, 35))))], ["doc_id", "score"])
+                [batch.column("doc_id"), _chance(total, n.astype(float), shared.value.curve)], ["doc_id", "score"])
 
     return run
 
@@ -457,4 +482,7 @@ def _scorer(curve: np.ndarray):
 def toxicity_scores(spark: SparkSession, documents: DataFrame, model: Model) -> DataFrame:
     """Per document: ``doc_id`` and ``score`` between 0 and 1."""
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    if model.rest is None:
+        # One pass, so that a task has one Python worker and not two.
+        return texts.mapInArrow(_text_scorer(spark.sparkContext.broadcast(model)), "doc_id bigint, score double")
     return _summed_texts(spark, texts, "doc_id", model).mapInArrow(_scorer(model.curve), "doc_id bigint, score double")

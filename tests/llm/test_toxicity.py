@@ -1,3 +1,5 @@
+import collections
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -124,3 +126,51 @@ def test_the_calibration_sample_is_bounded_by_rows(spark):
     ids = spark.createDataFrame([(7,), (8,)], "slice_id long")
     found = sorted((r["label"], r["text"]) for r in toxicity.calibration_texts(rows, ids).collect())
     assert found == [(0, "other"), (1, "text 0")]
+
+
+def told(count, size, seed=5):
+    """A batch of labelled texts of few words, so that pairs repeat, and some without words."""
+    rng = np.random.default_rng(seed)
+    words = np.array([f"{a}{b}rd{k}" for k in range(size) for a in "abcde" for b in "fghij"])
+    texts = [" ".join(rng.choice(words, 200 * (i % 7 > 0))) for i in range(count)]
+    return pa.RecordBatch.from_pydict({
+        "text": texts, "label": pa.array(rng.integers(0, 2, count), pa.int32()),
+        "held": pa.array(rng.integers(0, 2, count), pa.int32())})
+
+
+def test_counts_are_handed_on_in_bounded_batches(monkeypatch):
+    batch = told(60, 1)
+    wanted = collections.Counter()
+    for text, label, held in zip(*(batch.column(c).to_pylist() for c in ("text", "label", "held")), strict=True):
+        before, word, stem, _ = toxicity.named(*W.texts_of(pa.array([text])))
+        for kind, first in enumerate((before, stem)):
+            for a, b in zip(first.tolist(), word.tolist(), strict=True):
+                wanted.update({(kind, a << 32 | b, 1 - label): 1, (kind, a << 32 | b, 3 - label): held})
+    for block, rows in ((3_000_000, 1 << 16), (3_000_000, 7), (500, 100), (0, 1)):
+        monkeypatch.setattr(toxicity, "BLOCK_WORDS", block)
+        monkeypatch.setattr(toxicity, "BATCH_KEYS", rows)
+        found = collections.Counter()
+        for out in toxicity._counts(iter([batch.slice(0, 25), batch.slice(25), batch.slice(60)])):
+            assert 0 < len(out) <= rows
+            for kind, pair, *counts in zip(*(c.to_pylist() for c in out.columns), strict=True):
+                found.update({(kind, pair % (1 << 64), i): n for i, n in enumerate(counts)})
+        assert +found == +wanted
+    assert [*toxicity._counts(iter([]))] == [*toxicity._counts(iter([batch.slice(0, 1)]))] == []
+
+
+def test_counting_takes_little_memory(monkeypatch):
+    """A word takes its two keys and what sorting one kind of them needs, and a batch has few rows."""
+    batch = told(5000, 400)
+    size = sum(len(text.split()) for text in batch.column("text").to_pylist())
+    W.powers(W.PIECE_BYTES)
+    tracemalloc.start()
+    rows = [len(out) for out in toxicity._counts(iter([batch.slice(i, 100) for i in range(0, 5000, 100)]))]
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert size > 800_000 and max(rows) <= 1 << 16
+    assert most - 60 * W.PIECE_BYTES <= 70 * size
+
+
+def test_texts_are_scored_in_one_pass(spark, model):
+    plan = toxicity.toxicity_scores(spark, read(spark, "documents"), model)._jdf.queryExecution().executedPlan().toString()
+    assert model.rest is None and plan.count("MapInArrow") == 1
