@@ -104,8 +104,14 @@ def plain_json(text: Column) -> Column:
     """
     nulls = F.regexp_replace(text, r"""\{"NULL":(?:true|false)\}""", '{"NULL":null}')
     passes = F.sequence(F.lit(1), F.least(F.lit(DEPTH), F.regexp_count(text, F.lit(r"[{\[]")) + 1))
-    opened = F.aggregate(passes, nulls, lambda t, _: F.when(
-        t.rlike(_HAS_OPEN), F.regexp_replace(t, _OPEN, _OPENED)).otherwise(t))
+
+    def opened_once(state: Column, _: Column) -> Column:
+        # A pass that changes nothing is the last one; a text has more brackets than levels.
+        return F.when(state["more"], bind(F.regexp_replace(state["t"], _OPEN, _OPENED), lambda t: F.struct(
+            t.alias("t"), (t != state["t"]).alias("more")))).otherwise(state)
+
+    opened = F.aggregate(
+        passes, F.struct(nulls.alias("t"), F.lit(True).alias("more")), opened_once, lambda state: state["t"])
 
     def closed(t: Column) -> Column:
         numbers = F.when(F.contains(t, F.lit(_NUMBER_SET)), F.replace(
@@ -123,9 +129,12 @@ def _tagged_throughout(text: Column) -> Column:
 
 def unwrap_any(value: Column) -> Column:
     """Enveloped VARIANT of unknown shape -> VARIANT without tags at any depth."""
-    holds = as_map(value).isNotNull() | as_list(value).isNotNull()
-    return F.when(_is_scalar(value), unwrap_scalar(value)).when(
-        holds, F.coalesce(read_json(plain_json(F.to_json(value))), value)).otherwise(value)
+
+    def opened(v: Column) -> Column:
+        return F.when(_is_scalar(v), unwrap_scalar(v)).otherwise(bind(F.to_json(v), lambda text: F.when(
+            F.left(text, F.lit(1)).isin("{", "["), F.coalesce(read_json(plain_json(text)), v)).otherwise(v)))
+
+    return bind(value, opened)
 
 
 def _is_scalar(value: Column) -> Column:

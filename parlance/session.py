@@ -81,6 +81,16 @@ def sized_for(df: DataFrame) -> Iterator[None]:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def spread(df: DataFrame, partition_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    """All rows of a stored table, dealt evenly to tasks.
+
+    A row group is read by one task, and one holds millions of narrow rows. Where
+    each row takes far longer than reading it, that task would do all the work.
+    """
+    wanted = max(3 * df.sparkSession.sparkContext.defaultParallelism, -(-input_bytes(df) // partition_bytes))
+    return df.repartition(wanted)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

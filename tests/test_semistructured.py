@@ -428,6 +428,33 @@ def test_random_trees_of_mixed_shapes(evaluate):
         assert (got and json.loads(got)) == _unwrapped(text), text
 
 
+def test_values_that_hold_nothing_stay(evaluate):
+    cells = {'"{x"': '"{x"', '"[S]"': '"[S]"', "7": "7", "true": "true", "null": "null", '""': '""', None: None, "{": None, "": None,
+             '{"N":"x"}': '"x"', '{"NULL":true}': None, " [ ] ": "[]", "{}": "{}"}
+    assert evaluate(lambda c: F.to_json(ev.unwrap_any(lt.read_json(c))), *cells) == [*cells.values()]
+
+
+def test_wide_and_deep_cells_are_opened(evaluate):
+    """As many passes as levels, however many brackets a level has, and 64 levels at most."""
+    wide = '{"L":[' + ",".join(f'{{"M":{{"k":{{"N":"{i}"}},"NULL":{{"x":[{{"S":"a]"}}]}}}}}}' for i in range(300)) + "]}"
+    mixed = lambda n: '[{"L":' * n + '[{"NS":["1"]}]' + "}]" * n
+    found = evaluate(lambda c: F.to_json(ev.unwrap_any(lt.read_json(c))), wide, mixed(10), mixed(30))
+    assert json.loads(found[0]) == [{"k": i, "NULL": {"x": ["a]"]}} for i in range(300)]
+    assert found[1:] == ["[" * 12 + "1" + "]" * 12, "[" * 32 + "1" + "]" * 32]
+
+
+def test_mixed_envelopes_of_one_row_group_are_opened_by_many_tasks(spark, tmp_path):
+    from workload.queries import mixed_envelope
+
+    rows = [(i if i % 10 else 7, [f'n"{i}', "M", "", "{[S"][i % 4], i % 3 if i % 5 else None) for i in range(2000)]
+    rows.append((None, None, None))
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    found = mixed_envelope(spark, str(tmp_path))
+    assert found.withColumn("task", F.spark_partition_id()).select("task").distinct().count() >= 3 * 4
+    wanted = [(k, *([None] * 4 if k is None or size is None else [name, name, size, k])) for k, name, size in rows]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(wanted, key=repr)
+
+
 def test_feedback_of_mixed_shapes(evaluate):
     cells = ['{"M":{"a":{"x":{"S":"t"}}}}', '{"M":{"type":{"S":"like"},"n":{"NS":["1","2.5"]}}}']
     assert evaluate(fb.unwrap_feedback, *cells) == ['{"a": {"x":"t"}}', '{"type": "like", "n": [1,2.5]}'][:1] + [

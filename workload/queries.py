@@ -18,7 +18,7 @@ from parlance.operators.contract import enforce_columns
 from parlance.operators.feedback_join import join_last_feedback
 from parlance.operators.rollup import ORDER, first_real, ordered_concat
 from parlance.plans import message_report as mr, raw_report as raw, token_costs as tc, typed_report as ty, user_report as ur
-from parlance.session import new_folder
+from parlance.session import new_folder, spread
 from parlance.sources import catalog, readers, writers
 from parlance.streaming import current, refresh
 from workload import adapters as ad
@@ -554,7 +554,7 @@ def literal_forms(spark, sf):
 @query
 def mixed_envelope(spark, sf):
     """Tagged values below untagged ones and the other way round, with number sets."""
-    parts = ad.table(spark, sf, "part")
+    parts = spread(ad.table(spark, sf, "part").select("p_partkey", "p_name", "p_size"))
     name = F.to_json(F.struct(F.col("p_name").alias("S")))
     cell = F.concat(
         F.lit('{"M":{"p":{"name":'), name, F.lit(',"in":[{"M":{"S":'), name, F.lit('}}]},"n":{"NS":["'),
